@@ -207,6 +207,15 @@ def arpu_features(purchases: DataFrame, events: DataFrame, as_of, whale_rule: st
     pu, ev = F.col("src") == SRC_PURCHASE, F.col("src") == SRC_EVENT
     upto = F.col("d") <= F.lit(as_of)
     agg = u.groupBy("player_id").agg(
+        *_arpu_aggs(pu, as_of),
+        F.min(F.when(ev & upto, F.col("d"))).alias("first_seen_date"),
+    ).where(F.col("_n_purchases") > 0)
+    return _arpu_finish(agg, as_of, whale_rule, observation)
+
+
+def _arpu_aggs(pu: Column, as_of: dt.date) -> list[Column]:
+    upto = F.col("d") <= F.lit(as_of)
+    return [
         F.count_if(pu & upto).alias("_n_purchases"),
         F.sum(F.when(pu & _window(7, as_of), F.col("price"))).alias("_s7"),
         F.sum(F.when(pu & _window(30, as_of), F.col("price"))).alias("_s30"),
@@ -217,8 +226,10 @@ def arpu_features(purchases: DataFrame, events: DataFrame, as_of, whale_rule: st
         F.count_if(pu & _window(30, as_of)).alias("purchase_frequency_30d"),
         F.min(F.when(pu & upto, F.col("d"))).alias("first_purchase_date"),
         F.max(F.when(pu & upto, F.col("d"))).alias("last_purchase_date"),
-        F.min(F.when(ev & upto, F.col("d"))).alias("first_seen_date"),
-    ).where(F.col("_n_purchases") > 0)
+    ]
+
+
+def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=None) -> DataFrame:
     zero = F.lit(0).cast(MONEY)
     s90 = F.coalesce(F.col("_s90"), zero).cast("double")
     out = agg.select(
@@ -323,3 +334,65 @@ def segment_matrix(segments: DataFrame) -> DataFrame:
     return (segments.groupBy("engagement_segment", "revenue_segment")
             .agg(F.count(F.lit(1)).alias("players"))
             .orderBy("engagement_segment", "revenue_segment"))
+
+
+# --------------------------------------------------------------------------- E1-E3
+def churn_features_joined(events: DataFrame, sessions: DataFrame, purchases: DataFrame, as_of) -> DataFrame:
+    """K1 written the join way (E1, E2): three per-player aggregates, two left joins.
+
+    Same result as :func:`churn_features`. Each aggregate's output is already
+    hash-partitioned by ``player_id``, so the sort-merge joins add no exchange;
+    with small session/spend sides AQE turns them into broadcast joins at run
+    time (its size check is the runtime statistic, not a guess).
+    """
+    as_of = as_date(as_of)
+    ev = _unified(events, None, None)
+    se = _unified(events.limit(0), sessions, None).where(F.col("src") == SRC_SESSION)
+    pu = _unified(events.limit(0), None, purchases).where(F.col("src") == SRC_PURCHASE)
+    full = churn_aggregates(ev, as_of)
+    activity = full.select("player_id", "first_seen_date", "last_login_date", "login_count_7d",
+                           "login_count_30d", "kill_count_7d", "event_count_7d",
+                           "platform_primary", "region_primary")
+    w7, w30 = _window(7, as_of), _window(30, as_of)
+    session_f = se.groupBy("player_id").agg(
+        F.count_if(w7).alias("match_count_7d"),
+        F.count(F.when(w7, F.col("secs"))).alias("_n_dur7"),
+        F.sum(F.when(w7, F.col("secs"))).alias("_sec7"),
+        F.count(F.when(w7, F.col("won"))).alias("_n_won7"),
+        F.sum(F.when(w7, F.col("won"))).alias("_won7"),
+    )
+    spend_f = pu.groupBy("player_id").agg(
+        F.sum(F.when(w7, F.col("price"))).alias("_spend7"),
+        F.sum(F.when(w30, F.col("price"))).alias("_spend30"),
+    )
+    joined = (activity.join(session_f, "player_id", "left")
+              .join(spend_f, "player_id", "left")
+              .fillna({"match_count_7d": 0}))
+    return _finish_churn(joined, as_of, CHURN_DAYS, "retained").select(*CHURN_COLUMNS)
+
+
+def arpu_features_joined(purchases: DataFrame, events: DataFrame, as_of) -> DataFrame:
+    """K2 written the join way (E3): purchase aggregates left-joined to first-seen dates."""
+    as_of = as_date(as_of)
+    pu = purchases.select("player_id", F.col("event_date").alias("d"),
+                          money("item_price_usd").alias("price"))
+    agg = pu.groupBy("player_id").agg(*_arpu_aggs(F.lit(True), as_of)).where(F.col("_n_purchases") > 0)
+    first_seen = events.groupBy("player_id").agg(
+        F.min(F.when(F.col("event_date") <= F.lit(as_of), F.col("event_date"))).alias("first_seen_date"))
+    return _arpu_finish(agg.join(first_seen, "player_id", "left"), as_of, "threshold")
+
+
+# --------------------------------------------------------------------------- F9
+def primary_dimensions(events: DataFrame, as_of=None) -> DataFrame:
+    """most frequent platform, region and game mode per player (ties -> smallest).
+
+    ``mode(col, deterministic=True)`` keeps a small value->count map per group
+    (a handful of values per player) and merges maps map-side.
+    """
+    df = events if as_of is None else events.where(
+        (F.col("event_date") <= F.lit(as_date(as_of))) | F.col("event_date").isNull())
+    return df.groupBy("player_id").agg(
+        F.mode("platform", True).alias("platform_primary"),
+        F.mode("region", True).alias("region_primary"),
+        F.mode("game_mode", True).alias("game_mode_primary"),
+    )

@@ -225,10 +225,327 @@ CHURN_COLS = ("player_id, compute_date, first_seen_date, last_login_date, login_
               "avg_spend_7d, avg_spend_30d, total_spend_30d, days_since_login, is_new_player, churn_label")
 
 
+def rr(num: str, den: str, d: int) -> str:
+    """Half-up rounding of num/den to d decimals with integer arithmetic (NULL if den = 0)."""
+    n, dd = f"CAST(({num}) AS BIGINT)", f"CAST(({den}) AS BIGINT)"
+    return (f"(CASE WHEN {dd} > 0 THEN CAST(({n} * {2 * 10 ** d} + {dd}) // ({dd} * 2) AS DOUBLE)"
+            f" / {float(10 ** d)}::DOUBLE END)")
+
+
+def units(x: str, scale: int) -> str:
+    return f"CAST(floor(({x}) * {float(scale)}::DOUBLE + 0.5::DOUBLE) AS BIGINT)"
+
+
+def cents_sum(x: str) -> str:
+    return f"CAST(sum(CAST(({x}) AS DECIMAL(18,2))) * 100 AS BIGINT)"
+
+
+def ediv(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) <> 0 THEN CAST(({num}) AS DOUBLE) / CAST(({den}) AS DOUBLE) END)"
+
+
+def msum(x: str) -> str:
+    return f"sum(CAST(({x}) AS DECIMAL(18,2)))"
+
+
+def _arpu_cte(as_of: str = AS_OF) -> str:
+    def w(days):
+        return f"(event_date >= {as_of} - INTERVAL {days} DAY AND event_date <= {as_of})"
+    t90 = "CAST(coalesce(s90, 0) AS DOUBLE)"
+    return f"""
+arpu_agg AS (
+  SELECT player_id,
+    {msum('item_price_usd')} FILTER (WHERE {w(7)}) AS s7,
+    {msum('item_price_usd')} FILTER (WHERE {w(30)}) AS s30,
+    {msum('item_price_usd')} FILTER (WHERE {w(90)}) AS s90,
+    {msum('item_price_usd')} FILTER (WHERE event_date <= {as_of}) AS sall,
+    count(item_price_usd) FILTER (WHERE event_date <= {as_of}) AS nall,
+    count(*) FILTER (WHERE {w(7)}) AS purchase_frequency_7d,
+    count(*) FILTER (WHERE {w(30)}) AS purchase_frequency_30d,
+    min(event_date) FILTER (WHERE event_date <= {as_of}) AS first_purchase_date,
+    max(event_date) FILTER (WHERE event_date <= {as_of}) AS last_purchase_date
+  FROM purchases GROUP BY player_id
+  HAVING count(*) FILTER (WHERE event_date <= {as_of}) > 0),
+first_seen AS (
+  SELECT player_id, min(event_date) FILTER (WHERE event_date <= {as_of}) AS first_seen_date
+  FROM cleaned GROUP BY player_id),
+arpu AS (
+  SELECT a.player_id, {as_of} AS compute_date,
+    CAST(coalesce(s7, 0) AS DOUBLE) / 7.0::DOUBLE AS avg_spend_7d,
+    CAST(coalesce(s30, 0) AS DOUBLE) / 30.0::DOUBLE AS avg_spend_30d,
+    {t90} AS total_spend_90d,
+    {ediv('sall', 'nall')} AS avg_spend_all_time,
+    purchase_frequency_7d, purchase_frequency_30d, first_purchase_date, last_purchase_date,
+    f.first_seen_date,
+    CAST(date_diff('day', first_purchase_date, {as_of}) AS INTEGER) AS days_since_first_purchase,
+    CAST(date_diff('day', last_purchase_date, {as_of}) AS INTEGER) AS days_since_last_purchase,
+    CASE WHEN {t90} >= 250 THEN 'platinum' WHEN {t90} >= 100 THEN 'gold' WHEN {t90} >= 50 THEN 'silver'
+         WHEN {t90} > 0 THEN 'bronze' ELSE 'free' END AS premium_tier,
+    {t90} >= 250 AS is_whale
+  FROM arpu_agg a LEFT JOIN first_seen f USING (player_id))"""
+
+
+SEGMENTS = """
+segments AS (
+  SELECT player_id, compute_date, region_primary, platform_primary, days_since_login,
+    login_count_7d, total_spend_30d, avg_session_duration_7d, win_rate_7d,
+    CASE WHEN days_since_login >= 14 THEN 'lapsed' WHEN login_count_7d >= 5 THEN 'core'
+         WHEN login_count_7d >= 2 THEN 'regular' ELSE 'casual' END AS engagement_segment,
+    CASE WHEN total_spend_30d >= 100 THEN 'whale' WHEN total_spend_30d >= 20 THEN 'spender'
+         ELSE 'free' END AS revenue_segment
+  FROM churn)"""
+
+SCORES = """
+scores0 AS (
+  SELECT *, CAST(coalesce(days_since_login, 30) AS BIGINT) + 1 AS dd FROM churn),
+scores AS (
+  SELECT player_id, compute_date,
+    CASE WHEN dd + login_count_7d <> 0 THEN CAST(dd AS DOUBLE) / CAST(dd + login_count_7d AS DOUBLE) END AS churn_probability,
+    days_since_login, login_count_7d, total_spend_30d, platform_primary, region_primary
+  FROM scores0),
+scored AS (
+  SELECT *, CASE WHEN churn_probability IS NULL OR isnan(churn_probability) THEN NULL
+                 WHEN churn_probability >= 0.75::DOUBLE THEN 'high'
+                 WHEN churn_probability >= 0.4::DOUBLE THEN 'medium' ELSE 'low' END AS risk_tier
+  FROM scores)"""
+
+
+def _gold_base(*extra: str) -> str:
+    return base(_arpu_cte(), SEGMENTS, SCORES, *extra)
+
+
+def g(select: str, *extra: str) -> str:
+    return _gold_base(*extra) + select
+
+
+def _metrics_sql(rel: str, dataset: str, rules) -> str:
+    aggs = ", ".join(f"count(*) FILTER (WHERE NOT coalesce(({r.predicate}), false)) AS f{i}"
+                     for i, r in enumerate(rules))
+    parts = []
+    for i, r in enumerate(rules):
+        parts.append(
+            f"SELECT '{dataset}' AS dataset, '{r.name}' AS rule, '{r.action}' AS action, total, "
+            f"total - f{i} AS passed, f{i} AS failed, {rr(f'(total - f{i}) * 100', 'total', 2)} AS pass_pct "
+            f"FROM (SELECT count(*) AS total, {aggs} FROM {rel})")
+    return " UNION ALL ".join(parts)
+
+
+VIEW_RET = f"""
+vw_ret AS (
+  SELECT compute_date, region_primary AS region, platform_primary AS platform, risk_tier,
+    count(*) AS players,
+    {rr("sum(" + units("churn_probability", 1_000_000) + ")", "count(churn_probability) * 1000000", 6)} AS avg_churn_probability,
+    {ediv("sum(days_since_login)", "count(days_since_login)")} AS avg_days_since_login,
+    {ediv(msum("total_spend_30d"), "count(total_spend_30d)")} AS avg_spend_30d
+  FROM scored GROUP BY ALL)"""
+
+VIEW_ARPU = f"""
+vw_arpu AS (
+  SELECT compute_date, premium_tier, count(*) AS paying_players,
+    {rr("sum(" + units("avg_spend_7d", 1_000_000) + ")", "count(*) * 1000000", 6)} AS avg_spend_7d,
+    {rr("sum(" + units("avg_spend_30d", 1_000_000) + ")", "count(*) * 1000000", 6)} AS avg_spend_30d,
+    CAST({msum("total_spend_90d")} AS DOUBLE) AS total_spend_90d,
+    {ediv("sum(purchase_frequency_30d)", "count(*)")} AS avg_purchase_frequency_30d
+  FROM arpu GROUP BY ALL)"""
+
+
+def _mode_cte(name: str, col: str, rel: str, where: str) -> str:
+    return f"""
+{name} AS (
+  SELECT player_id, {col} AS {col}_primary FROM (
+    SELECT player_id, {col}, row_number() OVER (PARTITION BY player_id ORDER BY n DESC, {col}) AS rn
+    FROM (SELECT player_id, {col}, count(*) AS n FROM {rel} WHERE {col} IS NOT NULL AND ({where})
+          GROUP BY player_id, {col})) WHERE rn = 1)"""
+
+
+def _pit_sql() -> str:
+    fe = "DATE '2024-01-23'"
+    cols = CHURN_COLS.replace(", churn_label", "")
+    fut = f"""
+pit_future AS (
+  SELECT player_id, count(*) FILTER (WHERE event_type_normalized = 'login' AND event_date > {fe}
+                                     AND event_date <= {fe} + INTERVAL 7 DAY) AS fl
+  FROM cleaned GROUP BY player_id)"""
+    return q(f"SELECT {', '.join('c.' + x.strip() for x in cols.split(','))}, DATE '2024-01-30' AS label_window_end, "
+             f"CAST(CASE WHEN coalesce(f.fl, 0) > 0 THEN 0 ELSE 1 END AS INTEGER) AS churn_label "
+             f"FROM pit c LEFT JOIN pit_future f USING (player_id)",
+             _churn_cte(fe, "pit"), fut)
+
+
 def oracle_sql() -> dict[str, str]:
+    from respawn.operators import dq
+    t = "event_type_normalized"
+    kd_micro = "((CAST(kills AS BIGINT) * 2000000 + (deaths + 1)) // (2 * (CAST(deaths AS BIGINT) + 1)))"
+    secs = units("duration_min", 60)
+    warn = [r for r in dq.CLEANED_RULES if r.action == "warn"]
+    flags = ", ".join(f"CASE WHEN NOT coalesce(({r.predicate}), false) THEN '{r.name}' END" for r in warn)
+    metrics = " UNION ALL ".join([
+        _metrics_sql("raw", "raw_events", dq.RAW_RULES),
+        _metrics_sql("parsed", "player_events_cleaned", dq.CLEANED_RULES),
+        _metrics_sql("session_cand", "player_sessions", dq.SESSION_RULES),
+        _metrics_sql("purchase_cand", "player_purchase_events", dq.PURCHASE_RULES),
+        _metrics_sql("churn", "churn_features_daily", dq.CHURN_RULES),
+        _metrics_sql("arpu", "arpu_features_daily", dq.ARPU_RULES),
+    ])
+    raw_cols = ["event_id", "player_id", "event_type", "timestamp", "game_mode", "region",
+                "platform", "payload", "ingest_ts", "ingest_date"]
+    nulls = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS null_{c}' for c in raw_cols)
+    ts = 'TRY_CAST("timestamp" AS TIMESTAMP)'
+    pj = lambda k: f"CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.{k}') END"
+    prim_where = f"event_date <= {AS_OF} OR event_date IS NULL"
     return {
         "churn_features_daily": q(f"SELECT {CHURN_COLS} FROM churn"),
         "clean_events": q("SELECT * FROM cleaned"),
         "player_sessions": q("SELECT * FROM sessions"),
         "purchase_events": q("SELECT * FROM purchases"),
+        # B
+        "dq_drop": q("SELECT * FROM bronze"),
+        "dq_warn": q(f"SELECT event_id, game_mode, region, platform, concat_ws(',', {flags}) AS dq_failed FROM cleaned"),
+        "dq_metrics": g(metrics),
+        "raw_summary": q(f"SELECT count(*) AS total_events, count(DISTINCT player_id) AS unique_players, "
+                         f"count(DISTINCT CAST({ts} AS DATE)) AS days_covered, min({ts}) AS first_event, "
+                         f"max({ts}) AS last_event FROM bronze"),
+        "null_profile": q(f'SELECT count(*) AS "rows", {nulls} FROM raw'),
+        "event_dist": q("SELECT event_type, count(*) AS events FROM bronze GROUP BY event_type"),
+        "distinct_types": q("SELECT DISTINCT event_type FROM bronze"),
+        "bronze_quality": q("SELECT event_type, count(*) AS events, count(DISTINCT player_id) AS players, "
+                            "count(*) FILTER (WHERE payload IS NULL) AS missing_payloads FROM bronze GROUP BY event_type"),
+        "silver_quality_summary": q(f"SELECT event_date, {t}, count(*) AS event_count, count(DISTINCT player_id) AS unique_players, "
+                                    f"CAST(sum(CASE WHEN payload IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_payload_count "
+                                    f"FROM cleaned GROUP BY event_date, {t}"),
+        "dup_check": q("SELECT 'bronze' AS layer, count(*) AS \"rows\", count(DISTINCT event_id) AS unique_ids, "
+                       "count(*) - count(DISTINCT event_id) AS dupes FROM bronze UNION ALL "
+                       "SELECT 'cleaned', count(*), count(DISTINCT event_id), count(*) - count(DISTINCT event_id) FROM cleaned"),
+        "cleaned_profile": q("SELECT count(*) AS \"rows\", count(DISTINCT event_id) AS unique_events, "
+                             "count(DISTINCT player_id) AS unique_players, min(event_ts) AS first_event, "
+                             "max(event_ts) AS last_event FROM cleaned"),
+        # C
+        "kill_events": q(f"SELECT event_id, player_id, event_ts, opponent_id, weapon, headshot, experience_granted "
+                         f"FROM cleaned WHERE {t} = 'kill'"),
+        "revenue_by_region_platform": q(f"SELECT region, platform, count(*) AS purchases, "
+                                        f"CAST({msum('item_price_usd')} AS DOUBLE) AS revenue_usd FROM purchases GROUP BY region, platform"),
+        "session_metrics": q(f"SELECT region, platform, count(*) AS sessions, "
+                             f"{rr('sum(' + secs + ')', 'count(*) * 60', 2)} AS avg_duration_min, "
+                             f"{rr('sum(' + kd_micro + ')', 'count(*) * 1000000', 2)} AS avg_kd_ratio, "
+                             f"{rr('sum(matches_won)', 'count(*)', 2)} AS avg_win_rate FROM sessions GROUP BY region, platform"),
+        # D
+        "filter_predicates": q(f"SELECT event_id, player_id, {t}, region, game_mode, item_price_usd FROM cleaned WHERE "
+                               f"({t} = 'purchase' AND item_price_usd >= 10.0 AND region IN ('NA', 'EU')) OR "
+                               f"({t} = 'session_end' AND session_duration_seconds IS NULL) OR "
+                               f"(game_mode IS NULL AND {t} <> 'logout')"),
+        "date_window_filter": q(f"SELECT event_id, player_id, {t}, event_date FROM cleaned "
+                                f"WHERE event_date >= {AS_OF} - INTERVAL 7 DAY AND event_date <= {AS_OF}"),
+        # E
+        "left_join_features": q(f"SELECT {CHURN_COLS} FROM churn"),
+        "left_join_first_seen": g("SELECT * FROM arpu"),
+        # F
+        "conditional_aggs": q(f"""SELECT event_date, count(*) AS events,
+            count(*) FILTER (WHERE {t} = 'login') AS logins, count(*) FILTER (WHERE {t} = 'kill') AS kills,
+            CAST(coalesce({msum('item_price_usd')} FILTER (WHERE {t} = 'purchase'), 0) AS DOUBLE) AS purchase_revenue,
+            {ediv(msum('item_price_usd') + f" FILTER (WHERE {t} = 'purchase')", f"count(item_price_usd) FILTER (WHERE {t} = 'purchase')")} AS avg_purchase_usd,
+            {ediv(f"sum(session_duration_seconds) FILTER (WHERE {t} = 'session_end')", f"count(session_duration_seconds) FILTER (WHERE {t} = 'session_end') * 60")} AS avg_session_min
+            FROM cleaned GROUP BY event_date"""),
+        "basic_aggs": q(f"""SELECT region, count(*) AS purchases, CAST({msum('item_price_usd')} AS DOUBLE) AS revenue_usd,
+            {ediv(msum('item_price_usd'), 'count(*)')} AS avg_price, min(item_price_usd) AS min_price,
+            max(item_price_usd) AS max_price, min(event_date) AS first_purchase_date,
+            max(event_date) AS last_purchase_date, count(DISTINCT player_id) AS buyers
+            FROM purchases GROUP BY region"""),
+        "primary_mode": q("SELECT p.player_id, a.platform_primary, b.region_primary, c.game_mode_primary "
+                          f"FROM (SELECT DISTINCT player_id FROM cleaned WHERE {prim_where}) p "
+                          "LEFT JOIN m_plat a USING (player_id) LEFT JOIN m_reg b USING (player_id) "
+                          "LEFT JOIN m_mode c USING (player_id)",
+                          _mode_cte("m_plat", "platform", "cleaned", prim_where),
+                          _mode_cte("m_reg", "region", "cleaned", prim_where),
+                          _mode_cte("m_mode", "game_mode", "cleaned", prim_where)),
+        "whale_p95": g("SELECT player_id, total_spend_90d, thr AS whale_threshold, total_spend_90d > thr AS is_whale "
+                       "FROM arpu, (SELECT quantile_disc(total_spend_90d, 0.95) AS thr FROM arpu)"),
+        "grouping_levels": q(f"SELECT region, platform, {t}, CAST(GROUPING(region, platform, {t}) AS INTEGER) AS level, "
+                             f"count(*) AS events, count(DISTINCT player_id) AS players FROM cleaned "
+                             f"GROUP BY ROLLUP (region, platform, {t})"),
+        # J
+        "scalar_string": q(f"SELECT event_id, upper(player_id) AS player_upper, lower(region) AS region_lower, "
+                           f"trim('  ' || {t} || ' ') AS type_trimmed, concat_ws(':', player_id, {t}, platform) AS event_key, "
+                           f"sha256(concat_ws(':', player_id, {t}, platform)) AS event_key_sha256, "
+                           f"CAST(length(platform) AS INTEGER) AS platform_len FROM cleaned"),
+        "scalar_datetime": q(f"""SELECT event_id, event_date, CAST(hour(event_ts) AS INTEGER) AS event_hour,
+            CAST(epoch(date_trunc('second', event_ts)) AS BIGINT) AS event_unix,
+            strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS event_second_text,
+            CAST(event_date - INTERVAL 7 DAY AS DATE) AS week_before,
+            CAST(date_diff('day', event_date, {AS_OF}) AS INTEGER) AS days_to_as_of,
+            CAST(date_trunc('month', event_date) AS DATE) AS event_month,
+            CAST(epoch(date_trunc('second', ingest_ts)) AS BIGINT) - CAST(epoch(date_trunc('second', event_ts)) AS BIGINT) AS ingest_lag_s
+            FROM cleaned"""),
+        "scalar_json": q(f"SELECT event_id, {pj('weapon')} AS weapon, TRY_CAST({pj('headshot')} AS BOOLEAN) AS headshot, "
+                         f"TRY_CAST({pj('item_price_usd')} AS DOUBLE) AS item_price_usd, "
+                         f"TRY_CAST({pj('total_kills')} AS INTEGER) AS total_kills, {pj('reason')} AS reason, "
+                         f"coalesce({pj('opponent_id')}, {pj('killed_by')}) AS opponent_id FROM bronze"),
+        "scalar_cast": q(f"SELECT event_id, {ts} AS event_ts, TRY_CAST(ingest_date AS DATE) AS ingest_date, "
+                         f"TRY_CAST(event_id AS BIGINT) AS event_num, TRY_CAST({pj('headshot')} AS BOOLEAN) AS headshot, "
+                         f"TRY_CAST({pj('duration_seconds')} AS INTEGER) AS duration_seconds, "
+                         f"CAST({ts} AS VARCHAR) AS event_ts_text FROM bronze"),
+        "scalar_conditional": q(f"""SELECT event_id, coalesce(opponent_id, item_id, 'none') AS counterpart,
+            CASE WHEN {t} IN ('kill', 'death') THEN 'combat' WHEN {t} = 'purchase' THEN 'commerce'
+                 WHEN {t} IN ('login', 'logout') THEN 'presence' ELSE 'other' END AS category,
+            CASE WHEN item_price_usd IS NULL THEN NULL WHEN item_price_usd >= 20 THEN 'high'
+                 WHEN item_price_usd >= 5 THEN 'mid' ELSE 'low' END AS price_band,
+            game_mode IS NULL AS mode_missing FROM cleaned"""),
+        "scalar_math": q(f"""SELECT session_id, kd_ratio, kills - deaths AS net_kills, (kills + deaths) * 2 AS double_engagements,
+            abs(kills - deaths) AS abs_net, kills % 7 AS kills_mod7, duration_min * 60.0::DOUBLE AS duration_s,
+            CAST(experience_gain AS DOUBLE) / 100.0::DOUBLE AS xp_hundreds,
+            {rr('kills', 'deaths + 1', 2)} AS kd_ratio_2dp FROM sessions"""),
+        "null_fill": q("SELECT event_id, coalesce(weapon, 'none') AS weapon, coalesce(item_price_usd, 0.0::DOUBLE) AS item_price_usd, "
+                       "coalesce(session_kills, 0) AS session_kills, coalesce(payment_method, 'unknown') AS payment_method FROM cleaned"),
+        "dedup_events": q("SELECT event_id, player_id, event_ts, ingest_ts FROM deduped"),
+        # K
+        "arpu_features_daily": g("SELECT * FROM arpu"),
+        "player_segments": g("SELECT * FROM segments"),
+        "churn_overview": q(f"""SELECT count(*) AS players,
+            {rr('sum(days_since_login)', 'count(days_since_login)', 2)} AS avg_days_since_login,
+            {rr('sum(login_count_7d)', 'count(*)', 2)} AS avg_logins_7d,
+            {rr('sum(' + units('total_playtime_7d', 3600) + ')', 'count(*) * 3600', 2)} AS avg_playtime_hours_7d,
+            {rr(cents_sum('total_spend_30d'), 'count(*) * 100', 2)} AS avg_spend_30d,
+            {rr('sum(churn_label)', 'count(*)', 4)} AS churn_rate FROM churn"""),
+        "label_balance": q(f"""SELECT churn_label, count(*) AS players,
+            {rr('sum(login_count_7d)', 'count(*)', 2)} AS avg_login_count_7d,
+            {rr('sum(' + units('avg_session_duration_7d', 1_000_000) + ')', 'count(*) * 1000000', 2)} AS avg_session_duration_7d,
+            {rr(cents_sum('total_spend_30d'), 'count(*) * 100', 2)} AS avg_total_spend_30d
+            FROM churn GROUP BY churn_label"""),
+        "tier_summary": g(f"""SELECT premium_tier, count(*) AS players,
+            {rr(cents_sum('total_spend_90d'), 'count(*) * 100', 2)} AS avg_spend_90d,
+            {rr('sum(purchase_frequency_30d)', 'count(*)', 2)} AS avg_purchases_30d FROM arpu GROUP BY premium_tier"""),
+        "segment_matrix": g("SELECT engagement_segment, revenue_segment, count(*) AS players FROM segments GROUP BY ALL"),
+        "churn_point_in_time": _pit_sql(),
+        # L / M
+        "ml_features": q("""SELECT player_id, churn_label, coalesce(platform_primary, 'Unknown') AS platform_primary,
+            coalesce(region_primary, 'Unknown') AS region_primary, coalesce(days_since_login, 0) AS days_since_login,
+            login_count_7d, login_count_30d, avg_session_duration_7d, total_playtime_7d, kill_count_7d,
+            match_count_7d, win_rate_7d, avg_spend_7d, avg_spend_30d, total_spend_30d, compute_date FROM churn"""),
+        "risk_tier": g("SELECT player_id, compute_date, churn_probability, risk_tier, days_since_login, login_count_7d, "
+                       "total_spend_30d, platform_primary, region_primary FROM scored"),
+        "risk_summary": g(f"""SELECT risk_tier, count(*) AS players,
+            {rr('sum(' + units('churn_probability', 1_000_000) + ')', 'count(churn_probability) * 1000000', 4)} AS avg_churn_probability,
+            {rr(cents_sum('total_spend_30d'), 'count(*) * 100', 2)} AS avg_spend_30d FROM scored GROUP BY risk_tier"""),
+        "vw_retention_churn": g("SELECT * FROM vw_ret", VIEW_RET),
+        "vw_player_segments": g(f"""SELECT compute_date, region_primary AS region, platform_primary AS platform,
+            engagement_segment, revenue_segment, count(*) AS players,
+            {rr('sum(' + units('avg_session_duration_7d', 1_000_000) + ')', 'count(avg_session_duration_7d) * 1000000', 6)} AS avg_session_duration_7d,
+            {rr('sum(' + units('win_rate_7d', 1_000_000) + ')', 'count(win_rate_7d) * 1000000', 6)} AS avg_win_rate_7d
+            FROM segments GROUP BY ALL"""),
+        "vw_arpu_summary": g("SELECT * FROM vw_arpu", VIEW_ARPU),
+        "bi_measures": g(f"""SELECT CAST(r.players AS BIGINT) AS players,
+            {rr('r.pv', 'r.npv * 1000000', 4)} AS avg_churn_probability,
+            {rr('r.pw', 'r.npw * 1000000', 4)} AS weighted_churn_probability,
+            CAST(r.high_risk_players AS BIGINT) AS high_risk_players,
+            {rr('r.high_risk_players', 'r.players', 4)} AS high_risk_share,
+            {rr('a.av', 'a.nav * 1000000', 4)} AS arpu_30d
+            FROM (SELECT sum(players) AS players, sum({units('avg_churn_probability', 1_000_000)}) AS pv,
+                         count(avg_churn_probability) AS npv,
+                         sum(players * {units('avg_churn_probability', 1_000_000)}) AS pw,
+                         sum(CASE WHEN avg_churn_probability IS NOT NULL THEN players END) AS npw,
+                         sum(CASE WHEN risk_tier = 'high' THEN players ELSE 0 END) AS high_risk_players FROM vw_ret) r,
+                 (SELECT sum({units('avg_spend_30d', 1_000_000)}) AS av, count(avg_spend_30d) AS nav FROM vw_arpu) a""",
+                         VIEW_RET, VIEW_ARPU),
+        "action_list": g("SELECT player_id, compute_date, churn_probability, days_since_login, login_count_7d, "
+                         "total_spend_30d, platform_primary, region_primary FROM scored WHERE risk_tier = 'high' "
+                         "ORDER BY total_spend_30d DESC, player_id ASC LIMIT 20"),
     }
