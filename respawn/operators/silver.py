@@ -7,7 +7,7 @@ aggregates C6/C7 (map-side partial aggregation, tiny shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from respawn.functions.exact import int_div, money_sum, ratio_round, units
@@ -67,22 +67,22 @@ DEDUP_ORDER = ["ingest_ts", "payload", "event_ts", "player_id", "event_type_norm
 def dedup_events(typed: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (earliest ingest), NULLs first.
 
-    Deterministic (unlike ``dropDuplicates``). One hash exchange on the key; a
-    key cannot be hot because ids are unique up to redelivery. Rows whose key
-    is NULL are *not* merged into one giant group: each stays its own row
-    (identical NULL-key rows collapse), so a flood of NULL ids cannot land in a
-    single task.
+    Deterministic (unlike ``dropDuplicates``): ``row_number`` over a window
+    partitioned by the key -- one hash exchange and one sort, no map-side sort.
+    A key cannot be hot because ids are unique up to redelivery. Rows whose key
+    is NULL are *not* merged into one giant partition: each keeps its own
+    window (identical NULL-key rows collapse), so a flood of NULL ids is spread
+    by content hash instead of landing in a single task.
     """
     order = order or DEDUP_ORDER
     cols = typed.columns
     other = [c for c in cols if c != key]
     null_key = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in other]))
-    ordering = F.struct(*[F.col(c) for c in order if c in cols], *[F.col(c) for c in other if c not in order])
-    picked = (
-        typed.groupBy(F.col(key), null_key.alias("_nk"))
-        .agg(F.min_by(F.struct(*[F.col(c) for c in other]), ordering).alias("_r"))
-    )
-    return picked.select(key, *[F.col("_r")[c].alias(c) for c in other]).select(*cols)
+    ordering = [F.col(c).asc_nulls_first() for c in order if c in cols] + \
+               [F.col(c).asc_nulls_first() for c in other if c not in order]
+    w = Window.partitionBy(F.col(key), null_key).orderBy(*ordering)
+    return (typed.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1).drop("_rn"))
 
 
 def parse_events(deduped: DataFrame) -> DataFrame:

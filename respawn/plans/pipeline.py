@@ -1,15 +1,15 @@
 """Lazy medallion pipeline over a folder of benchmark tables.
 
-``Lakehouse(spark, sf_dir)`` exposes every layer as a *lazy* DataFrame; nothing
-is computed until a query action runs. Layers derived from the same cleaned
-events share their plan prefix, so Spark's exchange reuse runs the
-de-duplication shuffle once per query even when several branches read it.
-For production runs the layer jobs in :mod:`respawn.plans.layers` write each
-layer as a table instead, cutting lineage between layers.
+``Lakehouse(spark, sf_dir)`` exposes every layer as a DataFrame. The cleaned
+silver table is written once (see :class:`Lakehouse`); everything downstream
+is lazy and reads it. For scheduled runs the layer jobs in
+:mod:`respawn.plans.layers` write every layer as a partitioned table.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +17,41 @@ from pyspark.sql import DataFrame, SparkSession
 from respawn.constants import DEFAULT_AS_OF
 from respawn.operators import gold, silver
 from respawn.operators.bi import score_with_standin
+from respawn.session import scratch_path
 from respawn.sources.driver import raw_events, read_table
 
+# Silver tables written by this process: (app id, source dir, mtime, name) -> path.
+_WRITTEN: dict[tuple, str] = {}
+
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF):
+    """Medallion layers over ``sf_dir``.
+
+    ``materialize=True`` (default) writes the cleaned silver table once -- as
+    parquet in the shared checkpoint folder (``spark.checkpoint.dir``) -- and
+    every downstream layer reads it back: the de-duplication shuffle runs once,
+    lineage is cut (an executor loss re-reads parquet instead of recomputing
+    raw -> silver), and later filters / projections are pushed into the scan.
+    ``materialize=False`` keeps everything as one lazy plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = gold.as_date(as_of)
+        self.materialize = materialize
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        src = os.path.join(self.sf_dir, "events.parquet")
+        mtime = os.path.getmtime(src) if os.path.exists(src) else 0
+        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), mtime, name)
+        path = _WRITTEN.get(key)
+        if path is None:
+            path = scratch_path(self.spark, f"respawn-silver/{uuid.uuid4().hex}/{name}")
+            df.write.mode("overwrite").parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -39,7 +66,8 @@ class Lakehouse:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        return silver.clean_events(self.bronze)
+        df = silver.clean_events(self.bronze)
+        return self._written("player_events_cleaned", df) if self.materialize else df
 
     @cached_property
     def sessions(self) -> DataFrame:
