@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respawn.constants import (CHURN_DAYS, ENGAGEMENT_CORE_LOGINS, ENGAGEMENT_LAPSED_DAYS,
@@ -396,3 +396,90 @@ def primary_dimensions(events: DataFrame, as_of=None) -> DataFrame:
         F.mode("region", True).alias("region_primary"),
         F.mode("game_mode", True).alias("game_mode_primary"),
     )
+
+
+# --------------------------------------------------------------------------- K6
+def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame, start, end) -> DataFrame:
+    """K6: K1 features for every compute date in [start, end] (one row per player per day).
+
+    Scales with the *daily grain*, not the raw rows: the three inputs are first
+    reduced to one row per (player, day, platform, region) with additive
+    measures (one shuffle, partial aggregation). Each daily row is then
+    expanded to the compute dates it can influence -- at most ``end - start + 1``
+    of them, a bound fixed by the request, not by the data -- and reduced again
+    per (player, compute date). Platform / region modes use the summed counts.
+    No window over a player's full history, so a hot player cannot create a
+    giant partition. Write the result partitioned by ``compute_date``.
+    """
+    start, end = as_date(start), as_date(end)
+    n_days = (end - start).days
+    if n_days < 0:
+        raise ValueError("end before start")
+    u = _unified(events, sessions, purchases)
+    src, t = F.col("src"), F.col("t")
+    ev, se, pu = src == SRC_EVENT, src == SRC_SESSION, src == SRC_PURCHASE
+    daily = u.groupBy("player_id", "d", "platform", "region").agg(
+        F.count_if(ev).alias("n_ev"),
+        F.count_if(ev & (t == "login")).alias("n_login"),
+        F.count_if(ev & (t == "kill")).alias("n_kill"),
+        F.count_if(se).alias("n_ses"),
+        F.count(F.when(se, F.col("secs"))).alias("n_dur"),
+        F.sum(F.when(se, F.col("secs"))).alias("secs"),
+        F.count(F.when(se, F.col("won"))).alias("n_won"),
+        F.sum(F.when(se, F.col("won"))).alias("won"),
+        F.sum(F.when(pu, F.col("price"))).alias("spend"),
+    ).where(F.col("d").isNull() | (F.col("d") <= F.lit(end)))
+    # Compute dates a daily row can affect: c in [max(d, start), end]; NULL date -> all.
+    first_c = F.greatest(F.coalesce(F.col("d"), F.lit(start)), F.lit(start))
+    expanded = daily.withColumn("c", F.explode(F.sequence(first_c, F.lit(end)))).where(F.col("c") >= first_c)
+    d, c = F.col("d"), F.col("c")
+    in7 = (d >= F.date_sub(c, 7)) & (d <= c)
+    in30 = (d >= F.date_sub(c, 30)) & (d <= c)
+    feats = expanded.groupBy("player_id", "c").agg(
+        F.sum("n_ev").alias("_n_events"),
+        F.min(F.when(F.col("n_ev") > 0, d)).alias("first_seen_date"),
+        F.max(F.when(F.col("n_login") > 0, d)).alias("last_login_date"),
+        F.coalesce(F.sum(F.when(in7, F.col("n_login"))), F.lit(0)).alias("login_count_7d"),
+        F.coalesce(F.sum(F.when(in30, F.col("n_login"))), F.lit(0)).alias("login_count_30d"),
+        F.coalesce(F.sum(F.when(in7, F.col("n_kill"))), F.lit(0)).alias("kill_count_7d"),
+        F.coalesce(F.sum(F.when(in7, F.col("n_ev"))), F.lit(0)).alias("event_count_7d"),
+        F.coalesce(F.sum(F.when(in7, F.col("n_ses"))), F.lit(0)).alias("match_count_7d"),
+        F.sum(F.when(in7, F.col("n_dur"))).alias("_n_dur7"),
+        F.sum(F.when(in7, F.col("secs"))).alias("_sec7"),
+        F.sum(F.when(in7, F.col("n_won"))).alias("_n_won7"),
+        F.sum(F.when(in7, F.col("won"))).alias("_won7"),
+        F.sum(F.when(in7, F.col("spend"))).alias("_spend7"),
+        F.sum(F.when(in30, F.col("spend"))).alias("_spend30"),
+    ).where(F.col("_n_events") > 0)
+
+    def mode_of(col: str, out: str) -> DataFrame:
+        counts = (expanded.where(F.col(col).isNotNull() & (F.col("n_ev") > 0))
+                  .groupBy("player_id", "c", col).agg(F.sum("n_ev").alias("_n")))
+        w = Window.partitionBy("player_id", "c").orderBy(F.desc("_n"), F.asc(col))
+        return (counts.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
+                .select("player_id", "c", F.col(col).alias(out)))
+
+    joined = (feats.join(mode_of("platform", "platform_primary"), ["player_id", "c"], "left")
+              .join(mode_of("region", "region_primary"), ["player_id", "c"], "left"))
+    zero_m = F.lit(0).cast(MONEY)
+    spend7 = F.coalesce(F.col("_spend7"), zero_m).cast("double")
+    spend30 = F.coalesce(F.col("_spend30"), zero_m).cast("double")
+    days_since = F.datediff(c, F.col("last_login_date"))
+    return joined.select(
+        "player_id", c.alias("compute_date"), "first_seen_date", "last_login_date",
+        F.col("login_count_7d").cast("long").alias("login_count_7d"),
+        F.col("login_count_30d").cast("long").alias("login_count_30d"),
+        F.col("kill_count_7d").cast("long").alias("kill_count_7d"),
+        F.col("event_count_7d").cast("long").alias("event_count_7d"),
+        "platform_primary", "region_primary",
+        F.col("match_count_7d").cast("long").alias("match_count_7d"),
+        F.coalesce(exact_div(F.col("_sec7"), F.col("_n_dur7") * F.lit(60)), F.lit(0.0)).alias("avg_session_duration_7d"),
+        (F.coalesce(F.col("_sec7"), F.lit(0)).cast("double") / F.lit(3600.0)).alias("total_playtime_7d"),
+        F.coalesce(exact_div(F.col("_won7"), F.col("_n_won7")), F.lit(0.0)).alias("win_rate_7d"),
+        (spend7 / F.lit(7.0)).alias("avg_spend_7d"),
+        (spend30 / F.lit(30.0)).alias("avg_spend_30d"),
+        spend30.alias("total_spend_30d"),
+        days_since.alias("days_since_login"),
+        (F.datediff(c, F.col("first_seen_date")) < NEW_PLAYER_DAYS).alias("is_new_player"),
+        F.when(days_since >= CHURN_DAYS, 1).otherwise(0).cast("int").alias("churn_label"),
+    )

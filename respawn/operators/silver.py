@@ -211,3 +211,91 @@ def session_metrics(sessions: DataFrame, by: list[str] | None = None) -> DataFra
         ratio_round(F.col("_kd"), F.col("sessions") * F.lit(1_000_000), 2).alias("avg_kd_ratio"),
         ratio_round(F.col("_won"), F.col("sessions"), 2).alias("avg_win_rate"),
     ).orderBy(F.desc("sessions"), *by)
+
+
+# --------------------------------------------------------------------------- C3
+LOGIN_SESSION_COLUMNS = [
+    "session_id", "player_id", "login_ts", "logout_ts", "duration_min", "game_mode", "region",
+    "platform", "kills", "deaths", "kd_ratio", "matches_played", "matches_won", "win_rate",
+    "items_purchased", "spent_usd", "experience_gain",
+]
+
+
+def sessions_from_login_logout(cleaned: DataFrame) -> DataFrame:
+    """Sessions as documented -- from each login to the first logout after it.
+
+    Events are ordered per player by (event_ts, event_id). A session opens at a
+    login and ends at the first following logout (included); a new login while
+    open starts a new session, leaving the old one without logout. Events
+    after the logout and before the next login belong to no session; an open
+    session keeps a NULL logout.
+
+    Two prefix scans (latest login, logouts so far) are needed per player. They
+    are split by day so no partition ever holds a player's whole history:
+    windows run per (player, day); a per-(player, day) summary -- one row per
+    active day -- carries the state in from earlier days. A session's rows are
+    then reduced with a hash aggregate keyed by (player, login time, login id).
+    """
+    c = F.col
+    t = c("event_type_normalized")
+    ev = (cleaned.where(c("event_ts").isNotNull())
+          .select("player_id", "event_id", "event_ts", "event_date", "game_mode", "region", "platform",
+                  "item_price_usd", "experience_granted", "session_kills", "session_deaths",
+                  t.alias("t"),
+                  (t == "login").cast("int").alias("is_in"),
+                  (t == "logout").cast("int").alias("is_out")))
+    day_w = (Window.partitionBy("player_id", "event_date").orderBy("event_ts", "event_id")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    login_struct = F.struct(c("event_ts").alias("ts"), c("event_id").alias("id"),
+                            (c("o_incl") - c("is_out")).alias("o"))
+    ev = (ev.withColumn("o_incl", F.sum("is_out").over(day_w))
+          .withColumn("day_login", F.max(F.when(c("is_in") == 1, login_struct)).over(day_w)))
+    days = ev.groupBy("player_id", "event_date").agg(
+        F.sum("is_out").alias("n_out"),
+        F.max(F.when(c("is_in") == 1, login_struct)).alias("last_login"))
+    hist_w = Window.partitionBy("player_id").orderBy("event_date")
+    before = hist_w.rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("o_before", F.coalesce(F.sum("n_out").over(before), F.lit(0)))
+    days = days.withColumn("g_login", F.when(
+        c("last_login").isNotNull(),
+        F.struct(c("last_login.ts").alias("ts"), c("last_login.id").alias("id"),
+                 (c("last_login.o") + c("o_before")).alias("o"))))
+    days = days.withColumn("carry_login", F.max("g_login").over(before)).select(
+        "player_id", "event_date", "o_before", "carry_login")
+    ev = ev.join(days, ["player_id", "event_date"], "inner")
+    o_now = c("o_before") + c("o_incl") - c("is_out")
+    day_login_g = F.when(c("day_login").isNotNull(), F.struct(
+        c("day_login.ts").alias("ts"), c("day_login.id").alias("id"),
+        (c("day_login.o") + c("o_before")).alias("o")))
+    ev = ev.withColumn("s", F.coalesce(day_login_g, c("carry_login")))
+    ev = ev.where(c("s").isNotNull() & (o_now == c("s.o")))
+    own_login = (c("is_in") == 1) & (c("event_id") == c("s.id")) & (c("event_ts") == c("s.ts"))
+    kills, deaths = F.coalesce(c("session_kills"), F.lit(0)), F.coalesce(c("session_deaths"), F.lit(0))
+    g = ev.groupBy("player_id", c("s.ts").alias("login_ts"), c("s.id").alias("login_id")).agg(
+        F.min(F.when(c("is_out") == 1, c("event_ts"))).alias("logout_ts"),
+        F.mode("game_mode", True).alias("game_mode"),
+        F.max(F.when(own_login, c("region"))).alias("region"),
+        F.max(F.when(own_login, c("platform"))).alias("platform"),
+        F.count_if(c("t") == "kill").cast("int").alias("kills"),
+        F.count_if(c("t") == "death").cast("int").alias("deaths"),
+        F.count_if(c("t") == "session_end").cast("int").alias("matches_played"),
+        F.count_if((c("t") == "session_end") & (kills >= deaths)).cast("int").alias("matches_won"),
+        F.count_if(c("t") == "purchase").cast("int").alias("items_purchased"),
+        F.coalesce(F.sum(F.when((c("t") == "purchase") & (c("item_price_usd") >= 0),
+                                c("item_price_usd").cast("decimal(18,2)"))),
+                   F.lit(0).cast("decimal(18,2)")).cast("double").alias("spent_usd"),
+        F.coalesce(F.sum(F.when(c("t") == "kill", c("experience_granted"))), F.lit(0)).cast("long")
+        .alias("experience_gain"),
+    )
+    micros = F.unix_micros(c("logout_ts")) - F.unix_micros(c("login_ts"))
+    return g.select(
+        F.sha2(F.concat_ws(":", c("player_id"), c("login_ts").cast("string"), c("login_id")), 256).alias("session_id"),
+        "player_id", "login_ts", "logout_ts",
+        (micros.cast("double") / F.lit(60_000_000.0)).alias("duration_min"),
+        "game_mode", "region", "platform", "kills", "deaths",
+        (c("kills").cast("double") / (c("deaths") + F.lit(1)).cast("double")).alias("kd_ratio"),
+        "matches_played", "matches_won",
+        F.when(c("matches_played") > 0, c("matches_won").cast("double") / c("matches_played").cast("double"))
+        .alias("win_rate"),
+        "items_purchased", "spent_usd", "experience_gain",
+    )

@@ -545,7 +545,184 @@ def oracle_sql() -> dict[str, str]:
                          sum(CASE WHEN risk_tier = 'high' THEN players ELSE 0 END) AS high_risk_players FROM vw_ret) r,
                  (SELECT sum({units('avg_spend_30d', 1_000_000)}) AS av, count(avg_spend_30d) AS nav FROM vw_arpu) a""",
                          VIEW_RET, VIEW_ARPU),
+        **oracle_sql_more(),
         "action_list": g("SELECT player_id, compute_date, churn_probability, days_since_login, login_count_7d, "
                          "total_spend_30d, platform_primary, region_primary FROM scored WHERE risk_tier = 'high' "
                          "ORDER BY total_spend_30d DESC, player_id ASC LIMIT 20"),
     }
+
+
+def _hist_cte(start: str = "DATE '2024-01-01'", end: str = "DATE '2024-01-30'") -> str:
+    def w(days, col):
+        return f"({col} >= c - INTERVAL {days} DAY AND {col} <= c)"
+    return f"""
+cal AS (SELECT CAST(unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS DATE) AS c),
+h_act AS (
+  SELECT player_id, c,
+    min(event_date) FILTER (WHERE event_date <= c) AS first_seen_date,
+    max(event_date) FILTER (WHERE event_type_normalized = 'login' AND event_date <= c) AS last_login_date,
+    count(*) FILTER (WHERE event_type_normalized = 'login' AND {w(7, 'event_date')}) AS login_count_7d,
+    count(*) FILTER (WHERE event_type_normalized = 'login' AND {w(30, 'event_date')}) AS login_count_30d,
+    count(*) FILTER (WHERE event_type_normalized = 'kill' AND {w(7, 'event_date')}) AS kill_count_7d,
+    count(*) FILTER (WHERE {w(7, 'event_date')}) AS event_count_7d
+  FROM cleaned CROSS JOIN cal GROUP BY player_id, c
+  HAVING count(*) FILTER (WHERE event_date <= c OR event_date IS NULL) > 0),
+h_plat AS (
+  SELECT player_id, c, platform AS platform_primary FROM (
+    SELECT player_id, c, platform, row_number() OVER (PARTITION BY player_id, c ORDER BY n DESC, platform) AS rn
+    FROM (SELECT player_id, c, platform, count(*) AS n FROM cleaned CROSS JOIN cal
+          WHERE platform IS NOT NULL AND (event_date <= c OR event_date IS NULL)
+          GROUP BY player_id, c, platform)) WHERE rn = 1),
+h_reg AS (
+  SELECT player_id, c, region AS region_primary FROM (
+    SELECT player_id, c, region, row_number() OVER (PARTITION BY player_id, c ORDER BY n DESC, region) AS rn
+    FROM (SELECT player_id, c, region, count(*) AS n FROM cleaned CROSS JOIN cal
+          WHERE region IS NOT NULL AND (event_date <= c OR event_date IS NULL)
+          GROUP BY player_id, c, region)) WHERE rn = 1),
+h_ses AS (
+  SELECT player_id, c,
+    count(*) FILTER (WHERE {w(7, 'session_date')}) AS match_count_7d,
+    count(duration_min) FILTER (WHERE {w(7, 'session_date')}) AS n_dur7,
+    sum(CAST(floor(duration_min * 60.0 + 0.5) AS BIGINT)) FILTER (WHERE {w(7, 'session_date')}) AS sec7,
+    count(matches_won) FILTER (WHERE {w(7, 'session_date')}) AS n_won7,
+    sum(matches_won) FILTER (WHERE {w(7, 'session_date')}) AS won7
+  FROM sessions CROSS JOIN cal GROUP BY player_id, c),
+h_spend AS (
+  SELECT player_id, c,
+    sum(CAST(item_price_usd AS DECIMAL(18,2))) FILTER (WHERE {w(7, 'event_date')}) AS spend7,
+    sum(CAST(item_price_usd AS DECIMAL(18,2))) FILTER (WHERE {w(30, 'event_date')}) AS spend30
+  FROM purchases CROSS JOIN cal GROUP BY player_id, c),
+hist AS (
+  SELECT a.player_id, a.c AS compute_date, a.first_seen_date, a.last_login_date,
+    a.login_count_7d, a.login_count_30d, a.kill_count_7d, a.event_count_7d,
+    p.platform_primary, r.region_primary,
+    coalesce(s.match_count_7d, 0) AS match_count_7d,
+    coalesce(CASE WHEN s.n_dur7 * 60 <> 0 THEN CAST(s.sec7 AS DOUBLE) / CAST(s.n_dur7 * 60 AS DOUBLE) END, 0.0) AS avg_session_duration_7d,
+    CAST(coalesce(s.sec7, 0) AS DOUBLE) / 3600.0::DOUBLE AS total_playtime_7d,
+    coalesce(CASE WHEN s.n_won7 <> 0 THEN CAST(s.won7 AS DOUBLE) / CAST(s.n_won7 AS DOUBLE) END, 0.0) AS win_rate_7d,
+    CAST(coalesce(sp.spend7, 0) AS DOUBLE) / 7.0::DOUBLE AS avg_spend_7d,
+    CAST(coalesce(sp.spend30, 0) AS DOUBLE) / 30.0::DOUBLE AS avg_spend_30d,
+    CAST(coalesce(sp.spend30, 0) AS DOUBLE) AS total_spend_30d,
+    CAST(date_diff('day', a.last_login_date, a.c) AS INTEGER) AS days_since_login,
+    date_diff('day', a.first_seen_date, a.c) < 30 AS is_new_player,
+    CAST(CASE WHEN date_diff('day', a.last_login_date, a.c) >= 7 THEN 1 ELSE 0 END AS INTEGER) AS churn_label
+  FROM h_act a
+  LEFT JOIN h_plat p USING (player_id, c)
+  LEFT JOIN h_reg r USING (player_id, c)
+  LEFT JOIN h_ses s USING (player_id, c)
+  LEFT JOIN h_spend sp USING (player_id, c))"""
+
+
+LOGIN_SESSIONS = """
+ls_ev AS (
+  SELECT player_id, event_id, event_ts, game_mode, region, platform, item_price_usd, experience_granted,
+    session_kills, session_deaths, event_type_normalized AS t,
+    CASE WHEN event_type_normalized = 'login' THEN 1 ELSE 0 END AS is_in,
+    CASE WHEN event_type_normalized = 'logout' THEN 1 ELSE 0 END AS is_out
+  FROM cleaned WHERE event_ts IS NOT NULL),
+ls_w AS (
+  SELECT *,
+    sum(is_in) OVER (PARTITION BY player_id ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sess_no,
+    coalesce(sum(is_out) OVER (PARTITION BY player_id ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o_excl
+  FROM ls_ev),
+ls_s AS (
+  SELECT *,
+    first_value(o_excl) OVER s AS o_login, first_value(event_ts) OVER s AS login_ts,
+    first_value(event_id) OVER s AS login_id, first_value(region) OVER s AS login_region,
+    first_value(platform) OVER s AS login_platform
+  FROM ls_w WHERE sess_no > 0
+  WINDOW s AS (PARTITION BY player_id, sess_no ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ls_in AS (SELECT * FROM ls_s WHERE o_excl = o_login),
+ls_mode AS (
+  SELECT player_id, sess_no, game_mode FROM (
+    SELECT player_id, sess_no, game_mode, row_number() OVER (PARTITION BY player_id, sess_no ORDER BY n DESC, game_mode) AS rn
+    FROM (SELECT player_id, sess_no, game_mode, count(*) AS n FROM ls_in WHERE game_mode IS NOT NULL
+          GROUP BY player_id, sess_no, game_mode)) WHERE rn = 1),
+ls_agg AS (
+  SELECT player_id, sess_no, any_value(login_ts) AS login_ts, any_value(login_id) AS login_id,
+    min(event_ts) FILTER (WHERE is_out = 1) AS logout_ts,
+    any_value(login_region) AS region, any_value(login_platform) AS platform,
+    CAST(count(*) FILTER (WHERE t = 'kill') AS INTEGER) AS kills,
+    CAST(count(*) FILTER (WHERE t = 'death') AS INTEGER) AS deaths,
+    CAST(count(*) FILTER (WHERE t = 'session_end') AS INTEGER) AS matches_played,
+    CAST(count(*) FILTER (WHERE t = 'session_end' AND coalesce(session_kills, 0) >= coalesce(session_deaths, 0)) AS INTEGER) AS matches_won,
+    CAST(count(*) FILTER (WHERE t = 'purchase') AS INTEGER) AS items_purchased,
+    CAST(coalesce(sum(CAST(item_price_usd AS DECIMAL(18,2))) FILTER (WHERE t = 'purchase' AND item_price_usd >= 0), 0) AS DOUBLE) AS spent_usd,
+    CAST(coalesce(sum(experience_granted) FILTER (WHERE t = 'kill'), 0) AS BIGINT) AS experience_gain
+  FROM ls_in GROUP BY player_id, sess_no),
+login_sessions AS (
+  SELECT sha256(concat_ws(':', a.player_id, CAST(login_ts AS VARCHAR), login_id)) AS session_id,
+    a.player_id, login_ts, logout_ts,
+    CAST(epoch_us(logout_ts) - epoch_us(login_ts) AS DOUBLE) / 60000000.0::DOUBLE AS duration_min,
+    m.game_mode, region, platform, kills, deaths,
+    CAST(kills AS DOUBLE) / CAST(deaths + 1 AS DOUBLE) AS kd_ratio,
+    matches_played, matches_won,
+    CASE WHEN matches_played > 0 THEN CAST(matches_won AS DOUBLE) / CAST(matches_played AS DOUBLE) END AS win_rate,
+    items_purchased, spent_usd, experience_gain
+  FROM ls_agg a LEFT JOIN ls_mode m USING (player_id, sess_no))"""
+
+PAIRS = """
+pairs AS (SELECT player_id, event_date AS day, count(*) AS events FROM cleaned
+          WHERE event_date IS NOT NULL GROUP BY player_id, event_date)"""
+
+
+def oracle_sql_more() -> dict[str, str]:
+    t = "event_type_normalized"
+    valid = f"{t} = 'purchase' AND item_price_usd >= 0"
+    rev = f"coalesce(sum(CAST(item_price_usd AS DECIMAL(18,2))) FILTER (WHERE {valid}), 0)"
+    return {
+        "churn_history": q("SELECT * FROM hist", _hist_cte()),
+        "latest_snapshot": q("SELECT * FROM hist WHERE compute_date = (SELECT max(compute_date) FROM hist)", _hist_cte()),
+        "login_sessions": q("SELECT * FROM login_sessions", LOGIN_SESSIONS),
+        "dau": q("SELECT day AS activity_date, count(*) AS dau, CAST(sum(events) AS BIGINT) AS events "
+                 "FROM pairs GROUP BY day", PAIRS),
+        "rolling_active": q("""SELECT r.activity_date,
+              count(p.player_id) FILTER (WHERE p.day = r.activity_date) AS dau,
+              count(DISTINCT p.player_id) FILTER (WHERE p.day > r.activity_date - INTERVAL 7 DAY) AS active_7d,
+              count(DISTINCT p.player_id) AS active_30d,
+              CAST(count(p.player_id) FILTER (WHERE p.day > r.activity_date - INTERVAL 7 DAY) AS DOUBLE) / 7.0::DOUBLE AS mean_dau_7d
+            FROM rcal r LEFT JOIN pairs p ON p.day <= r.activity_date AND p.day > r.activity_date - INTERVAL 30 DAY
+            GROUP BY r.activity_date""", PAIRS,
+                            "rcal AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM pairs), "
+                            "(SELECT max(day) FROM pairs), INTERVAL 1 DAY)) AS DATE) AS activity_date)"),
+        "retention_curve": q(f"""SELECT g.cohort_date, g.day_n, g.cohort_size, coalesce(c.retained, 0) AS retained,
+              {rr('coalesce(c.retained, 0)', 'g.cohort_size', 4)} AS retention_rate
+            FROM grid g LEFT JOIN cnt c USING (cohort_date, day_n)""", PAIRS,
+            "firsts AS (SELECT player_id, min(day) AS cohort_date FROM pairs GROUP BY player_id)",
+            "sizes AS (SELECT cohort_date, count(*) AS cohort_size FROM firsts GROUP BY cohort_date)",
+            "grid AS (SELECT cohort_date, cohort_size, CAST(unnest(range(0, date_diff('day', cohort_date, "
+            "(SELECT max(day) FROM pairs)) + 1)) AS INTEGER) AS day_n FROM sizes)",
+            "cnt AS (SELECT f.cohort_date, CAST(date_diff('day', f.cohort_date, p.day) AS INTEGER) AS day_n, "
+            "count(*) AS retained FROM pairs p JOIN firsts f USING (player_id) GROUP BY ALL)"),
+        "arpu_by_region": q(f"""SELECT region, CAST({rev} AS DOUBLE) AS revenue_usd,
+              count(DISTINCT player_id) AS active_players,
+              count(DISTINCT player_id) FILTER (WHERE {valid}) AS paying_players,
+              {ediv(rev, 'count(DISTINCT player_id)')} AS arpu,
+              {ediv(rev, f'count(DISTINCT player_id) FILTER (WHERE {valid})')} AS arppu
+            FROM cleaned GROUP BY region"""),
+        "spend_distribution": q(f"""SELECT spend_bucket, players, CAST(rev AS DOUBLE) AS revenue_usd,
+              {rr('players', 'sum(players) OVER ()', 4)} AS player_share,
+              {rr('rev * 100', 'sum(rev) OVER () * 100', 4)} AS revenue_share
+            FROM (SELECT CASE WHEN total_spend_30d <= 0 THEN 'free' WHEN total_spend_30d < 20 THEN 'low'
+                              WHEN total_spend_30d < 100 THEN 'mid' ELSE 'whale' END AS spend_bucket,
+                         count(*) AS players, {msum('total_spend_30d')} AS rev
+                  FROM churn GROUP BY 1)"""),
+        "ltv_by_cohort": q(f"""SELECT CAST(date_trunc('month', f) AS DATE) AS cohort_month, count(*) AS players,
+              CAST(sum(rev) AS DOUBLE) AS revenue_usd, {ediv('sum(rev)', 'count(*)')} AS ltv_usd
+            FROM (SELECT 'player_' || CAST(o_custkey AS VARCHAR) AS player_id, min(CAST(o_orderdate AS DATE)) AS f,
+                         {msum('o_totalprice')} AS rev FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1)
+            GROUP BY 1"""),
+        "session_count_dist": q(f"""SELECT sessions AS sessions_per_player, count(*) AS players,
+              {ediv('sum(sec)', 'sum(sessions) * 60')} AS avg_session_min
+            FROM (SELECT player_id, count(*) AS sessions, sum({units('duration_min', 60)}) AS sec
+                  FROM sessions GROUP BY player_id) GROUP BY sessions"""),
+        "platform_region": q("SELECT platform, region, count(*) AS events, count(DISTINCT player_id) AS players "
+                             "FROM cleaned GROUP BY platform, region"),
+        "win_rate_by_tier": q(f"""SELECT CASE WHEN kd <= q1 THEN 1 WHEN kd <= q2 THEN 2 WHEN kd <= q3 THEN 3 ELSE 4 END AS skill_tier,
+              count(*) AS players, CAST(sum(sessions) AS BIGINT) AS sessions, min(kd) AS min_kd, max(kd) AS max_kd,
+              {rr('sum(won)', 'sum(sessions)', 4)} AS win_rate
+            FROM per, (SELECT quantile_disc(kd, 0.25) AS q1, quantile_disc(kd, 0.5) AS q2,
+                              quantile_disc(kd, 0.75) AS q3 FROM per) GROUP BY 1""",
+                              "per AS (SELECT player_id, count(*) AS sessions, sum(matches_won) AS won, "
+                              "CAST(sum(kills) AS DOUBLE) / CAST(sum(deaths) + 1 AS DOUBLE) AS kd FROM sessions GROUP BY player_id)"),
+    }

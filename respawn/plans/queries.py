@@ -450,3 +450,82 @@ def bi_measures(h: Lakehouse):
 def action_list(h: Lakehouse):
     """M5/H3: top-20 high-risk players by 30-day spend."""
     return bi.action_list(h.scores, 20)
+
+
+# =========================================================================== K6 / D6 / C3 / N
+from respawn.operators import metrics  # noqa: E402
+
+HISTORY_START, HISTORY_END = "2024-01-01", "2024-01-30"
+
+
+@register("churn_history")
+def churn_history(h: Lakehouse):
+    """K6: churn features for every day of January 2024 (one row per player per day)."""
+    return gold.churn_history(h.cleaned, h.sessions, h.purchases, HISTORY_START, HISTORY_END)
+
+
+@register("latest_snapshot")
+def latest_snapshot(h: Lakehouse):
+    """Rows of the latest compute date of the history (scalar subquery filter)."""
+    return bi.latest_snapshot(gold.churn_history(h.cleaned, h.sessions, h.purchases,
+                                                 HISTORY_START, HISTORY_END))
+
+
+@register("login_sessions")
+def login_sessions(h: Lakehouse):
+    """Documented login -> logout sessions with in-session activity."""
+    return silver.sessions_from_login_logout(h.cleaned)
+
+
+@register("dau")
+def dau(h: Lakehouse):
+    """Daily active players."""
+    return metrics.daily_active(h.cleaned)
+
+
+@register("rolling_active")
+def rolling_active(h: Lakehouse):
+    """Trailing 7/30-day distinct active players and 7-day mean DAU."""
+    return metrics.rolling_active(h.cleaned)
+
+
+@register("retention_curve")
+def retention_curve(h: Lakehouse):
+    """Retention by first-seen cohort and day offset (censored past the data end)."""
+    return metrics.retention_curve(h.cleaned)
+
+
+@register("arpu_by_region")
+def arpu_by_region(h: Lakehouse):
+    """ARPU / ARPPU by region."""
+    return metrics.arpu_by_region(h.cleaned)
+
+
+@register("spend_distribution")
+def spend_distribution(h: Lakehouse):
+    """Spend buckets (free / low / mid / whale) over 30-day spend."""
+    return metrics.spend_distribution(h.churn)
+
+
+@register("ltv_by_cohort")
+def ltv_by_cohort(h: Lakehouse):
+    """Lifetime value per first-purchase month, over the orders history."""
+    return metrics.ltv_by_cohort(metrics.purchases_from_orders(h.table("orders")))
+
+
+@register("session_count_dist")
+def session_count_dist(h: Lakehouse):
+    """Session count distribution with mean session length."""
+    return metrics.session_count_distribution(h.sessions)
+
+
+@register("platform_region")
+def platform_region(h: Lakehouse):
+    """Platform x region breakdown."""
+    return metrics.platform_region(h.cleaned)
+
+
+@register("win_rate_by_tier")
+def win_rate_by_tier(h: Lakehouse):
+    """Win rate by K/D quartile tier."""
+    return metrics.win_rate_by_tier(h.sessions)
