@@ -546,6 +546,7 @@ def oracle_sql() -> dict[str, str]:
                  (SELECT sum({units('avg_spend_30d', 1_000_000)}) AS av, count(avg_spend_30d) AS nav FROM vw_arpu) a""",
                          VIEW_RET, VIEW_ARPU),
         **oracle_sql_more(),
+        **oracle_sql_gen(),
         "action_list": g("SELECT player_id, compute_date, churn_probability, days_since_login, login_count_7d, "
                          "total_spend_30d, platform_primary, region_primary FROM scored WHERE risk_tier = 'high' "
                          "ORDER BY total_spend_30d DESC, player_id ASC LIMIT 20"),
@@ -726,3 +727,66 @@ def oracle_sql_more() -> dict[str, str]:
                               "per AS (SELECT player_id, count(*) AS sessions, sum(matches_won) AS won, "
                               "CAST(sum(kills) AS DOUBLE) / CAST(sum(deaths) + 1 AS DOUBLE) AS kd FROM sessions GROUP BY player_id)"),
     }
+
+
+def _gen_cte(seed: int = 42, n_players: int = 10_000, days_back: int = 30,
+             end: str = "2024-01-31 00:00:00") -> str:
+    import datetime as dt
+    from respawn.constants import ITEM_PRICES_USD
+
+    def dg(salt):
+        return f"md5('{seed}:' || CAST(id AS VARCHAR) || ':{salt}')"
+
+    def r(salt):
+        return f"CAST('0x' || substr({dg(salt)}, 1, 8) AS BIGINT)"
+
+    def uid(salt):
+        h = dg(salt)
+        return (f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
+                f"substr({h}, 17, 4), substr({h}, 21, 12))")
+
+    def player(idx):
+        return f"'player_' || substr(md5('{seed}:player:' || CAST({idx} AS VARCHAR)), 1, 12)"
+
+    end_us = int(dt.datetime.fromisoformat(end).replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    span = days_back * 86_400 * 1_000_000
+    names = [s.replace("_", " ").title() + " Skin" for s in SKINS]
+    weapon = f"{_lst(WEAPONS)}[{r('weapon')} % 5 + 1]"
+    other = player(f"{r('other')} % {n_players}")
+    skin = f"{r('skin')} % 5 + 1"
+    payload = f"""CASE
+      WHEN event_type = 'login' THEN '{{"session_token": "' || {uid('token')} || '", "ip_country": "' || {_lst(IP_COUNTRIES)}[{r('country')} % 4 + 1] || '"}}'
+      WHEN event_type = 'kill' THEN '{{"opponent_id": "' || {other} || '", "weapon": "' || {weapon} || '", "headshot": ' || CASE WHEN {r('hs')} % 2 = 0 THEN 'true' ELSE 'false' END || ', "experience_granted": ' || CAST(50 + {r('xp')} % 151 AS VARCHAR) || '}}'
+      WHEN event_type = 'death' THEN '{{"killed_by": "' || {other} || '", "weapon": "' || {weapon} || '", "distance_m": ' || CAST(5 + {r('dist')} % 496 AS VARCHAR) || '}}'
+      WHEN event_type = 'purchase' THEN '{{"item_id": "skin_' || {_lst(SKINS)}[{skin}] || '", "item_name": "' || {_lst(names)}[{skin}] || '", "item_price_usd": ' || {_lst(ITEM_PRICES_USD)}[{r('price')} % 4 + 1] || ', "currency": "USD", "payment_method": "' || {_lst(PAYMENT_METHODS)}[{r('pay')} % 4 + 1] || '"}}'
+      WHEN event_type = 'session_end' THEN '{{"total_kills": ' || CAST({r('k')} % 101 AS VARCHAR) || ', "total_deaths": ' || CAST({r('d')} % 51 AS VARCHAR) || ', "total_earned_xp": ' || CAST(100 + {r('sxp')} % 9901 AS VARCHAR) || ', "duration_seconds": ' || CAST(300 + {r('dur')} % 6901 AS VARCHAR) || ', "items_purchased": ' || CAST({r('items')} % 6 AS VARCHAR) || '}}'
+      ELSE '{{"reason": "' || {_lst(LOGOUT_REASONS)}[{r('reason')} % 3 + 1] || '"}}' END"""
+    return f"""
+gen0 AS (
+  SELECT event_id AS id, {_lst(EVENT_TYPES)}[{r('type')} % 6 + 1] AS event_type,
+    make_timestamp({end_us} - ({r('ts')} * 1000003) % {span}) AS ts0
+  FROM events),
+generated AS (
+  SELECT {uid('event')} AS event_id, {player(f"{r('player')} % {n_players}")} AS player_id, event_type,
+    strftime(ts0, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
+    CASE WHEN event_type = 'logout' THEN NULL ELSE {_lst(GAME_MODES)}[{r('mode')} % 4 + 1] END AS game_mode,
+    {_lst(REGIONS)}[{r('region')} % 4 + 1] AS region,
+    {_lst(PLATFORMS)}[{r('platform')} % 3 + 1] AS platform,
+    {payload} AS payload,
+    strftime(ts0 + to_seconds(CAST(1 + {r('lag')} % 10 AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS ingest_ts,
+    CAST(CAST(ts0 AS DATE) AS VARCHAR) AS ingest_date
+  FROM gen0)"""
+
+
+def oracle_sql_gen() -> dict[str, str]:
+    summary = """
+SELECT 'total' AS dimension, 'rows' AS value, count(*) AS events FROM generated
+UNION ALL SELECT 'total', 'players', count(DISTINCT player_id) FROM generated
+UNION ALL SELECT 'event_type', event_type, count(*) FROM generated GROUP BY event_type
+UNION ALL SELECT 'region', region, count(*) FROM generated GROUP BY region
+UNION ALL SELECT 'platform', platform, count(*) FROM generated GROUP BY platform
+UNION ALL SELECT 'day', substr("timestamp", 1, 10), count(*) FROM generated GROUP BY substr("timestamp", 1, 10)"""
+    return {
+        "gen_events": "WITH " + _gen_cte() + "\nSELECT * FROM generated",
+        "gen_summary": "WITH " + _gen_cte() + summary,
+    }

@@ -529,3 +529,25 @@ def platform_region(h: Lakehouse):
 def win_rate_by_tier(h: Lakehouse):
     """Win rate by K/D quartile tier."""
     return metrics.win_rate_by_tier(h.sessions)
+
+
+# =========================================================================== A12 / A13
+from respawn.sources import generate  # noqa: E402
+
+
+def _generated(h: Lakehouse):
+    # One synthetic event per benchmark event row: the job grows with the table.
+    from respawn.sources.driver import spread
+    return generate.generate_events(spread(h.table("events").select(F.col("event_id").alias("id"))))
+
+
+@register("gen_events")
+def gen_events(h: Lakehouse):
+    """Distributed, seeded synthetic raw events (one per input row)."""
+    return _generated(h)
+
+
+@register("gen_summary")
+def gen_summary(h: Lakehouse):
+    """Generation summary (rows, players, per-type/region/platform/day counts)."""
+    return generate.generation_summary(_generated(h))
