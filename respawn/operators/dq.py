@@ -109,10 +109,10 @@ def expect(df: DataFrame, rules: list[Rule], observation: Observation | str | No
         out = out.observe(observation, *metrics)
     for r in rules:
         if r.action == FAIL:
-            out = out.withColumn(
-                "_dq_guard",
-                F.when(~r.passes(), F.raise_error(F.lit(f"expectation {r.name} failed: {r.predicate}"))),
-            ).drop("_dq_guard")
+            # A filter that is always true but raises on the first violating row
+            # (a projection would be pruned away by the optimizer).
+            out = out.where(F.when(~r.passes(), F.raise_error(
+                F.lit(f"expectation {r.name} failed: {r.predicate}"))).otherwise(F.lit(True)))
     if flag_column:
         warn = [r for r in rules if r.action == WARN]
         out = out.withColumn(

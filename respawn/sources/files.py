@@ -29,7 +29,9 @@ RAW_SCHEMA = StructType([
     StructField(c, StringType(), c not in ("event_id", "player_id", "event_type", "timestamp"))
     for c in RAW_COLUMNS
 ])
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+               # keep padding: raw values are stored exactly as sent
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 # --------------------------------------------------------------------------- batch

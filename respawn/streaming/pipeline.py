@@ -8,8 +8,10 @@
   are not recognised as duplicates -- the batch twin (exact) removes them.
 * Expectations on a stream are the same ``dq.expect`` call; their counts land
   in each micro-batch's ``observedMetrics``.
-* Late rows dropped by the watermark are counted by Spark
-  (``numRowsDroppedByWatermark`` in the state-operator progress).
+* The de-duplicator never drops a first delivery, even one arriving behind
+  the watermark; a redelivery is dropped while its key is in state (at least
+  ``delay`` after the first copy). Stateful operators that do drop late rows
+  report them as ``numRowsDroppedByWatermark`` (see :func:`dropped_by_watermark`).
 """
 
 from __future__ import annotations

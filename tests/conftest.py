@@ -35,7 +35,8 @@ def payload(**kv):
 
 def raw_rows(spark, rows):
     """Raw envelope DataFrame from dicts (missing keys -> sensible defaults)."""
-    from respawn.sources.files import RAW_SCHEMA
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
     defaults = {"event_id": None, "player_id": "player_a", "event_type": "login",
                 "timestamp": "2024-01-30 10:00:00", "game_mode": "ranked", "region": "EU",
                 "platform": "PC", "payload": "{}", "ingest_ts": None, "ingest_date": None}
@@ -49,4 +50,4 @@ def raw_rows(spark, rows):
         if d["ingest_date"] is None and d["timestamp"]:
             d["ingest_date"] = d["timestamp"][:10]
         out.append(tuple(d[c] for c in RAW_COLUMNS))
-    return spark.createDataFrame(out, RAW_SCHEMA)
+    return spark.createDataFrame(out, schema)
