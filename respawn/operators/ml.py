@@ -97,7 +97,11 @@ def train_churn_model(features: DataFrame, algorithm: str = "random_forest", **p
     data = prepare_features(features)
     train, test = hash_split(data)
     check_label_classes(train)
-    model = build_pipeline(algorithm, **params).fit(train)
+    # ``copy()`` drops the estimator's training summary: it references the
+    # SparkSession, which is not serializable once an Observation (used by the
+    # data-quality engine) exists in the session, and would otherwise be
+    # captured by every transform closure.
+    model = build_pipeline(algorithm, **params).fit(train).copy()
     preds = model.transform(test)
     return model, evaluate(preds), preds
 

@@ -64,10 +64,19 @@ class Lakehouse:
     def bronze(self) -> DataFrame:
         return silver.bronze_events(self.raw)
 
+    @cached_property
+    def cleaned_candidates(self) -> DataFrame:
+        """Typed, de-duplicated, parsed events *before* the cleaned-table rules
+        (written once; rule metrics and the cleaned table both read it)."""
+        df = silver.parse_events(silver.dedup_events(silver.typed_events(self.bronze)))
+        return self._written("player_events_parsed", df) if self.materialize else df
+
     @cached_property
     def cleaned(self) -> DataFrame:
-        df = silver.clean_events(self.bronze)
-        return self._written("player_events_cleaned", df) if self.materialize else df
+        """C1 output: the candidates that pass the drop rules (the rule filters
+        are pushed into the parquet scan)."""
+        from respawn.operators import dq
+        return dq.expect(self.cleaned_candidates, dq.CLEANED_RULES)
 
     @cached_property
     def sessions(self) -> DataFrame:

@@ -47,8 +47,7 @@ def dq_drop(h: Lakehouse):
 @register("dq_warn")
 def dq_warn(h: Lakehouse):
     """B2: cleaned rows kept by warn rules, with the list of warn rules each fails."""
-    flagged = dq.expect(silver.parse_events(silver.dedup_events(silver.typed_events(h.bronze))),
-                        dq.CLEANED_RULES, flag_column="_failed")
+    flagged = dq.expect(h.cleaned_candidates, dq.CLEANED_RULES, flag_column="_failed")
     return flagged.select("event_id", "game_mode", "region", "platform",
                           F.array_join("_failed", ",").alias("dq_failed"))
 
@@ -56,7 +55,7 @@ def dq_warn(h: Lakehouse):
 @register("dq_metrics")
 def dq_metrics(h: Lakehouse):
     """Per-rule total/passed/failed/pass_pct for every dataset of the pipeline."""
-    cand = silver.parse_events(silver.dedup_events(silver.typed_events(h.bronze)))
+    cand = h.cleaned_candidates
     parts = [
         dq.rule_metrics(h.raw, dq.RAW_RULES, "raw_events"),
         dq.rule_metrics(cand, dq.CLEANED_RULES, "player_events_cleaned"),
