@@ -92,16 +92,29 @@ def check_label_classes(train: DataFrame) -> None:
                          "pick another cut-off or churn_days so both classes occur")
 
 
+def detach_summaries(model: PipelineModel) -> PipelineModel:
+    """Drop the training summaries of fitted stages.
+
+    A summary references the SparkSession, which stops being serializable once
+    an Observation (used by the data-quality engine) exists in the session;
+    every ``transform`` closure captures the model, so keeping it breaks
+    scoring. Metrics are computed from predictions instead (:func:`evaluate`).
+    """
+    from pyspark import SparkContext
+    none = SparkContext._active_spark_context._jvm.scala.Option.apply(None)
+    for stage in model.stages:
+        jm = getattr(stage, "_java_obj", None)
+        if jm is not None and getattr(stage, "hasSummary", False):
+            jm.setSummary(none)
+    return model
+
+
 def train_churn_model(features: DataFrame, algorithm: str = "random_forest", **params):
     """Fit on the hash split's training side; returns (model, metrics, test predictions)."""
     data = prepare_features(features)
     train, test = hash_split(data)
     check_label_classes(train)
-    # ``copy()`` drops the estimator's training summary: it references the
-    # SparkSession, which is not serializable once an Observation (used by the
-    # data-quality engine) exists in the session, and would otherwise be
-    # captured by every transform closure.
-    model = build_pipeline(algorithm, **params).fit(train).copy()
+    model = detach_summaries(build_pipeline(algorithm, **params).fit(train))
     preds = model.transform(test)
     return model, evaluate(preds), preds
 

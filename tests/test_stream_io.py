@@ -94,7 +94,8 @@ def test_layer_jobs_end_to_end(spark, tmp):
     # model registry -> scores -> BI views
     feats = gold_features = churn.where("compute_date = DATE'2024-01-30'")
     model = ml.build_pipeline("logistic_regression").fit(ml.prepare_features(
-        gold_features.withColumn("churn_label", (F.col("days_since_login") >= 1).cast("int")))).copy()
+        gold_features.withColumn("churn_label", (F.col("days_since_login") >= 1).cast("int"))))
+    model = ml.detach_summaries(model)
     run = ml.register_model(spark, model, {"auc": 0.5}, {"algorithm": "lr"}, f"{tmp}/models")
     ml.promote(spark, f"{tmp}/models", run["run_id"])
     layers.build_scores(spark, root, f"{tmp}/models")
