@@ -19,6 +19,7 @@ def _shuffle_keys(plan: str) -> list[list[str]]:
 
 
 def test_filter_and_projection_reach_the_silver_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated scan metadata
     h = Lakehouse(spark, SF_SMALL)
     df = h.cleaned.where("event_type_normalized = 'purchase'").select("player_id", "item_price_usd")
     plan = df._jdf.queryExecution().executedPlan().toString()
