@@ -42,14 +42,16 @@ class Lakehouse:
         self.as_of = gold.as_date(as_of)
         self.materialize = materialize
 
-    def _written(self, name: str, df: DataFrame) -> DataFrame:
+    def _written(self, name: str, build) -> DataFrame:
+        """Read table ``name`` written by this app, writing ``build()`` first if needed
+        (the upstream plan is only constructed when the table does not exist yet)."""
         src = os.path.join(self.sf_dir, "events.parquet")
         mtime = os.path.getmtime(src) if os.path.exists(src) else 0
         key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), mtime, name)
         path = _WRITTEN.get(key)
         if path is None:
             path = scratch_path(self.spark, f"respawn-silver/{uuid.uuid4().hex}/{name}")
-            df.write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path)
             _WRITTEN[key] = path
         return self.spark.read.parquet(path)
 
@@ -68,8 +70,9 @@ class Lakehouse:
     def cleaned_candidates(self) -> DataFrame:
         """Typed, de-duplicated, parsed events *before* the cleaned-table rules
         (written once; rule metrics and the cleaned table both read it)."""
-        df = silver.parse_events(silver.dedup_events(silver.typed_events(self.bronze)))
-        return self._written("player_events_parsed", df) if self.materialize else df
+        def build():
+            return silver.parse_events(silver.dedup_events(silver.typed_events(self.bronze)))
+        return self._written("player_events_parsed", build) if self.materialize else build()
 
     @cached_property
     def cleaned(self) -> DataFrame:
