@@ -110,13 +110,23 @@ def detach_summaries(model: PipelineModel) -> PipelineModel:
 
 
 def train_churn_model(features: DataFrame, algorithm: str = "random_forest", **params):
-    """Fit on the hash split's training side; returns (model, metrics, test predictions)."""
-    data = prepare_features(features)
-    train, test = hash_split(data)
-    check_label_classes(train)
-    model = detach_summaries(build_pipeline(algorithm, **params).fit(train))
-    preds = model.transform(test)
-    return model, evaluate(preds), preds
+    """Fit on the hash split's training side; returns (model, metrics, test predictions).
+
+    Indexers, the forest and the evaluators each make several passes over the
+    data; the prepared features (one row per player) are persisted for the
+    duration (memory, spilling to disk) so the upstream feature plan runs once.
+    """
+    from pyspark import StorageLevel
+    data = prepare_features(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = hash_split(data)
+        check_label_classes(train)
+        model = detach_summaries(build_pipeline(algorithm, **params).fit(train))
+        preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+        metrics = evaluate(preds)
+    finally:
+        data.unpersist()
+    return model, metrics, preds
 
 
 def prediction_review(predictions: DataFrame) -> DataFrame:
