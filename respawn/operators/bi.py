@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from respawn.constants import RISK_HIGH, RISK_MEDIUM
-from respawn.functions.exact import MONEY, exact_div, money, ratio_round, units
+from respawn.functions.exact import exact_div, money, ratio_round, units
 
 SCORE_COLUMNS = [
     "player_id", "compute_date", "scored_at", "churn_probability", "risk_tier",
@@ -149,12 +149,16 @@ def bi_measures(retention_view: DataFrame, arpu_view: DataFrame) -> DataFrame:
         F.sum(F.col("players") * units("avg_churn_probability", 1_000_000)).alias("_pw"),
         F.sum(F.when(F.col("avg_churn_probability").isNotNull(), F.col("players"))).alias("_npw"),
         F.sum(F.when(F.col("risk_tier") == "high", F.col("players")).otherwise(0)).alias("high_risk_players"),
+        F.lit(None).cast("long").alias("_a"), F.lit(None).cast("long").alias("_na"),
     )
     a = arpu_view.agg(
+        *[F.lit(None).cast("long").alias(c) for c in
+          ("players", "_pv", "_npv", "_pw", "_npw", "high_risk_players")],
         F.sum(units("avg_spend_30d", 1_000_000)).alias("_a"),
         F.count("avg_spend_30d").alias("_na"),
     )
-    both = r.crossJoin(F.broadcast(a))  # both sides are single-row global aggregates
+    # Two one-row aggregates combined by union + max (no join of any kind).
+    both = r.unionByName(a).agg(*[F.max(c).alias(c) for c in r.columns])
     return both.select(
         F.col("players").cast("long").alias("players"),
         ratio_round(F.col("_pv"), F.col("_npv") * F.lit(1_000_000), 4).alias("avg_churn_probability"),
@@ -177,5 +181,3 @@ def action_list(scores: DataFrame, k: int = 20) -> DataFrame:
             .orderBy(F.desc("total_spend_30d"), F.asc("player_id"))
             .limit(k))
 
-
-_ = MONEY

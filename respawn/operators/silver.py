@@ -67,22 +67,22 @@ DEDUP_ORDER = ["ingest_ts", "payload", "event_ts", "player_id", "event_type_norm
 def dedup_events(typed: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (earliest ingest), NULLs first.
 
-    Deterministic (unlike ``dropDuplicates``): ``row_number`` over a window
-    partitioned by the key -- one hash exchange and one sort, no map-side sort.
-    A key cannot be hot because ids are unique up to redelivery. Rows whose key
-    is NULL are *not* merged into one giant partition: each keeps its own
-    window (identical NULL-key rows collapse), so a flood of NULL ids is spread
-    by content hash instead of landing in a single task.
+    Deterministic (unlike ``dropDuplicates``): ``min_by(row, ordering)`` per key.
+    Being an aggregate, it runs a partial aggregation *before* the shuffle, so
+    a hot group of copies (one id redelivered millions of times) collapses to
+    one row per map task instead of landing whole in a single reducer. Rows
+    whose key is NULL are not merged into one giant group either: they are
+    grouped by a content hash (identical NULL-key rows collapse).
     """
     order = order or DEDUP_ORDER
     cols = typed.columns
     other = [c for c in cols if c != key]
     null_key = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in other]))
-    ordering = [F.col(c).asc_nulls_first() for c in order if c in cols] + \
-               [F.col(c).asc_nulls_first() for c in other if c not in order]
-    w = Window.partitionBy(F.col(key), null_key).orderBy(*ordering)
-    return (typed.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    ordering = F.struct(*[F.col(c) for c in order if c in cols],
+                        *[F.col(c) for c in other if c not in order])
+    picked = (typed.groupBy(F.col(key), null_key.alias("_nk"))
+              .agg(F.min_by(F.struct(*[F.col(c) for c in other]), ordering).alias("_r")))
+    return picked.select(key, *[F.col("_r")[c].alias(c) for c in other])
 
 
 def parse_events(deduped: DataFrame) -> DataFrame:
@@ -221,7 +221,7 @@ LOGIN_SESSION_COLUMNS = [
 ]
 
 
-def sessions_from_login_logout(cleaned: DataFrame) -> DataFrame:
+def sessions_from_login_logout(cleaned: DataFrame, bucket: str = "hour") -> DataFrame:
     """Sessions as documented -- from each login to the first logout after it.
 
     Events are ordered per player by (event_ts, event_id). A session opens at a
@@ -231,29 +231,32 @@ def sessions_from_login_logout(cleaned: DataFrame) -> DataFrame:
     session keeps a NULL logout.
 
     Two prefix scans (latest login, logouts so far) are needed per player. They
-    are split by day so no partition ever holds a player's whole history:
-    windows run per (player, day); a per-(player, day) summary -- one row per
-    active day -- carries the state in from earlier days. A session's rows are
-    then reduced with a hash aggregate keyed by (player, login time, login id).
+    are split by time ``bucket`` (``'hour'`` or ``'day'``) so no partition ever
+    holds a player's whole history, even for a player with a third of all
+    rows: windows run per (player, bucket); a per-(player, bucket) summary --
+    one row per active bucket -- carries the state in from earlier buckets. A
+    session's rows are then reduced with a hash aggregate (partial aggregation
+    before the shuffle) keyed by (player, login time, login id).
     """
     c = F.col
     t = c("event_type_normalized")
     ev = (cleaned.where(c("event_ts").isNotNull())
-          .select("player_id", "event_id", "event_ts", "event_date", "game_mode", "region", "platform",
+          .select("player_id", "event_id", "event_ts", F.date_trunc(bucket, "event_ts").alias("_bucket"),
+                  "game_mode", "region", "platform",
                   "item_price_usd", "experience_granted", "session_kills", "session_deaths",
                   t.alias("t"),
                   (t == "login").cast("int").alias("is_in"),
                   (t == "logout").cast("int").alias("is_out")))
-    day_w = (Window.partitionBy("player_id", "event_date").orderBy("event_ts", "event_id")
+    day_w = (Window.partitionBy("player_id", "_bucket").orderBy("event_ts", "event_id")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     login_struct = F.struct(c("event_ts").alias("ts"), c("event_id").alias("id"),
                             (c("o_incl") - c("is_out")).alias("o"))
     ev = (ev.withColumn("o_incl", F.sum("is_out").over(day_w))
           .withColumn("day_login", F.max(F.when(c("is_in") == 1, login_struct)).over(day_w)))
-    days = ev.groupBy("player_id", "event_date").agg(
+    days = ev.groupBy("player_id", "_bucket").agg(
         F.sum("is_out").alias("n_out"),
         F.max(F.when(c("is_in") == 1, login_struct)).alias("last_login"))
-    hist_w = Window.partitionBy("player_id").orderBy("event_date")
+    hist_w = Window.partitionBy("player_id").orderBy("_bucket")
     before = hist_w.rowsBetween(Window.unboundedPreceding, -1)
     days = days.withColumn("o_before", F.coalesce(F.sum("n_out").over(before), F.lit(0)))
     days = days.withColumn("g_login", F.when(
@@ -261,8 +264,8 @@ def sessions_from_login_logout(cleaned: DataFrame) -> DataFrame:
         F.struct(c("last_login.ts").alias("ts"), c("last_login.id").alias("id"),
                  (c("last_login.o") + c("o_before")).alias("o"))))
     days = days.withColumn("carry_login", F.max("g_login").over(before)).select(
-        "player_id", "event_date", "o_before", "carry_login")
-    ev = ev.join(days, ["player_id", "event_date"], "inner")
+        "player_id", "_bucket", "o_before", "carry_login")
+    ev = ev.join(days, ["player_id", "_bucket"], "inner")
     o_now = c("o_before") + c("o_incl") - c("is_out")
     day_login_g = F.when(c("day_login").isNotNull(), F.struct(
         c("day_login.ts").alias("ts"), c("day_login.id").alias("id"),
