@@ -408,8 +408,11 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
     expanded to the compute dates it can influence -- at most ``end - start + 1``
     of them, a bound fixed by the request, not by the data -- and reduced again
     per (player, compute date). Platform / region modes use the summed counts.
-    No window over a player's full history, so a hot player cannot create a
-    giant partition. Write the result partitioned by ``compute_date``.
+    Rows older than all windows are first collapsed per (player, platform,
+    region). No window over a player's full history, so a hot player cannot
+    create a giant partition. Cost is O(rows in [start - 30, end] x range):
+    run long backfills in chunks of about a month (``layers.build_history``).
+    Write the result partitioned by ``compute_date``.
     """
     start, end = as_date(start), as_date(end)
     n_days = (end - start).days
@@ -429,6 +432,25 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
         F.sum(F.when(se, F.col("won"))).alias("won"),
         F.sum(F.when(pu, F.col("price"))).alias("spend"),
     ).where(F.col("d").isNull() | (F.col("d") <= F.lit(end)))
+    # Rows older than every window (d < start - 30) only matter for existence,
+    # first-seen, last-login and the mode counts: collapse them to one row per
+    # (player, platform, region) before expanding, so history before the range
+    # costs O(players), not O(days x range).
+    horizon = start - dt.timedelta(days=30)
+    zero = {k: F.lit(0).cast("long") for k in ("n_login", "n_kill", "n_ses", "n_dur", "n_won")}
+    prior = (daily.where(F.col("d") < F.lit(horizon))
+             .groupBy("player_id", "platform", "region")
+             .agg(F.sum("n_ev").alias("n_ev"),
+                  F.min(F.when(F.col("n_ev") > 0, F.col("d"))).alias("first_d"),
+                  F.max(F.when(F.col("n_login") > 0, F.col("d"))).alias("login_d"))
+             .select("player_id", F.lit(horizon - dt.timedelta(days=1)).alias("d"), "platform", "region",
+                     "n_ev", *[v.alias(k) for k, v in zero.items()],
+                     F.lit(None).cast("long").alias("secs"), F.lit(None).cast("long").alias("won"),
+                     F.lit(None).cast(MONEY).alias("spend"), "first_d", "login_d"))
+    recent = (daily.where(F.col("d").isNull() | (F.col("d") >= F.lit(horizon)))
+              .withColumn("first_d", F.when(F.col("n_ev") > 0, F.col("d")))
+              .withColumn("login_d", F.when(F.col("n_login") > 0, F.col("d"))))
+    daily = recent.unionByName(prior)
     # Compute dates a daily row can affect: c in [max(d, start), end]; NULL date -> all.
     first_c = F.greatest(F.coalesce(F.col("d"), F.lit(start)), F.lit(start))
     expanded = daily.withColumn("c", F.explode(F.sequence(first_c, F.lit(end)))).where(F.col("c") >= first_c)
@@ -437,8 +459,8 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
     in30 = (d >= F.date_sub(c, 30)) & (d <= c)
     feats = expanded.groupBy("player_id", "c").agg(
         F.sum("n_ev").alias("_n_events"),
-        F.min(F.when(F.col("n_ev") > 0, d)).alias("first_seen_date"),
-        F.max(F.when(F.col("n_login") > 0, d)).alias("last_login_date"),
+        F.min("first_d").alias("first_seen_date"),
+        F.max("login_d").alias("last_login_date"),
         F.coalesce(F.sum(F.when(in7, F.col("n_login"))), F.lit(0)).alias("login_count_7d"),
         F.coalesce(F.sum(F.when(in30, F.col("n_login"))), F.lit(0)).alias("login_count_30d"),
         F.coalesce(F.sum(F.when(in7, F.col("n_kill"))), F.lit(0)).alias("kill_count_7d"),

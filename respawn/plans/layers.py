@@ -60,11 +60,17 @@ def build_gold(spark: SparkSession, root: str, as_of) -> None:
     files.write_table(gold.player_segments(churn), _p(root, "gold", "player_segments"), ["compute_date"])
 
 
-def build_history(spark: SparkSession, root: str, start, end) -> None:
-    """K6 backfill: one partition per compute date."""
+def build_history(spark: SparkSession, root: str, start, end, chunk_days: int = 31) -> None:
+    """K6 backfill in chunks of ``chunk_days`` compute dates (one partition per
+    date, dynamic overwrite). The loop is over date ranges, not over data."""
+    import datetime as dt
     events, sessions, purchases = read_silver(spark, root)
-    files.write_table(gold.churn_history(events, sessions, purchases, start, end),
-                      _p(root, "gold", "churn_features_daily"), ["compute_date"])
+    lo, hi = gold.as_date(start), gold.as_date(end)
+    while lo <= hi:
+        top = min(hi, lo + dt.timedelta(days=chunk_days - 1))
+        files.write_table(gold.churn_history(events, sessions, purchases, lo, top),
+                          _p(root, "gold", "churn_features_daily"), ["compute_date"])
+        lo = top + dt.timedelta(days=1)
 
 
 def build_scores(spark: SparkSession, root: str, model_root: str) -> None:

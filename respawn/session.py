@@ -27,6 +27,10 @@ PERF_CONF = {
     # splits any skewed shuffle partition that still remains.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # ``mode()`` keeps a tiny value->count map per group in an object hash
+    # aggregate; the default falls back to sort-based aggregation after 128
+    # groups per task, far too early for one group per player.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

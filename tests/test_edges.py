@@ -207,3 +207,24 @@ def test_history_last_day_equals_snapshot(spark):
         one = hist.where(F.col("compute_date") == F.lit(D.fromisoformat(day)))
         ref = gold.churn_features(h.cleaned, h.sessions, h.purchases, day)
         assert one.exceptAll(ref).count() == 0 and ref.exceptAll(one).count() == 0
+
+
+def test_history_collapses_old_rows_exactly(spark):
+    rows = [
+        {"player_id": "a", "event_type": "login", "timestamp": "2023-11-01 10:00:00", "platform": "Mobile"},
+        {"player_id": "a", "event_type": "kill", "timestamp": "2023-11-02 10:00:00", "platform": "Mobile"},
+        {"player_id": "a", "event_type": "kill", "timestamp": "2024-01-29 10:00:00", "platform": "PC"},
+        {"player_id": "b", "event_type": "login", "timestamp": "2023-10-01 10:00:00"},
+        {"player_id": "c", "event_type": "purchase", "timestamp": "2024-01-10 10:00:00",
+         "payload": payload(item_price_usd=19.99)},
+        {"player_id": "c", "event_type": "session_end", "timestamp": "2024-01-25 10:00:00",
+         "payload": payload(duration_seconds=600, total_kills=2)},
+    ]
+    cleaned, sessions, purchases = _silver(spark, rows)
+    hist = gold.churn_history(cleaned, sessions, purchases, "2024-01-29", "2024-01-30")
+    for day in ("2024-01-29", "2024-01-30"):
+        one = hist.where(F.col("compute_date") == F.lit(D.fromisoformat(day)))
+        ref = gold.churn_features(cleaned, sessions, purchases, day)
+        assert one.exceptAll(ref).count() == 0 and ref.exceptAll(one).count() == 0
+    a = hist.where("player_id = 'a' AND compute_date = DATE'2024-01-30'").first()
+    assert a["first_seen_date"] == D(2023, 11, 1) and a["platform_primary"] == "Mobile"
