@@ -17,8 +17,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from respawn.session import build_session
     ckpt = tempfile.mkdtemp(prefix="respawn-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="respawn-test-wh-")
     s = build_session("local[4]", app="respawn-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g",
+                             "spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
