@@ -56,14 +56,16 @@ def as_date(d) -> dt.date:
     return dt.date.fromisoformat(str(d))
 
 
-def _unified(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None) -> DataFrame:
-    """Project the three silver inputs onto one row shape for a single reduction."""
+def _unified(events: DataFrame | None, sessions: DataFrame | None, purchases: DataFrame | None) -> DataFrame:
+    """Project the silver inputs onto one row shape for a single reduction."""
     null_s, null_l, null_m = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast(MONEY)
-    parts = [events.select(
-        "player_id", F.lit(SRC_EVENT).alias("src"), F.col("event_date").alias("d"),
-        F.col("event_type_normalized").alias("t"), "platform", "region",
-        null_l.alias("secs"), null_l.alias("won"), null_m.alias("price"),
-    )]
+    parts = []
+    if events is not None:
+        parts.append(events.select(
+            "player_id", F.lit(SRC_EVENT).alias("src"), F.col("event_date").alias("d"),
+            F.col("event_type_normalized").alias("t"), "platform", "region",
+            null_l.alias("secs"), null_l.alias("won"), null_m.alias("price"),
+        ))
     if sessions is not None:
         parts.append(sessions.select(
             "player_id", F.lit(SRC_SESSION).alias("src"), F.col("session_date").alias("d"),
@@ -347,8 +349,8 @@ def churn_features_joined(events: DataFrame, sessions: DataFrame, purchases: Dat
     """
     as_of = as_date(as_of)
     ev = _unified(events, None, None)
-    se = _unified(events.limit(0), sessions, None).where(F.col("src") == SRC_SESSION)
-    pu = _unified(events.limit(0), None, purchases).where(F.col("src") == SRC_PURCHASE)
+    se = _unified(None, sessions, None)
+    pu = _unified(None, None, purchases)
     full = churn_aggregates(ev, as_of)
     activity = full.select("player_id", "first_seen_date", "last_login_date", "login_count_7d",
                            "login_count_30d", "kill_count_7d", "event_count_7d",

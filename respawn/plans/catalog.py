@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from respawn.plans.pipeline import Lakehouse
+from respawn.plans.lakehouse import Lakehouse
 from respawn.session import ensure_semantics
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from respawn.operators.silver import CLEANED_COLUMNS
 from respawn.plans.catalog import register
-from respawn.plans.pipeline import Lakehouse
+from respawn.plans.lakehouse import Lakehouse
 
 
 @register("churn_features_daily")

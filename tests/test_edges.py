@@ -197,7 +197,7 @@ def test_point_in_time_refuses_open_horizon(spark):
 
 def test_history_last_day_equals_snapshot(spark):
     from conftest import SF_SMALL
-    from respawn.plans.pipeline import Lakehouse
+    from respawn.plans.lakehouse import Lakehouse
     h = Lakehouse(spark, SF_SMALL)
     hist = gold.churn_history(h.cleaned, h.sessions, h.purchases, "2024-01-28", "2024-01-30")
     last = hist.where(F.col("compute_date") == F.lit(D(2024, 1, 30)))

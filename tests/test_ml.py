@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from respawn.operators import gold, ml
-from respawn.plans.pipeline import Lakehouse
-from respawn.streaming import pipeline as sp
+from respawn.plans.lakehouse import Lakehouse
+from respawn.streaming import silver_stream as sp
 
 
 @pytest.fixture(scope="module")

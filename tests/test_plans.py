@@ -1,7 +1,7 @@
 """Physical-plan properties the design relies on."""
 from conftest import SF_SMALL
 from respawn.operators import gold
-from respawn.plans.pipeline import Lakehouse
+from respawn.plans.lakehouse import Lakehouse
 
 
 def _plan(df) -> str:

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, payload, raw_rows
 from respawn.plans import layers
-from respawn.plans.pipeline import Lakehouse
+from respawn.plans.lakehouse import Lakehouse
 from respawn.sources import files
-from respawn.streaming import pipeline as sp
+from respawn.streaming import silver_stream as sp
 
 
 def test_csv_round_trip_keeps_json_payload(spark, tmp):
