@@ -39,11 +39,13 @@ def prepare_features(features: DataFrame, with_label: bool = True) -> DataFrame:
 
 
 def split_flag(seed: int = SPLIT_SEED, train_fraction: float = TRAIN_FRACTION):
-    """L2: True for training rows: pmod(xxhash64(player_id, seed), 100) < 70.
+    """L2: True for training rows: first 32 bits of md5(player_id:seed) mod 100 < 70.
 
-    Unlike ``randomSplit`` it does not depend on partitioning or row order.
+    Unlike ``randomSplit`` it depends neither on partitioning nor on row order,
+    and any SQL engine with md5 reproduces it.
     """
-    return F.pmod(F.xxhash64(F.col("player_id"), F.lit(seed)), F.lit(100)) < F.lit(int(train_fraction * 100))
+    h = F.conv(F.substring(F.md5(F.concat(F.col("player_id"), F.lit(f":{seed}"))), 1, 8), 16, 10).cast("long")
+    return F.pmod(h, F.lit(100)) < F.lit(int(train_fraction * 100))
 
 
 def hash_split(df: DataFrame, seed: int = SPLIT_SEED, train_fraction: float = TRAIN_FRACTION):

@@ -520,6 +520,8 @@ def oracle_sql() -> dict[str, str]:
             coalesce(region_primary, 'Unknown') AS region_primary, coalesce(days_since_login, 0) AS days_since_login,
             login_count_7d, login_count_30d, avg_session_duration_7d, total_playtime_7d, kill_count_7d,
             match_count_7d, win_rate_7d, avg_spend_7d, avg_spend_30d, total_spend_30d, compute_date FROM churn"""),
+        "ml_split": q("SELECT player_id, churn_label, CAST('0x' || substr(md5(player_id || ':42'), 1, 8) AS BIGINT) "
+                      "% 100 < 70 AS is_train FROM churn"),
         "risk_tier": g("SELECT player_id, compute_date, churn_probability, risk_tier, days_since_login, login_count_7d, "
                        "total_spend_30d, platform_primary, region_primary FROM scored"),
         "risk_summary": g(f"""SELECT risk_tier, count(*) AS players,

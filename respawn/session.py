@@ -34,6 +34,9 @@ PERF_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Skip per-call Python call-site capture while building plans (driver-side
+    # overhead only; error messages keep the JVM context).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
