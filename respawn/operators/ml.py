@@ -56,11 +56,11 @@ def hash_split(df: DataFrame, seed: int = SPLIT_SEED, train_fraction: float = TR
 def build_pipeline(algorithm: str = "random_forest", max_depth: int = RF_MAX_DEPTH,
                    num_trees: int = RF_NUM_TREES, seed: int = SPLIT_SEED) -> Pipeline:
     """Index categoricals (unseen kept), assemble 13 features, estimator."""
-    indexers = [StringIndexer(inputCol=c, outputCol=c.replace("_primary", "_index"), handleInvalid="keep")
-                for c in CATEGORICAL_COLUMNS]
-    assembler = VectorAssembler(
-        inputCols=FEATURE_COLUMNS + [i.getOutputCol() for i in indexers],
-        outputCol="features", handleInvalid="keep")
+    index_cols = [c.replace("_primary", "_index") for c in CATEGORICAL_COLUMNS]
+    # one multi-column indexer: both vocabularies in a single pass
+    indexer = StringIndexer(inputCols=CATEGORICAL_COLUMNS, outputCols=index_cols, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=FEATURE_COLUMNS + index_cols, outputCol="features",
+                                handleInvalid="keep")
     if algorithm == "logistic_regression":
         est = LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=LR_MAX_ITER)
     elif algorithm == "random_forest":
@@ -68,22 +68,30 @@ def build_pipeline(algorithm: str = "random_forest", max_depth: int = RF_MAX_DEP
                                      numTrees=num_trees, seed=seed)
     else:
         raise ValueError(f"unknown algorithm {algorithm!r}")
-    return Pipeline(stages=[*indexers, assembler, est])
+    return Pipeline(stages=[indexer, assembler, est])
 
 
 def evaluate(predictions: DataFrame) -> dict:
-    """AUC, accuracy, F1 plus the confusion counts (one grouped aggregate)."""
+    """AUC, accuracy and (label-weighted) F1, plus the confusion counts.
+
+    AUC needs the ranking evaluator; accuracy and F1 follow from the 2x2
+    confusion counts, taken with one grouped aggregate.
+    """
     auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
                                         metricName="areaUnderROC").evaluate(predictions)
-    acc = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
-                                            metricName="accuracy").evaluate(predictions)
-    f1 = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
-                                           metricName="f1").evaluate(predictions)
     cm = {(int(r[0]), int(r[1])): int(r[2]) for r in
           predictions.groupBy(LABEL, F.col("prediction").cast("int")).count().collect()}
-    return {"auc": auc, "accuracy": acc, "f1": f1,
-            "tp": cm.get((1, 1), 0), "fp": cm.get((0, 1), 0),
-            "tn": cm.get((0, 0), 0), "fn": cm.get((1, 0), 0)}
+    tp, fp, tn, fn = cm.get((1, 1), 0), cm.get((0, 1), 0), cm.get((0, 0), 0), cm.get((1, 0), 0)
+    n = tp + fp + tn + fn
+
+    def f1(hit, pred, actual):
+        p = hit / pred if pred else 0.0
+        r = hit / actual if actual else 0.0
+        return 2 * p * r / (p + r) if p + r else 0.0
+
+    weighted_f1 = ((tp + fn) * f1(tp, tp + fp, tp + fn) + (tn + fp) * f1(tn, tn + fn, tn + fp)) / n if n else 0.0
+    return {"auc": auc, "accuracy": (tp + tn) / n if n else 0.0, "f1": weighted_f1,
+            "tp": tp, "fp": fp, "tn": tn, "fn": fn}
 
 
 def check_label_classes(train: DataFrame) -> None:

@@ -58,3 +58,19 @@ def test_registry_and_stream_scoring(spark, features, tmp):
     grid = ml.sweep(features, [{"algorithm": "logistic_regression"},
                                {"algorithm": "random_forest", "num_trees": 5, "max_depth": 3}])
     assert len(grid) == 2 and all("auc" in g for g in grid)
+
+
+def test_confusion_metrics_equal_spark_evaluators(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.linalg import Vectors
+    rows = [(lab, float(pred), Vectors.dense([-s, s])) for lab, pred, s in
+            [(1, 1, 0.9), (1, 0, 0.2), (0, 0, -0.5), (0, 1, 0.3), (0, 0, -0.1), (1, 1, 0.4), (0, 0, -0.9)]]
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+    schema = StructType([StructField("churn_label", IntegerType()), StructField("prediction", DoubleType()),
+                         StructField("rawPrediction", VectorUDT())])
+    preds = spark.createDataFrame(rows, schema)
+    m = ml.evaluate(preds)
+    for name in ("accuracy", "f1"):
+        ref = MulticlassClassificationEvaluator(labelCol="churn_label", metricName=name).evaluate(preds)
+        assert abs(m[name] - ref) < 1e-12, (name, m[name], ref)
