@@ -60,12 +60,6 @@ def ratio_round(num: Column, den: Column, digits: int) -> Column:
     return F.when(d > 0, q.cast("double") / F.lit(float(scale)))
 
 
-def money_ratio_round(money_num: Column, den: Column, digits: int) -> Column:
-    """Half-up rounding of (money sum)/den, money as decimal(18,2)."""
-    cents = (money_num.cast(MONEY) * F.lit(100)).cast("long")
-    return ratio_round(cents, den.cast("long") * F.lit(100), digits)
-
-
 def units(x: Column | str, scale: int) -> Column:
     """floor(x * scale + 0.5) as long: a double turned into integer units.
 

@@ -31,10 +31,6 @@ def _p(key: str) -> str:
     return f"CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.{key}') END"
 
 
-def _d(days: int) -> str:
-    return f"(d >= {AS_OF} - INTERVAL {days} DAY AND d <= {AS_OF})"
-
-
 RAW = f"""
 raw0 AS (
   SELECT event_id AS e, user_id AS u, ts,

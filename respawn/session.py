@@ -71,13 +71,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared lineage-cut folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and is
-    used as is. Only when it is unset (local tests) do we create one under the
-    system temp folder.
+    used as is (unset on a cluster is an error). Only in local mode with the
+    setting unset (tests) is a folder created under the system temp folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared "
+                               "filesystem; a machine-local folder is not visible to executors")
         d = tempfile.mkdtemp(prefix="respawn-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
