@@ -537,7 +537,7 @@ from respawn.sources import generate  # noqa: E402
 def _generated(h: Lakehouse):
     # One synthetic event per benchmark event row: the job grows with the table.
     from respawn.sources.driver import spread
-    return generate.generate_events(spread(h.table("events").select(F.col("event_id").alias("id"))))
+    return generate.generate_events(spread(h.table("events").select(F.col("event_id").alias("id")), "id"))
 
 
 @register("gen_events")

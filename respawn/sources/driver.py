@@ -40,17 +40,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A single-row-group file is read by one task; the per-row adapter then runs
-    on one core. Only then is a round-robin repartition inserted. A large
-    input (many files / row groups) already has >= cores splits and is left
-    untouched, so no shuffle is added at scale.
+    on one core. Only then is a repartition inserted -- hashed on ``key`` when
+    given (deterministic under task retry without the local sort a round-robin
+    repartition needs). A large input (many files / row groups) already has
+    >= cores splits and is left untouched, so no shuffle is added at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, key) if key else df.repartition(cores)
     return df
 
 
@@ -164,4 +165,4 @@ def _envelope(base: DataFrame) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bronze envelope built from ``{sf_dir}/events.parquet``."""
-    return raw_events_from_driver(spread(read_table(spark, sf_dir, "events")))
+    return raw_events_from_driver(spread(read_table(spark, sf_dir, "events"), "event_id"))
