@@ -86,3 +86,52 @@ def bi_views(spark: SparkSession, root: str) -> None:
                        "vw_player_segments")
     files.declare_view(bi.vw_arpu_summary(spark.read.parquet(_p(root, "gold", "arpu_features_daily"))),
                        "vw_arpu_summary")
+
+
+# Catalog entries for the layer folders: (schema, table, folder, partition column, comment, properties).
+CATALOG = [
+    ("bronze", "raw_events", "bronze/raw_events", "ingest_date",
+     "Bronze: raw player events as delivered, bronze expectations applied", {"quality": "bronze"}),
+    ("bronze", "raw_events_quality", "bronze/raw_events_quality", "batch",
+     "Bronze: expectation pass/fail counts per ingest micro-batch", {"quality": "bronze"}),
+    ("silver", "player_events_cleaned", "silver/player_events_cleaned", "event_date",
+     "Silver: de-duplicated, typed, payload-parsed events", {"quality": "silver"}),
+    ("silver", "player_sessions", "silver/player_sessions", None,
+     "Silver: one row per completed session (session_end events)", {"quality": "silver"}),
+    ("silver", "player_purchase_events", "silver/player_purchase_events", None,
+     "Silver: purchases with a valid amount", {"quality": "silver"}),
+    ("silver", "silver_quality_summary", "silver/silver_quality_summary", None,
+     "Silver: events, players and missing payloads by date and type", {"quality": "silver"}),
+    ("gold", "churn_features_daily", "gold/churn_features_daily", "compute_date",
+     "Gold: per-player churn features and label per compute date", {"quality": "gold"}),
+    ("gold", "arpu_features_daily", "gold/arpu_features_daily", "compute_date",
+     "Gold: per-player revenue features per compute date", {"quality": "gold"}),
+    ("gold", "player_segments", "gold/player_segments", "compute_date",
+     "Gold: engagement and revenue segments", {"quality": "gold"}),
+]
+
+
+def register_catalog(spark: SparkSession, root: str) -> list[str]:
+    """Name every written layer folder in the session catalog, with its
+    comment and properties, and pick up its partitions. Returns the table names."""
+    files.create_layer_schemas(spark)
+    names = []
+    for schema, table, folder, part, comment, props in CATALOG:
+        path = _p(root, folder)
+        if not os.path.exists(path):
+            continue
+        name = f"{schema}.{table}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        schema_ddl = spark.read.parquet(path).schema.toDDL()
+        part_clause = f"PARTITIONED BY ({part})" if part else ""
+        tbl_props = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        spark.sql(f"CREATE TABLE {name} ({schema_ddl}) USING parquet {part_clause} "
+                  f"LOCATION '{path}' COMMENT '{comment}' TBLPROPERTIES ({tbl_props})")
+        if part:
+            try:  # catalogs that track partitions (Hive metastore) need them registered
+                spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            except Exception as ex:  # noqa: BLE001 - in-memory catalog discovers them on read
+                if "NOT_A_PARTITIONED_TABLE" not in str(ex):
+                    raise
+        names.append(name)
+    return names

@@ -101,6 +101,10 @@ def test_layer_jobs_end_to_end(spark, tmp):
     layers.build_scores(spark, root, f"{tmp}/models")
     scores = spark.read.parquet(f"{root}/gold/player_churn_scores")
     assert scores.count() == feats.count()
+    names = layers.register_catalog(spark, root)
+    assert "gold.churn_features_daily" in names and "silver.player_sessions" in names
+    assert spark.table("gold.churn_features_daily").count() == churn.count()
+    assert spark.table("bronze.raw_events").count() == spark.read.parquet(f"{root}/bronze/raw_events").count()
     layers.bi_views(spark, root)
     assert spark.table("vw_retention_churn").count() > 0
     assert spark.table("vw_arpu_summary").count() > 0
