@@ -86,3 +86,10 @@ def cleaned_profile(cleaned: DataFrame, approx: bool = False) -> DataFrame:
         F.min("event_ts").alias("first_event"),
         F.max("event_ts").alias("last_event"),
     )
+
+
+def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
+    """H2: a display preview -- the limit is the feature. Ordered first (ties by
+    every column) so the preview is reproducible; planned as TakeOrderedAndProject."""
+    keys = order_by or df.columns
+    return df.orderBy(*keys).limit(n)

@@ -52,3 +52,24 @@ def test_login_sessions_windows_are_per_player_bucket(spark):
     # event rows are shuffled by (player, hour bucket); only the per-bucket
     # summary table (one row per active hour) is shuffled by player alone
     assert ["player_id", "_bucket"] in keys, keys
+
+
+def test_latest_snapshot_prunes_partitions(spark, tmp):
+    from respawn.operators import bi
+    from respawn.sources import files
+    h = Lakehouse(spark, SF_SMALL)
+    files.write_table(gold.churn_history(h.cleaned, h.sessions, h.purchases, "2024-01-28", "2024-01-30"),
+                      f"{tmp}/churn", ["compute_date"])
+    latest = bi.latest_snapshot(spark.read.parquet(f"{tmp}/churn"))
+    assert latest.select("compute_date").distinct().count() == 1
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    part = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "compute_date" in part and "subquery" in part.lower()
+
+
+def test_preview_is_ordered_top_k(spark):
+    from respawn.operators import profile
+    h = Lakehouse(spark, SF_SMALL)
+    df = profile.preview(h.cleaned.select("event_id", "player_id"), 5, ["event_id"])
+    plan = _plan(df)
+    assert "TakeOrderedAndProject" in plan and df.count() == 5
