@@ -411,7 +411,7 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
     of them, a bound fixed by the request, not by the data -- and reduced again
     per (player, compute date). Platform / region modes use the summed counts.
     Rows older than all windows are first collapsed per (player, platform,
-    region). No window over a player's full history, so a hot player cannot
+    region); the daily table is checkpointed once and read by every branch. No window over a player's full history, so a hot player cannot
     create a giant partition. Cost is O(rows in [start - 30, end] x range):
     run long backfills in chunks of about a month (``layers.build_history``).
     Write the result partitioned by ``compute_date``.
@@ -452,7 +452,13 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
     recent = (daily.where(F.col("d").isNull() | (F.col("d") >= F.lit(horizon)))
               .withColumn("first_d", F.when(F.col("n_ev") > 0, F.col("d")))
               .withColumn("login_d", F.when(F.col("n_login") > 0, F.col("d"))))
-    daily = recent.unionByName(prior)
+    # The daily table feeds three reductions (features, platform mode, region
+    # mode). Cut lineage once here -- a reliable checkpoint in the shared
+    # checkpoint folder -- so the events are scanned and shuffled once, not per
+    # branch, and a lost executor re-reads the checkpoint instead of the events.
+    from respawn.session import checkpoint_dir
+    checkpoint_dir(events.sparkSession)
+    daily = recent.unionByName(prior).checkpoint(eager=True)
     # Compute dates a daily row can affect: c in [max(d, start), end]; NULL date -> all.
     first_c = F.greatest(F.coalesce(F.col("d"), F.lit(start)), F.lit(start))
     expanded = daily.withColumn("c", F.explode(F.sequence(first_c, F.lit(end)))).where(F.col("c") >= first_c)
