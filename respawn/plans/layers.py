@@ -34,14 +34,23 @@ def build_bronze(spark: SparkSession, landing_dir: str, root: str) -> dict:
                                metrics_path=_p(root, "bronze", "raw_events_quality"))
 
 
-def build_silver(spark: SparkSession, root: str) -> None:
-    bronze = spark.read.parquet(_p(root, "bronze", "raw_events")).select(*files.RAW_SCHEMA.fieldNames())
+def build_silver(spark: SparkSession, root: str, stream: bool = False) -> dict:
+    """Cleaned events (batch recompute, exact dedup; or ``stream=True``: only new
+    bronze files, watermark-bounded dedup), then the derived silver tables."""
     cleaned_path = _p(root, "silver", "player_events_cleaned")
-    files.write_table(silver.clean_events(bronze), cleaned_path, ["event_date"])
+    out: dict = {}
+    if stream:
+        from respawn.streaming.silver_stream import build_silver_stream
+        out = build_silver_stream(spark, _p(root, "bronze", "raw_events"), cleaned_path,
+                                  _p(root, "_checkpoints", "silver"))
+    else:
+        bronze = spark.read.parquet(_p(root, "bronze", "raw_events")).select(*files.RAW_SCHEMA.fieldNames())
+        files.write_table(silver.clean_events(bronze), cleaned_path, ["event_date"])
     cleaned = spark.read.parquet(cleaned_path)
     files.write_table(silver.sessions_from_end_events(cleaned), _p(root, "silver", "player_sessions"))
     files.write_table(silver.purchase_events(cleaned), _p(root, "silver", "player_purchase_events"))
     files.write_table(profile.silver_quality_summary(cleaned), _p(root, "silver", "silver_quality_summary"))
+    return out
 
 
 def read_silver(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -108,3 +108,22 @@ def test_layer_jobs_end_to_end(spark, tmp):
     layers.bi_views(spark, root)
     assert spark.table("vw_retention_churn").count() > 0
     assert spark.table("vw_arpu_summary").count() > 0
+
+
+def test_job_cli_end_to_end(spark, tmp):
+    from respawn import jobs
+    h = Lakehouse(spark, SF_SMALL, materialize=False)
+    files.export_csv(h.raw, f"{tmp}/land/x", single_file=False)
+    root, models = f"{tmp}/lake", f"{tmp}/models"
+    assert jobs.main(["ingest", "--landing", f"{tmp}/land/*", "--root", root])["input_rows"] > 0
+    out = jobs.main(["silver", "--root", root, "--stream"])
+    assert out["input_rows"] > 0 and out["batches"] >= 1
+    q = files.read_quality(spark, f"{root}/silver/player_events_cleaned_quality")
+    assert q.count() == 6 * out["batches"]
+    jobs.main(["history", "--root", root, "--start", "2024-01-20", "--end", "2024-01-30"])
+    out = jobs.main(["train", "--root", root, "--models", models, "--algorithm", "logistic_regression",
+                     "--promote"])
+    assert 0.0 <= out["auc"] <= 1.0
+    jobs.main(["score", "--root", root, "--models", models])
+    assert spark.read.parquet(f"{root}/gold/player_churn_scores").count() > 0
+    assert "gold.churn_features_daily" in jobs.main(["catalog", "--root", root])["tables"]
