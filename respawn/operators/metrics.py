@@ -29,34 +29,39 @@ def daily_active(cleaned: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("dau"), F.sum("events").alias("events")))
 
 
-def _calendar(pairs: DataFrame) -> DataFrame:
-    bounds = pairs.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi")).alias("activity_date"))
-
-
 def rolling_active(cleaned: DataFrame, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
     """DAU, distinct players active in the trailing 7 / 30 days (day d-n+1..d),
-    and the mean DAU over the trailing 7 calendar days (missing days count 0)."""
+    and the mean DAU over the trailing 7 calendar days (missing days count 0).
+
+    One pass: each (player, day) pair emits +1 on its day and, per window, -1
+    on the day after its coverage ends (window length, or the player's next
+    active day, whichever is first). One aggregate by date turns that into
+    per-day deltas; running sums over the calendar (one row per day) give the
+    exact distinct counts.
+    """
     pairs = activity_pairs(cleaned)
-    nxt = F.lead("day").over(Window.partitionBy("player_id").orderBy("day"))
-    p = pairs.withColumn("next_day", nxt)
-    cal = _calendar(pairs)
-    out = cal.join(pairs.groupBy(F.col("day").alias("activity_date")).agg(F.count(F.lit(1)).alias("dau")),
-                   "activity_date", "left").fillna({"dau": 0})
-    cal_w = Window.orderBy("activity_date")
+    p = pairs.withColumn("next_day", F.lead("day").over(Window.partitionBy("player_id").orderBy("day")))
+    zero = F.lit(0)
+    rows = [F.struct(F.col("day").alias("activity_date"), F.lit(1).alias("dau"),
+                     *[F.lit(1).alias(f"d{n}") for n in windows])]
     for n in windows:
         end = F.least(F.date_add(F.col("day"), n - 1),
                       F.coalesce(F.date_sub(F.col("next_day"), 1), F.date_add(F.col("day"), n - 1)))
-        deltas = p.select(F.col("day").alias("activity_date"), F.lit(1).alias("delta")).unionByName(
-            p.select(F.date_add(end, 1).alias("activity_date"), F.lit(-1).alias("delta")))
-        daily_delta = deltas.groupBy("activity_date").agg(F.sum("delta").alias(f"_d{n}"))
-        out = out.join(daily_delta, "activity_date", "left").fillna({f"_d{n}": 0})
-        out = out.withColumn(f"active_{n}d", F.sum(f"_d{n}").over(
-            cal_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long")).drop(f"_d{n}")
-    out = out.withColumn("_sum7", F.sum("dau").over(cal_w.rowsBetween(-6, 0)))
-    return out.select("activity_date", F.col("dau").cast("long").alias("dau"),
-                      *[f"active_{n}d" for n in windows],
-                      (F.col("_sum7").cast("double") / F.lit(7.0)).alias("mean_dau_7d"))
+        rows.append(F.struct(F.date_add(end, 1).alias("activity_date"), zero.alias("dau"),
+                             *[(F.lit(-1) if m == n else zero).alias(f"d{m}") for m in windows]))
+    deltas = (p.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+              .groupBy("activity_date")
+              .agg(F.sum("dau").alias("dau"), *[F.sum(f"d{n}").alias(f"d{n}") for n in windows]))
+    # calendar bounds from a narrow scan of the date column (no second shuffle pipeline)
+    bounds = cleaned.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
+    cal = bounds.select(F.explode(F.sequence("lo", "hi")).alias("activity_date"))
+    out = cal.join(deltas, "activity_date", "left").fillna(0)
+    run = Window.orderBy("activity_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last7 = Window.orderBy("activity_date").rowsBetween(-6, 0)  # calendar rows: one per day
+    return out.select(
+        "activity_date", F.col("dau").cast("long").alias("dau"),
+        *[F.sum(f"d{n}").over(run).cast("long").alias(f"active_{n}d") for n in windows],
+        (F.sum("dau").over(last7).cast("double") / F.lit(7.0)).alias("mean_dau_7d"))
 
 
 def retention_curve(cleaned: DataFrame) -> DataFrame:
@@ -70,11 +75,18 @@ def retention_curve(cleaned: DataFrame) -> DataFrame:
     withc = pairs.withColumn("cohort_date", first)
     counts = (withc.groupBy("cohort_date", F.datediff("day", "cohort_date").alias("day_n"))
               .agg(F.count(F.lit(1)).alias("retained")))
-    sizes = counts.where(F.col("day_n") == 0).select("cohort_date", F.col("retained").alias("cohort_size"))
-    data_end = pairs.agg(F.max("day")).scalar()
-    grid = sizes.select("cohort_date", "cohort_size",
-                        F.explode(F.sequence(F.lit(0), F.datediff(data_end, F.col("cohort_date")))).alias("day_n"))
-    out = grid.join(counts, ["cohort_date", "day_n"], "left").fillna({"retained": 0})
+    # last observed date: a narrow scan of the date column, not a second shuffle pipeline
+    data_end = cleaned.agg(F.max("event_date")).scalar()
+    # Single pass, no join: the day-0 row of each cohort also emits a zero row for
+    # every observable offset and carries the cohort size; one more reduction
+    # merges them with the observed counts.
+    day0 = F.col("day_n") == 0
+    n = F.explode(F.when(day0, F.sequence(F.lit(0), F.datediff(data_end, F.col("cohort_date"))))
+                  .otherwise(F.array(F.col("day_n")))).alias("n")
+    spread_rows = counts.select("cohort_date", "day_n", "retained", n)
+    out = spread_rows.groupBy("cohort_date", F.col("n").alias("day_n")).agg(
+        F.sum(F.when(F.col("n") == F.col("day_n"), F.col("retained")).otherwise(0)).alias("retained"),
+        F.max(F.when(day0, F.col("retained"))).alias("cohort_size"))
     return out.select("cohort_date", "day_n", "cohort_size", F.col("retained").cast("long").alias("retained"),
                       ratio_round(F.col("retained"), F.col("cohort_size"), 4).alias("retention_rate"))
 
