@@ -42,7 +42,7 @@ class Lakehouse:
         self.as_of = gold.as_date(as_of)
         self.materialize = materialize
 
-    def _written(self, name: str, build) -> DataFrame:
+    def _written(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
         """Read table ``name`` written by this app, writing ``build()`` first if needed
         (the upstream plan is only constructed when the table does not exist yet)."""
         src = os.path.join(self.sf_dir, "events.parquet")
@@ -51,7 +51,10 @@ class Lakehouse:
         path = _WRITTEN.get(key)
         if path is None:
             path = scratch_path(self.spark, f"respawn-silver/{uuid.uuid4().hex}/{name}")
-            build().write.mode("overwrite").parquet(path)
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
             _WRITTEN[key] = path
         return self.spark.read.parquet(path)
 
@@ -105,3 +108,24 @@ class Lakehouse:
     def scores(self) -> DataFrame:
         """Churn scores with the deterministic stand-in probability (see bi)."""
         return score_with_standin(self.churn)
+
+    def history(self, start: str, end: str) -> DataFrame:
+        """K6 output written as a gold table partitioned by ``compute_date``
+        (so a latest-date filter prunes partitions)."""
+        def build():
+            return gold.churn_history(self.cleaned, self.sessions, self.purchases, start, end)
+        if not self.materialize:
+            return build()
+        return self._written(f"churn_history_{start}_{end}", build, ["compute_date"]).select(*gold.CHURN_COLUMNS)
+
+    @cached_property
+    def generated(self) -> DataFrame:
+        """A12 output: one synthetic raw event per benchmark event row, written once."""
+        from pyspark.sql import functions as F
+
+        from respawn.sources.driver import spread
+        from respawn.sources.generate import generate_events
+
+        def build():
+            return generate_events(spread(self.table("events").select(F.col("event_id").alias("id")), "id"))
+        return self._written("generated_events", build) if self.materialize else build()

