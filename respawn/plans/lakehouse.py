@@ -51,7 +51,11 @@ class Lakehouse:
         path = _WRITTEN.get(key)
         if path is None:
             path = scratch_path(self.spark, f"respawn-silver/{uuid.uuid4().hex}/{name}")
-            w = build().write.mode("overwrite")
+            df = build()
+            if partition_by:
+                from respawn.sources.files import cluster_for_partitions
+                df = cluster_for_partitions(df, partition_by)
+            w = df.write.mode("overwrite")
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.parquet(path)

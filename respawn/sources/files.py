@@ -125,14 +125,25 @@ def _sources_of(df: DataFrame) -> set[str]:
     return {os.path.normpath(f.replace("file:", "")) for f in df.inputFiles()}
 
 
+def cluster_for_partitions(df: DataFrame, partition_by: list[str], files_per_partition: int = 4) -> DataFrame:
+    """Route rows so each output partition (e.g. one compute date) is written by
+    about ``files_per_partition`` tasks: hash of (partition value, salt). Without
+    it every shuffle task writes a file into every partition it holds, i.e.
+    tasks x partitions small files."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", files_per_partition: int = 4) -> None:
     """Write a layer as parquet; with ``partition_by`` only the partitions
     present in ``df`` are replaced (dynamic overwrite), so daily snapshots
     accumulate. Refuses to overwrite a path the plan itself reads (X18)."""
     target = os.path.normpath(path.replace("file:", ""))
     if mode == "overwrite" and any(s.startswith(target + os.sep) or s == target for s in _sources_of(df)):
         raise ValueError(f"refusing to overwrite {path}: the job reads from it")
+    if partition_by:
+        df = cluster_for_partitions(df, partition_by, files_per_partition)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
