@@ -197,7 +197,7 @@ def premium_tier(total_spend_90d: Column) -> Column:
 
 
 def arpu_features(purchases: DataFrame, events: DataFrame, as_of, whale_rule: str = "threshold",
-                  observation=None) -> DataFrame:
+                  observation=None, keep_threshold: bool = False) -> DataFrame:
     """K2: revenue features per paying player (one reduction over purchases + events).
 
     ``whale_rule='threshold'``: 90-day spend >= 250 USD (reference code);
@@ -212,7 +212,7 @@ def arpu_features(purchases: DataFrame, events: DataFrame, as_of, whale_rule: st
         *_arpu_aggs(pu, as_of),
         F.min(F.when(ev & upto, F.col("d"))).alias("first_seen_date"),
     ).where(F.col("_n_purchases") > 0)
-    return _arpu_finish(agg, as_of, whale_rule, observation)
+    return _arpu_finish(agg, as_of, whale_rule, observation, keep_threshold)
 
 
 def _arpu_aggs(pu: Column, as_of: dt.date) -> list[Column]:
@@ -231,7 +231,8 @@ def _arpu_aggs(pu: Column, as_of: dt.date) -> list[Column]:
     ]
 
 
-def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=None) -> DataFrame:
+def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=None,
+                 keep_threshold: bool = False) -> DataFrame:
     zero = F.lit(0).cast(MONEY)
     s90 = F.coalesce(F.col("_s90"), zero).cast("double")
     out = agg.select(
@@ -249,10 +250,12 @@ def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=No
     )
     if whale_rule == "p95":
         p95 = out.agg(F.percentile_approx("total_spend_90d", 0.95, 100000)).scalar()
-        whale = F.col("total_spend_90d") > p95
+        out = out.withColumn("whale_threshold", p95)  # one subquery reference
     else:
-        whale = F.col("total_spend_90d") >= F.lit(WHALE_SPEND_90D)
-    out = out.withColumn("is_whale", whale).select(*ARPU_COLUMNS)
+        out = out.withColumn("whale_threshold", F.lit(WHALE_SPEND_90D))
+    op = (F.col("total_spend_90d") > F.col("whale_threshold")) if whale_rule == "p95" else \
+        (F.col("total_spend_90d") >= F.col("whale_threshold"))
+    out = out.withColumn("is_whale", op).select(*ARPU_COLUMNS, *(["whale_threshold"] if keep_threshold else []))
     return dq.expect(out, dq.ARPU_RULES, observation)
 
 

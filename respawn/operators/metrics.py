@@ -167,8 +167,10 @@ def win_rate_by_tier(sessions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sessions"), F.sum("matches_won").alias("won"))
     per = per.withColumn("kd", F.col("_k").cast("double") / (F.col("_d") + F.lit(1)).cast("double"))
     q = per.agg(F.percentile_approx("kd", [0.25, 0.5, 0.75], 100000).alias("q")).scalar()
-    tier = (F.when(F.col("kd") <= q[0], 1).when(F.col("kd") <= q[1], 2)
-            .when(F.col("kd") <= q[2], 3).otherwise(4))
+    # tier = 1 + number of cut points below the player's K/D; the cut points are
+    # projected once as a column, so the sketch subquery runs once
+    per = per.withColumn("_q", q)
+    tier = (F.size(F.filter("_q", lambda cut: F.col("kd") > cut)) + F.lit(1)).cast("int")
     g = per.groupBy(tier.alias("skill_tier")).agg(
         F.count(F.lit(1)).alias("players"), F.sum("sessions").alias("sessions"), F.sum("won").alias("_won"),
         F.min("kd").alias("min_kd"), F.max("kd").alias("max_kd"))

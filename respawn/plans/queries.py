@@ -223,9 +223,8 @@ def primary_mode(h: Lakehouse):
 @register("whale_p95")
 def whale_p95(h: Lakehouse):
     """whale = 90-day spend above the 95th percentile of paying players."""
-    arpu = gold.arpu_features(h.purchases, h.cleaned, h.as_of, whale_rule="p95")
-    p95 = arpu.agg(F.percentile_approx("total_spend_90d", 0.95, 100000)).scalar()
-    return arpu.select("player_id", "total_spend_90d", p95.alias("whale_threshold"), "is_whale")
+    arpu = gold.arpu_features(h.purchases, h.cleaned, h.as_of, whale_rule="p95", keep_threshold=True)
+    return arpu.select("player_id", "total_spend_90d", "whale_threshold", "is_whale")
 
 
 @register("grouping_levels")
