@@ -65,6 +65,43 @@ def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return r.csv(source_dir)
 
 
+class ObservedMetricsListener:
+    """Collects the observed metrics of *every* micro-batch of the queries it
+    watches (``recentProgress`` keeps only the last 100 updates)."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        collected: dict[tuple[str, int], dict] = {}
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                row = (p.observedMetrics or {}).get(name)
+                if row is not None:
+                    d = row.asDict() if hasattr(row, "asDict") else dict(row)
+                    collected[(str(p.id), int(p.batchId))] = {k: int(v) for k, v in d.items()}
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self.spark, self.collected, self.listener = spark, collected, _L()
+        spark.streams.addListener(self.listener)
+
+    def batches(self, query) -> list[dict]:
+        qid = str(query.id)
+        return [{"batch_id": b, **m} for (q, b), m in sorted(self.collected.items()) if q == qid]
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self.listener)
+
+
 def progress_metrics(query, name: str) -> list[dict]:
     """Observed metrics of every micro-batch of a finished query: [{batch_id, rows, <rule>_failed...}]."""
     out = []
@@ -98,9 +135,17 @@ def ingest_events(spark: SparkSession, source_dir: str, target_path: str, checkp
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    batches = progress_metrics(q, name)
+    listener = ObservedMetricsListener(spark, name)
+    try:
+        q = w.start()
+        q.awaitTermination()
+        # listener events arrive asynchronously; recentProgress holds the last
+        # 100 batches synchronously -- merge both, keyed by batch id
+        merged = {b["batch_id"]: b for b in listener.batches(q)}
+        merged.update({b["batch_id"]: b for b in progress_metrics(q, name)})
+        batches = [merged[k] for k in sorted(merged)]
+    finally:
+        listener.close()
     for b in batches:  # one tiny row per micro-batch
         rows = [{"dataset": "raw_events", "rule": r.name, "action": r.action, "batch_id": b["batch_id"],
                  "total": b["rows"], "failed": b[f"{r.name}_failed"]} for r in rules]
