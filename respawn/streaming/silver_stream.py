@@ -74,9 +74,16 @@ def build_silver_stream(spark: SparkSession, bronze_path: str, target_path: str,
     import os
     schema = spark.read.parquet(bronze_path).schema
     name = "cleaned_expectations"
-    q = run_available(clean_events_stream(bronze_file_stream(spark, bronze_path, schema), delay, name),
-                      target_path, checkpoint, ["event_date"])
-    batches = observed(q, name)
+    from respawn.sources.files import ObservedMetricsListener
+    listener = ObservedMetricsListener(spark, name)
+    try:
+        q = run_available(clean_events_stream(bronze_file_stream(spark, bronze_path, schema), delay, name),
+                          target_path, checkpoint, ["event_date"])
+        merged = {b["batch_id"]: b for b in listener.batches(q)}
+        merged.update({b["batch_id"]: b for b in observed(q, name)})
+        batches = [merged[k] for k in sorted(merged)]
+    finally:
+        listener.close()
     metrics_path = metrics_path or target_path.rstrip("/") + "_quality"
     for b in batches:
         rows = [{"dataset": "player_events_cleaned", "rule": r.name, "action": r.action,
