@@ -230,75 +230,101 @@ def sessions_from_login_logout(cleaned: DataFrame, bucket: str = "hour") -> Data
     after the logout and before the next login belong to no session; an open
     session keeps a NULL logout.
 
-    Two prefix scans (latest login, logouts so far) are needed per player. They
-    are split by time ``bucket`` (``'hour'`` or ``'day'``) so no partition ever
-    holds a player's whole history, even for a player with a third of all
-    rows: windows run per (player, bucket); a per-(player, bucket) summary --
-    one row per active bucket -- carries the state in from earlier buckets. A
-    session's rows are then reduced with a hash aggregate (partial aggregation
-    before the shuffle) keyed by (player, login time, login id).
+    Plan (a segmented scan, split by time ``bucket`` so no partition ever holds
+    a player's whole history, even for a player with a third of all rows):
+
+    1. events are shuffled and sorted once by (player, bucket); a window there
+       tags each row with its in-bucket session (latest login, no logout since)
+       or as the bucket's *prefix* (before its first login, up to its first
+       logout); rows outside any session are dropped;
+    2. rows reduce to partial aggregates per (player, bucket, session, mode) --
+       a few rows per session -- which are checkpointed once;
+    3. per player, a window over the per-bucket summaries (one row per active
+       bucket) decides which open session each bucket's prefix continues;
+    4. partials are merged per session (hash aggregates, partial aggregation).
     """
+    from respawn.session import checkpoint_dir
+
     c = F.col
     t = c("event_type_normalized")
-    ev = (cleaned.where(c("event_ts").isNotNull())
-          .select("player_id", "event_id", "event_ts", F.date_trunc(bucket, "event_ts").alias("_bucket"),
-                  "game_mode", "region", "platform",
-                  "item_price_usd", "experience_granted", "session_kills", "session_deaths",
-                  t.alias("t"),
-                  (t == "login").cast("int").alias("is_in"),
-                  (t == "logout").cast("int").alias("is_out")))
-    day_w = (Window.partitionBy("player_id", "_bucket").orderBy("event_ts", "event_id")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    login_struct = F.struct(c("event_ts").alias("ts"), c("event_id").alias("id"),
-                            (c("o_incl") - c("is_out")).alias("o"))
-    ev = (ev.withColumn("o_incl", F.sum("is_out").over(day_w))
-          .withColumn("day_login", F.max(F.when(c("is_in") == 1, login_struct)).over(day_w)))
-    days = ev.groupBy("player_id", "_bucket").agg(
-        F.sum("is_out").alias("n_out"),
-        F.max(F.when(c("is_in") == 1, login_struct)).alias("last_login"))
-    hist_w = Window.partitionBy("player_id").orderBy("_bucket")
-    before = hist_w.rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("o_before", F.coalesce(F.sum("n_out").over(before), F.lit(0)))
-    days = days.withColumn("g_login", F.when(
-        c("last_login").isNotNull(),
-        F.struct(c("last_login.ts").alias("ts"), c("last_login.id").alias("id"),
-                 (c("last_login.o") + c("o_before")).alias("o"))))
-    days = days.withColumn("carry_login", F.max("g_login").over(before)).select(
-        "player_id", "_bucket", "o_before", "carry_login")
-    ev = ev.join(days, ["player_id", "_bucket"], "inner")
-    o_now = c("o_before") + c("o_incl") - c("is_out")
-    day_login_g = F.when(c("day_login").isNotNull(), F.struct(
-        c("day_login.ts").alias("ts"), c("day_login.id").alias("id"),
-        (c("day_login.o") + c("o_before")).alias("o")))
-    ev = ev.withColumn("s", F.coalesce(day_login_g, c("carry_login")))
-    ev = ev.where(c("s").isNotNull() & (o_now == c("s.o")))
-    own_login = (c("is_in") == 1) & (c("event_id") == c("s.id")) & (c("event_ts") == c("s.ts"))
     kills, deaths = F.coalesce(c("session_kills"), F.lit(0)), F.coalesce(c("session_deaths"), F.lit(0))
-    g = ev.groupBy("player_id", c("s.ts").alias("login_ts"), c("s.id").alias("login_id")).agg(
+    ev = (cleaned.where(c("event_ts").isNotNull())
+          .select("player_id", "event_id", "event_ts", F.date_trunc(bucket, "event_ts").alias("b"),
+                  "game_mode", "region", "platform", "item_price_usd", "experience_granted",
+                  kills.alias("k"), deaths.alias("d"), t.alias("t"),
+                  (t == "login").cast("int").alias("is_in"), (t == "logout").cast("int").alias("is_out")))
+    order = Window.partitionBy("player_id", "b").orderBy("event_ts", "event_id")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    ev = ev.withColumn("o", F.coalesce(F.sum("is_out").over(before), F.lit(0)))
+    ev = ev.withColumn("lg", F.max(F.when(c("is_in") == 1, F.struct(
+        c("event_ts").alias("ts"), c("event_id").alias("id"), c("o").alias("o")))).over(upto))
+    local = c("lg").isNotNull() & (c("o") == c("lg.o"))
+    prefix = c("lg").isNull() & (c("o") == 0)
+    ev = ev.where(local | prefix).select(
+        "*", prefix.alias("is_prefix"),
+        F.when(local, c("lg.ts")).alias("key_ts"), F.when(local, c("lg.id")).alias("key_id"))
+    own_login = (c("is_in") == 1) & (c("event_id") == c("key_id"))
+    partials = ev.groupBy("player_id", "b", "is_prefix", "key_ts", "key_id", "game_mode").agg(
+        F.count(F.lit(1)).alias("n"),
         F.min(F.when(c("is_out") == 1, c("event_ts"))).alias("logout_ts"),
-        F.mode("game_mode", True).alias("game_mode"),
         F.max(F.when(own_login, c("region"))).alias("region"),
         F.max(F.when(own_login, c("platform"))).alias("platform"),
-        F.count_if(c("t") == "kill").cast("int").alias("kills"),
-        F.count_if(c("t") == "death").cast("int").alias("deaths"),
-        F.count_if(c("t") == "session_end").cast("int").alias("matches_played"),
-        F.count_if((c("t") == "session_end") & (kills >= deaths)).cast("int").alias("matches_won"),
-        F.count_if(c("t") == "purchase").cast("int").alias("items_purchased"),
-        F.coalesce(F.sum(F.when((c("t") == "purchase") & (c("item_price_usd") >= 0),
-                                c("item_price_usd").cast("decimal(18,2)"))),
-                   F.lit(0).cast("decimal(18,2)")).cast("double").alias("spent_usd"),
-        F.coalesce(F.sum(F.when(c("t") == "kill", c("experience_granted"))), F.lit(0)).cast("long")
-        .alias("experience_gain"),
+        F.count_if(c("t") == "kill").alias("kills"),
+        F.count_if(c("t") == "death").alias("deaths"),
+        F.count_if(c("t") == "session_end").alias("played"),
+        F.count_if((c("t") == "session_end") & (c("k") >= c("d"))).alias("won"),
+        F.count_if(c("t") == "purchase").alias("items"),
+        F.sum(F.when((c("t") == "purchase") & (c("item_price_usd") >= 0),
+                     c("item_price_usd").cast("decimal(18,2)"))).alias("spend"),
+        F.sum(F.when(c("t") == "kill", c("experience_granted"))).cast("long").alias("xp"),
     )
+    checkpoint_dir(cleaned.sparkSession)
+    partials = partials.checkpoint(eager=True)  # small: a few rows per session
+
+    # 3. which open session does each bucket's prefix continue?
+    closed = c("logout_ts").isNotNull()
+    per_bucket = partials.groupBy("player_id", "b").agg(
+        F.max(F.when(~c("is_prefix"), F.struct(c("key_ts").alias("ts"), c("key_id").alias("id"),
+                                                closed.cast("int").alias("closed")))).alias("last_login"),
+        F.coalesce(F.max(F.when(c("is_prefix") & closed, F.lit(1))), F.lit(0)).alias("prefix_closes"))
+    hist = Window.partitionBy("player_id").orderBy("b")
+    per_bucket = per_bucket.withColumn(
+        "p_incl", F.sum("prefix_closes").over(hist.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    per_bucket = per_bucket.withColumn("state", F.when(c("last_login").isNotNull(), F.struct(
+        c("last_login.ts").alias("ts"), c("last_login.id").alias("id"),
+        c("last_login.closed").alias("closed"), c("p_incl").alias("p"))))
+    per_bucket = per_bucket.withColumn(
+        "carry", F.last("state", ignorenulls=True).over(hist.rowsBetween(Window.unboundedPreceding, -1)))
+    attach = per_bucket.where(
+        c("carry").isNotNull() & (c("carry.closed") == 0) & (c("carry.p") == c("p_incl") - c("prefix_closes"))
+    ).select("player_id", "b", c("carry.ts").alias("a_ts"), c("carry.id").alias("a_id"))
+    cont = (partials.where(c("is_prefix")).join(attach, ["player_id", "b"], "inner")
+            .withColumn("key_ts", c("a_ts")).withColumn("key_id", c("a_id")).drop("a_ts", "a_id"))
+    merged = partials.where(~c("is_prefix")).unionByName(cont)
+
+    # 4. merge partials per session (mode = most events, ties -> smallest mode)
+    by_mode = merged.groupBy("player_id", "key_ts", "key_id", "game_mode").agg(
+        F.sum("n").alias("n"), F.min("logout_ts").alias("logout_ts"), F.max("region").alias("region"),
+        F.max("platform").alias("platform"), *[F.sum(x).alias(x) for x in
+                                              ("kills", "deaths", "played", "won", "items", "spend", "xp")])
+    gm = c("game_mode")
+    g = by_mode.groupBy("player_id", c("key_ts").alias("login_ts"), c("key_id").alias("login_id")).agg(
+        F.min("logout_ts").alias("logout_ts"),
+        F.min_by(gm, F.when(gm.isNotNull(), F.struct((-c("n")).alias("neg_n"), gm.alias("v")))).alias("game_mode"),
+        F.max("region").alias("region"), F.max("platform").alias("platform"),
+        *[F.sum(x).alias(x) for x in ("kills", "deaths", "played", "won", "items", "spend", "xp")])
     micros = F.unix_micros(c("logout_ts")) - F.unix_micros(c("login_ts"))
+    k, d = c("kills").cast("int"), c("deaths").cast("int")
     return g.select(
         F.sha2(F.concat_ws(":", c("player_id"), c("login_ts").cast("string"), c("login_id")), 256).alias("session_id"),
         "player_id", "login_ts", "logout_ts",
         (micros.cast("double") / F.lit(60_000_000.0)).alias("duration_min"),
-        "game_mode", "region", "platform", "kills", "deaths",
-        (c("kills").cast("double") / (c("deaths") + F.lit(1)).cast("double")).alias("kd_ratio"),
-        "matches_played", "matches_won",
-        F.when(c("matches_played") > 0, c("matches_won").cast("double") / c("matches_played").cast("double"))
-        .alias("win_rate"),
-        "items_purchased", "spent_usd", "experience_gain",
+        "game_mode", "region", "platform", k.alias("kills"), d.alias("deaths"),
+        (k.cast("double") / (d + F.lit(1)).cast("double")).alias("kd_ratio"),
+        c("played").cast("int").alias("matches_played"), c("won").cast("int").alias("matches_won"),
+        F.when(c("played") > 0, c("won").cast("double") / c("played").cast("double")).alias("win_rate"),
+        c("items").cast("int").alias("items_purchased"),
+        F.coalesce(c("spend"), F.lit(0).cast("decimal(18,2)")).cast("double").alias("spent_usd"),
+        F.coalesce(c("xp"), F.lit(0)).cast("long").alias("experience_gain"),
     )

@@ -228,3 +228,28 @@ def test_history_collapses_old_rows_exactly(spark):
         assert one.exceptAll(ref).count() == 0 and ref.exceptAll(one).count() == 0
     a = hist.where("player_id = 'a' AND compute_date = DATE'2024-01-30'").first()
     assert a["first_seen_date"] == D(2023, 11, 1) and a["platform_primary"] == "Mobile"
+
+
+def test_login_sessions_independent_of_bucket(spark):
+    t = lambda d, h, m=0: f"2024-01-{d:02d} {h:02d}:{m:02d}:00"
+    rows = [
+        {"event_type": "login", "timestamp": t(28, 23, 50)},
+        {"event_type": "kill", "timestamp": t(29, 0, 10), "payload": payload(experience_granted=55)},
+        {"event_type": "logout", "timestamp": t(29, 3)},
+        {"event_type": "kill", "timestamp": t(29, 4)},                   # after logout: no session
+        {"event_type": "login", "timestamp": t(29, 5, 59)},
+        {"event_type": "purchase", "timestamp": t(29, 6, 1), "payload": payload(item_price_usd=9.99)},
+        {"event_type": "login", "timestamp": t(29, 9)},                  # replaces the open one
+        {"event_type": "death", "timestamp": t(30, 1)},
+        {"event_type": "logout", "timestamp": t(30, 2)},
+        {"event_type": "logout", "timestamp": t(30, 3)},                 # second logout: ignored
+    ]
+    cleaned, _, _ = _silver(spark, rows)
+    ref = silver.sessions_from_login_logout(cleaned, "day")
+    for b in ("minute", "hour", "week"):
+        other = silver.sessions_from_login_logout(cleaned, b)
+        assert ref.exceptAll(other).count() == 0 and other.exceptAll(ref).count() == 0
+    s = {r["login_ts"].hour: r for r in ref.collect()}
+    assert s[23]["kills"] == 1 and s[23]["experience_gain"] == 55 and s[23]["logout_ts"].hour == 3
+    assert s[5]["logout_ts"] is None and s[5]["spent_usd"] == 9.99
+    assert s[9]["deaths"] == 1 and s[9]["logout_ts"] == dt.datetime(2024, 1, 30, 2)
