@@ -67,7 +67,11 @@ class Lakehouse:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return raw_events(self.spark, self.sf_dir)
+        """The raw envelope, written once (the landing table); bronze and every
+        raw-level summary read it instead of re-running the adapter."""
+        def build():
+            return raw_events(self.spark, self.sf_dir)
+        return self._written("raw_events", build) if self.materialize else build()
 
     @cached_property
     def bronze(self) -> DataFrame:
