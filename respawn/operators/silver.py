@@ -1,8 +1,10 @@
 """Bronze and silver layer operators (pure DataFrame -> DataFrame functions).
 
 All are narrow projections / filters except the keyed de-duplication in
-:func:`dedup_events` (one hash shuffle on ``event_id``) and the two
-aggregates C6/C7 (map-side partial aggregation, tiny shuffle).
+:func:`dedup_events` (one hash shuffle on ``event_id`` after map-side
+collapse), the login/logout sessionisation (one shuffle of events by
+player-hour, then small partials) and the aggregates C6/C7 (map-side partial
+aggregation, tiny shuffle).
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
 """Lazy medallion pipeline over a folder of benchmark tables.
 
-``Lakehouse(spark, sf_dir)`` exposes every layer as a DataFrame. The cleaned
-silver table is written once (see :class:`Lakehouse`); everything downstream
-is lazy and reads it. For scheduled runs the layer jobs in
+``Lakehouse(spark, sf_dir)`` exposes every layer as a DataFrame. The raw
+landing table, the parsed silver candidates, the daily history and the
+generator output are written once per application (see :class:`Lakehouse`);
+everything else is lazy and reads them. For scheduled runs the layer jobs in
 :mod:`respawn.plans.layers` write every layer as a partitioned table.
 """
 
@@ -20,7 +21,7 @@ from respawn.operators.bi import score_with_standin
 from respawn.session import scratch_path
 from respawn.sources.driver import raw_events, read_table
 
-# Silver tables written by this process: (app id, source dir, mtime, name) -> path.
+# Tables written by this process: (app id, source dir, mtime, name) -> path.
 _WRITTEN: dict[tuple, str] = {}
 
 
