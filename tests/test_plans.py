@@ -73,3 +73,19 @@ def test_preview_is_ordered_top_k(spark):
     df = profile.preview(h.cleaned.select("event_id", "player_id"), 5, ["event_id"])
     plan = _plan(df)
     assert "TakeOrderedAndProject" in plan and df.count() == 5
+
+
+def test_dedup_collapses_copies_before_the_shuffle(spark):
+    from conftest import raw_rows
+    from respawn.operators import silver
+    # one hot event id delivered 300 times among normal rows
+    rows = [{"event_id": "hot", "ingest_ts": f"2024-01-30 10:{i % 60:02d}:00"} for i in range(300)]
+    rows += [{"event_id": f"e{i}"} for i in range(50)]
+    typed = silver.typed_events(silver.bronze_events(raw_rows(spark, rows).repartition(4)))
+    deduped = silver.dedup_events(typed)
+    got = {r["event_id"]: r["ingest_ts"] for r in deduped.collect()}
+    assert len(got) == 51 and got["hot"].strftime("%H:%M") == "10:00"
+    plan = _plan(deduped)
+    above, below = plan.split("Exchange hashpartitioning(event_id", 1)
+    assert "min_by" in above            # final aggregate after the shuffle
+    assert "partial_min_by" in below    # map-side aggregate before it
