@@ -35,6 +35,9 @@ def test_churn_features_is_one_shuffle_without_joins(spark):
     plan = _plan(gold.churn_features(h.cleaned, h.sessions, h.purchases, h.as_of))
     assert "Join" not in plan
     assert plan.count("Exchange hashpartitioning(player_id") == 1
+    # a hot player is reduced map-side (partial aggregates, incl. the mode maps) before the shuffle
+    below = plan.split("Exchange hashpartitioning(player_id", 1)[1]
+    assert "partial_count" in below and "partial_mode" in below
 
 
 def test_history_never_shuffles_by_player_alone(spark):
