@@ -50,3 +50,23 @@ def test_catalog_tables_with_comment_and_properties(spark):
     assert spark.table("bronze.raw_events_t").columns == ["event_id"]
     files.declare_view(df.where("event_type = 'kill'"), "kills_v")
     assert spark.table("kills_v").count() == 1
+
+
+def test_generated_events_flow_through_all_layers(spark):
+    from respawn.operators import gold
+    raw = generate.generate_events(spark.range(1000), n_players=100, days_back=30)
+    obs_rows = silver.bronze_events(raw).count()
+    assert obs_rows == 1000  # generated rows pass every bronze rule
+    cleaned = silver.clean_events(silver.bronze_events(raw))
+    sessions = silver.sessions_from_end_events(cleaned)
+    purchases = silver.purchase_events(cleaned)
+    churn = gold.churn_features(cleaned, sessions, purchases, "2024-01-31")
+    players = cleaned.select("player_id").distinct().count()
+    assert churn.count() == players
+    n_end = cleaned.where("event_type_normalized = 'session_end'").count()
+    assert sessions.count() == n_end  # every generated session has a positive duration
+    arpu = gold.arpu_features(purchases, cleaned, "2024-01-31")
+    assert arpu.count() == purchases.select("player_id").distinct().count()
+    seg = gold.player_segments(churn)
+    assert {r[0] for r in seg.select("engagement_segment").distinct().collect()} <= \
+        {"lapsed", "core", "regular", "casual"}
