@@ -64,8 +64,12 @@ def build_pipeline(algorithm: str = "random_forest", max_depth: int = RF_MAX_DEP
     if algorithm == "logistic_regression":
         est = LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=LR_MAX_ITER)
     elif algorithm == "random_forest":
+        # cacheNodeIds keeps each row's node assignment instead of re-deriving it
+        # every level (same model; faster for deep trees); its lineage is cut by
+        # periodic checkpoints in spark.checkpoint.dir.
         est = RandomForestClassifier(featuresCol="features", labelCol=LABEL, maxDepth=max_depth,
-                                     numTrees=num_trees, seed=seed)
+                                     numTrees=num_trees, seed=seed, cacheNodeIds=True,
+                                     checkpointInterval=10)
     else:
         raise ValueError(f"unknown algorithm {algorithm!r}")
     return Pipeline(stages=[indexer, assembler, est])
@@ -127,6 +131,9 @@ def train_churn_model(features: DataFrame, algorithm: str = "random_forest", **p
     duration (memory, spilling to disk) so the upstream feature plan runs once.
     """
     from pyspark import StorageLevel
+
+    from respawn.session import checkpoint_dir
+    checkpoint_dir(features.sparkSession)
     data = prepare_features(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = hash_split(data)
