@@ -25,13 +25,16 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage: a lost executor rereads files every node can see.
+    Cuts the lineage: a lost executor rereads files every node can see. Tables of ids, edges and
+    counts are written by ``2 x cores`` tasks at most, so a step of an iteration doesn't leave
+    a file for each shuffle partition; ``wide`` tables (texts, or a row for each line) by as many
+    tasks as they have partitions.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if wide else df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,43 +1,19 @@
 """Connected components of an edge table, as Spark jobs.
 
-Every task first contracts the edges it holds to a spanning forest (never more rows than
-nodes), then the large-star / small-star rounds of Kiveris et al., "Connected Components in
-MapReduce and Beyond" (2014), run until no edge changes. A round joins each edge with the
+The large-star / small-star rounds of Kiveris et al., "Connected Components in MapReduce and
+Beyond" (2014), run until no edge changes. A round joins each edge with the
 minimum of its node's neighbourhood, so no neighbourhood is ever gathered in a task.
 Each round's edges are written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from respawn.llm.common import stored
 
 
-def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    parent: dict = {}
-
-    def root(x):
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    for batch in batches:
-        for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
-            parent.setdefault(a, a)
-            parent.setdefault(b, b)
-            ra, rb = root(a), root(b)
-            if ra != rb:
-                parent[max(ra, rb)] = min(ra, rb)
-    links = [(x, root(x)) for x in parent]
-    yield pd.DataFrame([x for x in links if x[0] != x[1]], columns=["a", "b"])
-
-
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One half round over edges (a, b) with b < a; the result is of the same form."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
@@ -56,8 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     Only nodes with an edge to another node appear. Self-loops, repeated edges, either
     direction and edges with a null end (ignored) are allowed; no edges give no rows.
     """
-    edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    edges = stored(edges.mapInPandas(_forest, "a long, b long"), "edges")
+    edges = edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
+    edges = stored(edges.distinct(), "edges")
 
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

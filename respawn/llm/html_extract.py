@@ -245,7 +245,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     kind = dict(pages.dtypes)[id_col]
     source = pages.select(F.col(id_col).cast("string").alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("body"))
-    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>"), "trees")
+    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>"), "trees", wide=True)
     templates = stored(site_templates(trees, share, min_pages), "templates")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -24,7 +24,8 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.tokenized(_table(spark, sf_dir, "documents"))
+    found = sentencepiece_codec.encode_and_check(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

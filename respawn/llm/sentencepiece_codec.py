@@ -18,6 +18,7 @@ The model file is read with the installed library; nothing else of it is used.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -342,13 +343,20 @@ def decode(rows: DataFrame, ids_col: str = "ids", model: str = MODEL, out: str =
     return rows.withColumn(out, run(F.col(ids_col)))
 
 
-def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """(id_col, n_ids, ids, decoded_sha256, round_trip): encode, decode, compare.
+def encode_and_check(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
+    """``docs`` with ids, n_ids, decoded_sha256 and round_trip: encoded, decoded and compared in one
+    pass. All four are null for a null text."""
+    @F.pandas_udf("ids array<int>, n_ids int, decoded_sha256 string, round_trip boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = vocabulary(model)
+        for texts in batches:
+            found, out = texts.tolist(), []
+            for part in _slices([t or "" for t in found]):
+                for text, ids in zip(found[part], own.encode([t or "" for t in found[part]])):
+                    back = None if text is None else own.decode(ids.tolist())
+                    out.append((None,) * 4 if text is None else (ids, len(ids), hashlib.sha256(back.encode("utf-8", "replace")).hexdigest(), back == text))
+            yield pd.DataFrame(out, columns=["ids", "n_ids", "decoded_sha256", "round_trip"]).astype({"n_ids": "Int32", "round_trip": "boolean"})
 
-    For a null text all but the id are null.
-    """
     if not os.path.exists(model):
         raise FileNotFoundError(model)
-    found = decode(encode(docs.select(id_col, F.col(text_col).alias("__text")), "__text", model), "ids", model)
-    return found.select(id_col, F.size("ids").alias("n_ids"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-                        (F.col("decoded") == F.col("__text")).alias("round_trip"))
+    return docs.withColumn("__tokens", run(F.col(text_col))).select(*docs.columns, "__tokens.*")

@@ -214,7 +214,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def document_fingerprints(docs: DataFrame, radius: int = RADIUS, every: int = 100) -> DataFrame:
     """``compare_with_edits`` plus the search: n_near counts, for the rows whose id is divisible by
     ``every``, the other rows of the table within ``radius`` bits (null for other rows)."""
-    found = stored(compare_with_edits(docs), "fingerprints")
+    found = stored(compare_with_edits(docs), "fingerprints", wide=True)
     classes = found.groupBy("fp").agg(F.count("*").alias("size"))
     asked = found.where(F.col("doc_id") % every == 0).select("fp").distinct()
     near = within(asked, classes, radius).join(classes, "fp").groupBy("query").agg((F.sum("size") - 1).alias("n_near"))

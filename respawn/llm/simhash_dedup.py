@@ -175,7 +175,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     a fingerprint and a null component_id and link nothing. Repeated rows each give a row.
     An empty table gives no rows; other columns aren't read.
     """
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints", wide=True)
     classes = stored(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("first")), "classes")
     roots = stored(components(linked_fingerprints(classes.select("fp"), radius)), "roots")
     merged = classes.join(roots.withColumnRenamed("node", "fp"), "fp")

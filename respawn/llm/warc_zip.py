@@ -207,7 +207,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     rows = with_roles(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("body")), "id", "body")
     ids = F.col("id").cast("string").alias("id"), F.col("refers_to").cast("string").alias("refers_to")
-    return stored(rows.select(*ids, "url", "payload", "digest", "record_type").mapInPandas(run, "path string, records long"), "manifest")
+    return stored(rows.select(*ids, "url", "payload", "digest", "record_type").mapInPandas(run, "path string, records long"), "manifest", wide=True)
 
 
 def _append(batch: pd.DataFrame, member, index: list[bytes], offset: int) -> int:
@@ -257,7 +257,7 @@ def read_archives(packages: DataFrame, payloads: bool = True) -> DataFrame:
             yield frame if payloads else frame.drop(columns="payload")
 
     spark = packages.sparkSession
-    places = stored(packages.select("path").mapInPandas(locate, "path string, offset long, length long"), "places")
+    places = stored(packages.select("path").mapInPandas(locate, "path string, offset long, length long"), "places", wide=True)
     spread = places.repartition(tasks(spark), "path", F.floor(F.col("offset") / FETCH)).sortWithinPartitions("path", "offset")
     kinds = "record_id string, record_type string, refers_to string, url string, declared_digest string, payload_bytes long, payload_digest string"
     return spread.mapInPandas(fetch, kinds + ", payload binary" * payloads)
@@ -285,7 +285,7 @@ def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """
     spark: SparkSession = pages.sparkSession
     manifest = write_archives(pages, folder or scratch(spark, "packages"), id_col, url_col, payload_col)
-    records = stored(read_archives(manifest, payloads=False), "records")
+    records = stored(read_archives(manifest, payloads=False), "records", wide=True)
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:x-page:(.*)>$", 1), F.lit("")).cast(dict(pages.dtypes)[id_col])
     return resolved(records).select(page("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
