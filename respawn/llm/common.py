@@ -38,6 +38,11 @@ def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of ``df`` that none of the new ``names`` replaces (names ignore case, as in Spark)."""
+    return [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

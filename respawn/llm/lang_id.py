@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from respawn.llm.common import others
+
 SAMPLE = 3000
 BUCKETS = 1 << 17
 SMOOTH = 0.3
@@ -209,23 +211,29 @@ def label(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[s
     return out
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and lang_spans (language, start, end in code points).
 
+    ``prefix`` is put before the new names; columns that already have those names are replaced.
+
     ``und`` with score 0 and no spans for null texts, texts without a letter, and if nothing was
     learned. Ties go to the language first in order. All rows and columns stay; the text alone
     decides. A word of a few letters seldom outweighs the switching penalty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers a language
 
-    @F.pandas_udf("lang_pred string, score double, lang_spans array<struct<lang: string, start: int, end: int>>")
+    names = [f"{prefix}{c}" for c in ("lang_pred", "score", "lang_spans")]
+
+    @F.pandas_udf("pred string, score double, spans array<struct<lang: string, start: int, end: int>>")
     def run(texts: pd.Series) -> pd.DataFrame:
         found = label(shared.value, [t or "" for t in texts.tolist()])
-        return pd.DataFrame({"lang_pred": [x[0] for x in found], "score": [x[1] for x in found],
-                             "lang_spans": [[dict(zip(("lang", "start", "end"), s)) for s in x[2]] for x in found]})
+        return pd.DataFrame({"pred": [x[0] for x in found], "score": [x[1] for x in found],
+                             "spans": [[dict(zip(("lang", "start", "end"), s)) for s in x[2]] for x in found]})
 
-    named = docs.withColumn("__lang_id", run(F.col(text_col)))
-    return named.select(*docs.columns, "__lang_id.*")
+    once = run.asNondeterministic()  # so that a filter on the result doesn't run it again
+    named = docs.withColumn("__lang_id", once(F.col(text_col)))
+    fields = ("pred", "score", "spans")
+    return named.select(*others(docs, *names), *(F.col("__lang_id")[f].alias(n) for f, n in zip(fields, names)))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -233,10 +241,11 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", prefix: str = "") -> DataFrame:
     """Learn from the labelled rows that aren't held out, then ``identify`` all rows.
 
     Rows with a null id aren't learned from.
     """
     known = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col))
-    return identify(docs, fit(known, id_col, text_col, lang_col), text_col).withColumn("held_out", held_out(id_col))
+    found = identify(docs, fit(known, id_col, text_col, lang_col), text_col, prefix)
+    return found.withColumn(f"{prefix}held_out", held_out(id_col))

@@ -65,9 +65,11 @@ def rates(masses: DataFrame, weights: DataFrame, epochs: float = 1.0) -> DataFra
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: str = SEED, id_col: str = "doc_id",
-        source_col: str = "source", text_col: str = "text") -> DataFrame:
+        source_col: str = "source", text_col: str = "text", prefix: str = "") -> DataFrame:
     """The mix: all columns of ``docs`` plus copy (0, 1, ...) and shuffle_key, its order.
 
+    ``prefix`` is put before the new names; columns that already have those names are replaced.
+
     ``weights`` is (source, weight), by default ``root_weights``. Rows with equal ids are copied
     equally often (rows with a null id go by the hash of their text). Null texts have mass 0.
     Partitions hold random rows, sorted by shuffle_key (ties by id and copy); an empty
@@ -94,10 +96,10 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0,
 
     times = F.when(F.col("__parts") > 0, F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), part)).otherwise(F.lit(0))
     counted = known.withColumn("__times", times).where("__times > 0").drop("__cdf", "__parts", "__source")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).drop("__times")
-    order = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), key, F.col("copy").cast("string"))), 1, 16)
-    shuffled = copies.withColumn("shuffle_key", order)
-    return shuffled.repartition(tasks(docs.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy")
+    copy, place = f"{prefix}copy", f"{prefix}shuffle_key"
+    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).drop("__times")
+    order = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), key, F.col(copy).cast("string"))), 1, 16)
+    return copies.withColumn(place, order).repartition(tasks(docs.sparkSession), place).sortWithinPartitions(place, id_col, copy)
 
 
 #: The query's mix in DuckDB: the same hashes, weights and distribution function.

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from respawn.llm.common import others
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters indexed at once, and words a Python worker remembers.
@@ -345,7 +347,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", model: str = MODEL, out: str =
 
 def encode_and_check(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
     """``docs`` with ids, n_ids, decoded_sha256 and round_trip: encoded, decoded and compared in one
-    pass. All four are null for a null text."""
+    pass. All four are null for a null text. Columns that already have those names are replaced."""
     @F.pandas_udf("ids array<int>, n_ids int, decoded_sha256 string, round_trip boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = vocabulary(model)
@@ -359,4 +361,5 @@ def encode_and_check(docs: DataFrame, text_col: str = "text", model: str = MODEL
 
     if not os.path.exists(model):
         raise FileNotFoundError(model)
-    return docs.withColumn("__tokens", run(F.col(text_col))).select(*docs.columns, "__tokens.*")
+    kept = others(docs, "ids", "n_ids", "decoded_sha256", "round_trip")
+    return docs.withColumn("__tokens", run.asNondeterministic()(F.col(text_col))).select(*kept, "__tokens.*")

@@ -98,12 +98,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp) with fp a signed long, one row for each row of ``docs``; null text counts as empty."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "fp": simhash(batch["body"].tolist()).view(np.int64)})
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(simhash(texts.tolist()).view(np.int64))
 
-    body = F.coalesce(F.col(text_col), F.lit("")).alias("body")
-    return docs.select(F.col(id_col).alias("id"), body).mapInPandas(run, f"id {dict(docs.dtypes)[id_col]}, fp long")
+    return docs.select(F.col(id_col).alias("id"), run(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"))
 
 
 def block_masks(radius: int = RADIUS, match: int = MATCH) -> list[int]:
@@ -134,7 +133,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, fn, schema: str) -> D
 
     The ids are cut into ranges, one task each, sorted inside. The first row of a range is also
     sent to the range before it, so each task sees every neighbour and holds one batch.
-    ``fn(rows, nexts)`` gets lists of (id, text) and returns a pandas frame of ``schema``.
+    ``fn(rows, nexts)`` gets lists of (id as a string, text) and returns a pandas frame of ``schema``.
     Rows of equal id are ordered by text; null ids come last.
     """
     spark, n = docs.sparkSession, tasks(docs.sparkSession)
@@ -142,7 +141,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, fn, schema: str) -> D
     at = F.coalesce(-F.col("id").cast("double"), F.lit(float("inf")))
     ids = docs.select(F.col(id_col).alias("id")).withColumn("at", at)
     cuts = ids.where("id IS NOT NULL").agg(F.percentile_approx("at", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] or []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="at", outputCol="range").transform
     heads = sorted((int(r["range"]), r["id"]) for r in bucketed(ids).groupBy("range").agg(F.max("id").alias("id")).collect() if r["id"] is not None)
     # one row a range: as many as shuffle partitions
@@ -158,13 +157,13 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, fn, schema: str) -> D
     dealt = sent.select("id", "body", F.col("to.part").alias("part"), F.col("to.copy").alias("copy"), wrapped)
     dealt = dealt.repartitionById(len(splits) - 1, F.col("part")).sortWithinPartitions(
         F.coalesce("wrapped", F.lit(False)), F.desc_nulls_last("id"), "body", "copy")
+    dealt = dealt.select(F.col("id").cast("string").alias("id"), "body", "copy")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = first = None
         for batch in batches:
             ours, nexts = [], []
-            ids_ = [None if pd.isna(i) else i for i in batch["id"].tolist()]
-            for i, body, copied in zip(ids_, batch["body"].tolist(), batch["copy"].tolist()):
+            for i, body, copied in zip(batch["id"].tolist(), batch["body"].tolist(), batch["copy"].tolist()):
                 first = first if first is not None else (i, body)
                 if held is not None:
                     ours.append(held)
@@ -207,8 +206,9 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             "fp": own.view(np.int64), "edited_fp": other.view(np.int64),
             "near_edited": likeness(own, other), "near_next": likeness(own, follow)})
 
-    schema = f"{id_col} {dict(docs.dtypes)[id_col]}, n_chars long, edited_sha256 string, fp long, edited_fp long, near_edited double, near_next double"
-    return with_next(docs, id_col, text_col, run, schema)
+    schema = f"{id_col} string, n_chars long, edited_sha256 string, fp long, edited_fp long, near_edited double, near_next double"
+    found = with_next(docs, id_col, text_col, run, schema)
+    return found.withColumn(id_col, F.col(id_col).cast(dict(docs.dtypes)[id_col]))
 
 
 def document_fingerprints(docs: DataFrame, radius: int = RADIUS, every: int = 100) -> DataFrame:

@@ -71,11 +71,11 @@ def simhash64(texts: list[bytes | None], k: int = SHINGLE) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp): the 64-bit fingerprint as a signed long, one row for each row of ``docs``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "fp": simhash64(batch["body"].tolist(), shingle).view(np.int64)})
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(simhash64(texts.tolist(), shingle).view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body")).mapInPandas(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), run(F.col(text_col).cast("binary")).alias("fp"))
 
 
 def _distance(points: np.ndarray, vantage: np.uint64, mask: np.uint64) -> np.ndarray:
