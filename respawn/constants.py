@@ -61,10 +61,6 @@ RAW_COLUMNS = [
     "region", "platform", "payload", "ingest_ts", "ingest_date",
 ]
 
-# Default as-of date used by the registered queries over the driver tables
-# (the events table covers 2024-01-01 .. 2024-01-30).
-DEFAULT_AS_OF = "2024-01-30"
-
 # Generator domains (fixed values).
 ITEM_PRICES_USD = ["4.99", "9.99", "19.99", "29.99"]
 GENERATOR_PLAYERS = 10_000

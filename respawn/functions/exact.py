@@ -21,8 +21,8 @@ def col(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Exact money value (cents precision)."""
-    return col(c).cast(MONEY)
+    """Exact money value (cents precision); NULL for what it can't hold (not finite, 1e16 or more)."""
+    return col(c).try_cast(MONEY)
 
 
 def money_sum(c: Column | str) -> Column:
@@ -41,23 +41,31 @@ def exact_div(num: Column, den: Column) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Floor division of two non-negative longs, exact below 2^53."""
-    a = a.cast("long")
-    b = b.cast("long")
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Whole part of a / b for integers (long or decimal without fraction) of any size.
+
+    Spark's integral division: no double in between. The quotient is a long.
+    """
+    return F.call_function("div", a, b)
+
+
+WHOLE = "decimal(38,0)"
 
 
 def ratio_round(num: Column, den: Column, digits: int) -> Column:
     """Half-up rounding of num/den to ``digits`` decimals, num and den integers >= 0.
 
-    Integer arithmetic only -- floor((2*num*10^d + den) / (2*den)) / 10^d -- so
-    no float formatting rule can move a tie. NULL when den is 0.
+    Whole numbers only: the quotient, then the remainder scaled and rounded, so no float
+    formatting rule can move a tie. Only the remainder (below ``den``) is scaled, which leaves
+    room for operands up to 10^(37 - digits). NULL when den is 0 or NULL.
     """
     scale = 10 ** digits
-    n = num.cast("long")
-    d = den.cast("long")
-    q = int_div(n * F.lit(2 * scale) + d, d * F.lit(2))
-    return F.when(d > 0, q.cast("double") / F.lit(float(scale)))
+    n, d = num.cast(WHOLE), den.cast(WHOLE)
+    d = F.when(d > 0, d)
+    whole = int_div(n, d)
+    rest = (n - (whole.cast("decimal(19,0)") * d.cast("decimal(19,0)")).cast(WHOLE)).cast("decimal(28,0)")
+    part = int_div(rest * F.lit(2 * scale).cast("decimal(9,0)") + d, d * F.lit(2).cast("decimal(1,0)"))
+    total = whole.cast("decimal(28,0)") * F.lit(scale).cast("decimal(9,0)") + part
+    return total.cast("double") / F.lit(float(scale))
 
 
 def units(x: Column | str, scale: int) -> Column:

@@ -2,8 +2,8 @@
 
 A rule is ``(name, SQL predicate, action)`` with action ``drop`` (remove failing
 rows), ``warn`` (keep them, count them) or ``fail`` (stop the job). Rules are
-three-valued-safe: only a predicate that is TRUE passes (``coalesce(p, false)``),
-so a NULL comparison counts as a failure.
+three-valued-safe: only a predicate that is TRUE passes (counts use
+``coalesce(p, false)``, filters drop NULL anyway), so a NULL comparison counts as a failure.
 
 Pass/fail counts are taken in the *same pass* as the data with
 ``DataFrame.observe`` -- no second scan, no driver-side loop -- and surface
@@ -68,8 +68,10 @@ SESSION_RULES = [
     Rule("non_negative_kills", "kills >= 0", WARN),
     Rule("non_negative_deaths", "deaths >= 0", WARN),
 ]
+# A price must be finite and fit the money type; NaN and Infinity compare above every number.
+VALID_PRICE = "item_price_usd IS NOT NULL AND item_price_usd >= 0 AND item_price_usd < 1e16"
 PURCHASE_RULES = [
-    Rule("valid_purchase_amount", "item_price_usd IS NOT NULL AND item_price_usd >= 0"),
+    Rule("valid_purchase_amount", VALID_PRICE),
 ]
 CHURN_RULES = [
     Rule("valid_player_id", "player_id IS NOT NULL"),
@@ -121,11 +123,8 @@ def expect(df: DataFrame, rules: list[Rule], observation: Observation | str | No
                      lambda x: x.isNotNull()) if warn else F.array().cast("array<string>"),
         )
     drop = [r for r in rules if r.action == DROP]
-    if drop:
-        cond = drop[0].passes()
-        for r in drop[1:]:
-            cond = cond & r.passes()
-        out = out.where(cond)
+    for r in drop:  # a filter drops NULL as it drops FALSE, so the bare predicate can reach the scan
+        out = out.where(F.expr(r.predicate))
     return out
 
 

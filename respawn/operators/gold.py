@@ -1,9 +1,10 @@
 """Gold feature tables: churn features, ARPU features, segments, summaries.
 
 Design: the reference computes three per-player aggregates (events, sessions,
-purchases) and left-joins them. Here the three inputs are projected onto one
-narrow common row shape, unioned, and reduced by a *single* ``groupBy``: one
-hash shuffle of map-side partial aggregates, no join, no sort. A hot player is
+purchases) and left-joins them. Here every event row carries what it counts as
+(event, session, purchase; separate tables are unioned to the same shape), and a
+*single* ``groupBy`` reduces them: one scan, one hash shuffle of map-side partial
+aggregates, no join, no sort. A hot player is
 harmless because partial aggregation collapses its rows before the shuffle.
 The left-join semantics are kept by requiring at least one activity row.
 
@@ -23,10 +24,9 @@ from respawn.constants import (CHURN_DAYS, ENGAGEMENT_CORE_LOGINS, ENGAGEMENT_LA
                                PREMIUM_TIERS, REVENUE_SPENDER_30D, REVENUE_WHALE_30D,
                                WHALE_SPEND_90D)
 from respawn.functions.exact import MONEY, exact_div, money, ratio_round, units
+from respawn.functions.quantiles import exact_quantiles
 from respawn.operators import dq
-from respawn.operators.silver import duration_seconds
-
-SRC_EVENT, SRC_SESSION, SRC_PURCHASE = 0, 1, 2
+from respawn.operators.silver import duration_seconds, session_values
 
 CHURN_COLUMNS = [
     "player_id", "compute_date", "first_seen_date", "last_login_date", "login_count_7d",
@@ -56,35 +56,46 @@ def as_date(d) -> dt.date:
     return dt.date.fromisoformat(str(d))
 
 
+def _rows(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
+    """One row shape for all silver inputs; ``kind`` marks what a row counts as."""
+    empty = {"t": "string", "platform": "string", "region": "string", "secs": "long", "won": "long", "price": MONEY}
+    return df.select("player_id", columns["d"].alias("d"),
+                     *[F.lit(k == kind).alias(k) for k in ("ev", "se", "pu")],
+                     *[columns.get(c, F.lit(None)).cast(t).alias(c) for c, t in empty.items()])
+
+
 def _unified(events: DataFrame | None, sessions: DataFrame | None, purchases: DataFrame | None) -> DataFrame:
-    """Project the silver inputs onto one row shape for a single reduction."""
-    null_s, null_l, null_m = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast(MONEY)
+    """Project separate silver tables onto one row shape for a single reduction."""
     parts = []
     if events is not None:
-        parts.append(events.select(
-            "player_id", F.lit(SRC_EVENT).alias("src"), F.col("event_date").alias("d"),
-            F.col("event_type_normalized").alias("t"), "platform", "region",
-            null_l.alias("secs"), null_l.alias("won"), null_m.alias("price"),
-        ))
+        parts.append(_rows(events, "ev", d=F.col("event_date"), t=F.col("event_type_normalized"),
+                           platform=F.col("platform"), region=F.col("region")))
     if sessions is not None:
-        parts.append(sessions.select(
-            "player_id", F.lit(SRC_SESSION).alias("src"), F.col("session_date").alias("d"),
-            null_s.alias("t"), null_s.alias("platform"), null_s.alias("region"),
-            duration_seconds("duration_min").alias("secs"), F.col("matches_won").cast("long").alias("won"),
-            null_m.alias("price"),
-        ))
+        parts.append(_rows(sessions, "se", d=F.col("session_date"), secs=duration_seconds("duration_min"),
+                           won=F.col("matches_won")))
     if purchases is not None:
-        parts.append(purchases.select(
-            "player_id", F.lit(SRC_PURCHASE).alias("src"), F.col("event_date").alias("d"),
-            null_s.alias("t"), null_s.alias("platform"), null_s.alias("region"),
-            null_l.alias("secs"), null_l.alias("won"), money("item_price_usd").alias("price"),
-        ))
+        parts.append(_rows(purchases, "pu", d=F.col("event_date"), price=money("item_price_usd")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _unified_events(events: DataFrame) -> DataFrame:
+    """The same rows from the cleaned events alone: sessions and purchases are filters of them,
+    so one scan carries all three inputs and an event row counts as what it is."""
+    kind = F.col("event_type_normalized")
+    session = session_values()
+    rows = events.select(
+        "player_id", F.col("event_date").alias("d"), F.lit(True).alias("ev"),
+        F.coalesce((kind == "session_end") & (session["duration_min"] > 0), F.lit(False)).alias("se"),
+        F.coalesce((kind == "purchase") & F.expr(dq.VALID_PRICE), F.lit(False)).alias("pu"),
+        kind.alias("t"), "platform", "region",
+        duration_seconds(session["duration_min"]).alias("secs"), session["matches_won"].cast("long").alias("won"),
+        money("item_price_usd").alias("price"))
+    return rows
+
+
 def _window(days: int, as_of: dt.date) -> Column:
     """event date within [as_of - days, as_of] (inclusive both ends)."""
     return (F.col("d") >= F.lit(as_of - dt.timedelta(days=days))) & (F.col("d") <= F.lit(as_of))
@@ -92,8 +103,7 @@ def _window(days: int, as_of: dt.date) -> Column:
 
 def churn_aggregates(unified: DataFrame, as_of: dt.date, horizon_days: int | None = None) -> DataFrame:
     """Per-player reduction behind K1 (and K5 when ``horizon_days`` is given)."""
-    src, t = F.col("src"), F.col("t")
-    ev, se, pu = src == SRC_EVENT, src == SRC_SESSION, src == SRC_PURCHASE
+    t, ev, se, pu = F.col("t"), F.col("ev"), F.col("se"), F.col("pu")
     upto = F.col("d") <= F.lit(as_of)
     w7, w30 = _window(7, as_of), _window(30, as_of)
     login = t == "login"
@@ -153,22 +163,36 @@ def _finish_churn(agg: DataFrame, as_of: dt.date, churn_days: int, never_login:
     return out
 
 
-def churn_features(events: DataFrame, sessions: DataFrame, purchases: DataFrame, as_of,
+def all_activity(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None) -> DataFrame:
+    """Rows for the reductions: from the tables given, or from the events alone where both
+    derived tables are None (one scan instead of three)."""
+    return _unified_events(events) if sessions is None and purchases is None else _unified(events, sessions, purchases)
+
+
+def churn_candidates(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None, as_of,
+                     churn_days: int = CHURN_DAYS, never_login: str = "retained") -> DataFrame:
+    """K1 before its expectations (what the rule counts are taken on)."""
+    as_of = as_date(as_of)
+    agg = churn_aggregates(all_activity(events, sessions, purchases), as_of)
+    return _finish_churn(agg, as_of, churn_days, never_login).select(*CHURN_COLUMNS)
+
+
+def churn_features(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None, as_of,
                    churn_days: int = CHURN_DAYS, never_login: str = "retained",
                    observation=None) -> DataFrame:
     """K1: one row per player as of ``as_of`` (20 columns, see CHURN_COLUMNS).
 
+    ``sessions`` and ``purchases`` may both be None: they are then read off the events.
+
     ``never_login``: what the label says for a player with no login ever --
     ``'retained'`` (label 0, the reference behaviour), ``'churned'`` or
     ``'exclude'`` (drop the player).
     """
-    as_of = as_date(as_of)
-    agg = churn_aggregates(_unified(events, sessions, purchases), as_of)
-    out = _finish_churn(agg, as_of, churn_days, never_login).select(*CHURN_COLUMNS)
+    out = churn_candidates(events, sessions, purchases, as_of, churn_days, never_login)
     return dq.expect(out, dq.CHURN_RULES, observation)
 
 
-def churn_point_in_time(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
+def churn_point_in_time(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None,
                         feature_window_end, horizon_days: int = CHURN_DAYS) -> DataFrame:
     """K5: leak-free snapshot. Features use only data up to ``feature_window_end``;
     the label is 1 when the player does not log in during the next
@@ -177,7 +201,7 @@ def churn_point_in_time(events: DataFrame, sessions: DataFrame, purchases: DataF
     """
     fe = as_date(feature_window_end)
     end = fe + dt.timedelta(days=horizon_days)
-    agg = churn_aggregates(_unified(events, sessions, purchases), fe, horizon_days)
+    agg = churn_aggregates(all_activity(events, sessions, purchases), fe, horizon_days)
     base = _finish_churn(agg, fe, CHURN_DAYS, "retained")
     data_end = events.agg(F.max("event_date")).scalar()
     label = F.when(data_end < F.lit(end),
@@ -196,23 +220,30 @@ def premium_tier(total_spend_90d: Column) -> Column:
     return expr.otherwise(F.lit(PREMIUM_TIER_ELSE))
 
 
-def arpu_features(purchases: DataFrame, events: DataFrame, as_of, whale_rule: str = "threshold",
-                  observation=None, keep_threshold: bool = False) -> DataFrame:
-    """K2: revenue features per paying player (one reduction over purchases + events).
-
-    ``whale_rule='threshold'``: 90-day spend >= 250 USD (reference code);
-    ``'p95'``: above the 95th percentile of 90-day spend over paying players
-    (documented rule; one extra global aggregate exposed as a scalar subquery).
-    """
+def arpu_candidates(purchases: DataFrame | None, events: DataFrame, as_of, whale_rule: str = "threshold",
+                    keep_threshold: bool = False) -> DataFrame:
+    """K2 before its expectations."""
     as_of = as_date(as_of)
-    u = _unified(events, None, purchases)
-    pu, ev = F.col("src") == SRC_PURCHASE, F.col("src") == SRC_EVENT
+    u = _unified_events(events) if purchases is None else _unified(events, None, purchases)
+    pu, ev = F.col("pu"), F.col("ev")
     upto = F.col("d") <= F.lit(as_of)
     agg = u.groupBy("player_id").agg(
         *_arpu_aggs(pu, as_of),
         F.min(F.when(ev & upto, F.col("d"))).alias("first_seen_date"),
     ).where(F.col("_n_purchases") > 0)
-    return _arpu_finish(agg, as_of, whale_rule, observation, keep_threshold)
+    return _arpu_finish(agg, as_of, whale_rule, keep_threshold)
+
+
+def arpu_features(purchases: DataFrame | None, events: DataFrame, as_of, whale_rule: str = "threshold",
+                  observation=None, keep_threshold: bool = False) -> DataFrame:
+    """K2: revenue features per paying player (one reduction; ``purchases`` None: read off the events).
+
+    ``whale_rule='threshold'``: 90-day spend >= 250 USD (reference code);
+    ``'p95'``: above the 95th percentile of 90-day spend over paying players
+    (documented rule; an exact quantile exposed as a scalar subquery).
+    """
+    out = arpu_candidates(purchases, events, as_of, whale_rule, keep_threshold)
+    return dq.expect(out, dq.ARPU_RULES, observation)
 
 
 def _arpu_aggs(pu: Column, as_of: dt.date) -> list[Column]:
@@ -231,8 +262,7 @@ def _arpu_aggs(pu: Column, as_of: dt.date) -> list[Column]:
     ]
 
 
-def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=None,
-                 keep_threshold: bool = False) -> DataFrame:
+def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, keep_threshold: bool = False) -> DataFrame:
     zero = F.lit(0).cast(MONEY)
     s90 = F.coalesce(F.col("_s90"), zero).cast("double")
     out = agg.select(
@@ -249,14 +279,13 @@ def _arpu_finish(agg: DataFrame, as_of: dt.date, whale_rule: str, observation=No
         premium_tier(s90).alias("premium_tier"),
     )
     if whale_rule == "p95":
-        p95 = out.agg(F.percentile_approx("total_spend_90d", 0.95, 100000)).scalar()
-        out = out.withColumn("whale_threshold", p95)  # one subquery reference
+        p95 = exact_quantiles(out, "total_spend_90d", [0.95])
+        out = out.withColumn("whale_threshold", F.get(p95, F.lit(0)))  # one subquery reference
     else:
         out = out.withColumn("whale_threshold", F.lit(WHALE_SPEND_90D))
     op = (F.col("total_spend_90d") > F.col("whale_threshold")) if whale_rule == "p95" else \
         (F.col("total_spend_90d") >= F.col("whale_threshold"))
-    out = out.withColumn("is_whale", op).select(*ARPU_COLUMNS, *(["whale_threshold"] if keep_threshold else []))
-    return dq.expect(out, dq.ARPU_RULES, observation)
+    return out.withColumn("is_whale", op).select(*ARPU_COLUMNS, *(["whale_threshold"] if keep_threshold else []))
 
 
 # --------------------------------------------------------------------------- K4
@@ -384,7 +413,7 @@ def arpu_features_joined(purchases: DataFrame, events: DataFrame, as_of) -> Data
     agg = pu.groupBy("player_id").agg(*_arpu_aggs(F.lit(True), as_of)).where(F.col("_n_purchases") > 0)
     first_seen = events.groupBy("player_id").agg(
         F.min(F.when(F.col("event_date") <= F.lit(as_of), F.col("event_date"))).alias("first_seen_date"))
-    return _arpu_finish(agg.join(first_seen, "player_id", "left"), as_of, "threshold")
+    return dq.expect(_arpu_finish(agg.join(first_seen, "player_id", "left"), as_of, "threshold"), dq.ARPU_RULES)
 
 
 # --------------------------------------------------------------------------- F9
@@ -404,7 +433,7 @@ def primary_dimensions(events: DataFrame, as_of=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- K6
-def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame, start, end) -> DataFrame:
+def churn_history(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None, start, end) -> DataFrame:
     """K6: K1 features for every compute date in [start, end] (one row per player per day).
 
     Scales with the *daily grain*, not the raw rows: the three inputs are first
@@ -423,9 +452,8 @@ def churn_history(events: DataFrame, sessions: DataFrame, purchases: DataFrame,
     n_days = (end - start).days
     if n_days < 0:
         raise ValueError("end before start")
-    u = _unified(events, sessions, purchases)
-    src, t = F.col("src"), F.col("t")
-    ev, se, pu = src == SRC_EVENT, src == SRC_SESSION, src == SRC_PURCHASE
+    u = all_activity(events, sessions, purchases)
+    t, ev, se, pu = F.col("t"), F.col("ev"), F.col("se"), F.col("pu")
     daily = u.groupBy("player_id", "d", "platform", "region").agg(
         F.count_if(ev).alias("n_ev"),
         F.count_if(ev & (t == "login")).alias("n_login"),

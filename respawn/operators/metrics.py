@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from respawn.functions.exact import MONEY, exact_div, money, ratio_round
+from respawn.functions.quantiles import exact_quantiles
+from respawn.operators.dq import VALID_PRICE
 
 
 def activity_pairs(cleaned: DataFrame) -> DataFrame:
@@ -94,7 +96,7 @@ def retention_curve(cleaned: DataFrame) -> DataFrame:
 def arpu_by_region(cleaned: DataFrame) -> DataFrame:
     """Revenue, active and paying players, ARPU and ARPPU per region (one aggregate)."""
     c = F.col
-    valid = (c("event_type_normalized") == "purchase") & (c("item_price_usd") >= 0)
+    valid = (c("event_type_normalized") == "purchase") & F.expr(VALID_PRICE)
     g = cleaned.groupBy("region").agg(
         F.count_distinct("player_id").alias("active_players"),
         F.count_distinct(F.when(valid, c("player_id"))).alias("paying_players"),
@@ -122,21 +124,25 @@ def spend_distribution(churn: DataFrame) -> DataFrame:
     )
 
 
-def purchases_from_orders(orders: DataFrame) -> DataFrame:
-    """Order history as purchases: customer -> player, order date -> purchase date."""
-    return orders.select(
-        F.concat(F.lit("player_"), F.col("o_custkey").cast("string")).alias("player_id"),
-        F.to_date("o_orderdate").alias("event_date"),
-        F.col("o_totalprice").alias("item_price_usd"))
+def spend_percentiles(churn: DataFrame, shares: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
+    """Exact percentiles of the 30-day spend over all players (a row each)."""
+    points = exact_quantiles(churn, "total_spend_30d", list(shares))
+    asked = churn.sparkSession.createDataFrame([(i, p) for i, p in enumerate(shares)], "i int, percentile double")
+    return asked.withColumn("_q", points).select("percentile", F.get("_q", F.col("i")).alias("spend_30d"))
 
 
-def ltv_by_cohort(purchases: DataFrame) -> DataFrame:
-    """Players, revenue and lifetime value per first-purchase month cohort."""
-    per_player = purchases.where(F.col("event_date").isNotNull()).groupBy("player_id").agg(
-        F.min("event_date").alias("_first"), F.sum(money("item_price_usd")).alias("_rev"))
+def ltv_by_cohort(cleaned: DataFrame) -> DataFrame:
+    """Players, payers, revenue and revenue per player of each first-seen month.
+
+    Every player counts in its cohort, paying or not; one reduction by player, one by month.
+    """
+    paid = F.when((F.col("event_type_normalized") == "purchase") & F.expr(VALID_PRICE), money("item_price_usd"))
+    per_player = cleaned.where(F.col("event_date").isNotNull()).groupBy("player_id").agg(
+        F.min("event_date").alias("_first"), F.sum(paid).alias("_rev"), F.count(paid).alias("_n"))
     g = per_player.groupBy(F.trunc("_first", "month").alias("cohort_month")).agg(
-        F.count(F.lit(1)).alias("players"), F.sum("_rev").alias("_rev"))
-    return g.select("cohort_month", "players", F.col("_rev").cast("double").alias("revenue_usd"),
+        F.count(F.lit(1)).alias("players"), F.count_if(F.col("_n") > 0).alias("payers"),
+        F.coalesce(F.sum("_rev"), F.lit(0).cast(MONEY)).alias("_rev"))
+    return g.select("cohort_month", "players", "payers", F.col("_rev").cast("double").alias("revenue_usd"),
                     exact_div(F.col("_rev"), F.col("players")).alias("ltv_usd"))
 
 
@@ -159,16 +165,15 @@ def platform_region(cleaned: DataFrame) -> DataFrame:
 
 def win_rate_by_tier(sessions: DataFrame) -> DataFrame:
     """Session win rate per skill tier; tier = quartile of the player's K/D
-    (kills / (deaths + 1) over all sessions). Quartile cut points come from a
-    mergeable quantile sketch (exact below 10^5 players per sketch), exposed as
-    scalar subqueries -- no collect."""
+    (kills / (deaths + 1) over all sessions). The quartiles are exact and exposed
+    as a scalar subquery -- no collect."""
     per = sessions.groupBy("player_id").agg(
         F.sum("kills").alias("_k"), F.sum("deaths").alias("_d"),
         F.count(F.lit(1)).alias("sessions"), F.sum("matches_won").alias("won"))
     per = per.withColumn("kd", F.col("_k").cast("double") / (F.col("_d") + F.lit(1)).cast("double"))
-    q = per.agg(F.percentile_approx("kd", [0.25, 0.5, 0.75], 100000).alias("q")).scalar()
+    q = exact_quantiles(per, "kd", [0.25, 0.5, 0.75])
     # tier = 1 + number of cut points below the player's K/D; the cut points are
-    # projected once as a column, so the sketch subquery runs once
+    # projected once as a column, so the subquery runs once
     per = per.withColumn("_q", q)
     tier = (F.size(F.filter("_q", lambda cut: F.col("kd") > cut)) + F.lit(1)).cast("int")
     g = per.groupBy(tier.alias("skill_tier")).agg(

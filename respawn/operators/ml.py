@@ -19,11 +19,12 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from respawn.constants import (CATEGORICAL_COLUMNS, FEATURE_COLUMNS, LR_MAX_ITER, RF_MAX_DEPTH,
                                RF_NUM_TREES, SPLIT_SEED, TRAIN_FRACTION)
+from respawn.functions.exact import exact_div
 from respawn.operators.bi import SCORE_COLUMNS, risk_tier
 
 LABEL = "churn_label"
@@ -82,7 +83,7 @@ def evaluate(predictions: DataFrame) -> dict:
     confusion counts, taken with one grouped aggregate.
     """
     auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(predictions)
+                                        metricName="areaUnderROC", numBins=0).evaluate(predictions)  # every score is a point
     cm = {(int(r[0]), int(r[1])): int(r[2]) for r in
           predictions.groupBy(LABEL, F.col("prediction").cast("int")).count().collect()}
     tp, fp, tn, fn = cm.get((1, 1), 0), cm.get((0, 1), 0), cm.get((0, 0), 0), cm.get((1, 0), 0)
@@ -123,27 +124,62 @@ def detach_summaries(model: PipelineModel) -> PipelineModel:
     return model
 
 
+def _fit(data: DataFrame, algorithm: str, **params):
+    """Fit and evaluate on prepared (persisted) features; the predictions are released again."""
+    from pyspark import StorageLevel
+
+    train, test = hash_split(data)
+    check_label_classes(train)
+    model = detach_summaries(build_pipeline(algorithm, **params).fit(train))
+    preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return model, evaluate(preds)
+    finally:
+        preds.unpersist()
+
+
+def _prepared(features: DataFrame) -> DataFrame:
+    from pyspark import StorageLevel
+
+    from respawn.session import checkpoint_dir
+    checkpoint_dir(features.sparkSession)
+    return prepare_features(features).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def train_churn_model(features: DataFrame, algorithm: str = "random_forest", **params):
     """Fit on the hash split's training side; returns (model, metrics, test predictions).
 
     Indexers, the forest and the evaluators each make several passes over the
     data; the prepared features (one row per player) are persisted for the
     duration (memory, spilling to disk) so the upstream feature plan runs once.
+    Nothing stays persisted; the predictions are a lazy frame.
     """
-    from pyspark import StorageLevel
-
-    from respawn.session import checkpoint_dir
-    checkpoint_dir(features.sparkSession)
-    data = prepare_features(features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = _prepared(features)
     try:
-        train, test = hash_split(data)
-        check_label_classes(train)
-        model = detach_summaries(build_pipeline(algorithm, **params).fit(train))
-        preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
-        metrics = evaluate(preds)
+        model, metrics = _fit(data, algorithm, **params)
     finally:
         data.unpersist()
-    return model, metrics, preds
+    return model, metrics, model.transform(hash_split(prepare_features(features))[1])
+
+
+def assembled(features: DataFrame) -> DataFrame:
+    """L3/L4: category indexes and the assembled vector's slots (f0, f1, ...) per player."""
+    data = prepare_features(features)
+    stages = build_pipeline("logistic_regression").getStages()[:-1]
+    out = Pipeline(stages=stages).fit(data).transform(data)
+    slots = vector_to_array("features")
+    n = len(FEATURE_COLUMNS) + len(CATEGORICAL_COLUMNS)
+    return out.select("player_id", *[slots[i].alias(f"f{i}") for i in range(n)])
+
+
+def confusion(predictions: DataFrame) -> DataFrame:
+    """L6 as one row: confusion counts, accuracy and F1 of the positive class."""
+    label, said = F.col(LABEL) == 1, F.col("prediction") == 1.0
+    one = predictions.agg(F.count_if(label & said).alias("tp"), F.count_if(~label & said).alias("fp"),
+                          F.count_if(~label & ~said).alias("tn"), F.count_if(label & ~said).alias("fn"))
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return one.select("tp", "fp", "tn", "fn", exact_div(tp + tn, tp + fp + tn + fn).alias("accuracy"),
+                      exact_div(tp * 2, tp * 2 + fp + fn).alias("f1"))
 
 
 def prediction_review(predictions: DataFrame) -> DataFrame:
@@ -186,36 +222,54 @@ def register_model(spark: SparkSession, model: PipelineModel, metrics: dict, par
     path = f"{root.rstrip('/')}/models/{run_id}"
     model.write().overwrite().save(path)
     row = {"run_id": run_id, "created_at": dt.datetime.now(dt.timezone.utc).isoformat(),
-           "model_path": path, "stage": stage, "params": json.dumps(params, sort_keys=True),
+           "model_path": path, "params": json.dumps(params, sort_keys=True),
            **{k: float(v) for k, v in metrics.items()}}
     spark.createDataFrame([row]).write.mode("append").parquet(f"{root.rstrip('/')}/ml_runs")
+    _append_stage(spark, root, [(run_id, stage)])
     return row
 
 
-def promote(spark: SparkSession, root: str, run_id: str, stage: str = "Production") -> None:
-    """Mark one run as the ``stage`` model (others in that stage are archived)."""
+def _append_stage(spark: SparkSession, root: str, changes: list[tuple[str, str]]) -> None:
+    at = dt.datetime.now(dt.timezone.utc).isoformat()
+    rows = [(run_id, stage, at) for run_id, stage in changes]
+    spark.createDataFrame(rows, "run_id string, stage string, changed_at string").write.mode("append").parquet(f"{root.rstrip('/')}/ml_stages")
+
+
+def models(spark: SparkSession, root: str) -> DataFrame:
+    """The model versions: (version, run_id, stage, model_path, created_at), a row per training run.
+
+    Runs and stage changes are only ever appended; a run's stage is the last one given to it.
+    """
     runs = spark.read.parquet(f"{root.rstrip('/')}/ml_runs")
-    updated = runs.withColumn(
-        "stage", F.when(F.col("run_id") == run_id, F.lit(stage))
-        .when(F.col("stage") == stage, F.lit("Archived")).otherwise(F.col("stage")))
-    rows = updated.collect()  # the registry holds one row per training run: tiny by construction
-    spark.createDataFrame(rows, runs.schema).write.mode("overwrite").parquet(f"{root.rstrip('/')}/ml_runs")
+    stages = spark.read.parquet(f"{root.rstrip('/')}/ml_stages")
+    now = stages.groupBy("run_id").agg(F.max_by("stage", "changed_at").alias("stage"))
+    version = F.row_number().over(Window.orderBy("created_at", "run_id"))  # a row per training run
+    return runs.join(now, "run_id").select(version.alias("version"), "run_id", "stage", "model_path", "created_at")
+
+
+def promote(spark: SparkSession, root: str, run_id: str, stage: str = "Production") -> None:
+    """Make one run the ``stage`` model (others in that stage are archived) by appending the changes."""
+    known = {r["run_id"]: r["stage"] for r in models(spark, root).collect()}  # a row per training run
+    if run_id not in known:
+        raise LookupError(f"no run {run_id!r}")
+    _append_stage(spark, root, [(run_id, stage), *((r, "Archived") for r, s in known.items() if s == stage and r != run_id)])
 
 
 def load_stage(spark: SparkSession, root: str, stage: str = "Production") -> PipelineModel:
-    runs = spark.read.parquet(f"{root.rstrip('/')}/ml_runs").where(F.col("stage") == stage)
-    best = runs.orderBy(F.desc("created_at")).select("model_path").first()
+    best = models(spark, root).where(F.col("stage") == stage).orderBy(F.desc("version")).select("model_path").first()
     if best is None:
         raise LookupError(f"no model in stage {stage!r}")
     return PipelineModel.load(best["model_path"])
 
 
 def sweep(features: DataFrame, grid: list[dict]) -> list[dict]:
-    """Train one model per parameter set; returns metrics per configuration."""
-    out = []
-    for params in grid:
-        p = dict(params)
-        algo = p.pop("algorithm", "random_forest")
-        _, metrics, _ = train_churn_model(features, algo, **p)
-        out.append({"algorithm": algo, **p, **metrics})
+    """Train one model per parameter set on the same prepared features; metrics per configuration."""
+    data, out = _prepared(features), []
+    try:
+        for params in grid:
+            p = dict(params)
+            algo = p.pop("algorithm", "random_forest")
+            out.append({"algorithm": algo, **p, **_fit(data, algo, **p)[1]})
+    finally:
+        data.unpersist()
     return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from respawn.functions.exact import int_div, money_sum, ratio_round, units
+from respawn.functions.exact import int_div, money, money_sum, ratio_round, units
 from respawn.functions.payload import canonical_platform, normalize_event_type, parse_payload
 from respawn.operators import dq
 
@@ -69,7 +69,8 @@ DEDUP_ORDER = ["ingest_ts", "payload", "event_ts", "player_id", "event_type_norm
 def dedup_events(typed: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (earliest ingest), NULLs first.
 
-    Deterministic (unlike ``dropDuplicates``): ``min_by(row, ordering)`` per key.
+    Deterministic (unlike ``dropDuplicates``): the minimum of one struct, the ordering
+    columns first and the others behind them, so the payload is buffered and shuffled once.
     Being an aggregate, it runs a partial aggregation *before* the shuffle, so
     a hot group of copies (one id redelivered millions of times) collapses to
     one row per map task instead of landing whole in a single reducer. Rows
@@ -80,10 +81,8 @@ def dedup_events(typed: DataFrame, key: str = "event_id", order: list[str] | Non
     cols = typed.columns
     other = [c for c in cols if c != key]
     null_key = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in other]))
-    ordering = F.struct(*[F.col(c) for c in order if c in cols],
-                        *[F.col(c) for c in other if c not in order])
-    picked = (typed.groupBy(F.col(key), null_key.alias("_nk"))
-              .agg(F.min_by(F.struct(*[F.col(c) for c in other]), ordering).alias("_r")))
+    ranked = [c for c in order if c in cols] + [c for c in other if c not in order]
+    picked = typed.groupBy(F.col(key), null_key.alias("_nk")).agg(F.min(F.struct(*ranked)).alias("_r"))
     return picked.select(key, *[F.col("_r")[c].alias(c) for c in other])
 
 
@@ -120,10 +119,19 @@ def clean_events(bronze: DataFrame, observation: Observation | str | None = None
 
 
 # --------------------------------------------------------------------------- C2
-def session_candidates(cleaned: DataFrame) -> DataFrame:
-    """C2 projection before its expectations."""
+def session_values() -> dict:
+    """What a session_end event says of its session (also used where sessions aren't a table)."""
     kills = F.coalesce(F.col("session_kills"), F.lit(0))
     deaths = F.coalesce(F.col("session_deaths"), F.lit(0))
+    return {"kills": kills, "deaths": deaths,
+            "duration_min": F.col("session_duration_seconds").cast("double") / F.lit(60.0),
+            "matches_won": F.when(kills >= deaths, F.lit(1)).otherwise(F.lit(0))}
+
+
+def session_candidates(cleaned: DataFrame) -> DataFrame:
+    """C2 projection before its expectations."""
+    values = session_values()
+    kills, deaths = values["kills"], values["deaths"]
     dur = F.col("session_duration_seconds")
     return (
         cleaned.where(F.col("event_type_normalized") == "session_end")
@@ -133,13 +141,13 @@ def session_candidates(cleaned: DataFrame) -> DataFrame:
             "player_id",
             F.col("event_ts").alias("session_end_ts"),
             F.timestamp_seconds(F.unix_timestamp("event_ts") - dur).alias("session_start_ts"),
-            (dur.cast("double") / F.lit(60.0)).alias("duration_min"),
+            values["duration_min"].alias("duration_min"),
             "game_mode", "region", "platform",
             kills.alias("kills"),
             deaths.alias("deaths"),
             (kills.cast("double") / (deaths + F.lit(1)).cast("double")).alias("kd_ratio"),
             F.lit(1).alias("matches_played"),
-            F.when(kills >= deaths, F.lit(1)).otherwise(F.lit(0)).alias("matches_won"),
+            values["matches_won"].alias("matches_won"),
             F.coalesce(F.col("session_items_purchased"), F.lit(0)).alias("items_purchased"),
             F.coalesce(F.col("session_xp"), F.lit(0)).alias("experience_gain"),
             F.col("event_date").alias("session_date"),
@@ -277,8 +285,7 @@ def sessions_from_login_logout(cleaned: DataFrame, bucket: str = "hour") -> Data
         F.count_if(c("t") == "session_end").alias("played"),
         F.count_if((c("t") == "session_end") & (c("k") >= c("d"))).alias("won"),
         F.count_if(c("t") == "purchase").alias("items"),
-        F.sum(F.when((c("t") == "purchase") & (c("item_price_usd") >= 0),
-                     c("item_price_usd").cast("decimal(18,2)"))).alias("spend"),
+        F.sum(F.when((c("t") == "purchase") & F.expr(dq.VALID_PRICE), money("item_price_usd"))).alias("spend"),
         F.sum(F.when(c("t") == "kill", c("experience_granted"))).cast("long").alias("xp"),
     )
     checkpoint_dir(cleaned.sparkSession)

@@ -11,27 +11,29 @@ shared filesystem of the cluster.
     build_gold    silver -> gold/{churn_features_daily, arpu_features_daily,
                   player_segments} (by compute_date, dynamic overwrite -> history)
     build_scores  gold churn (latest date) + Production model -> gold/player_churn_scores
-    bi_views      temp views vw_retention_churn / vw_player_segments / vw_arpu_summary
+    build_training  K5 snapshot (label from the week after the features) -> gold/churn_training
+    bi_views      gold/vw_retention_churn, vw_player_segments, vw_arpu_summary: stored results,
+                  as without a metastore no view outlives its session
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from respawn.operators import bi, gold, ml, profile, silver
+from respawn.session import path_exists
 from respawn.sources import files
 
 
 def _p(root: str, *parts: str) -> str:
-    return os.path.join(root, *parts)
+    return "/".join([root.rstrip("/"), *parts])
 
 
-def build_bronze(spark: SparkSession, landing_dir: str, root: str) -> dict:
+def build_bronze(spark: SparkSession, landing_dir: str, root: str, max_files_per_trigger: int | None = None) -> dict:
     return files.ingest_events(spark, landing_dir, _p(root, "bronze", "raw_events"),
                                _p(root, "_checkpoints", "bronze"),
-                               metrics_path=_p(root, "bronze", "raw_events_quality"))
+                               metrics_path=_p(root, "bronze", "raw_events_quality"),
+                               max_files_per_trigger=max_files_per_trigger)
 
 
 def build_silver(spark: SparkSession, root: str, stream: bool = False) -> dict:
@@ -45,7 +47,7 @@ def build_silver(spark: SparkSession, root: str, stream: bool = False) -> dict:
                                   _p(root, "_checkpoints", "silver"))
     else:
         bronze = spark.read.parquet(_p(root, "bronze", "raw_events")).select(*files.RAW_SCHEMA.fieldNames())
-        files.write_table(silver.clean_events(bronze), cleaned_path, ["event_date"])
+        files.write_table(silver.clean_events(bronze), cleaned_path, ["event_date"], whole=True)
     cleaned = spark.read.parquet(cleaned_path)
     files.write_table(silver.sessions_from_end_events(cleaned), _p(root, "silver", "player_sessions"))
     files.write_table(silver.purchase_events(cleaned), _p(root, "silver", "player_purchase_events"))
@@ -60,41 +62,53 @@ def read_silver(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
 
 
 def build_gold(spark: SparkSession, root: str, as_of) -> None:
-    events, sessions, purchases = read_silver(spark, root)
+    events = read_silver(spark, root)[0]  # sessions and purchases are read off the events in the same scan
     churn_path = _p(root, "gold", "churn_features_daily")
-    files.write_table(gold.churn_features(events, sessions, purchases, as_of), churn_path, ["compute_date"])
-    files.write_table(gold.arpu_features(purchases, events, as_of),
-                      _p(root, "gold", "arpu_features_daily"), ["compute_date"])
+    by_player = {"partition_by": ["compute_date"], "sort_by": ["player_id"]}
+    files.write_table(gold.churn_features(events, None, None, as_of), churn_path, **by_player)
+    files.write_table(gold.arpu_features(None, events, as_of), _p(root, "gold", "arpu_features_daily"), **by_player)
     churn = spark.read.parquet(churn_path).where(f"compute_date = DATE'{gold.as_date(as_of)}'")
-    files.write_table(gold.player_segments(churn), _p(root, "gold", "player_segments"), ["compute_date"])
+    files.write_table(gold.player_segments(churn), _p(root, "gold", "player_segments"), **by_player)
+
+
+def build_training(spark: SparkSession, root: str, window_end, horizon_days: int = 7) -> None:
+    """K5 as a table: one snapshot per feature window, labelled by the days after it."""
+    events = read_silver(spark, root)[0]
+    files.write_table(gold.churn_point_in_time(events, None, None, window_end, horizon_days),
+                      _p(root, "gold", "churn_training"), ["compute_date"], sort_by=["player_id"])
 
 
 def build_history(spark: SparkSession, root: str, start, end, chunk_days: int = 31) -> None:
     """K6 backfill in chunks of ``chunk_days`` compute dates (one partition per
     date, dynamic overwrite). The loop is over date ranges, not over data."""
     import datetime as dt
-    events, sessions, purchases = read_silver(spark, root)
+    events = read_silver(spark, root)[0]
     lo, hi = gold.as_date(start), gold.as_date(end)
     while lo <= hi:
         top = min(hi, lo + dt.timedelta(days=chunk_days - 1))
-        files.write_table(gold.churn_history(events, sessions, purchases, lo, top),
-                          _p(root, "gold", "churn_features_daily"), ["compute_date"])
+        files.write_table(gold.churn_history(events, None, None, lo, top),
+                          _p(root, "gold", "churn_features_daily"), ["compute_date"], sort_by=["player_id"])
         lo = top + dt.timedelta(days=1)
 
 
 def build_scores(spark: SparkSession, root: str, model_root: str) -> None:
     churn = spark.read.parquet(_p(root, "gold", "churn_features_daily"))
     model = ml.load_stage(spark, model_root, "Production")
-    files.write_table(ml.score(model, bi.latest_snapshot(churn)), _p(root, "gold", "player_churn_scores"))
+    files.write_table(ml.score(model, bi.latest_snapshot(churn)), _p(root, "gold", "player_churn_scores"), sort_by=["player_id"])
+
+
+#: The dashboard views: name -> (view function, gold table it reads).
+BI_VIEWS = {
+    "vw_retention_churn": (bi.vw_retention_churn, "player_churn_scores"),
+    "vw_player_segments": (bi.vw_player_segments, "player_segments"),
+    "vw_arpu_summary": (bi.vw_arpu_summary, "arpu_features_daily"),
+}
 
 
 def bi_views(spark: SparkSession, root: str) -> None:
-    scores = spark.read.parquet(_p(root, "gold", "player_churn_scores"))
-    files.declare_view(bi.vw_retention_churn(scores), "vw_retention_churn")
-    files.declare_view(bi.vw_player_segments(spark.read.parquet(_p(root, "gold", "player_segments"))),
-                       "vw_player_segments")
-    files.declare_view(bi.vw_arpu_summary(spark.read.parquet(_p(root, "gold", "arpu_features_daily"))),
-                       "vw_arpu_summary")
+    """(re)write the dashboard views' results, to be read by any session."""
+    for name, (view, table) in BI_VIEWS.items():
+        files.write_table(view(spark.read.parquet(_p(root, "gold", table))), _p(root, "gold", name), whole=True)
 
 
 # Catalog entries for the layer folders: (schema, table, folder, partition column, comment, properties).
@@ -117,7 +131,14 @@ CATALOG = [
      "Gold: per-player revenue features per compute date", {"quality": "gold"}),
     ("gold", "player_segments", "gold/player_segments", "compute_date",
      "Gold: engagement and revenue segments", {"quality": "gold"}),
+    ("gold", "churn_training", "gold/churn_training", "compute_date",
+     "Gold: churn features with the label of the days after them", {"quality": "gold"}),
+    ("gold", "player_churn_scores", "gold/player_churn_scores", None,
+     "Gold: churn probability and risk tier of the latest snapshot", {"quality": "gold"}),
+    *(("gold", name, f"gold/{name}", None, f"Gold: dashboard view {name}", {"quality": "gold"}) for name in BI_VIEWS),
 ]
+#: What the next layer's tables are made from, as a table property.
+SOURCES = {"bronze": "landing files", "silver": "bronze.raw_events", "gold": "silver.player_events_cleaned"}
 
 
 def register_catalog(spark: SparkSession, root: str) -> list[str]:
@@ -127,12 +148,13 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
     names = []
     for schema, table, folder, part, comment, props in CATALOG:
         path = _p(root, folder)
-        if not os.path.exists(path):
+        if not path_exists(spark, path):
             continue
         name = f"{schema}.{table}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         schema_ddl = spark.read.parquet(path).schema.toDDL()
         part_clause = f"PARTITIONED BY ({part})" if part else ""
+        props = props | {"pipeline": "respawn", "source": SOURCES[schema]}
         tbl_props = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
         spark.sql(f"CREATE TABLE {name} ({schema_ddl}) USING parquet {part_clause} "
                   f"LOCATION '{path}' COMMENT '{comment}' TBLPROPERTIES ({tbl_props})")
@@ -143,4 +165,6 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
                 if "NOT_A_PARTITIONED_TABLE" not in str(ex):
                     raise
         names.append(name)
+    if not names:
+        raise FileNotFoundError(f"no layer tables under {root}")
     return names

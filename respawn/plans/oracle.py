@@ -13,7 +13,8 @@ from respawn.constants import (EVENT_TYPES, GAME_MODES, LOGOUT_REASONS, PAYMENT_
                                PLATFORMS, REGIONS, SKINS, WEAPONS)
 from respawn.sources.driver import IP_COUNTRIES
 
-AS_OF = "DATE '2024-01-30'"
+AS_OF = "(SELECT max(CAST(ts AS DATE)) FROM events)"
+FIRST_DAY = "(SELECT min(CAST(ts AS DATE)) FROM events)"
 
 
 def _lst(values) -> str:
@@ -143,7 +144,7 @@ purchase_cand AS (
   FROM cleaned WHERE event_type_normalized = 'purchase'),
 purchases AS (
   SELECT * FROM purchase_cand
-  WHERE coalesce(item_price_usd IS NOT NULL AND item_price_usd >= 0, false))"""
+  WHERE coalesce(item_price_usd >= 0 AND item_price_usd < 1e16, false))"""
 
 
 def _churn_cte(as_of: str = AS_OF, name: str = "churn") -> str:
@@ -314,16 +315,34 @@ def g(select: str, *extra: str) -> str:
     return _gold_base(*extra) + select
 
 
-def _metrics_sql(rel: str, dataset: str, rules) -> str:
-    aggs = ", ".join(f"count(*) FILTER (WHERE NOT coalesce(({r.predicate}), false)) AS f{i}"
-                     for i, r in enumerate(rules))
-    parts = []
-    for i, r in enumerate(rules):
-        parts.append(
-            f"SELECT '{dataset}' AS dataset, '{r.name}' AS rule, '{r.action}' AS action, total, "
-            f"total - f{i} AS passed, f{i} AS failed, {rr(f'(total - f{i}) * 100', 'total', 2)} AS pass_pct "
-            f"FROM (SELECT count(*) AS total, {aggs} FROM {rel})")
-    return " UNION ALL ".join(parts)
+#: The expectations as the contract states them: dataset -> relation and (rule, action, predicate).
+RULES = {
+    "raw_events": ("raw", [
+        ("valid_event_id", "drop", "event_id IS NOT NULL"), ("valid_player_id", "drop", "player_id IS NOT NULL"),
+        ("valid_event_type", "drop", "event_type IN ('login', 'kill', 'death', 'purchase', 'session_end', 'logout')")]),
+    "player_events_cleaned": ("parsed", [
+        ("valid_event_id", "drop", "event_id IS NOT NULL"), ("valid_player_id", "drop", "player_id IS NOT NULL"),
+        ("valid_event_type", "drop", "event_type_normalized IN ('login', 'kill', 'death', 'purchase', 'session_end', 'logout')"),
+        ("known_game_mode", "warn", "game_mode IS NULL OR game_mode IN ('deathmatch', 'capture_flag', 'ranked', 'casual')"),
+        ("known_region", "warn", "region IS NULL OR region IN ('NA', 'EU', 'APAC', 'LATAM')"),
+        ("known_platform", "warn", "platform IS NULL OR platform IN ('PC', 'Console', 'Mobile')")]),
+    "player_sessions": ("session_cand", [
+        ("valid_session_id", "drop", "session_id IS NOT NULL"), ("valid_player_id", "drop", "player_id IS NOT NULL"),
+        ("positive_duration", "drop", "duration_min > 0"), ("non_negative_kills", "warn", "kills >= 0"),
+        ("non_negative_deaths", "warn", "deaths >= 0")]),
+    "player_purchase_events": ("purchase_cand", [("valid_purchase_amount", "drop", "item_price_usd >= 0 AND item_price_usd < 1e16")]),
+    "churn_features_daily": ("churn", [("valid_player_id", "drop", "player_id IS NOT NULL"), ("valid_compute_date", "drop", "compute_date IS NOT NULL")]),
+    "arpu_features_daily": ("arpu", [("valid_player_id", "drop", "player_id IS NOT NULL")]),
+}
+
+
+def _metrics_sql(dataset: str) -> str:
+    rel, rules = RULES[dataset]
+    aggs = ", ".join(f"count(*) FILTER (WHERE NOT coalesce(({p}), false)) AS f{i}" for i, (_, _, p) in enumerate(rules))
+    return " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{name}' AS rule, '{action}' AS action, total, total - f{i} AS passed, f{i} AS failed, "
+        f"{rr(f'(total - f{i}) * 100', 'total', 2)} AS pass_pct FROM (SELECT count(*) AS total, {aggs} FROM {rel})"
+        for i, (name, action, _) in enumerate(rules))
 
 
 VIEW_RET = f"""
@@ -355,34 +374,26 @@ def _mode_cte(name: str, col: str, rel: str, where: str) -> str:
 
 
 def _pit_sql() -> str:
-    fe = "DATE '2024-01-23'"
+    fe = f"CAST({AS_OF} - INTERVAL 7 DAY AS DATE)"
     cols = CHURN_COLS.replace(", churn_label", "")
     fut = f"""
 pit_future AS (
   SELECT player_id, count(*) FILTER (WHERE event_type_normalized = 'login' AND event_date > {fe}
                                      AND event_date <= {fe} + INTERVAL 7 DAY) AS fl
   FROM cleaned GROUP BY player_id)"""
-    return q(f"SELECT {', '.join('c.' + x.strip() for x in cols.split(','))}, DATE '2024-01-30' AS label_window_end, "
+    return q(f"SELECT {', '.join('c.' + x.strip() for x in cols.split(','))}, {AS_OF} AS label_window_end, "
              f"CAST(CASE WHEN coalesce(f.fl, 0) > 0 THEN 0 ELSE 1 END AS INTEGER) AS churn_label "
              f"FROM pit c LEFT JOIN pit_future f USING (player_id)",
              _churn_cte(fe, "pit"), fut)
 
 
 def oracle_sql() -> dict[str, str]:
-    from respawn.operators import dq
     t = "event_type_normalized"
     kd_micro = "((CAST(kills AS BIGINT) * 2000000 + (deaths + 1)) // (2 * (CAST(deaths AS BIGINT) + 1)))"
     secs = units("duration_min", 60)
-    warn = [r for r in dq.CLEANED_RULES if r.action == "warn"]
-    flags = ", ".join(f"CASE WHEN NOT coalesce(({r.predicate}), false) THEN '{r.name}' END" for r in warn)
-    metrics = " UNION ALL ".join([
-        _metrics_sql("raw", "raw_events", dq.RAW_RULES),
-        _metrics_sql("parsed", "player_events_cleaned", dq.CLEANED_RULES),
-        _metrics_sql("session_cand", "player_sessions", dq.SESSION_RULES),
-        _metrics_sql("purchase_cand", "player_purchase_events", dq.PURCHASE_RULES),
-        _metrics_sql("churn", "churn_features_daily", dq.CHURN_RULES),
-        _metrics_sql("arpu", "arpu_features_daily", dq.ARPU_RULES),
-    ])
+    warn = [r for r in RULES["player_events_cleaned"][1] if r[1] == "warn"]
+    flags = ", ".join(f"CASE WHEN NOT coalesce(({p}), false) THEN '{name}' END" for name, _, p in warn)
+    metrics = " UNION ALL ".join(map(_metrics_sql, RULES))
     raw_cols = ["event_id", "player_id", "event_type", "timestamp", "game_mode", "region",
                 "platform", "payload", "ingest_ts", "ingest_date"]
     nulls = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS null_{c}' for c in raw_cols)
@@ -544,14 +555,15 @@ def oracle_sql() -> dict[str, str]:
                  (SELECT sum({units('avg_spend_30d', 1_000_000)}) AS av, count(avg_spend_30d) AS nav FROM vw_arpu) a""",
                          VIEW_RET, VIEW_ARPU),
         **oracle_sql_more(),
-        **oracle_sql_gen(),
+        **oracle_sql_raw(),
+        **oracle_sql_tables(),
         "action_list": g("SELECT player_id, compute_date, churn_probability, days_since_login, login_count_7d, "
                          "total_spend_30d, platform_primary, region_primary FROM scored WHERE risk_tier = 'high' "
                          "ORDER BY total_spend_30d DESC, player_id ASC LIMIT 20"),
     }
 
 
-def _hist_cte(start: str = "DATE '2024-01-01'", end: str = "DATE '2024-01-30'") -> str:
+def _hist_cte(start: str = FIRST_DAY, end: str = AS_OF) -> str:
     def w(days, col):
         return f"({col} >= c - INTERVAL {days} DAY AND {col} <= c)"
     return f"""
@@ -667,7 +679,7 @@ pairs AS (SELECT player_id, event_date AS day, count(*) AS events FROM cleaned
 
 def oracle_sql_more() -> dict[str, str]:
     t = "event_type_normalized"
-    valid = f"{t} = 'purchase' AND item_price_usd >= 0"
+    valid = f"{t} = 'purchase' AND item_price_usd >= 0 AND item_price_usd < 1e16"
     rev = f"coalesce(sum(CAST(item_price_usd AS DECIMAL(18,2))) FILTER (WHERE {valid}), 0)"
     return {
         "churn_history": q("SELECT * FROM hist", _hist_cte()),
@@ -706,10 +718,14 @@ def oracle_sql_more() -> dict[str, str]:
                               WHEN total_spend_30d < 100 THEN 'mid' ELSE 'whale' END AS spend_bucket,
                          count(*) AS players, {msum('total_spend_30d')} AS rev
                   FROM churn GROUP BY 1)"""),
+        "spend_percentiles": q(" UNION ALL ".join(
+                                   f"SELECT {p}::DOUBLE AS percentile, quantile_disc(total_spend_30d, {p}) AS spend_30d FROM churn"
+                                   for p in (0.5, 0.75, 0.9, 0.95, 0.99))),
         "ltv_by_cohort": q(f"""SELECT CAST(date_trunc('month', f) AS DATE) AS cohort_month, count(*) AS players,
-              CAST(sum(rev) AS DOUBLE) AS revenue_usd, {ediv('sum(rev)', 'count(*)')} AS ltv_usd
-            FROM (SELECT 'player_' || CAST(o_custkey AS VARCHAR) AS player_id, min(CAST(o_orderdate AS DATE)) AS f,
-                         {msum('o_totalprice')} AS rev FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1)
+              count(*) FILTER (WHERE n > 0) AS payers, CAST(coalesce(sum(rev), 0) AS DOUBLE) AS revenue_usd,
+              {ediv('coalesce(sum(rev), 0)', 'count(*)')} AS ltv_usd
+            FROM (SELECT player_id, min(event_date) AS f, {msum('item_price_usd')} FILTER (WHERE {valid}) AS rev,
+                         count(*) FILTER (WHERE {valid}) AS n FROM cleaned WHERE event_date IS NOT NULL GROUP BY 1)
             GROUP BY 1"""),
         "session_count_dist": q(f"""SELECT sessions AS sessions_per_player, count(*) AS players,
               {ediv('sum(sec)', 'sum(sessions) * 60')} AS avg_session_min
@@ -727,64 +743,45 @@ def oracle_sql_more() -> dict[str, str]:
     }
 
 
-def _gen_cte(seed: int = 42, n_players: int = 10_000, days_back: int = 30,
-             end: str = "2024-01-31 00:00:00") -> str:
-    import datetime as dt
-    from respawn.constants import ITEM_PRICES_USD
-
-    def dg(salt):
-        return f"md5('{seed}:' || CAST(id AS VARCHAR) || ':{salt}')"
-
-    def r(salt):
-        return f"CAST('0x' || substr({dg(salt)}, 1, 8) AS BIGINT)"
-
-    def uid(salt):
-        h = dg(salt)
-        return (f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
-                f"substr({h}, 17, 4), substr({h}, 21, 12))")
-
-    def player(idx):
-        return f"'player_' || substr(md5('{seed}:player:' || CAST({idx} AS VARCHAR)), 1, 12)"
-
-    end_us = int(dt.datetime.fromisoformat(end).replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
-    span = days_back * 86_400 * 1_000_000
-    names = [s.replace("_", " ").title() + " Skin" for s in SKINS]
-    weapon = f"{_lst(WEAPONS)}[{r('weapon')} % 5 + 1]"
-    other = player(f"{r('other')} % {n_players}")
-    skin = f"{r('skin')} % 5 + 1"
-    payload = f"""CASE
-      WHEN event_type = 'login' THEN '{{"session_token": "' || {uid('token')} || '", "ip_country": "' || {_lst(IP_COUNTRIES)}[{r('country')} % 4 + 1] || '"}}'
-      WHEN event_type = 'kill' THEN '{{"opponent_id": "' || {other} || '", "weapon": "' || {weapon} || '", "headshot": ' || CASE WHEN {r('hs')} % 2 = 0 THEN 'true' ELSE 'false' END || ', "experience_granted": ' || CAST(50 + {r('xp')} % 151 AS VARCHAR) || '}}'
-      WHEN event_type = 'death' THEN '{{"killed_by": "' || {other} || '", "weapon": "' || {weapon} || '", "distance_m": ' || CAST(5 + {r('dist')} % 496 AS VARCHAR) || '}}'
-      WHEN event_type = 'purchase' THEN '{{"item_id": "skin_' || {_lst(SKINS)}[{skin}] || '", "item_name": "' || {_lst(names)}[{skin}] || '", "item_price_usd": ' || {_lst(ITEM_PRICES_USD)}[{r('price')} % 4 + 1] || ', "currency": "USD", "payment_method": "' || {_lst(PAYMENT_METHODS)}[{r('pay')} % 4 + 1] || '"}}'
-      WHEN event_type = 'session_end' THEN '{{"total_kills": ' || CAST({r('k')} % 101 AS VARCHAR) || ', "total_deaths": ' || CAST({r('d')} % 51 AS VARCHAR) || ', "total_earned_xp": ' || CAST(100 + {r('sxp')} % 9901 AS VARCHAR) || ', "duration_seconds": ' || CAST(300 + {r('dur')} % 6901 AS VARCHAR) || ', "items_purchased": ' || CAST({r('items')} % 6 AS VARCHAR) || '}}'
-      ELSE '{{"reason": "' || {_lst(LOGOUT_REASONS)}[{r('reason')} % 3 + 1] || '"}}' END"""
-    return f"""
-gen0 AS (
-  SELECT event_id AS id, {_lst(EVENT_TYPES)}[{r('type')} % 6 + 1] AS event_type,
-    make_timestamp({end_us} - ({r('ts')} * 1000003) % {span}) AS ts0
-  FROM events),
-generated AS (
-  SELECT {uid('event')} AS event_id, {player(f"{r('player')} % {n_players}")} AS player_id, event_type,
-    strftime(ts0, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
-    CASE WHEN event_type = 'logout' THEN NULL ELSE {_lst(GAME_MODES)}[{r('mode')} % 4 + 1] END AS game_mode,
-    {_lst(REGIONS)}[{r('region')} % 4 + 1] AS region,
-    {_lst(PLATFORMS)}[{r('platform')} % 3 + 1] AS platform,
-    {payload} AS payload,
-    strftime(ts0 + to_seconds(CAST(1 + {r('lag')} % 10 AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') AS ingest_ts,
-    CAST(CAST(ts0 AS DATE) AS VARCHAR) AS ingest_date
-  FROM gen0)"""
-
-
-def oracle_sql_gen() -> dict[str, str]:
-    summary = """
-SELECT 'total' AS dimension, 'rows' AS value, count(*) AS events FROM generated
-UNION ALL SELECT 'total', 'players', count(DISTINCT player_id) FROM generated
-UNION ALL SELECT 'event_type', event_type, count(*) FROM generated GROUP BY event_type
-UNION ALL SELECT 'region', region, count(*) FROM generated GROUP BY region
-UNION ALL SELECT 'platform', platform, count(*) FROM generated GROUP BY platform
-UNION ALL SELECT 'day', substr("timestamp", 1, 10), count(*) FROM generated GROUP BY substr("timestamp", 1, 10)"""
+def oracle_sql_tables() -> dict[str, str]:
+    """Round trips through files, streams and the catalog give back the tables; and the ML inputs."""
+    from respawn.constants import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
+    kept = ("event_id, player_id, event_type_normalized, event_ts, game_mode, region, platform, payload, event_date, "
+            "opponent_id, weapon, headshot, item_id, item_name, item_price_usd, payment_method, experience_granted, "
+            "session_duration_seconds, session_kills, session_deaths, session_xp, session_items_purchased")
+    quality = " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) AS total, count(*) FILTER (WHERE NOT coalesce(({p}), false)) AS failed FROM raw"
+        for name, _, p in RULES["raw_events"][1]) + " UNION ALL SELECT 'well_formed', count(*), 0 FROM raw"
+    slots = [f"CAST(coalesce({c}, 0) AS DOUBLE) AS f{i}" for i, c in enumerate(FEATURE_COLUMNS)]
+    slots += [f"CAST({c}_i AS DOUBLE) AS f{len(FEATURE_COLUMNS) + i}" for i, c in enumerate(CATEGORICAL_COLUMNS)]
+    index = [f"ix_{c} AS (SELECT v AS {c}_v, row_number() OVER (ORDER BY n DESC, v) - 1 AS {c}_i FROM "
+             f"(SELECT coalesce({c}, 'Unknown') AS v, count(*) AS n FROM churn GROUP BY 1))" for c in CATEGORICAL_COLUMNS]
+    joins = " ".join(f"JOIN ix_{c} ON coalesce({c}, 'Unknown') = {c}_v" for c in CATEGORICAL_COLUMNS)
     return {
-        "gen_events": "WITH " + _gen_cte() + "\nSELECT * FROM generated",
-        "gen_summary": "WITH " + _gen_cte() + summary,
+        "csv_round_trip": q("SELECT * FROM raw"),
+        "stream_bronze": q("SELECT * FROM bronze"),
+        "stream_clean_events": q(f"SELECT {kept} FROM cleaned"),
+        "ingest_quality": q(f"SELECT rule, CAST(total AS BIGINT) AS total, CAST(failed AS BIGINT) AS failed FROM ({quality})"),
+        "expect_or_fail": q("SELECT event_type, count(*) AS events FROM bronze GROUP BY event_type"),
+        "catalog_tables": q("SELECT * FROM purchases"),
+        "preview": q("SELECT event_id, player_id, event_ts, opponent_id, weapon, headshot, experience_granted FROM cleaned "
+                     "WHERE event_type_normalized = 'kill' ORDER BY event_ts NULLS FIRST, event_id NULLS FIRST LIMIT 50"),
+        "ml_vectors": q(f"SELECT player_id, {', '.join(slots)} FROM churn {joins}", *index),
+        "score_quality": g(f"""SELECT tp, fp, tn, fn, {ediv('tp + tn', 'tp + fp + tn + fn')} AS accuracy,
+              {ediv('tp * 2', 'tp * 2 + fp + fn')} AS f1
+            FROM (SELECT count(*) FILTER (WHERE y = 1 AND p) AS tp, count(*) FILTER (WHERE y = 0 AND p) AS fp,
+                         count(*) FILTER (WHERE y = 0 AND NOT p) AS tn, count(*) FILTER (WHERE y = 1 AND NOT p) AS fn
+                  FROM (SELECT c.churn_label AS y, s.churn_probability >= 0.5 AS p
+                        FROM churn c JOIN scores s USING (player_id)))"""),
     }
+
+
+def oracle_sql_raw() -> dict[str, str]:
+    summary = """
+SELECT 'total' AS dimension, 'rows' AS value, count(*) AS events FROM raw
+UNION ALL SELECT 'total', 'players', count(DISTINCT player_id) FROM raw
+UNION ALL SELECT 'event_type', event_type, count(*) FROM raw GROUP BY event_type
+UNION ALL SELECT 'region', region, count(*) FROM raw GROUP BY region
+UNION ALL SELECT 'platform', platform, count(*) FROM raw GROUP BY platform
+UNION ALL SELECT 'day', substr("timestamp", 1, 10), count(*) FROM raw GROUP BY substr("timestamp", 1, 10)"""
+    return {"gen_summary": "WITH " + RAW + summary}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from respawn.operators.silver import CLEANED_COLUMNS
 from respawn.plans.catalog import register
 from respawn.plans.lakehouse import Lakehouse
@@ -9,7 +11,7 @@ from respawn.plans.lakehouse import Lakehouse
 
 @register("churn_features_daily")
 def churn_features_daily(h: Lakehouse):
-    """K1 (flagship): bronze -> silver -> per-player churn features as of 2024-01-30."""
+    """K1 (flagship): bronze -> silver -> per-player churn features as of the last day."""
     return h.churn
 
 
@@ -61,8 +63,8 @@ def dq_metrics(h: Lakehouse):
         dq.rule_metrics(cand, dq.CLEANED_RULES, "player_events_cleaned"),
         dq.rule_metrics(silver.session_candidates(h.cleaned), dq.SESSION_RULES, "player_sessions"),
         dq.rule_metrics(silver.purchase_candidates(h.cleaned), dq.PURCHASE_RULES, "player_purchase_events"),
-        dq.rule_metrics(h.churn, dq.CHURN_RULES, "churn_features_daily"),
-        dq.rule_metrics(h.arpu, dq.ARPU_RULES, "arpu_features_daily"),
+        dq.rule_metrics(gold.churn_candidates(h.cleaned, None, None, h.as_of), dq.CHURN_RULES, "churn_features_daily"),
+        dq.rule_metrics(gold.arpu_candidates(None, h.cleaned, h.as_of), dq.ARPU_RULES, "arpu_features_daily"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -186,7 +188,7 @@ def conditional_aggs(h: Lakehouse):
         F.coalesce(F.sum(F.when(t == "purchase", money("item_price_usd"))), F.lit(0).cast("decimal(18,2)"))
         .cast("double").alias("purchase_revenue"),
         F.sum(F.when(t == "purchase", money("item_price_usd"))).alias("_ps"),
-        F.count(F.when(t == "purchase", c("item_price_usd"))).alias("_pn"),
+        F.count(F.when(t == "purchase", money("item_price_usd"))).alias("_pn"),
         F.sum(F.when(t == "session_end", c("session_duration_seconds"))).alias("_ss"),
         F.count(F.when(t == "session_end", c("session_duration_seconds"))).alias("_sn"),
     )
@@ -223,7 +225,7 @@ def primary_mode(h: Lakehouse):
 @register("whale_p95")
 def whale_p95(h: Lakehouse):
     """whale = 90-day spend above the 95th percentile of paying players."""
-    arpu = gold.arpu_features(h.purchases, h.cleaned, h.as_of, whale_rule="p95", keep_threshold=True)
+    arpu = gold.arpu_features(None, h.cleaned, h.as_of, whale_rule="p95", keep_threshold=True)
     return arpu.select("player_id", "total_spend_90d", "whale_threshold", "is_whale")
 
 
@@ -386,8 +388,8 @@ def segment_matrix(h: Lakehouse):
 
 @register("churn_point_in_time")
 def churn_point_in_time(h: Lakehouse):
-    """K5: leak-free snapshot, features to 2024-01-23, label = no login in the next 7 days."""
-    return gold.churn_point_in_time(h.cleaned, h.sessions, h.purchases, "2024-01-23", 7)
+    """K5: leak-free snapshot, features to a week before the last day, label = no login in that week."""
+    return gold.churn_point_in_time(h.cleaned, None, None, h.as_of - dt.timedelta(days=7), 7)
 
 
 # =========================================================================== L / M: scoring, BI
@@ -453,21 +455,19 @@ def action_list(h: Lakehouse):
 # =========================================================================== K6 / D6 / C3 / N
 from respawn.operators import metrics  # noqa: E402
 
-HISTORY_START, HISTORY_END = "2024-01-01", "2024-01-30"
-
 
 @register("churn_history")
 def churn_history(h: Lakehouse):
-    """K6: churn features for every day of January 2024 (one row per player per day),
+    """K6: churn features for every day of the events (one row per player per day),
     written as a gold table partitioned by compute date."""
-    return h.history(HISTORY_START, HISTORY_END)
+    return h.history()
 
 
 @register("latest_snapshot")
 def latest_snapshot(h: Lakehouse):
     """Rows of the latest compute date of the history table (scalar-subquery
     partition filter: only the newest partition is read)."""
-    return bi.latest_snapshot(h.history(HISTORY_START, HISTORY_END))
+    return bi.latest_snapshot(h.history())
 
 
 @register("login_sessions")
@@ -508,8 +508,14 @@ def spend_distribution(h: Lakehouse):
 
 @register("ltv_by_cohort")
 def ltv_by_cohort(h: Lakehouse):
-    """Lifetime value per first-purchase month, over the orders history."""
-    return metrics.ltv_by_cohort(metrics.purchases_from_orders(h.table("orders")))
+    """Revenue per player by first-seen month, players who never pay included."""
+    return metrics.ltv_by_cohort(h.cleaned)
+
+
+@register("spend_percentiles")
+def spend_percentiles(h: Lakehouse):
+    """Exact percentiles of the 30-day spend."""
+    return metrics.spend_percentiles(h.churn)
 
 
 @register("session_count_dist")
@@ -530,19 +536,82 @@ def win_rate_by_tier(h: Lakehouse):
     return metrics.win_rate_by_tier(h.sessions)
 
 
-# =========================================================================== A12 / A13
-from respawn.sources import generate  # noqa: E402
-
-
-@register("gen_events")
-def gen_events(h: Lakehouse):
-    """Distributed, seeded synthetic raw events, one per benchmark event row
-    (the job grows with the table), written once like a generator's output."""
-    return h.generated
+# =========================================================================== A / O: tables, streams
+from respawn.constants import RAW_COLUMNS  # noqa: E402
+from respawn.plans import layers  # noqa: E402
+from respawn.sources import files, generate  # noqa: E402
+from respawn.streaming import silver_stream  # noqa: E402
 
 
 @register("gen_summary")
 def gen_summary(h: Lakehouse):
-    """Generation summary (rows, players, per-type/region/platform/day counts)
-    over the written generator output."""
-    return generate.generation_summary(h.generated)
+    """Summary of the raw events (rows, players, per-type/region/platform/day counts)."""
+    return generate.generation_summary(h.raw)
+
+
+@register("csv_round_trip")
+def csv_round_trip(h: Lakehouse):
+    """The raw events exported as CSV files and read with the fixed schema."""
+    return files.read_raw_csv(h.spark, h.landing())
+
+
+@register("stream_bronze")
+def stream_bronze(h: Lakehouse):
+    """CSV files ingested by the triggered stream, bronze table read back."""
+    return h.spark.read.schema(files.RAW_SCHEMA).parquet(h.lake("bronze", "raw_events")).select(*RAW_COLUMNS)
+
+
+#: What the copies of one event share; which copy a stream sees first isn't fixed.
+STREAMED = [c for c in CLEANED_COLUMNS if c not in ("ingest_ts", "ingest_date")]
+
+
+@register("stream_clean_events")
+def stream_clean_events(h: Lakehouse):
+    """A4/O2/O3: C1 on a stream over the bronze files, silver table read back."""
+    root = h.lake("streamed")
+    bronze = silver_stream.bronze_file_stream(h.spark, h.lake("bronze", "raw_events"), files.RAW_SCHEMA)
+    if not files.path_exists(h.spark, f"{root}/events"):
+        silver_stream.run_available(silver_stream.clean_events_stream(bronze), f"{root}/events", f"{root}/checkpoint")
+    return h.spark.read.parquet(f"{root}/events").select(*STREAMED)
+
+
+@register("ingest_quality")
+def ingest_quality(h: Lakehouse):
+    """O1/B4 on streams: rule counts of the ingest, summed over its micro-batches."""
+    counts = files.read_quality(h.spark, h.lake("bronze", "raw_events_quality"))
+    return counts.groupBy("rule").agg(F.sum("total").alias("total"), F.sum("failed").alias("failed"))
+
+
+@register("expect_or_fail")
+def expect_or_fail(h: Lakehouse):
+    """Bronze rows pass the same rules as fail rules; the job stops if one doesn't."""
+    rules = [dq.Rule(r.name, r.predicate, dq.FAIL) for r in dq.RAW_RULES]
+    return dq.expect(h.bronze, rules).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("catalog_tables")
+def catalog_tables(h: Lakehouse):
+    """Layer jobs write partitioned tables twice, the catalog names them, read by name."""
+    root = h.lake()
+    for _ in range(2):  # the second run replaces the first
+        layers.build_silver(h.spark, root)
+    layers.register_catalog(h.spark, root)
+    return h.spark.table("silver.player_purchase_events").select(*silver.PURCHASE_COLUMNS)
+
+
+@register("preview")
+def preview(h: Lakehouse):
+    """H2: the first 50 kill events (a preview is a limit by definition)."""
+    return profile.preview(silver.kill_events(h.cleaned), 50, ["event_ts", "event_id"])
+
+
+@register("ml_vectors")
+def ml_vectors(h: Lakehouse):
+    """L3/L4: label indexes and the assembled feature vector, one column a slot."""
+    return ml.assembled(h.churn)
+
+
+@register("score_quality")
+def score_quality(h: Lakehouse):
+    """Confusion counts, accuracy and F1 of the stand-in score at 0.5."""
+    return ml.confusion(h.churn.select("churn_label", (bi.standin_probability() >= 0.5).cast("double").alias("prediction")))

@@ -90,5 +90,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A path for an intermediate table of this application in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/respawn-silver/{spark.sparkContext.applicationId}/{name}"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever filesystem its URI names."""
+    fs, where = _filesystem(spark, path)
+    return fs.exists(where)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed (ms), 0 if it isn't there."""
+    fs, where = _filesystem(spark, path)
+    return fs.getFileStatus(where).getModificationTime() if fs.exists(where) else 0
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; nothing may read them any more."""
+    fs, where = _filesystem(spark, scratch_path(spark, ""))
+    fs.delete(where, True)

@@ -40,19 +40,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single-row-group file is read by one task; the per-row adapter then runs
-    on one core. Only then is a repartition inserted -- hashed on ``key`` when
-    given (deterministic under task retry without the local sort a round-robin
-    repartition needs). A large input (many files / row groups) already has
-    >= cores splits and is left untouched, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key) if key else df.repartition(cores)
-    return df
+#: Session setting: into how many tasks to deal the events before the adapter. Unset (the default)
+#: leaves the scan's splits as they are; a single-row-group file is otherwise read by one task.
+SPREAD = "spark.respawn.adapterPartitions"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows out by ``key`` if the session asks for it (see ``SPREAD``)."""
+    wanted = df.sparkSession.conf.get(SPREAD, "")
+    return df.repartition(int(wanted), key) if wanted else df
 
 
 def _pick(values: list[str], idx: Column) -> Column:

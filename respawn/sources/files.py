@@ -15,13 +15,14 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from respawn.constants import RAW_COLUMNS
 from respawn.operators import dq
+from respawn.session import path_exists
 
 # A2: the raw envelope. Declared non-null where the contract says so; file
 # streams report every column nullable anyway, so the expectations are the guard.
@@ -29,6 +30,9 @@ RAW_SCHEMA = StructType([
     StructField(c, StringType(), c not in ("event_id", "player_id", "event_type", "timestamp"))
     for c in RAW_COLUMNS
 ])
+#: Holds a line that doesn't fit the schema; only its presence is used.
+CORRUPT = "_corrupt_record"
+WELL_FORMED = dq.Rule("well_formed", f"{CORRUPT} IS NULL", dq.WARN)
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
                # keep padding: raw values are stored exactly as sent
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -49,9 +53,9 @@ def describe(df: DataFrame) -> dict:
             "schema": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]}
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV export with header (single file when asked: for hand-off only,
-    it funnels the data through one task, so never use it in the main path)."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV export with header. ``single_file`` (opt-in, for hand-off only) funnels the
+    data through one task, so never use it in the main path."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
@@ -59,7 +63,7 @@ def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
 # --------------------------------------------------------------------------- streaming ingest
 def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A1: streaming CSV source over a landing folder (new files only)."""
-    r = spark.readStream.options(**CSV_OPTIONS).schema(RAW_SCHEMA)
+    r = spark.readStream.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT).schema(StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType())]))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.csv(source_dir)
@@ -73,6 +77,7 @@ class ObservedMetricsListener:
         from pyspark.sql.streaming import StreamingQueryListener
 
         collected: dict[tuple[str, int], dict] = {}
+        dropped: dict[tuple[str, int], int] = {}
 
         class _L(StreamingQueryListener):
             def onQueryStarted(self, event):
@@ -80,6 +85,7 @@ class ObservedMetricsListener:
 
             def onQueryProgress(self, event):
                 p = event.progress
+                dropped[(str(p.id), int(p.batchId))] = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])
                 row = (p.observedMetrics or {}).get(name)
                 if row is not None:
                     d = row.asDict() if hasattr(row, "asDict") else dict(row)
@@ -91,13 +97,17 @@ class ObservedMetricsListener:
             def onQueryTerminated(self, event):
                 pass
 
-        self.spark, self.collected, self.listener = spark, collected, _L()
+        self.spark, self.collected, self.dropped, self.listener = spark, collected, dropped, _L()
         spark.streams.addListener(self.listener)
 
     def batches(self, query) -> list[dict]:
         qid = str(query.id)
         return [{"batch_id": b, **m} for (q, b), m in sorted(self.collected.items()) if q == qid]
 
+    def late(self, query) -> dict[int, int]:
+        """Rows dropped behind the watermark, by batch."""
+        return {b: n for (q, b), n in self.dropped.items() if q == str(query.id)}
+
     def close(self) -> None:
         self.spark.streams.removeListener(self.listener)
 
@@ -118,40 +128,60 @@ def progress_metrics(query, name: str) -> list[dict]:
 
 def ingest_events(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
                   metrics_path: str | None = None, normalize_before_check: bool = False,
-                  partition_by: tuple[str, ...] | None = ("ingest_date",)) -> dict:
+                  partition_by: tuple[str, ...] | None = ("ingest_date",),
+                  max_files_per_trigger: int | None = None) -> dict:
     """One triggered run of the incremental bronze ingest.
 
     Reads only files that arrived since the last run (file-source checkpoint),
     applies the bronze expectations and appends to ``target_path`` through the
     exactly-once parquet file sink, partitioned by ingest date. Rule counts are
-    observed in the same pass (``observe``) and written per batch id under
-    ``metrics_path`` (a replayed batch replaces its own row).
+    observed in the same pass (``observe``) and written under ``metrics_path`` as each
+    micro-batch ends, so a crash loses no committed batch's counts (a replayed batch replaces
+    its own row). Lines with too many or too few fields count as rule ``well_formed``; they are
+    kept, padded or cut.
     """
     rules = dq.RAW_RULES_NORMALIZED if normalize_before_check else dq.RAW_RULES
     metrics_path = metrics_path or target_path.rstrip("/") + "_quality"
     name = "bronze_expectations"
-    kept = dq.expect(raw_stream(spark, source_dir), rules, observation=name)
+    raw = raw_stream(spark, source_dir, max_files_per_trigger)
+    kept = dq.expect(raw, [*rules, WELL_FORMED], observation=name).drop(CORRUPT)
     w = (kept.writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    listener = ObservedMetricsListener(spark, name)
+    batches = watched(spark, w, name, [*rules, WELL_FORMED], "raw_events", metrics_path)[1]
+    return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches)}
+
+
+def watched(spark: SparkSession, writer, name: str, rules: list, dataset: str, metrics_path: str) -> tuple:
+    """Run a stream to its end; returns (query, every micro-batch's counts).
+
+    A micro-batch's rule counts are written when its progress arrives.
+    """
+    def write(b: dict) -> None:  # a few tiny rows
+        rows = [{"dataset": dataset, "rule": r.name, "action": r.action, "batch_id": b["batch_id"],
+                 "total": b["rows"], "failed": b[f"{r.name}_failed"]} for r in rules]
+        spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(os.path.join(metrics_path, f"batch={b['batch_id']}"))
+
+    listener, done = ObservedMetricsListener(spark, name), {}
+
+    def take(found: list[dict]) -> None:
+        for b in found:
+            if b["batch_id"] not in done:
+                write(b)
+                done[b["batch_id"]] = b
+
     try:
-        q = w.start()
-        q.awaitTermination()
-        # listener events arrive asynchronously; recentProgress holds the last
-        # 100 batches synchronously -- merge both, keyed by batch id
-        merged = {b["batch_id"]: b for b in listener.batches(q)}
-        merged.update({b["batch_id"]: b for b in progress_metrics(q, name)})
-        batches = [merged[k] for k in sorted(merged)]
+        q = writer.start()
+        while not q.awaitTermination(2):
+            take(listener.batches(q))
+        # listener events arrive asynchronously; recentProgress holds the last 100 batches at once
+        take(listener.batches(q))
+        take(progress_metrics(q, name))
+        q.late = listener.late(q)
     finally:
         listener.close()
-    for b in batches:  # one tiny row per micro-batch
-        rows = [{"dataset": "raw_events", "rule": r.name, "action": r.action, "batch_id": b["batch_id"],
-                 "total": b["rows"], "failed": b[f"{r.name}_failed"]} for r in rules]
-        (spark.createDataFrame(rows).write.mode("overwrite")
-         .parquet(os.path.join(metrics_path, f"batch={b['batch_id']}")))
-    return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches)}
+    return q, [done[k] for k in sorted(done)]
 
 
 def read_quality(spark: SparkSession, metrics_path: str) -> DataFrame:
@@ -166,30 +196,45 @@ def create_layer_schemas(spark: SparkSession, layers=("bronze", "silver", "gold"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
+def _plain(path: str) -> str:
+    """A path without the schemes and slashes that name the same local folder."""
+    return re.sub("^file:/*", "/", path.rstrip("/"))
+
+
 def _sources_of(df: DataFrame) -> set[str]:
-    return {os.path.normpath(f.replace("file:", "")) for f in df.inputFiles()}
+    """Root folders of the file tables the plan reads (no file is listed)."""
+    leaves, out = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and "HadoopFsRelation" in leaf.relation().getClass().getSimpleName():
+            roots = leaf.relation().location().rootPaths()
+            out.update(_plain(roots.apply(k).toString()) for k in range(roots.size()))
+    return out
 
 
-def cluster_for_partitions(df: DataFrame, partition_by: list[str], files_per_partition: int = 4) -> DataFrame:
-    """Route rows so each output partition (e.g. one compute date) is written by
-    about ``files_per_partition`` tasks: hash of (partition value, salt). Without
-    it every shuffle task writes a file into every partition it holds, i.e.
-    tasks x partitions small files."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+def cluster_for_partitions(df: DataFrame, partition_by: list[str], sort_by: list[str] | None = None) -> DataFrame:
+    """Bring the rows of an output partition (e.g. one compute date) together, so a task writes few
+    files. A rebalance, not a fixed number of writers: adaptive execution splits a large partition
+    by its bytes and joins small ones. Rows are sorted inside a task by ``sort_by``."""
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *(sort_by or []))
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite", files_per_partition: int = 4) -> None:
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
+                sort_by: list[str] | None = None, whole: bool = False) -> None:
     """Write a layer as parquet; with ``partition_by`` only the partitions
     present in ``df`` are replaced (dynamic overwrite), so daily snapshots
-    accumulate. Refuses to overwrite a path the plan itself reads (X18)."""
-    target = os.path.normpath(path.replace("file:", ""))
-    if mode == "overwrite" and any(s.startswith(target + os.sep) or s == target for s in _sources_of(df)):
+    accumulate; ``whole`` replaces all of them (a full recompute). Refuses to overwrite a
+    path the plan itself reads (X18) and a stream's table, whose log would still name its files."""
+    target = _plain(path)
+    if mode == "overwrite" and any(s.startswith(target + "/") or s == target for s in _sources_of(df)):
         raise ValueError(f"refusing to overwrite {path}: the job reads from it")
+    if mode == "overwrite" and path_exists(df.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"refusing to overwrite {path}: a stream writes it")
     if partition_by:
-        df = cluster_for_partitions(df, partition_by, files_per_partition)
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        df = cluster_for_partitions(df, partition_by, sort_by)
+    elif sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml import PipelineModel
 
 from respawn.operators import dq, ml, silver
-from respawn.sources.files import progress_metrics
+from respawn.session import path_exists
+from respawn.sources.files import ObservedMetricsListener, progress_metrics, watched
 
 
 def clean_events_stream(bronze_stream: DataFrame, delay: str = "2 days",
@@ -44,21 +45,29 @@ def run_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[
          .option("checkpointLocation", checkpoint).outputMode(output_mode).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
+    listener = ObservedMetricsListener(df.sparkSession, "")
+    try:
+        q = w.start()
+        q.awaitTermination()
+        q.late = listener.late(q)
+    finally:
+        listener.close()
     return q
 
 
 def dropped_by_watermark(query) -> int:
-    """Rows dropped as too late by the query's stateful operators."""
-    total = 0
+    """Rows dropped as too late by the query's stateful operators, over all micro-batches.
+
+    A listener counts every batch; the last progress reports, which are there at once, fill in
+    what it hasn't been told yet.
+    """
+    late = dict(getattr(query, "late", {}))
     for p in query.recentProgress:
-        ops = p.get("stateOperators") if isinstance(p, dict) else getattr(p, "stateOperators", [])
-        for op in ops or []:
-            v = op.get("numRowsDroppedByWatermark") if isinstance(op, dict) else \
-                getattr(op, "numRowsDroppedByWatermark", 0)
-            total += int(v or 0)
-    return total
+        get = (lambda k, p=p: p.get(k)) if isinstance(p, dict) else (lambda k, p=p: getattr(p, k, None))
+        dropped = (op.get("numRowsDroppedByWatermark") if isinstance(op, dict) else op.numRowsDroppedByWatermark
+                   for op in get("stateOperators") or [])
+        late[int(get("batchId"))] = sum(int(v or 0) for v in dropped)
+    return sum(late.values())
 
 
 def observed(query, name: str = "cleaned_expectations") -> list[dict]:
@@ -71,25 +80,15 @@ def build_silver_stream(spark: SparkSession, bronze_path: str, target_path: str,
     """O1-O4 for silver: stream new bronze files through C1 into the cleaned
     table (partitioned by event date) and persist each micro-batch's rule
     counts keyed by batch id (a replayed batch replaces its own row)."""
-    import os
+    if path_exists(spark, target_path) and not path_exists(spark, f"{target_path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{target_path} was written by the batch job; a stream needs a table of its own")
     schema = spark.read.parquet(bronze_path).schema
     name = "cleaned_expectations"
-    from respawn.sources.files import ObservedMetricsListener
-    listener = ObservedMetricsListener(spark, name)
-    try:
-        q = run_available(clean_events_stream(bronze_file_stream(spark, bronze_path, schema), delay, name),
-                          target_path, checkpoint, ["event_date"])
-        merged = {b["batch_id"]: b for b in listener.batches(q)}
-        merged.update({b["batch_id"]: b for b in observed(q, name)})
-        batches = [merged[k] for k in sorted(merged)]
-    finally:
-        listener.close()
-    metrics_path = metrics_path or target_path.rstrip("/") + "_quality"
-    for b in batches:
-        rows = [{"dataset": "player_events_cleaned", "rule": r.name, "action": r.action,
-                 "batch_id": b["batch_id"], "total": b["rows"], "failed": b[f"{r.name}_failed"]}
-                for r in dq.CLEANED_RULES]
-        spark.createDataFrame(rows).write.mode("overwrite").parquet(os.path.join(metrics_path, f"batch={b['batch_id']}"))
+    cleaned = clean_events_stream(bronze_file_stream(spark, bronze_path, schema), delay, name)
+    writer = (cleaned.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", checkpoint)
+              .outputMode("append").trigger(availableNow=True).partitionBy("event_date"))
+    q, batches = watched(spark, writer, name, dq.CLEANED_RULES, "player_events_cleaned",
+                         metrics_path or target_path.rstrip("/") + "_quality")
     return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches),
             "dropped_by_watermark": dropped_by_watermark(q)}
 

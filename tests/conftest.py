@@ -20,7 +20,7 @@ def spark():
     wh = tempfile.mkdtemp(prefix="respawn-test-wh-")
     s = build_session("local[4]", app="respawn-tests", shuffle_partitions=8,
                       extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g",
-                             "spark.sql.warehouse.dir": wh})
+                             "spark.sql.warehouse.dir": wh, "spark.respawn.adapterPartitions": "4"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

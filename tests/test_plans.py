@@ -23,7 +23,7 @@ def test_filter_and_projection_reach_the_silver_scan(spark):
     h = Lakehouse(spark, SF_SMALL)
     df = h.cleaned.where("event_type_normalized = 'purchase'").select("player_id", "item_price_usd")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
     assert "EqualTo(event_type_normalized,purchase)" in pushed and "IsNotNull(player_id)" in pushed
     # only the projected columns plus those the cleaned-table rules need are read
     assert ("ReadSchema: struct<event_id:string,player_id:string,event_type_normalized:string,"
@@ -90,5 +90,21 @@ def test_dedup_collapses_copies_before_the_shuffle(spark):
     assert len(got) == 51 and got["hot"].strftime("%H:%M") == "10:00"
     plan = _plan(deduped)
     above, below = plan.split("Exchange hashpartitioning(event_id", 1)
-    assert "min_by" in above            # final aggregate after the shuffle
-    assert "partial_min_by" in below    # map-side aggregate before it
+    assert "min(struct(" in above            # final aggregate after the shuffle
+    assert "partial_min(struct(" in below    # map-side aggregate before it
+    assert below.split("partial_min(")[1].split("]")[0].count("payload#") == 1  # the payload is buffered once
+
+
+def test_gold_reads_the_events_once(spark):
+    h = Lakehouse(spark, SF_SMALL)
+    for df in (h.churn, h.arpu):
+        assert _plan(df).count("Scan parquet") == 1
+    same = gold.churn_features(h.cleaned, h.sessions, h.purchases, h.as_of)
+    assert h.churn.exceptAll(same).count() == 0 and same.exceptAll(h.churn).count() == 0
+
+
+def test_date_window_prunes_partitions_and_rules_reach_the_scan(spark):
+    from respawn.plans.catalog import queries
+    plan = queries()["date_window_filter"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "In(event_type_normalized" in plan.split("PushedFilters: [")[1].split("ReadSchema")[0]

@@ -13,7 +13,7 @@ from respawn.streaming import silver_stream as sp
 
 def test_csv_round_trip_keeps_json_payload(spark, tmp):
     raw = raw_rows(spark, [{"payload": payload(item_name='Neon "Pink", Skin', item_price_usd=9.99)}])
-    files.export_csv(raw, f"{tmp}/one")
+    files.export_csv(raw, f"{tmp}/one", single_file=True)
     back = files.read_raw_csv(spark, f"{tmp}/one")
     assert back.collect() == raw.collect()
     assert len([f for f in os.listdir(f"{tmp}/one") if f.endswith(".csv")]) == 1
@@ -33,7 +33,7 @@ def test_incremental_ingest_reads_only_new_files(spark, tmp):
     assert spark.read.parquet(f"{tmp}/bronze").count() == 3
     q = files.read_quality(spark, f"{tmp}/bronze_quality")
     failed = {r["rule"]: r["failed"] for r in q.groupBy("rule").agg(F.sum("failed").alias("failed")).collect()}
-    assert failed == {"valid_event_id": 0, "valid_player_id": 1, "valid_event_type": 1}
+    assert failed == {"valid_event_id": 0, "valid_player_id": 1, "valid_event_type": 1, "well_formed": 0}
 
 
 def test_stream_dedup_watermark_and_late_rows(spark, tmp):
@@ -47,7 +47,7 @@ def test_stream_dedup_watermark_and_late_rows(spark, tmp):
     ]
     for i, rows in enumerate(batches):
         files.export_csv(raw_rows(spark, rows), f"{land}/b{i}")
-    stream = files.raw_stream(spark, f"{land}/*", max_files_per_trigger=1)
+    stream = files.raw_stream(spark, f"{land}/*", max_files_per_trigger=1).drop(files.CORRUPT)
     cleaned = sp.clean_events_stream(stream, delay="1 hour")
     q = sp.run_available(cleaned, f"{tmp}/silver", f"{tmp}/ckpt")
     ids = sorted(r["event_id"] for r in spark.read.parquet(f"{tmp}/silver").collect())
