@@ -54,7 +54,7 @@ def rates(masses: DataFrame, weights: DataFrame, epochs: float = 1.0) -> DataFra
     """(source, rate): how often a document of the source should appear on average.
 
     ``epochs`` is the size of the mix over that of the input. Sources without a weight, or with
-    a null or non-positive one, get rate 0. A source without characters keeps each row once.
+    a null or non-positive one, get rate 0. A source without characters gets rate 1.
     """
     known = masses.alias("m").join(weights.alias("w"), F.col("m.source").eqNullSafe(F.col("w.source")), "left").select(
         "m.source", "mass", F.greatest(F.coalesce("weight", F.lit(0)), F.lit(0)).alias("weight"))
