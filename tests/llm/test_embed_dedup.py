@@ -18,8 +18,6 @@ def expected(rows, cosine=op.COSINE):
     for k, r in at.items():
         least[r] = min(least.get(r, good[k][0]), good[k][0])
     out = [(good[k][0], len(links[k]), least[at[k]], good[k][0] == least[at[k]]) for k in range(len(good))]
-    known = {id(v) for v in ()}
-    del known
     rest = [(i, 0, i, i is not None) for i, v in rows
             if not (i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v))]
     return sorted(out + rest, key=str)
