@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,18 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(texts: list[str], most: int) -> Iterator[slice]:
+    """Cut a list of texts where about ``most`` characters are reached (one text at least)."""
+    lo, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held > most:
+            yield slice(lo, i + 1)
+            lo, held = i + 1, 0
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
 #: Hashes whose bits are unpacked at once (64 bytes each).
 BIT_BLOCK = 1 << 16
 

@@ -30,12 +30,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respawn.llm.common import others
+from respawn.llm.common import others, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters indexed at once, and words a Python worker remembers.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 MEMORY = 1 << 19
 
 
@@ -133,7 +133,7 @@ class Vocabulary:
     def _pack_pieces(self) -> None:
         text = [self.raw[i].decode() for i in self.pieces]
         self.letters = {c: n for n, c in enumerate(sorted(set("".join(text))), 1)}
-        self.pieces, self.size = np.array(self.pieces), np.array([len(t) for t in text])
+        self.pieces, self.size = np.array(self.pieces, dtype=np.int32), np.array([len(t) for t in text], dtype=np.int32)
         self.longest = int(self.size.max())
         self.spelled = np.zeros((len(text), self.longest), dtype=np.uint16)
         for n, t in enumerate(text):
@@ -182,9 +182,9 @@ class Vocabulary:
         keys = [k[suffixes] for k in keys]
         first, last = self._bound(keys, low, False), self._bound(keys, high, True)
         times = last - first
-        which = np.repeat(np.arange(len(times)), times)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-        start = suffixes[first[which] + inside]
+        which = np.repeat(np.arange(len(times), dtype=np.int32), times)
+        place = np.arange(len(which), dtype=np.int32) + np.repeat((first - np.cumsum(times) + times).astype(np.int32), times)
+        start = suffixes.astype(np.int32)[place]
         return start, start + self.size[fits][which], self.pieces[fits][which]
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +214,7 @@ class Vocabulary:
             ok = free | (before >= 0)
             check = np.flatnonzero(ok & ~free)
             if len(check):
-                keys, at = np.unique(before[check] << 32 | p[check], return_inverse=True)
+                keys, at = np.unique(before[check] << 32 | p[check].astype(np.int64), return_inverse=True)
                 ok[check] = self.beside(keys >> 32, keys & 0xFFFFFFFF)[at]
             last[e[ok]], origin[e[ok]] = p[ok], s[ok]
             own = lone[lone_cuts[step - 1]:lone_cuts[step]]
@@ -299,21 +299,10 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-#: Characters of text encoded together.
+#: Characters of text encoded together; results leave the worker slice by slice.
 SLICE = 1 << 21
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
-    lo, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held > SLICE:
-            yield slice(lo, i + 1)
-            lo, held = i + 1, 0
-    if lo < len(texts):
-        yield slice(lo, len(texts))
-
-
 def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, out: str = "ids") -> DataFrame:
     """``docs`` with the column ``out``: the piece ids of the whole text (null for a null text,
     none for an empty one). All rows and columns stay."""
@@ -321,11 +310,10 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, out: str
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = vocabulary(model)
         for texts in batches:
-            found = [None if t is None else t for t in texts.tolist()]
-            ids: list = []
-            for part in _slices([t or "" for t in found]):
-                ids += own.encode([t or "" for t in found[part]])
-            yield pd.Series([None if t is None else x for t, x in zip(found, ids)], dtype=object)
+            found = texts.tolist()
+            for part in slices([t or "" for t in found], SLICE):
+                ids = own.encode([t or "" for t in found[part]])
+                yield pd.Series([None if t is None else x for t, x in zip(found[part], ids)], dtype=object)
 
     return docs.withColumn(out, run(F.col(text_col)))
 
@@ -352,12 +340,13 @@ def encode_and_check(docs: DataFrame, text_col: str = "text", model: str = MODEL
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = vocabulary(model)
         for texts in batches:
-            found, out = texts.tolist(), []
-            for part in _slices([t or "" for t in found]):
+            found = texts.tolist()
+            for part in slices([t or "" for t in found], SLICE):
+                out = []
                 for text, ids in zip(found[part], own.encode([t or "" for t in found[part]])):
                     back = None if text is None else own.decode(ids.tolist())
                     out.append((None,) * 4 if text is None else (ids, len(ids), hashlib.sha256(back.encode("utf-8", "replace")).hexdigest(), back == text))
-            yield pd.DataFrame(out, columns=["ids", "n_ids", "decoded_sha256", "round_trip"]).astype({"n_ids": "Int32", "round_trip": "boolean"})
+                yield pd.DataFrame(out, columns=["ids", "n_ids", "decoded_sha256", "round_trip"]).astype({"n_ids": "Int32", "round_trip": "boolean"})
 
     if not os.path.exists(model):
         raise FileNotFoundError(model)
