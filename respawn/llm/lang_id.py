@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from respawn.llm.common import others
+from respawn.llm.common import others, slices
 
 SAMPLE = 3000
 BUCKETS = 1 << 17
@@ -32,9 +32,10 @@ OTHER_SCRIPT = 25.0
 #: A script counts for a language from this share of its words on.
 SCRIPT_SHARE = 0.005
 UNKNOWN = "und"
-#: Words whose scores a Python worker remembers, and words labelled at once.
+#: Words whose scores a Python worker remembers, and characters and words labelled at once.
 MEMORY = 1 << 18
-BLOCK = 1 << 20
+SLICE = 1 << 22
+BLOCK = 1 << 19
 
 #: First code points of Unicode script ranges, in order, and the scripts.
 RANGES = [(0x0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"), (0x590, "Hebrew"), (0x600, "Arabic"),
@@ -179,6 +180,13 @@ def label(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[s
 
     The spans cover the text; a span begins where its first word begins.
     """
+    out: list = []
+    for part in slices(texts, SLICE):  # bounds the words held at once
+        out += _label(model, texts[part])
+    return out
+
+
+def _label(model: Model, texts: list[str]) -> list:
     out: list = [(UNKNOWN, 0.0, [])] * len(texts)
     if not model.langs:
         return out
