@@ -60,26 +60,26 @@ def slices(texts: list[str], most: int) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
-#: Hashes whose bits are unpacked at once (64 bytes each).
-BIT_BLOCK = 1 << 16
+#: Hashes whose bits are unpacked at once: few enough to stay in a core's cache.
+BIT_BLOCK = 1 << 11
 
 
 def bit_counts(hashes: np.ndarray, starts: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-    """Per group and bit, how many hashes (or how much weight) set that bit.
+    """Per group and bit, how many hashes (or how much weight, in whole numbers) set that bit.
 
     ``hashes`` is uint64; group ``g`` is ``hashes[starts[g]:starts[g + 1]]`` and must not be
     empty. Column 0 of the (groups, 64) result is the most significant bit.
     """
-    out = np.zeros((len(starts) - 1, 64), dtype=np.float64 if weights is not None else np.int64)
+    out = np.zeros((len(starts) - 1, 64), dtype=np.int64)
     for lo in range(0, len(hashes), BIT_BLOCK):
         hi = min(len(hashes), lo + BIT_BLOCK)
         bits = np.unpackbits(hashes[lo:hi].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         if weights is not None:
-            bits = bits * weights[lo:hi, None]
+            bits = bits * weights[lo:hi, None].astype(np.int32)
         first = int(np.searchsorted(starts, lo, "right")) - 1
         last = int(np.searchsorted(starts[:-1], hi, "left"))
         cuts = np.maximum(starts[first:last], lo) - lo
-        out[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=out.dtype)
+        out[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
     return out
 
 

@@ -2,7 +2,8 @@
 
 A text's terms are its lower-cased words and its pairs of neighbouring words. Each distinct
 term votes +w or -w on every bit of the fingerprint by the bits of its 64-bit hash, where w is
-``WORD`` or ``PAIR`` times 1 + ln(occurrences in the text). A bit is 1 if its votes are positive.
+``WORD`` or ``PAIR`` times 1 + ln(occurrences in the text), rounded to a whole number so that votes
+add up exactly in any order. A bit is 1 if its votes are positive.
 
 ``within`` finds all fingerprints inside a Hamming radius: the 64 bits are cut into
 radius + ``MATCH`` blocks; whatever lies within the radius agrees on at least ``MATCH`` whole
@@ -26,7 +27,7 @@ from respawn.llm.common import bit_counts, pack_bits, stored, tasks
 
 RADIUS = 3
 MATCH = 2
-WORD, PAIR = 0.25, 1.0
+WORD, PAIR = 16, 64
 #: Distinct words whose hash a Python worker remembers.
 MEMORY = 1 << 18
 
@@ -60,7 +61,7 @@ def weighted_terms(text: str) -> tuple[np.ndarray, np.ndarray]:
     for terms, weight in ((own, WORD), (_mix(own[:-1], own[1:]), PAIR)):
         found, times = np.unique(terms, return_counts=True)
         hashes.append(found)
-        weights.append(weight * (1 + np.log(times)))
+        weights.append(np.rint(weight * (1 + np.log(times))).astype(np.int64))
     return np.concatenate(hashes), np.concatenate(weights)
 
 
@@ -76,7 +77,7 @@ def simhash(texts: list[str]) -> np.ndarray:
             weights = np.concatenate([w for _, w in terms])
             votes = bit_counts(np.concatenate([h for h, _ in terms]), starts, weights)
             total = np.add.reduceat(weights, starts[:-1])
-            out[at] = pack_bits(2 * votes > total[:, None] * (1 + 1e-12))
+            out[at] = pack_bits(2 * votes > total[:, None])
         at.clear(), terms.clear()
         held = 0
 
