@@ -58,10 +58,10 @@ def rates(masses: DataFrame, weights: DataFrame, epochs: float = 1.0) -> DataFra
     """
     known = masses.alias("m").join(weights.alias("w"), F.col("m.source").eqNullSafe(F.col("w.source")), "left").select(
         "m.source", "mass", F.greatest(F.coalesce("weight", F.lit(0)), F.lit(0)).alias("weight"))
-    sums = known.agg(F.sum("mass").alias("masses"), F.sum("weight").alias("weights"))
-    share = F.col("weight").cast("double") / F.col("weights").cast("double") * (F.col("masses").cast("double") * epochs) / F.col("mass").cast("double")
+    total = lambda c: known.agg(F.sum(c)).scalar().cast("double")
+    share = F.col("weight").cast("double") / total("weight") * (total("mass") * epochs) / F.col("mass").cast("double")
     rate = F.when(F.col("mass") == 0, F.lit(1.0)).when(F.col("weight") == 0, F.lit(0.0)).otherwise(share)
-    return known.join(F.broadcast(sums)).select("source", rate.alias("rate"))  # sums is one row
+    return known.select("source", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: str = SEED, id_col: str = "doc_id",
