@@ -106,9 +106,11 @@ BI_VIEWS = {
 
 
 def bi_views(spark: SparkSession, root: str) -> None:
-    """(re)write the dashboard views' results, to be read by any session."""
+    """(re)write the dashboard views' results, to be read by any session, and name them as
+    views in this one."""
     for name, (view, table) in BI_VIEWS.items():
         files.write_table(view(spark.read.parquet(_p(root, "gold", table))), _p(root, "gold", name), whole=True)
+        files.declare_view(spark.read.parquet(_p(root, "gold", name)), name)
 
 
 # Catalog entries for the layer folders: (schema, table, folder, partition column, comment, properties).

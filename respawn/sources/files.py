@@ -61,9 +61,11 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 # --------------------------------------------------------------------------- streaming ingest
-def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A1: streaming CSV source over a landing folder (new files only)."""
-    r = spark.readStream.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT).schema(StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType())]))
+def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, mark_malformed: bool = False) -> DataFrame:
+    """A1: streaming CSV source over a landing folder (new files only); ``mark_malformed`` adds the
+    column ``CORRUPT``."""
+    fields = [*RAW_SCHEMA.fields, *([StructField(CORRUPT, StringType())] if mark_malformed else [])]
+    r = spark.readStream.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT).schema(StructType(fields))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.csv(source_dir)
@@ -143,7 +145,7 @@ def ingest_events(spark: SparkSession, source_dir: str, target_path: str, checkp
     rules = dq.RAW_RULES_NORMALIZED if normalize_before_check else dq.RAW_RULES
     metrics_path = metrics_path or target_path.rstrip("/") + "_quality"
     name = "bronze_expectations"
-    raw = raw_stream(spark, source_dir, max_files_per_trigger)
+    raw = raw_stream(spark, source_dir, max_files_per_trigger, mark_malformed=True)
     kept = dq.expect(raw, [*rules, WELL_FORMED], observation=name).drop(CORRUPT)
     w = (kept.writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))

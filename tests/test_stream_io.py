@@ -46,8 +46,8 @@ def test_stream_dedup_watermark_and_late_rows(spark, tmp):
         [{"event_id": "e2", "ingest_ts": at(23)}],
     ]
     for i, rows in enumerate(batches):
-        files.export_csv(raw_rows(spark, rows), f"{land}/b{i}")
-    stream = files.raw_stream(spark, f"{land}/*", max_files_per_trigger=1).drop(files.CORRUPT)
+        files.export_csv(raw_rows(spark, rows), f"{land}/b{i}", single_file=True)
+    stream = files.raw_stream(spark, f"{land}/*", max_files_per_trigger=1)
     cleaned = sp.clean_events_stream(stream, delay="1 hour")
     q = sp.run_available(cleaned, f"{tmp}/silver", f"{tmp}/ckpt")
     ids = sorted(r["event_id"] for r in spark.read.parquet(f"{tmp}/silver").collect())
