@@ -39,6 +39,7 @@ REVISIT_BYTES = 100
 #: Bytes fetched at once when neighbouring records are read.
 FETCH = 1 << 22
 DATE = "2024-01-01T00:00:00Z"
+_BLANK = re.compile(r"[\s\x00-\x20{]")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -87,8 +88,15 @@ def read_directory(file, size: int) -> list[Member]:
     """The members of the ZIP file, from its central directory (ZIP64 or not)."""
     tail_at = max(0, size - (1 << 16) - 22 - 20)
     tail = file.read_at(size - tail_at, tail_at)
+    def is_end(at: int) -> bool:
+        """Its comment fills the file, and the directory (or the ZIP64 locator) stands right before it."""
+        if len(tail) - at < 22 or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+            return False
+        length, start = struct.unpack_from("<II", tail, at + 12)
+        return start + length == tail_at + at or at >= 20 and tail[at - 20:at - 16] == b"PK\6\7"
+
     end = tail.rfind(b"PK\5\6")
-    while end >= 0 and (len(tail) - end < 22 or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
+    while end >= 0 and not is_end(end):
         end = tail.rfind(b"PK\5\6", 0, end)
     if end < 0:
         raise ValueError("no end of central directory")
@@ -216,7 +224,7 @@ def _append(batch: pd.DataFrame, member, index: list[bytes], offset: int) -> int
         raw = gzip.compress(warc_record(page, url, payload, digest, kind, refers_to), 6, mtime=0)
         member.write(raw)
         entry = {"url": url, "digest": f"sha256:{digest}", "filename": WARC_MEMBER, "offset": offset, "length": len(raw)}
-        index.append(f"{re.sub(r'\\s', '%20', url or '-')} 20240101000000 {json.dumps(entry)}\n".encode())
+        index.append(f"{_BLANK.sub('%20', url or '-')} 20240101000000 {json.dumps(entry)}\n".encode("utf-8", "replace"))
         offset += len(raw)
     return offset
 

@@ -1,5 +1,4 @@
 import hashlib
-import io
 import json
 import zipfile
 
@@ -88,7 +87,7 @@ def test_directories(tmp_path, monkeypatch, zip64, indexed):
     found = list(op.locate_records(path))
     assert [data[a:a + n] for a, n in found] == raw
     with fs.LocalFileSystem().open_input_file(path) as f:
-        assert {m.name: m.size for m in op.read_directory(f, f.size())} == {i.filename: i.file_size for i in zipfile.ZipFile(io.BytesIO(data)).infolist()}
+        assert {m.name: m.size for m in op.read_directory(f, f.size())} == {name: len(raw) for name, raw in members}
 
 
 def test_refuses_what_it_cannot_read(tmp_path):
