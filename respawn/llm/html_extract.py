@@ -2,14 +2,16 @@
 
 1. Each page is parsed once to a compact tree: elements, the text pieces of each block, and a
    hash of each element's subtree (names, classes, texts; digits count as 0).
-2. Spark counts the subtree hashes per host, each once a page. A subtree on at least ``SHARE`` of
-   the host's pages, and on at least ``MIN_PAGES``, is a template of the site.
+2. Spark counts the subtree hashes per host, each once a page; copies of a page (equal trees,
+   digits count as 0) are one page. A subtree on at least ``SHARE`` of the host's pages, and on at
+   least ``MIN_PAGES``, is a template of the site.
 3. Each page's tree is read again without its templates. Elements that say what they are
    (navigation, footers, forms, scripts, adverts, comments ...) go too; of the rest, the article
    is kept if there is one, else the main element, else the body.
 
 Prose inside an article (paragraphs, headings, lists, quotes, tables) is never a template: an article
-may repeat on its site. A host has at most (mean subtrees a page) / SHARE templates, so they
+may repeat on its site. Nor is an element that holds half of the paragraphs of its article or, outside
+of one, of its page, nor prose in the innermost element that holds four fifths of them. A host has at most (mean subtrees a page) / SHARE templates, so they
 travel as one array a host; the join is salted over ``SALTS`` copies for hosts with many pages.
 """
 
@@ -57,6 +59,8 @@ MARKS = frozenset(
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
     "skip tags toolbar copyright legal disclaimer contentinfo complementary".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption b i em strong a span code q br".split())
+#: Elements whose text is a page's prose for certain.
+PARAGRAPHS = frozenset("p pre blockquote".split())
 CONTENT = frozenset("content maincontent article articlebody post entry story main".split())
 
 _TAG = re.compile(
@@ -84,6 +88,7 @@ class Tree:
         self._parse(page)
         while len(self.stack) > 1:
             self._close()
+        self.hash[0] = xxhash.xxh64_intdigest("\x1f".join(self.parts[0]))
         del self.parts, self.stack
 
     def _close(self) -> None:
@@ -170,8 +175,30 @@ class Tree:
                 elif attrs.rstrip().endswith("/") and tag in ("svg", "path", "circle", "rect", "use"):
                     self._close()
 
-    def packed(self) -> tuple[bytes, list[int]]:
-        """The tree for a second reading, and the distinct hashes that may be templates."""
+    def _holds_prose(self) -> list[bool]:
+        """Whether an element holds half of the paragraphs' text of its article or main element, or of the page,
+        or is prose in the innermost element that holds nearly all of the page's."""
+        size = len(self.tag)
+        gone, told, scope, prose = [False] * size, [False] * size, [0] * size, [0] * size
+        for n in range(1, size):  # parents come first
+            p = self.parent[n]
+            gone[n] = gone[p] or self.drop[n]
+            told[n] = told[p] or self.tag[n] in PARAGRAPHS
+            scope[n] = p if self.tag[p] in ("article", "main") else scope[p]
+        for _, n, text in self.pieces:
+            if told[n] and not gone[n]:
+                prose[n] += len(text.strip())
+        for n in range(size - 1, 0, -1):
+            prose[self.parent[n]] += prose[n]
+        wraps = (n for n in range(size - 1, 0, -1) if self.tag[n] not in PROSE and self.tag[n] not in ("html", "body"))
+        home = next((n for n in wraps if prose[n] > 0 and 5 * prose[n] >= 4 * prose[0]), None)
+        within = [False] * size
+        for n in range(1, size):
+            within[n] = within[self.parent[n]] or self.parent[n] == home
+        return [prose[n] > 0 and 2 * prose[n] >= prose[scope[n]] or within[n] and self.tag[n] in PROSE for n in range(size)]
+
+    def packed(self) -> tuple[bytes, list[int], int]:
+        """The tree for a second reading, the distinct hashes that may be templates, and the page's hash."""
         inside = [False] * len(self.tag)  # in an article or main element
         for n in range(1, len(self.tag)):
             p = self.parent[n]
@@ -180,13 +207,14 @@ class Tree:
         for n in range(len(self.tag) - 1, 0, -1):
             if holds[n] or self.tag[n] in ("article", "main"):
                 holds[self.parent[n]] = True
-        open_ = [not holds[n] and self.tag[n] not in ("#", "html", "body", "article", "main") and not (inside[n] and self.tag[n] in PROSE) for n in range(len(self.tag))]
+        told = self._holds_prose()
+        open_ = [not holds[n] and not told[n] and self.tag[n] not in ("#", "html", "body", "article", "main") and not (inside[n] and self.tag[n] in PROSE) for n in range(len(self.tag))]
         hashes = np.array(self.hash, dtype=np.uint64).view(np.int64)
         state = self.tag, self.parent, self.drop, self.content, self.pieces, hashes, open_
-        return zlib.compress(pickle.dumps(state, protocol=5), 1), sorted({int(h) for h, o in zip(hashes, open_) if o})
+        return zlib.compress(pickle.dumps(state, protocol=5), 1), sorted({int(h) for h, o in zip(hashes, open_) if o}), int(hashes[0])
 
 
-def parse(page: str | None) -> tuple[bytes, list[int]]:
+def parse(page: str | None) -> tuple[bytes, list[int], int]:
     return Tree(page or "").packed()
 
 
@@ -221,9 +249,10 @@ def host_of(url):
 
 
 def site_templates(trees: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, templates): hashes of subtrees that recur on many pages of the host."""
-    pages = trees.where("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"))
-    seen = trees.where("host IS NOT NULL").select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    """(host, templates): hashes of subtrees that recur on many distinct pages of the host."""
+    trees = trees.where("host IS NOT NULL").select("host", "page", "hashes").dropDuplicates(["host", "page"])
+    pages = trees.groupBy("host").agg(F.count("*").alias("pages"))
+    seen = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = seen.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= F.col("pages") * share)
     return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
 
@@ -233,7 +262,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(id_col, url_col, text, n_chars, host, n_templates), one row for each row of ``pages``.
 
     Null and empty pages have an empty text. Pages without a host (null or relative urls) share
-    no templates. Repeated rows count as pages of their own. Equal ids are no matter. An empty
+    no templates. Copies of a page count as one page of its host. Equal ids are no matter. An empty
     table gives no rows; other columns aren't read.
     """
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,11 +270,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for lo in range(0, len(batch), 512):
                 part = batch.iloc[lo:lo + 512]
                 found = [parse(page) for page in part["body"].tolist()]
-                yield pd.DataFrame({"id": part["id"], "url": part["url"], "host": part["host"], "tree": [t for t, _ in found], "hashes": [h for _, h in found]})
+                yield pd.DataFrame({"id": part["id"], "url": part["url"], "host": part["host"], "tree": [t for t, _, _ in found], "hashes": [h for _, h, _ in found], "page": [p for _, _, p in found]})
 
     kind = dict(pages.dtypes)[id_col]
     source = pages.select(F.col(id_col).cast("string").alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("body"))
-    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>"), "trees", wide=True)
+    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>, page long"), "trees", wide=True)
     templates = stored(site_templates(trees, share, min_pages), "templates")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -70,3 +70,17 @@ def test_odd_rows(spark):
     assert (by[1].text, by[2].text, by[4].text, by[None].text) == ("", "", "x", "x") and by[5].n_chars == 5 * 100000 - 1
     assert by[6].host == "h.x" and by[6].text.endswith("ok") and by[7].text.endswith("y")
     assert op.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_copied_pages_keep_their_story(spark):
+    """A third of a host's pages are copies of one page laid out in divs; some copies differ in a word outside the story."""
+    story = "<p>The story begins</p><div class=x><p>It goes on for a while in a box of its own</p></div><p>and ends</p>"
+    pages = [f"<body><article><div class=post-body>{story}</div></article></body>", f"<body><div class=layout><div>{story}</div></div></body>",
+             f"<body><div>seen by {{i}}</div><div class=layout><div>{story}</div></div></body>", f"<body><article><i>{{i}}</i><div class=post-body>{story}</div></article></body>"]
+    for k, page in enumerate(pages):
+        rows = [(i, f"http://h{k}/{i}", page.format(i=chr(97 + i))) for i in range(10)]
+        rows += [(100 + i, f"http://h{k}/x{i}", f"<body><div>About us</div><p>other {chr(97 + i)}</p></body>") for i in range(20)]
+        got = run(spark, rows)
+        for i in range(10):
+            assert got[i].text.endswith("The story begins\nIt goes on for a while in a box of its own\nand ends"), (k, got[i].text)
+        assert all(got[100 + i].text == f"other {chr(97 + i)}" for i in range(20))
