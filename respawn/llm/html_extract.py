@@ -7,7 +7,11 @@
    least ``MIN_PAGES``, is a template of the site.
 3. Each page's tree is read again without its templates. Elements that say what they are
    (navigation, footers, forms, scripts, adverts, comments ...) go too; of the rest, the article
-   is kept if there is one, else the main element, else the body.
+   is kept if there is one, else the main element, else the content element, else the body. A later
+   one of these with more than twice the text goes before an earlier one (a teaser).
+
+In an article or main element only containers go by their names, and only if a whole class,
+id or role says it: no headings, paragraphs or lists, no "entry-header", no "search-results".
 
 Prose inside an article (paragraphs, headings, lists, quotes, tables) is never a template: an article
 may repeat on its site. Nor is an element that holds half of the paragraphs of its article or, outside
@@ -58,6 +62,10 @@ MARKS = frozenset(
     "header masthead topbar footer bottombar cookie cookies consent gdpr notice notices alert comment comments commentlist disqus respond replies reply "
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
     "skip tags toolbar copyright legal disclaimer contentinfo complementary".split())
+#: Words that say nothing beside a mark: "related-posts" is marked as a whole, "search-results" isn't.
+WITH_MARKS = frozenset(
+    "area articles bar block bottom box button buttons container form group icons inner item items left link links list media "
+    "outer panel posts right section stories thread top widget wrap wrapper".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption b i em strong a span code q br".split())
 #: Elements whose text is a page's prose for certain.
 PARAGRAPHS = frozenset("p pre blockquote".split())
@@ -76,6 +84,15 @@ def _marked(attrs: dict[str, str]) -> set[str]:
     return {w for own in words if own and own[0] not in ("has", "no", "with", "without", "is") for w in (*own, "".join(own))}
 
 
+def _wholly_marked(attrs: dict[str, str]) -> bool:
+    """Whether a whole class, id or role is marks and words that add nothing; a header may be a title's."""
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".split():
+        own = {w.lower() for w in _SPLIT.split(name) if w}
+        if own <= MARKS | WITH_MARKS and own & MARKS and "header" not in own:
+            return True
+    return False
+
+
 class Tree:
     """Elements in page order: names, parents, marks and subtree hashes; and the blocks' texts."""
 
@@ -103,10 +120,13 @@ class Tree:
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if attrs else {}
         words = _marked(found) if found else set()
         drop = tag in BOILERPLATE or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-        if tag not in ("html", "body", "main"):
+        inside = any(self.tag[n] in ("article", "main") for n in self.stack)
+        if inside:
+            drop = drop or tag not in PROSE and tag != "main" and _wholly_marked(found)
+        elif tag not in ("html", "body", "main"):
             drop = drop or not words.isdisjoint(MARKS)
         if tag == "header":
-            drop = drop or not any(self.tag[n] in ("article", "main") for n in self.stack)
+            drop = drop or not inside
         self.tag.append(tag)
         self.parent.append(self.stack[-1])
         self.drop.append(drop)
@@ -237,10 +257,12 @@ def main_text(tree: bytes, templates: set[int]) -> str:
         lines = (" ".join("".join(b).split()) for b in blocks.values())
         return "\n".join(line for line in lines if line)
 
+    best = ""
     for inside in home.values():
         if any(inside) and (found := text(lambda n: inside[n] and not gone[n])):  # noqa: B023
-            return found
-    return text(lambda n: not gone[n])
+            if not best or len(found) > 2 * len(best):
+                best = found
+    return best or text(lambda n: not gone[n])
 
 
 def host_of(url):

@@ -84,3 +84,19 @@ def test_copied_pages_keep_their_story(spark):
         for i in range(10):
             assert got[i].text.endswith("The story begins\nIt goes on for a while in a box of its own\nand ends"), (k, got[i].text)
         assert all(got[100 + i].text == f"other {chr(97 + i)}" for i in range(20))
+
+
+def test_marks_inside_an_article_are_whole_names():
+    page = """<article><header class="entry-header"><h1>Title</h1></header><h2 id="related-work">Related work</h2><section id="search-results"><p>Found</p></section>
+      <p class="alert">Mind this</p><div id="social-impact"><p>Impact</p></div><div class="related-posts"><p>no</p></div><div class="share"><p>no</p></div>
+      <section id="comments"><p>no</p></section><div class="ad banner">no</div><nav>no</nav></article>"""
+    assert text_of(page) == "Title\nRelated work\nFound\nMind this\nImpact"
+    assert text_of(page.replace("article>", "main>")) == text_of(page)
+    assert text_of('<div class="search-results"><p>no</p></div><article><p>yes</p></article>') == "yes"
+
+
+def test_a_teaser_is_not_the_story():
+    story = "<p>The story has many words and goes on</p><p>until it ends</p>"
+    assert text_of(f"<main>{story}<article><p>Read this too</p></article></main>") == "The story has many words and goes on\nuntil it ends\nRead this too"
+    assert text_of(f"<article><p>Read</p></article><div class=content>{story}</div>") == "The story has many words and goes on\nuntil it ends"
+    assert text_of(f"<main><div>Around</div><article>{story}</article></main>") == "The story has many words and goes on\nuntil it ends"
