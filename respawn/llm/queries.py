@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from respawn.llm import (embed_dedup, html_extract, lang_id, line_dedup, mixing, secret_scan, sentencepiece_codec, simhash, simhash_dedup,
-                         warc_zip)
+from respawn.llm import (embed_dedup, html_extract, lang_id, line_dedup, mixing, periodic_runs, secret_scan, sentencepiece_codec, simhash,
+                         simhash_dedup, warc_zip)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,9 +56,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_language_id, op2_html_extract, op3_sentencepiece, op4_embedding_dedup, op5_mix, op6_warc_zip, op7_secret_scan,
-           op8_fingerprints, op9_simhash_dedup, op10_line_dedup)
+           op8_fingerprints, op9_simhash_dedup, op10_line_dedup, op11_periodic_runs)
     return {f.__name__: f for f in own}
 
 
