@@ -5,7 +5,7 @@ and writes its own, so lineage is cut between layers and an executor loss
 re-reads parquet instead of recomputing upstream. Every path must live on the
 shared filesystem of the cluster.
 
-    build_bronze  landing CSV --(stream, availableNow)--> bronze/raw_events (by ingest_date)
+    build_bronze  landing CSV --(stream, availableNow)--> bronze/raw_events (by batch and ingest_date)
     build_silver  bronze -> silver/{player_events_cleaned (by event_date), player_sessions,
                   player_purchase_events, silver_quality_summary}
     build_gold    silver -> gold/{churn_features_daily, arpu_features_daily,
@@ -155,6 +155,8 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
         name = f"{schema}.{table}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         schema_ddl = spark.read.parquet(path).schema.toDDL()
+        if part and path_exists(spark, f"{path}/{files.STREAMED}"):
+            part = f"batch_id, {part}"
         part_clause = f"PARTITIONED BY ({part})" if part else ""
         props = props | {"pipeline": "respawn", "source": SOURCES[schema]}
         tbl_props = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())

@@ -105,6 +105,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; ``target`` must not exist (where it does, nothing is moved and an error raised)."""
+    fs, src = _filesystem(spark, source)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"can't rename {source} to {target}")
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, where = _filesystem(spark, path)
+    fs.create(where, True).close()
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed (ms), 0 if it isn't there."""
     fs, where = _filesystem(spark, path)

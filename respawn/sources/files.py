@@ -5,9 +5,9 @@
   the reader and writer both use ``quote='"'`` and ``escape='"'``.
 * Incremental ingest (A1/O1/O4) is a Structured Streaming file source with a
   checkpoint: each run (``availableNow``) reads only files not seen before,
-  applies the bronze expectations and appends to the bronze table through the
-  exactly-once parquet file sink. Rule counts are observed in the same pass and
-  persisted per batch id, so a replayed batch replaces instead of double-counting.
+  applies the bronze expectations and adds a folder ``batch_id=N`` to the bronze table.
+  Rows and rule counts of a micro-batch come from one pass, are written under its id
+  and become visible by one rename before the batch is committed: see :func:`write_batch`.
 * Table writes overwrite dynamically by partition (history accumulates per
   compute date) and refuse to overwrite a table the job also reads (X18).
 """
@@ -17,12 +17,12 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from respawn.constants import RAW_COLUMNS
 from respawn.operators import dq
-from respawn.session import path_exists
+from respawn.session import mark, move, path_exists
 
 # A2: the raw envelope. Declared non-null where the contract says so; file
 # streams report every column nullable anyway, so the expectations are the guard.
@@ -71,14 +71,13 @@ def raw_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return r.csv(source_dir)
 
 
-class ObservedMetricsListener:
-    """Collects the observed metrics of *every* micro-batch of the queries it
-    watches (``recentProgress`` keeps only the last 100 updates)."""
+class LateRowsListener:
+    """Counts the rows that *every* micro-batch dropped behind the watermark
+    (``recentProgress`` keeps only the last 100 updates)."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession):
         from pyspark.sql.streaming import StreamingQueryListener
 
-        collected: dict[tuple[str, int], dict] = {}
         dropped: dict[tuple[str, int], int] = {}
 
         class _L(StreamingQueryListener):
@@ -88,10 +87,6 @@ class ObservedMetricsListener:
             def onQueryProgress(self, event):
                 p = event.progress
                 dropped[(str(p.id), int(p.batchId))] = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])
-                row = (p.observedMetrics or {}).get(name)
-                if row is not None:
-                    d = row.asDict() if hasattr(row, "asDict") else dict(row)
-                    collected[(str(p.id), int(p.batchId))] = {k: int(v) for k, v in d.items()}
 
             def onQueryIdle(self, event):
                 pass
@@ -99,13 +94,9 @@ class ObservedMetricsListener:
             def onQueryTerminated(self, event):
                 pass
 
-        self.spark, self.collected, self.dropped, self.listener = spark, collected, dropped, _L()
+        self.spark, self.dropped, self.listener = spark, dropped, _L()
         spark.streams.addListener(self.listener)
 
-    def batches(self, query) -> list[dict]:
-        qid = str(query.id)
-        return [{"batch_id": b, **m} for (q, b), m in sorted(self.collected.items()) if q == qid]
-
     def late(self, query) -> dict[int, int]:
         """Rows dropped behind the watermark, by batch."""
         return {b: n for (q, b), n in self.dropped.items() if q == str(query.id)}
@@ -128,64 +119,94 @@ def progress_metrics(query, name: str) -> list[dict]:
     return out
 
 
-def ingest_events(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
-                  metrics_path: str | None = None, normalize_before_check: bool = False,
-                  partition_by: tuple[str, ...] | None = ("ingest_date",),
-                  max_files_per_trigger: int | None = None) -> dict:
-    """One triggered run of the incremental bronze ingest.
+#: A file in a table whose rows come from a stream's micro-batches.
+STREAMED = "_streamed"
 
-    Reads only files that arrived since the last run (file-source checkpoint),
-    applies the bronze expectations and appends to ``target_path`` through the
-    exactly-once parquet file sink, partitioned by ingest date. Rule counts are
-    observed in the same pass (``observe``) and written under ``metrics_path`` as each
-    micro-batch ends, so a crash loses no committed batch's counts (a replayed batch replaces
-    its own row). Lines with too many or too few fields count as rule ``well_formed``; they are
-    kept, padded or cut.
-    """
-    rules = dq.RAW_RULES_NORMALIZED if normalize_before_check else dq.RAW_RULES
-    metrics_path = metrics_path or target_path.rstrip("/") + "_quality"
-    name = "bronze_expectations"
-    raw = raw_stream(spark, source_dir, max_files_per_trigger, mark_malformed=True)
-    kept = dq.expect(raw, [*rules, WELL_FORMED], observation=name).drop(CORRUPT)
-    w = (kept.writeStream.format("parquet").option("path", target_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    batches = watched(spark, w, name, [*rules, WELL_FORMED], "raw_events", metrics_path)[1]
-    return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches)}
 
+def _counts(spark: SparkSession, metrics_path: str, batch_id: int, rules: list[dq.Rule]) -> dict:
+    """The stored counts of a batch as {batch_id, rows, <rule>_failed ...} (a row a rule)."""
+    rows = spark.read.parquet(os.path.join(metrics_path, f"batch={batch_id}")).collect()
+    failed = {f"{r['rule']}_failed": r["failed"] for r in rows}
+    return {"batch_id": batch_id, "rows": rows[0]["total"], **{f"{r.name}_failed": failed.get(f"{r.name}_failed", 0) for r in rules}}
 
-def watched(spark: SparkSession, writer, name: str, rules: list, dataset: str, metrics_path: str) -> tuple:
-    """Run a stream to its end; returns (query, every micro-batch's counts).
 
-    A micro-batch's rule counts are written when its progress arrives.
-    """
-    def write(b: dict) -> None:  # a few tiny rows
-        rows = [{"dataset": dataset, "rule": r.name, "action": r.action, "batch_id": b["batch_id"],
-                 "total": b["rows"], "failed": b[f"{r.name}_failed"]} for r in rules]
-        spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(os.path.join(metrics_path, f"batch={b['batch_id']}"))
+def write_counts(spark: SparkSession, metrics_path: str, dataset: str, rules: list[dq.Rule], counts: dict) -> None:
+    """Store one batch's counts, replacing what an earlier attempt stored for it (a few tiny rows)."""
+    rows = [{"dataset": dataset, "rule": r.name, "action": r.action, "batch_id": counts["batch_id"],
+             "total": counts["rows"], "failed": counts[f"{r.name}_failed"]} for r in rules]
+    spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(os.path.join(metrics_path, f"batch={counts['batch_id']}"))
+
 
-    listener, done = ObservedMetricsListener(spark, name), {}
+def write_batch(rows: DataFrame, batch_id: int, path: str, metrics_path: str, dataset: str, rules: list[dq.Rule],
+                partition_by: tuple[str, ...] | None) -> dict:
+    """Add one micro-batch and its rule counts to a table, once however often the batch is replayed.
 
-    def take(found: list[dict]) -> None:
-        for b in found:
-            if b["batch_id"] not in done:
-                write(b)
-                done[b["batch_id"]] = b
+    1. The rows that pass are written to a hidden folder; the rules are counted in the same pass.
+    2. The counts are stored under the batch id.
+    3. The hidden folder becomes ``batch_id=N`` by one rename. Only then the stream commits the batch.
 
+    A crash at any point replays the batch: if the rename happened, rows and counts are both there and
+    the batch is skipped; if not, no reader has seen any of it and steps 1 and 2 replace what they left.
+    """
+    spark = rows.sparkSession
+    target = f"{path.rstrip('/')}/batch_id={batch_id}"
+    if path_exists(spark, target):
+        return _counts(spark, metrics_path, batch_id, rules)
+    hidden = f"{path.rstrip('/')}/_staging/batch_id={batch_id}"
+    seen = Observation()
+    w = dq.expect(rows, rules, observation=seen).drop(CORRUPT).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(hidden)
+    counts = {"batch_id": batch_id, **{k: int(v) for k, v in seen.get.items()}}
+    write_counts(spark, metrics_path, dataset, rules, counts)
+    move(spark, hidden, target)
+    return counts
+
+
+def run_batches(stream: DataFrame, path: str, checkpoint: str, metrics_path: str, dataset: str, rules: list[dq.Rule],
+                partition_by: tuple[str, ...] | None = None) -> tuple:
+    """Run a stream over everything available into a table of micro-batches; returns (query, every batch's counts).
+
+    Refuses a table that something else writes, or whose batches another checkpoint numbered.
+    """
+    spark = stream.sparkSession
+    marker = f"{path.rstrip('/')}/{STREAMED}"
+    if path_exists(spark, path) and not path_exists(spark, marker):
+        raise ValueError(f"{path} was not written by this stream; it needs a table of its own")
+    if path_exists(spark, marker) and not path_exists(spark, checkpoint):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
+    mark(spark, marker)
+    done: dict[int, dict] = {}
+
+    def take(rows: DataFrame, batch_id: int) -> None:
+        done[batch_id] = write_batch(rows, batch_id, path, metrics_path, dataset, rules, partition_by)
+
+    late = LateRowsListener(spark)
     try:
-        q = writer.start()
-        while not q.awaitTermination(2):
-            take(listener.batches(q))
-        # listener events arrive asynchronously; recentProgress holds the last 100 batches at once
-        take(listener.batches(q))
-        take(progress_metrics(q, name))
-        q.late = listener.late(q)
+        q = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        q.late = late.late(q)
     finally:
-        listener.close()
+        late.close()
     return q, [done[k] for k in sorted(done)]
 
 
+def ingest_events(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
+                  metrics_path: str | None = None, normalize_before_check: bool = False,
+                  partition_by: tuple[str, ...] | None = ("ingest_date",),
+                  max_files_per_trigger: int | None = None) -> dict:
+    """One triggered run of the incremental bronze ingest.
+
+    Reads only files that arrived since the last run (file-source checkpoint), applies the bronze
+    expectations and adds the rows to ``target_path``, partitioned by batch and ingest date, and the rule
+    counts to ``metrics_path``; a crash neither loses nor doubles rows or counts (:func:`write_batch`).
+    Lines with too many or too few fields count as rule ``well_formed``; they are kept, padded or cut.
+    """
+    rules = [*(dq.RAW_RULES_NORMALIZED if normalize_before_check else dq.RAW_RULES), WELL_FORMED]
+    raw = raw_stream(spark, source_dir, max_files_per_trigger, mark_malformed=True)
+    batches = run_batches(raw, target_path, checkpoint, metrics_path or target_path.rstrip("/") + "_quality", "raw_events", rules, partition_by)[1]
+    return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches)}
+
+
 def read_quality(spark: SparkSession, metrics_path: str) -> DataFrame:
     """Accumulated per-batch rule counts of an ingest (B4 over time)."""
     return spark.read.parquet(metrics_path)
@@ -230,7 +251,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     target = _plain(path)
     if mode == "overwrite" and any(s.startswith(target + "/") or s == target for s in _sources_of(df)):
         raise ValueError(f"refusing to overwrite {path}: the job reads from it")
-    if mode == "overwrite" and path_exists(df.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
+    if mode == "overwrite" and any(path_exists(df.sparkSession, f"{path.rstrip('/')}/{m}") for m in (STREAMED, "_spark_metadata")):
         raise ValueError(f"refusing to overwrite {path}: a stream writes it")
     if partition_by:
         df = cluster_for_partitions(df, partition_by, sort_by)

@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml import PipelineModel
 
 from respawn.operators import dq, ml, silver
-from respawn.session import path_exists
-from respawn.sources.files import ObservedMetricsListener, progress_metrics, watched
+from respawn.sources.files import LateRowsListener, progress_metrics, run_batches
 
 
 def clean_events_stream(bronze_stream: DataFrame, delay: str = "2 days",
                         observation: str | None = "cleaned_expectations") -> DataFrame:
     """O2/O3: streaming C1 -- dedup within ``delay`` of arrival time, then rules."""
-    typed = silver.typed_events(bronze_stream)
-    deduped = (typed.withWatermark("ingest_ts", delay)
-               .dropDuplicatesWithinWatermark(["event_id"]))
-    return dq.expect(silver.parse_events(deduped), dq.CLEANED_RULES, observation)
+    return dq.expect(parsed_stream(bronze_stream, delay), dq.CLEANED_RULES, observation)
+
+
+def parsed_stream(bronze_stream: DataFrame, delay: str = "2 days") -> DataFrame:
+    """O2: typed, de-duplicated and parsed events before the cleaned-table rules."""
+    deduped = silver.typed_events(bronze_stream).withWatermark("ingest_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return silver.parse_events(deduped)
 
 
 def bronze_file_stream(spark: SparkSession, bronze_path: str, schema) -> DataFrame:
@@ -45,7 +47,7 @@ def run_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[
          .option("checkpointLocation", checkpoint).outputMode(output_mode).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    listener = ObservedMetricsListener(df.sparkSession, "")
+    listener = LateRowsListener(df.sparkSession)
     try:
         q = w.start()
         q.awaitTermination()
@@ -78,17 +80,12 @@ def observed(query, name: str = "cleaned_expectations") -> list[dict]:
 def build_silver_stream(spark: SparkSession, bronze_path: str, target_path: str, checkpoint: str,
                         metrics_path: str | None = None, delay: str = "2 days") -> dict:
     """O1-O4 for silver: stream new bronze files through C1 into the cleaned
-    table (partitioned by event date) and persist each micro-batch's rule
-    counts keyed by batch id (a replayed batch replaces its own row)."""
-    if path_exists(spark, target_path) and not path_exists(spark, f"{target_path.rstrip('/')}/_spark_metadata"):
-        raise ValueError(f"{target_path} was written by the batch job; a stream needs a table of its own")
+    table (partitioned by batch and event date); each micro-batch's rule counts
+    are stored with it (:func:`respawn.sources.files.write_batch`)."""
     schema = spark.read.parquet(bronze_path).schema
-    name = "cleaned_expectations"
-    cleaned = clean_events_stream(bronze_file_stream(spark, bronze_path, schema), delay, name)
-    writer = (cleaned.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", checkpoint)
-              .outputMode("append").trigger(availableNow=True).partitionBy("event_date"))
-    q, batches = watched(spark, writer, name, dq.CLEANED_RULES, "player_events_cleaned",
-                         metrics_path or target_path.rstrip("/") + "_quality")
+    parsed = parsed_stream(bronze_file_stream(spark, bronze_path, schema), delay)
+    q, batches = run_batches(parsed, target_path, checkpoint, metrics_path or target_path.rstrip("/") + "_quality", "player_events_cleaned",
+                             dq.CLEANED_RULES, ("event_date",))
     return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches),
             "dropped_by_watermark": dropped_by_watermark(q)}
 
