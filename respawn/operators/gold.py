@@ -436,25 +436,22 @@ def primary_dimensions(events: DataFrame, as_of=None) -> DataFrame:
 def churn_history(events: DataFrame, sessions: DataFrame | None, purchases: DataFrame | None, start, end) -> DataFrame:
     """K6: K1 features for every compute date in [start, end] (one row per player per day).
 
-    Scales with the *daily grain*, not the raw rows: the three inputs are first
-    reduced to one row per (player, day, platform, region) with additive
-    measures (one shuffle, partial aggregation). Each daily row is then
-    expanded to the compute dates it can influence -- at most ``end - start + 1``
-    of them, a bound fixed by the request, not by the data -- and reduced again
-    per (player, compute date). Platform / region modes use the summed counts.
-    Rows older than all windows are first collapsed per (player, platform,
-    region); the daily table is checkpointed once and read by every branch. No window over a player's full history, so a hot player cannot
-    create a giant partition. Cost is O(rows in [start - 30, end] x range):
-    run long backfills in chunks of about a month (``layers.build_history``).
-    Write the result partitioned by ``compute_date``.
+    The events are first reduced to one row per (player, day, platform, region) with additive
+    measures (map-side partial aggregation; days before every window fold into one), so a hot player's events meet
+    no single task. The daily rows then move once, by player; nothing is shuffled or joined after that. There each
+    player gets a row for each compute date, and windows ordered by day sum what lies behind it: the last 7 and
+    30 days, or all of it. Platform and region modes are running minima: of all (count so far, value) pairs up to a
+    day, counts only grow, so the greatest count (ties: smallest value) is the mode at that day.
+    Cost is O(daily rows + result rows). Write the result partitioned by ``compute_date``.
     """
     start, end = as_date(start), as_date(end)
-    n_days = (end - start).days
-    if n_days < 0:
+    if end < start:
         raise ValueError("end before start")
+    horizon = start - dt.timedelta(days=31)  # the day that stands for all before any window
     u = all_activity(events, sessions, purchases)
-    t, ev, se, pu = F.col("t"), F.col("ev"), F.col("se"), F.col("pu")
-    daily = u.groupBy("player_id", "d", "platform", "region").agg(
+    d, t, ev, se, pu = (F.col(c) for c in ("d", "t", "ev", "se", "pu"))
+    u = u.where(d.isNull() | (d <= F.lit(end))).withColumn("day", F.greatest(d, F.when(d.isNotNull(), F.lit(horizon))))
+    daily = u.groupBy("player_id", "day", "platform", "region").agg(
         F.count_if(ev).alias("n_ev"),
         F.count_if(ev & (t == "login")).alias("n_login"),
         F.count_if(ev & (t == "kill")).alias("n_kill"),
@@ -464,64 +461,39 @@ def churn_history(events: DataFrame, sessions: DataFrame | None, purchases: Data
         F.count(F.when(se, F.col("won"))).alias("n_won"),
         F.sum(F.when(se, F.col("won"))).alias("won"),
         F.sum(F.when(pu, F.col("price"))).alias("spend"),
-    ).where(F.col("d").isNull() | (F.col("d") <= F.lit(end)))
-    # Rows older than every window (d < start - 30) only matter for existence,
-    # first-seen, last-login and the mode counts: collapse them to one row per
-    # (player, platform, region) before expanding, so history before the range
-    # costs O(players), not O(days x range).
-    horizon = start - dt.timedelta(days=30)
-    zero = {k: F.lit(0).cast("long") for k in ("n_login", "n_kill", "n_ses", "n_dur", "n_won")}
-    prior = (daily.where(F.col("d") < F.lit(horizon))
-             .groupBy("player_id", "platform", "region")
-             .agg(F.sum("n_ev").alias("n_ev"),
-                  F.min(F.when(F.col("n_ev") > 0, F.col("d"))).alias("first_d"),
-                  F.max(F.when(F.col("n_login") > 0, F.col("d"))).alias("login_d"))
-             .select("player_id", F.lit(horizon - dt.timedelta(days=1)).alias("d"), "platform", "region",
-                     "n_ev", *[v.alias(k) for k, v in zero.items()],
-                     F.lit(None).cast("long").alias("secs"), F.lit(None).cast("long").alias("won"),
-                     F.lit(None).cast(MONEY).alias("spend"), "first_d", "login_d"))
-    recent = (daily.where(F.col("d").isNull() | (F.col("d") >= F.lit(horizon)))
-              .withColumn("first_d", F.when(F.col("n_ev") > 0, F.col("d")))
-              .withColumn("login_d", F.when(F.col("n_login") > 0, F.col("d"))))
-    # The daily table feeds three reductions (features, platform mode, region
-    # mode). Cut lineage once here -- a reliable checkpoint in the shared
-    # checkpoint folder -- so the events are scanned and shuffled once, not per
-    # branch, and a lost executor re-reads the checkpoint instead of the events.
-    from respawn.session import checkpoint_dir
-    checkpoint_dir(events.sparkSession)
-    daily = recent.unionByName(prior).checkpoint(eager=True)
-    # Compute dates a daily row can affect: c in [max(d, start), end]; NULL date -> all.
-    first_c = F.greatest(F.coalesce(F.col("d"), F.lit(start)), F.lit(start))
-    expanded = daily.withColumn("c", F.explode(F.sequence(first_c, F.lit(end)))).where(F.col("c") >= first_c)
-    d, c = F.col("d"), F.col("c")
-    in7 = (d >= F.date_sub(c, 7)) & (d <= c)
-    in30 = (d >= F.date_sub(c, 30)) & (d <= c)
-    feats = expanded.groupBy("player_id", "c").agg(
-        F.sum("n_ev").alias("_n_events"),
-        F.min("first_d").alias("first_seen_date"),
-        F.max("login_d").alias("last_login_date"),
-        F.coalesce(F.sum(F.when(in7, F.col("n_login"))), F.lit(0)).alias("login_count_7d"),
-        F.coalesce(F.sum(F.when(in30, F.col("n_login"))), F.lit(0)).alias("login_count_30d"),
-        F.coalesce(F.sum(F.when(in7, F.col("n_kill"))), F.lit(0)).alias("kill_count_7d"),
-        F.coalesce(F.sum(F.when(in7, F.col("n_ev"))), F.lit(0)).alias("event_count_7d"),
-        F.coalesce(F.sum(F.when(in7, F.col("n_ses"))), F.lit(0)).alias("match_count_7d"),
-        F.sum(F.when(in7, F.col("n_dur"))).alias("_n_dur7"),
-        F.sum(F.when(in7, F.col("secs"))).alias("_sec7"),
-        F.sum(F.when(in7, F.col("n_won"))).alias("_n_won7"),
-        F.sum(F.when(in7, F.col("won"))).alias("_won7"),
-        F.sum(F.when(in7, F.col("spend"))).alias("_spend7"),
-        F.sum(F.when(in30, F.col("spend"))).alias("_spend30"),
-    ).where(F.col("_n_events") > 0)
-
-    def mode_of(col: str, out: str) -> DataFrame:
-        counts = (expanded.where(F.col(col).isNotNull() & (F.col("n_ev") > 0))
-                  .groupBy("player_id", "c", col).agg(F.sum("n_ev").alias("_n")))
-        w = Window.partitionBy("player_id", "c").orderBy(F.desc("_n"), F.asc(col))
-        return (counts.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
-                .select("player_id", "c", F.col(col).alias(out)))
-
-    joined = (feats.join(mode_of("platform", "platform_primary"), ["player_id", "c"], "left")
-              .join(mode_of("region", "region_primary"), ["player_id", "c"], "left"))
+        F.min(F.when(ev, d)).alias("first_d"),
+        F.max(F.when(ev & (t == "login"), d)).alias("login_d"),
+    )
+    measures = [c for c in daily.columns if c not in ("player_id", "day", "platform", "region")]
+    # days as numbers; an event without a date counts for every compute date, so it stands before all days
+    daily = daily.withColumn("k", F.coalesce(F.datediff("day", F.lit(start)), F.lit(-100))).repartition("player_id")
+
+    def so_far(value: str) -> Column:
+        upto = Window.partitionBy("player_id", value).orderBy("k").rangeBetween(Window.unboundedPreceding, 0)
+        return F.when(F.col(value).isNotNull() & (F.col("n_ev") > 0), F.struct((-F.sum("n_ev").over(upto)).alias("n"), F.col(value).alias("v")))
+
+    order = F.row_number().over(Window.partitionBy("player_id").orderBy("k"))
+    daily = daily.select("player_id", "k", "day", *measures, so_far("platform").alias("platform"), so_far("region").alias("region"), order.alias("i"))
+    dates = F.sequence(F.greatest(F.coalesce(F.col("day"), F.lit(start)), F.lit(start)), F.lit(end))
+    none = F.array(F.lit(None).cast("date"))
+    rows = daily.withColumn("c", F.explode(F.when(F.col("i") == 1, F.concat(none, dates)).otherwise(none)))  # compute dates beside the daily rows
+    is_day = F.col("c").isNull()
+    rows = rows.select("player_id", "c", F.when(is_day, F.col("k")).otherwise(F.datediff("c", F.lit(start))).alias("k"),
+                       *(F.when(is_day, F.col(m)).alias(m) for m in (*measures, "platform", "region")))
+    by_day = Window.partitionBy("player_id").orderBy("k")
+    upto, last7, last30 = (by_day.rangeBetween(lo, 0) for lo in (Window.unboundedPreceding, -7, -30))
+    total = lambda m, over: F.coalesce(F.sum(m).over(over), F.lit(0))
+    joined = rows.select(
+        "player_id", "c", F.sum("n_ev").over(upto).alias("_n_events"),
+        F.min("first_d").over(upto).alias("first_seen_date"), F.max("login_d").over(upto).alias("last_login_date"),
+        F.min("platform").over(upto)["v"].alias("platform_primary"), F.min("region").over(upto)["v"].alias("region_primary"),
+        total("n_login", last7).alias("login_count_7d"), total("n_login", last30).alias("login_count_30d"),
+        total("n_kill", last7).alias("kill_count_7d"), total("n_ev", last7).alias("event_count_7d"), total("n_ses", last7).alias("match_count_7d"),
+        F.sum("n_dur").over(last7).alias("_n_dur7"), F.sum("secs").over(last7).alias("_sec7"),
+        F.sum("n_won").over(last7).alias("_n_won7"), F.sum("won").over(last7).alias("_won7"),
+        F.sum("spend").over(last7).alias("_spend7"), F.sum("spend").over(last30).alias("_spend30"),
+    ).where(F.col("c").isNotNull() & (F.col("_n_events") > 0))
+    c = F.col("c")
     zero_m = F.lit(0).cast(MONEY)
     spend7 = F.coalesce(F.col("_spend7"), zero_m).cast("double")
     spend30 = F.coalesce(F.col("_spend30"), zero_m).cast("double")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from respawn.constants import (CATEGORICAL_COLUMNS, FEATURE_COLUMNS, LR_MAX_ITER, RF_MAX_DEPTH,
                                RF_NUM_TREES, SPLIT_SEED, TRAIN_FRACTION)
 from respawn.functions.exact import exact_div
+from respawn.functions.quantiles import auc
 from respawn.operators.bi import SCORE_COLUMNS, risk_tier
 
 LABEL = "churn_label"
@@ -173,13 +174,14 @@ def assembled(features: DataFrame) -> DataFrame:
 
 
 def confusion(predictions: DataFrame) -> DataFrame:
-    """L6 as one row: confusion counts, accuracy and F1 of the positive class."""
+    """L6 as one row: confusion counts, accuracy and F1 of the positive class, and the AUC where there is a churn_probability."""
     label, said = F.col(LABEL) == 1, F.col("prediction") == 1.0
     one = predictions.agg(F.count_if(label & said).alias("tp"), F.count_if(~label & said).alias("fp"),
                           F.count_if(~label & ~said).alias("tn"), F.count_if(label & ~said).alias("fn"))
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    ranked = [auc(predictions, "churn_probability", LABEL).alias("auc")] if "churn_probability" in predictions.columns else []
     return one.select("tp", "fp", "tn", "fn", exact_div(tp + tn, tp + fp + tn + fn).alias("accuracy"),
-                      exact_div(tp * 2, tp * 2 + fp + fn).alias("f1"))
+                      exact_div(tp * 2, tp * 2 + fp + fn).alias("f1"), *ranked)
 
 
 def prediction_review(predictions: DataFrame) -> DataFrame:

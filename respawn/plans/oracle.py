@@ -767,8 +767,15 @@ def oracle_sql_tables() -> dict[str, str]:
         "preview": q("SELECT event_id, player_id, event_ts, opponent_id, weapon, headshot, experience_granted FROM cleaned "
                      "WHERE event_type_normalized = 'kill' ORDER BY event_ts NULLS FIRST, event_id NULLS FIRST LIMIT 50"),
         "ml_vectors": q(f"SELECT player_id, {', '.join(slots)} FROM churn {joins}", *index),
+        "prediction_review": g("""SELECT c.player_id, c.churn_label, CASE WHEN s.churn_probability >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+              s.churn_probability FROM churn c JOIN scores s USING (player_id)"""),
+        "declared_view": q("SELECT region, count(*) AS purchases FROM purchases WHERE item_price_usd >= 10 GROUP BY region"),
         "score_quality": g(f"""SELECT tp, fp, tn, fn, {ediv('tp + tn', 'tp + fp + tn + fn')} AS accuracy,
-              {ediv('tp * 2', 'tp * 2 + fp + fn')} AS f1
+              {ediv('tp * 2', 'tp * 2 + fp + fn')} AS f1,
+              (SELECT {ediv('sum(ahead)', '2 * count(*)')} FROM (
+                 SELECT CASE WHEN a.churn_probability > b.churn_probability THEN 2 WHEN a.churn_probability = b.churn_probability THEN 1 ELSE 0 END AS ahead
+                 FROM (SELECT s.churn_probability FROM churn c JOIN scores s USING (player_id) WHERE churn_label = 1) a,
+                      (SELECT s.churn_probability FROM churn c JOIN scores s USING (player_id) WHERE churn_label = 0) b)) AS auc
             FROM (SELECT count(*) FILTER (WHERE y = 1 AND p) AS tp, count(*) FILTER (WHERE y = 0 AND p) AS fp,
                          count(*) FILTER (WHERE y = 0 AND NOT p) AS tn, count(*) FILTER (WHERE y = 1 AND NOT p) AS fn
                   FROM (SELECT c.churn_label AS y, s.churn_probability >= 0.5 AS p

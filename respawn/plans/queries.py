@@ -537,6 +537,8 @@ def win_rate_by_tier(h: Lakehouse):
 
 
 # =========================================================================== A / O: tables, streams
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
 from respawn.constants import RAW_COLUMNS  # noqa: E402
 from respawn.plans import layers  # noqa: E402
 from respawn.sources import files, generate  # noqa: E402
@@ -613,5 +615,21 @@ def ml_vectors(h: Lakehouse):
 
 @register("score_quality")
 def score_quality(h: Lakehouse):
-    """Confusion counts, accuracy and F1 of the stand-in score at 0.5."""
-    return ml.confusion(h.churn.select("churn_label", (bi.standin_probability() >= 0.5).cast("double").alias("prediction")))
+    """Confusion counts, accuracy and F1 of the stand-in score at 0.5, and its AUC over all scores."""
+    p = bi.standin_probability()
+    return ml.confusion(h.churn.select("churn_label", (p >= 0.5).cast("double").alias("prediction"), p.alias("churn_probability")))
+
+
+@register("prediction_review")
+def prediction_review(h: Lakehouse):
+    """Label, prediction and probability of each player side by side (the stand-in as a model's output vector)."""
+    p = bi.standin_probability()
+    scored = h.churn.select("player_id", ml.LABEL, (p >= 0.5).cast("double").alias("prediction"), array_to_vector(F.array(1 - p, p)).alias("probability"))
+    return ml.prediction_review(scored)
+
+
+@register("declared_view")
+def declared_view(h: Lakehouse):
+    """Purchases as a named view that isn't stored, queried by its name."""
+    files.declare_view(h.purchases, "respawn_purchases")
+    return h.spark.sql("SELECT region, count(*) AS purchases FROM respawn_purchases WHERE item_price_usd >= 10 GROUP BY region")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import payload, raw_rows
 from respawn.functions import exact
-from respawn.functions.quantiles import exact_quantiles
+from respawn.functions.quantiles import auc, exact_quantiles
 from respawn.operators import bi, dq, gold, silver
 
 
@@ -44,6 +44,29 @@ def test_views_hold_a_million_players_in_a_group(spark):
     assert (three.paying_players, three.avg_spend_7d, three.avg_spend_30d) == (n, 1234.5, 2345.25)
 
 
+def test_area_under_the_curve_equals_the_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    n = 2_000_000
+    score = F.pmod(F.xxhash64("id"), F.lit(300_007)).cast("double") / 300_007
+    df = spark.range(n).select(score.alias("s"), (F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(1000)) / 1000.0 < score).cast("double").alias("y"))
+    got = spark.range(1).select(auc(df, "s", "y").alias("a")).first().a
+    want = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s", numBins=0).evaluate(df)
+    assert abs(got - want) < 1e-9
+    odd = spark.createDataFrame([(0.5, 1.0), (0.5, 0.0), (0.9, 1.0), (0.1, 0.0), (None, 1.0), (float("nan"), 0.0), (0.3, None)], "s double, y double")
+    assert spark.range(1).select(auc(odd, "s", "y").alias("a")).first().a == 3.5 / 4
+    assert spark.range(1).select(auc(odd.where("y = 1"), "s", "y").alias("a")).first().a is None
+
+
+def test_quantiles_read_their_input_twice(spark, tmp):
+    n = 10_000_000
+    spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("x")).write.parquet(f"{tmp}/x")
+    df = spark.read.parquet(f"{tmp}/x")
+    q = spark.range(1).select(exact_quantiles(df, "x", [0.25, 0.5, 0.99]).alias("q"))
+    assert q.first().q == [2499999.0, 4999999.0, 9899999.0]
+    plan = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") <= 2
+
+
 def test_quantiles_are_exact_beyond_a_sketch(spark):
     n = 300_000
     df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("x"), (F.col("id") % 3 == 0).alias("third"))
