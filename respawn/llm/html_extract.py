@@ -10,13 +10,18 @@
    is kept if there is one, else the main element, else the content element, else the body. A later
    one of these with more than twice the text goes before an earlier one (a teaser).
 
-In an article or main element only containers go by their names, and only if a whole class,
-id or role says it: no headings, paragraphs or lists, no "entry-header", no "search-results".
-
-Prose inside an article (paragraphs, headings, lists, quotes, tables) is never a template: an article
-may repeat on its site. Nor is an element that holds half of the paragraphs of its article or, outside
-of one, of its page, nor prose in the innermost element that holds four fifths of them. A host has at most (mean subtrees a page) / SHARE templates, so they
-travel as one array a host; the join is salted over ``SALTS`` copies for hosts with many pages.
+Templates are looked for inside articles as well (in an article or main element, or in the innermost element that holds four
+fifths of a page's paragraphs): whole paragraphs, lists, tables, figures and boxes, not headings and parts of
+those. There a subtree counts once for each distinct article, so an article may repeat on its site; and
+where at least half of an article's paragraphs would go, it is a near copy of others, and its prose stays. An
+element that holds half of the paragraphs of its article or page is no template.
+
+Names go by their first and last words: where one of them says advert, comments, cookies and the like (``STRONG``), the
+element goes, whatever it is but for ids of headings. Other marks count for containers: outside of articles any
+word, inside only a name that says nothing else, so no "entry-header" and no "search-results".
+
+A host has at most (mean subtrees a page) / SHARE templates, so they travel as one array a host; the
+join is salted over ``SALTS`` copies for hosts with many pages.
 """
 
 from __future__ import annotations
@@ -62,11 +67,19 @@ MARKS = frozenset(
     "header masthead topbar footer bottombar cookie cookies consent gdpr notice notices alert comment comments commentlist disqus respond replies reply "
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
     "skip tags toolbar copyright legal disclaimer contentinfo complementary".split())
+#: Marks that leave no doubt as the first or last word of a name.
+STRONG = frozenset(
+    "ad ads adbox advert adverts advertisement advertisements advertising sponsor sponsored promo promotion popup modal breadcrumb breadcrumbs "
+    "pagination pager sidebar sidebars cookie cookies consent gdpr notice notices comment comments commentlist disqus newsletter "
+    "subscribe subscription".split())
 #: Words that say nothing beside a mark: "related-posts" is marked as a whole, "search-results" isn't.
 WITH_MARKS = frozenset(
     "area articles bar block bottom box button buttons container form group icons inner item items left link links list media "
     "outer panel posts right section stories thread top widget wrap wrapper".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption b i em strong a span code q br".split())
+#: Of these, what can be a template as a whole, and what a name without doubt must mark.
+WHOLE_PROSE = frozenset("p ul ol dl table figure blockquote pre".split())
+LISTS = frozenset("ul ol dl table figure".split())
 #: Elements whose text is a page's prose for certain.
 PARAGRAPHS = frozenset("p pre blockquote".split())
 CONTENT = frozenset("content maincontent article articlebody post entry story main".split())
@@ -93,6 +106,17 @@ def _wholly_marked(attrs: dict[str, str]) -> bool:
     return False
 
 
+def _strongly_marked(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a class, id or role of few words begins or ends with a mark that leaves no doubt; headings' ids are slugs of their text."""
+    heading = tag[0] == "h" and tag[1:].isdigit()
+    names = [(n, 3) for n in f"{attrs.get('class', '')} {attrs.get('role', '')}".split()] + [(n, 2) for n in attrs.get("id", "").split() if not heading]
+    for name, most in names:
+        own = [w.lower() for w in _SPLIT.split(name) if w]
+        if own and len(own) <= most and own[0] not in ("has", "no", "with", "without", "is") and (own[0] in STRONG or own[-1] in STRONG):
+            return True
+    return False
+
+
 class Tree:
     """Elements in page order: names, parents, marks and subtree hashes; and the blocks' texts."""
 
@@ -121,10 +145,11 @@ class Tree:
         words = _marked(found) if found else set()
         drop = tag in BOILERPLATE or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         inside = any(self.tag[n] in ("article", "main") for n in self.stack)
-        if inside:
-            drop = drop or tag not in PROSE and tag != "main" and _wholly_marked(found)
-        elif tag not in ("html", "body", "main"):
-            drop = drop or not words.isdisjoint(MARKS)
+        if found and tag not in ("html", "body", "main"):
+            if inside or tag in PROSE:
+                drop = drop or _strongly_marked(tag, found) or (tag not in PROSE or tag in LISTS) and _wholly_marked(found)
+            else:
+                drop = drop or not words.isdisjoint(MARKS)
         if tag == "header":
             drop = drop or not inside
         self.tag.append(tag)
@@ -195,11 +220,11 @@ class Tree:
                 elif attrs.rstrip().endswith("/") and tag in ("svg", "path", "circle", "rect", "use"):
                     self._close()
 
-    def _holds_prose(self) -> list[bool]:
-        """Whether an element holds half of the paragraphs' text of its article or main element, or of the page,
-        or is prose in the innermost element that holds nearly all of the page's."""
+    def _scopes(self) -> tuple[list[int], list[bool], list[int]]:
+        """Of each element: the article, main element or innermost element with nearly all of the page's paragraphs that it lies in (0: none), whether
+        it holds half of that one's (or the page's) paragraphs, and the length of its own paragraphs' text."""
         size = len(self.tag)
-        gone, told, scope, prose = [False] * size, [False] * size, [0] * size, [0] * size
+        gone, told, scope, own = [False] * size, [False] * size, [0] * size, [0] * size
         for n in range(1, size):  # parents come first
             p = self.parent[n]
             gone[n] = gone[p] or self.drop[n]
@@ -207,45 +232,50 @@ class Tree:
             scope[n] = p if self.tag[p] in ("article", "main") else scope[p]
         for _, n, text in self.pieces:
             if told[n] and not gone[n]:
-                prose[n] += len(text.strip())
+                own[n] += len(text.strip())
+        prose = list(own)
         for n in range(size - 1, 0, -1):
             prose[self.parent[n]] += prose[n]
+        most = [prose[n] > 0 and 2 * prose[n] >= prose[scope[n]] for n in range(size)]
         wraps = (n for n in range(size - 1, 0, -1) if self.tag[n] not in PROSE and self.tag[n] not in ("html", "body"))
         home = next((n for n in wraps if prose[n] > 0 and 5 * prose[n] >= 4 * prose[0]), None)
-        within = [False] * size
         for n in range(1, size):
-            within[n] = within[self.parent[n]] or self.parent[n] == home
-        return [prose[n] > 0 and 2 * prose[n] >= prose[scope[n]] or within[n] and self.tag[n] in PROSE for n in range(size)]
-
-    def packed(self) -> tuple[bytes, list[int], int]:
-        """The tree for a second reading, the distinct hashes that may be templates, and the page's hash."""
-        inside = [False] * len(self.tag)  # in an article or main element
-        for n in range(1, len(self.tag)):
             p = self.parent[n]
-            inside[n] = inside[p] or self.tag[p] in ("article", "main")
-        holds = [False] * len(self.tag)  # holds an article or main element
-        for n in range(len(self.tag) - 1, 0, -1):
+            if not scope[n] and (p == home or scope[p] == home and home is not None):
+                scope[n] = home
+        return scope, most, own
+
+    def packed(self) -> tuple[bytes, list[int], list[int], int]:
+        """The tree for a second reading, the distinct hashes that may be templates, each with the hash of what it counts once for
+        (its article or the page), and the page's hash."""
+        size = len(self.tag)
+        holds = [False] * size  # holds an article or main element
+        for n in range(size - 1, 0, -1):
             if holds[n] or self.tag[n] in ("article", "main"):
                 holds[self.parent[n]] = True
-        told = self._holds_prose()
-        open_ = [not holds[n] and not told[n] and self.tag[n] not in ("#", "html", "body", "article", "main") and not (inside[n] and self.tag[n] in PROSE) for n in range(len(self.tag))]
+        scope, most, own = self._scopes()
+        part = PROSE - WHOLE_PROSE
+        counted = [not holds[n] and self.tag[n] not in ("#", "html", "body", "article", "main") and not (scope[n] and self.tag[n] in part) for n in range(size)]
+        open_ = [c and not m for c, m in zip(counted, most)]
         hashes = np.array(self.hash, dtype=np.uint64).view(np.int64)
-        state = self.tag, self.parent, self.drop, self.content, self.pieces, hashes, open_
-        return zlib.compress(pickle.dumps(state, protocol=5), 1), sorted({int(h) for h, o in zip(hashes, open_) if o}), int(hashes[0])
+        state = self.tag, self.parent, self.drop, self.content, self.pieces, hashes, counted, open_, scope, own
+        pairs = sorted({(int(hashes[n]), int(hashes[scope[n]])) for n in range(size) if open_[n] or counted[n] and self.tag[n] in PROSE})
+        return zlib.compress(pickle.dumps(state, protocol=5), 1), [h for h, _ in pairs], [k for _, k in pairs], int(hashes[0])
 
 
-def parse(page: str | None) -> tuple[bytes, list[int], int]:
+def parse(page: str | None) -> tuple[bytes, list[int], list[int], int]:
     return Tree(page or "").packed()
 
 
 def main_text(tree: bytes, templates: set[int]) -> str:
     """The blocks' texts, one a line, without boilerplate and templates."""
-    tag, parent, drop, content, pieces, hashes, open_ = pickle.loads(zlib.decompress(tree))
+    tag, parent, drop, content, pieces, hashes, counted, open_, scope, own = pickle.loads(zlib.decompress(tree))
     gone, home = [False] * len(tag), {"article": [False] * len(tag), "main": [False] * len(tag), "content": [False] * len(tag)}
-    hashes = hashes.tolist()
+    known = [c and h in templates for c, h in zip(counted, hashes.tolist())]
+    kept = _near_copies(tag, parent, drop, known, scope, own) if True in known else frozenset()
     for n in range(1, len(tag)):  # parents come first
         p = parent[n]
-        gone[n] = gone[p] or drop[n] or (open_[n] and hashes[n] in templates)
+        gone[n] = gone[p] or drop[n] or (known[n] and open_[n] and not (scope[n] in kept and tag[n] in PROSE))
         for name, inside in home.items():
             inside[n] = inside[p] or (not gone[n] and (content[n] and tag[n] in ("div", "section", "td") if name == "content" else tag[n] == name))
 
@@ -265,16 +295,32 @@ def main_text(tree: bytes, templates: set[int]) -> str:
     return best or text(lambda n: not gone[n])
 
 
+def _near_copies(tag: list[str], parent: list[int], drop: list[bool], known: list[bool], scope: list[int], own: list[int]) -> set[int]:
+    """The articles (and the like) at least half of whose paragraphs' text is in templates."""
+    gone, told = [False] * len(tag), [False] * len(tag)
+    total: dict[int, int] = {}
+    flagged: dict[int, int] = {}
+    for n in range(1, len(tag)):
+        p = parent[n]
+        gone[n] = gone[p] or drop[n]
+        told[n] = scope[n] == scope[p] and told[p] or known[n]
+        if scope[n] and own[n] and not gone[n]:
+            total[scope[n]] = total.get(scope[n], 0) + own[n]
+            flagged[scope[n]] = flagged.get(scope[n], 0) + own[n] * told[n]
+    return {k for k, n in total.items() if 2 * flagged[k] >= n}
+
+
 def host_of(url):
     """The lower-case host of a url; null if it has none."""
     return F.nullif(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def site_templates(trees: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, templates): hashes of subtrees that recur on many distinct pages of the host."""
-    trees = trees.where("host IS NOT NULL").select("host", "page", "hashes").dropDuplicates(["host", "page"])
-    pages = trees.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    """(host, templates): hashes of subtrees that recur on many distinct pages (in articles: in many distinct articles) of the host."""
+    trees = trees.where("host IS NOT NULL").select("host", "page", "hashes", "scopes")
+    pages = trees.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    seen = trees.select("host", F.explode(F.arrays_zip("hashes", "scopes")).alias("s")).select("host", F.col("s.hashes").alias("hash"), "s.scopes").distinct()
+    seen = seen.groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = seen.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= F.col("pages") * share)
     return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
 
@@ -292,11 +338,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for lo in range(0, len(batch), 512):
                 part = batch.iloc[lo:lo + 512]
                 found = [parse(page) for page in part["body"].tolist()]
-                yield pd.DataFrame({"id": part["id"], "url": part["url"], "host": part["host"], "tree": [t for t, _, _ in found], "hashes": [h for _, h, _ in found], "page": [p for _, _, p in found]})
+                tree, hashes, scopes, own = zip(*found)
+                yield pd.DataFrame({"id": part["id"], "url": part["url"], "host": part["host"], "tree": list(tree), "hashes": list(hashes),
+                                    "scopes": list(scopes), "page": list(own)})
 
     kind = dict(pages.dtypes)[id_col]
     source = pages.select(F.col(id_col).cast("string").alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("body"))
-    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>, page long"), "trees", wide=True)
+    trees = stored(source.mapInPandas(build, "id string, url string, host string, tree binary, hashes array<long>, scopes array<long>, page long"), "trees", wide=True)
     templates = stored(site_templates(trees, share, min_pages), "templates")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -53,10 +53,25 @@ def test_templates_of_a_host_go(spark):
 
 
 def test_repeated_articles_stay(spark):
-    """The same article on every page of a host is prose, not a template; a repeated box in it is one."""
-    page = '<article><p>Told again and again</p><div class="box">Read more</div><p>Own {i}</p></article>'
-    got = run(spark, [(i, "http://h/", page.format(i=chr(97 + i))) for i in range(10)])
-    assert all(got[i].text == f"Told again and again\nOwn {chr(97 + i)}" for i in range(10))
+    """The same article on every page of a host, or nearly the same, is no template; what recurs in different articles is."""
+    page = "<div>seen {i} times</div><article><p>Told again and again</p><p>and once more</p>{own}</article>"
+    got = run(spark, [(i, "http://h/", page.format(i="x" * i, own="")) for i in range(1, 11)])
+    assert all(r.text == "Told again and again\nand once more" for r in got.values())
+    got = run(spark, [(i, "http://h/", page.format(i="x" * i, own=f"<p>Own {chr(97 + i)}</p>")) for i in range(1, 11)])
+    assert all(got[i].text == f"Told again and again\nand once more\nOwn {chr(97 + i)}" for i in range(1, 11))
+
+
+def test_templates_inside_articles(spark):
+    """Paragraphs, lists, figures and boxes that recur in the different articles of a host go; switched off, they stay."""
+    own = "<h2>Introduction</h2><p>This story {n} is about {n} and goes on for quite a while about {n}</p><ul><li>see {n}</li></ul><p>It ends with {n}, as all stories do</p>"
+    notes = "<p>Join our list today</p><ul><li>one</li><li>two</li></ul><figure><figcaption>Our logo</figcaption></figure><div class=x>Read more</div>"
+    for k, page in enumerate((f"<article>{own}{notes}</article>", f"<div class=layout><div>{own}{notes}</div></div>")):
+        rows = [(i, f"http://h{k}/{i}", page.format(n=(chr(97 + i % 26) + chr(97 + i // 26)) * 3)) for i in range(30)]
+        got, off = run(spark, rows), run(spark, rows, min_pages=1000)
+        for i in range(30):
+            n = (chr(97 + i % 26) + chr(97 + i // 26)) * 3
+            want = f"Introduction\nThis story {n} is about {n} and goes on for quite a while about {n}\nsee {n}\nIt ends with {n}, as all stories do"
+            assert got[i].text == want and off[i].text == want + "\nJoin our list today\none\ntwo\nOur logo\nRead more", (k, got[i].text)
 
 
 def test_odd_rows(spark):
@@ -95,6 +110,17 @@ def test_marks_inside_an_article_are_whole_names():
     assert text_of('<div class="search-results"><p>no</p></div><article><p>yes</p></article>') == "yes"
 
 
+def test_names_of_adverts_comments_and_notices():
+    gone = ["<div class=reader-comments>no</div>", "<div id=user-comments>no</div>", "<section class=article-comments>no</section>", "<div class=ad-slot>no</div>",
+            "<div class='advert-unit big'>no</div>", "<div id=site-notice>no</div>", "<p class=advert>no</p>", "<ul class=share-links><li>no</ul>", "<ol class=commentlist><li>no</ol>"]
+    for x in gone:
+        assert text_of(f"<article><p>yes</p>{x}<p>end</p></article>") == "yes\nend", x
+        assert text_of(f"<body><div><p>yes</p>{x}<p>end</p></div></body>") == "yes\nend", x
+    for x in ("<h2 id=legal>keep</h2>", "<p class=related>keep</p>", "<h2 id=comments>keep</h2>", "<p class=alert>keep</p>", "<p id=why-we-removed-comments>keep</p>"):
+        assert text_of(f"<body><div><p>yes</p>{x}<p>end</p></div></body>") == "yes\nkeep\nend", x
+        assert text_of(f"<article><p>yes</p>{x}<p>end</p></article>") == "yes\nkeep\nend", x
+
+
 def test_a_teaser_is_not_the_story():
     story = "<p>The story has many words and goes on</p><p>until it ends</p>"
     assert text_of(f"<main>{story}<article><p>Read this too</p></article></main>") == "The story has many words and goes on\nuntil it ends\nRead this too"
