@@ -10,8 +10,8 @@ kind ``entropy``; the allow list drops what only looks random.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from math import log2
 
@@ -38,7 +38,6 @@ CLASSES = {
 }
 #: What is no secret however random it looks: matched against the whole candidate.
 ALLOWED = [re.compile(p) for p in (
-    r"[A-Za-z]+(?:[-_/][A-Za-z]+)*=*",  # words, paths and slugs of letters only
     r"[0-9]+(?:[-_/][0-9]+)*",  # numbers, dates
     r"[a-z]+[0-9]{1,4}",  # a word with a number
     r"(.)\1*",  # one character again and again
@@ -46,8 +45,16 @@ ALLOWED = [re.compile(p) for p in (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUIDs
     r"(?:sha256|sha384|sha512|md5)[-_=].*",  # checksums that say so
 )]
-#: Where a candidate stands right behind one of these, it belongs to an address.
-ALLOWED_BEFORE = re.compile(r"(?:https?://|www\.|@)\S*$")
+#: Words, paths and slugs of letters only are allowed if their parts look like words: one case, capitals at the start
+#: of parts, vowels, and no long run of consonants.
+LETTERS = re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z]+)*=*")
+WORDS = re.compile(r"[a-z]+|[A-Z]+|[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*")
+VOWELS, LEAST_VOWELS, CONSONANTS = re.compile("[aeiouyAEIOUY]"), 0.2, re.compile("[^aeiouyAEIOUY]{8}")
+#: A run of an address: white space, quotes, commas, semicolons and brackets end it. Behind one of the marks a candidate belongs to the
+#: address, unless it stands in the user part (name:password@).
+RUN = re.compile(r"""[^\s"'`,;<>(){}\[\]]+""")
+ADDRESS = re.compile(r"https?://|www\.|@")
+USER_PART = re.compile(r"[^/?#@]*@")
 _TERM = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
 
@@ -84,17 +91,40 @@ def entropy_windows(string: str, threshold: float, window: int = WINDOW) -> list
     return spans
 
 
-def _allowed(text: str, lo: int, hi: int) -> bool:
+def looks_like_words(string: str) -> bool:
+    """Whether every part of a string of letters is a word or joined words by its case and vowels."""
+    parts = re.findall("[A-Za-z]+", string)
+    letters = "".join(parts)
+    return (all(WORDS.fullmatch(p) for p in parts) and len(VOWELS.findall(letters)) >= LEAST_VOWELS * len(letters)
+            and not any(CONSONANTS.search(p) for p in parts))
+
+
+def addresses(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what follows the first mark of an address up to the end of its run."""
+    if "@" not in text and "www." not in text and "://" not in text:
+        return []
+    found = ((ADDRESS.search(text, *run.span()), run.end()) for run in RUN.finditer(text))
+    return [(mark.end(), end) for mark, end in found if mark]
+
+
+def _allowed(text: str, lo: int, hi: int, own: list[tuple[int, int]]) -> bool:
     string = text[lo:hi]
-    return any(p.fullmatch(string) for p in ALLOWED) or ALLOWED_BEFORE.search(text, max(0, lo - 200), lo) is not None
+    if any(p.fullmatch(string) for p in ALLOWED) or LETTERS.fullmatch(string) and looks_like_words(string):
+        return True
+    k = bisect_right(own, (lo, len(text) + 1)) - 1
+    if k < 0 or lo >= own[k][1]:
+        return False
+    # the user part is what an "@" ends before the path begins
+    return USER_PART.match(text, hi, own[k][1]) is None or "/" in text[own[k][0]:lo]
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Spans of high entropy in the candidates of all classes, those on the allow list left out."""
-    found = set()
+    found, own = set(), None
     for pattern, threshold in CLASSES.values():
         for m in pattern.finditer(text):
-            if not _allowed(text, *m.span()):
+            own = addresses(text) if own is None else own
+            if not _allowed(text, *m.span(), own):
                 found.update((m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], threshold))
     out: list[tuple[int, int]] = []
     for a, b in sorted(found):
@@ -116,8 +146,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
 def secret_scan(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFrame:
     """``docs`` with the column ``out``: an array of (kind, start, end) for the whole text.
 
-    All rows and columns stay. Null and empty texts have none. Entropy spans may overlap the
-    others; those stay as they are.
+    All rows and columns stay (a column named ``out`` is replaced); repeated rows are scanned alike. Null and
+    empty texts have none, very long texts are scanned whole, an empty table gives no rows. Entropy spans may
+    overlap the others; those stay as they are.
     """
     @F.pandas_udf("array<struct<kind: string, start: int, end: int>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -146,7 +177,10 @@ def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "secrets",
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: (id_col, n_assign, n_access, n_hex, base_sha256, spans)."""
+    """One row for each row of ``docs``: (id_col, n_assign, n_access, n_hex, base_sha256, spans).
+
+    Other columns aren't read, whatever their names; otherwise the cases of ``secret_scan`` hold.
+    """
     rows = secret_scan(docs.select(id_col, text_col), text_col)
     named = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("secrets", lambda s: s["kind"] != ENTROPY)

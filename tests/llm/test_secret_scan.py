@@ -69,6 +69,21 @@ def test_entropy_and_allow_list():
         assert op.find_secrets(f"see {harmless} there") == [], harmless
 
 
+def test_secrets_beside_addresses_and_of_letters_only():
+    rng = random.Random(11)
+    code = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(40))
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40))
+    for text, found in ((f'{{"mail":"a@b.com","private_key":"{code}"}}', code), (f"https://x:{code}@host/path", code), (f"see {letters} there", letters),
+                        (f"a@b.com,{code}", code), ("x" * 300 + f"@b.com;{code}", code)):
+        at = text.index(found)
+        spans = [(a, b) for kind, a, b in op.find_secrets(text) if kind == op.ENTROPY]
+        assert spans and min(spans)[0] >= at and max(b for _, b in spans) <= at + 40, text
+    far = "https://host.example/" + "a.b/" * 100 + code  # however far the mark stands
+    for quiet in (far, f"https://host.example/@{code}", f"mail to me@{code}.example", "www.host.example/SomeReallyLongCamelCaseName" + code, "GetUserAccountInformationByName",
+                  "Donaudampfschifffahrtsgesellschaft", "sha256-" + code, "THE-QUICK-BROWN-FOX-AND-ANOTHER"):
+        assert [s for s in op.find_secrets(f"see {quiet} there") if s[0] == op.ENTROPY] == [], quiet
+
+
 def test_odd_rows_and_redaction(spark):
     odd = helpers.clashing(helpers.odd(spark))
     rows = op.secret_report(odd).collect()
