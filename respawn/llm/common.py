@@ -26,19 +26,32 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
+#: Bytes of input for each task that writes a table of ids, edges or counts.
+TASK_BYTES = 64 << 20
+
+
 def stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor rereads files every node can see. Tables of ids, edges and
-    counts are written by ``2 x cores`` tasks at most, so a step of an iteration doesn't leave
-    a file for each shuffle partition; ``wide`` tables (texts, or a row for each line) by as many
-    tasks as they have partitions.
+    counts are written by a task for each ``TASK_BYTES`` of the files that the step reads, ``2 x cores`` at least, so a step
+    of an iteration doesn't leave a file for each shuffle partition and tasks don't grow with the data; ``wide``
+    tables (texts, or a row for each line) by as many tasks as they have partitions.
     """
     path = scratch(df.sparkSession, name)
-    (df if wide else df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)).write.parquet(path)
+    if not wide:
+        df = df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, bytes_read(df) // TASK_BYTES))
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def bytes_read(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads (as often as it reads them)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = (leaf for leaf in (leaves.apply(i) for i in range(leaves.size())) if leaf.getClass().getSimpleName() == "LogicalRelation")
+    return sum(int(str(leaf.stats().sizeInBytes())) for leaf in files)
+
+
 def others(df: DataFrame, *names: str) -> list[str]:
     """The columns of ``df`` that none of the new ``names`` replaces (names ignore case, as in Spark)."""
     return [c for c in df.columns if c.lower() not in {n.lower() for n in names}]

@@ -163,7 +163,13 @@ def linked_fingerprints(classes: DataFrame, radius: int = RADIUS, shard: int = S
         return pd.DataFrame({"a": fps[[a for a, _ in found]], "b": fps[[b for _, b in found]]}, dtype="int64")
 
     rows = classes.select(F.explode(F.array(F.lit("0"), F.lit("1"))).alias("shard"), F.col("fp").alias("id"), "fp")
-    return refine(rows, "fp", fit, route_tree, shard, sample).groupBy("shard").applyInPandas(compare, "a long, b long")
+    leaves = stored(refine(rows, "fp", fit, route_tree, shard, sample), "leaves")
+    # a shard that no vantage point splits is cut into blocks, each pair of blocks a task of its own
+    sizes = leaves.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(2.0 * shard)).cast("int").alias("blocks"))
+    dealt = leaves.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("shard", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = dealt.select("shard", "fp", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    return pairs.groupBy("shard", "one", "two").applyInPandas(compare, "a long, b long")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
