@@ -19,7 +19,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from respawn.llm.common import others, slices
@@ -32,6 +31,8 @@ OTHER_SCRIPT = 25.0
 #: A script counts for a language from this share of its words on.
 SCRIPT_SHARE = 0.005
 UNKNOWN = "und"
+#: Languages of a model, at most: it holds BUCKETS numbers for each, is fitted on the driver and broadcast.
+LANGUAGES = 128
 #: Words whose scores a Python worker remembers, and characters and words labelled at once.
 MEMORY = 1 << 18
 SLICE = 1 << 22
@@ -50,7 +51,9 @@ RANGES = [(0x0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armeni
 SCRIPTS = sorted({name for _, name in RANGES})
 _STARTS = np.array([start for start, _ in RANGES])
 _SCRIPT = np.array([SCRIPTS.index(name) for _, name in RANGES])
-_WORD = re.compile(r"[^\W\d_]+")
+#: What isalnum() takes beside letters and decimal digits: number signs and letter numbers.
+_SIGNS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def words_of(text: str) -> list[str]:
@@ -116,16 +119,20 @@ class Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from rows with id, text and language; at most about ``sample`` documents a language."""
+    """Learn from rows with id, text and language; about ``sample`` documents a language at most.
+
+    Documents of a language are taken by their hash: below sample / n of its range, n the language's
+    (approximate) number of distinct documents. Repeated rows count once. The ``LANGUAGES`` languages of most
+    documents are learned (ties by name), of those only the ones that have a word; without any, all texts are ``und``.
+    """
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    cut = rows.select("h", "lang").withColumn("k", rank).where(F.col("k") <= sample).groupBy("lang").agg(F.max("h").alias("h")).collect()
-    langs = sorted(r["lang"] for r in cut)  # one row a language
-    counts, scripts = np.zeros((BUCKETS, len(langs))), np.zeros((len(SCRIPTS), len(langs)))
-    if not langs:
-        return Model(langs, counts, scripts)
-    most = F.create_map(*(F.lit(x) for r in cut for x in (r["lang"], r["h"])))
+    rows = rows.select(F.xxhash64(id_col, text_col).alias("h"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.01).alias("n"))
+    cut = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()  # one row a language
+    if not cut:
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPTS), 0)))
+    upto = F.create_map(*(F.lit(x) for r in cut for x in (r["lang"], min(1.0, sample / max(1, r["n"])))))
+    place = F.pmod(F.col("h"), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -137,9 +144,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     at = np.flatnonzero(both)
                     yield pd.DataFrame({"lang": lang, "bucket": at, "n": both[at]})
 
-    drawn = rows.where(F.col("h") <= F.element_at(most, F.col("lang"))).select("lang", "body")
+    drawn = rows.where(place < F.try_element_at(upto, F.col("lang"))).groupBy("lang", "h").agg(F.first("body").alias("body")).select("lang", "body")
     found = drawn.mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    both = np.concatenate([counts, scripts])  # BUCKETS + scripts numbers a language
+    langs = sorted(set(found["lang"]))
+    both = np.zeros((BUCKETS + len(SCRIPTS), len(langs)))  # BUCKETS + scripts numbers a language
     both[found["bucket"].to_numpy(dtype=np.int64), found["lang"].map(langs.index).to_numpy(dtype=np.int64)] = found["n"]
     return Model(langs, both[:BUCKETS], both[BUCKETS:])
 

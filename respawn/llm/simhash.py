@@ -220,7 +220,8 @@ def document_fingerprints(docs: DataFrame, radius: int = RADIUS, every: int = 10
     asked = found.where(F.col("doc_id") % every == 0).select("fp").distinct()
     near = within(asked, classes, radius).join(classes, "fp").groupBy("query").agg((F.sum("size") - 1).alias("n_near"))
     text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    asks = F.when(F.col("doc_id") % every == 0, F.col("fp"))
-    return found.withColumn("query", asks).join(near, "query", "left").select(
+    asks = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    answered = found.where(asks).join(near, F.col("fp") == F.col("query"), "left").drop("query")
+    return answered.unionByName(found.where(~asks).withColumn("n_near", F.lit(None).cast("long"))).select(
         "doc_id", "n_chars", "edited_sha256", text("fp").alias("fingerprint"), text("edited_fp").alias("edited_fingerprint"),
         "near_edited", "near_next", "n_near")

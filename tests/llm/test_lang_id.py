@@ -63,6 +63,19 @@ def test_scripts_narrow_the_candidates(spark):
     assert got[:3] == ["ru", "en", "el"] and got[3] in model.langs and got[4:] == [op.UNKNOWN] * 2
 
 
+def test_number_signs_are_no_letters(spark, model):
+    assert [x[0] for x in op.label(model, ["½ ² ③", "Ⅷ ①", "१२३", "²"])] == [op.UNKNOWN] * 4
+    assert op.words_of("a²b x½ Ⅷth 7up ªº") == ["a", "b", "x", "th", "up", "ªº"]
+
+
+def test_labels_without_words_and_copies(spark):
+    rows = [(1, "", "xx", "s", 0), (2, "12 34", "yy", "s", 5)] + [(i, "the same english text again", "en", "s", 1) for i in range(10, 3000)]
+    rows += [(i, f"ein deutscher satz nummer {chr(97 + i % 26)}", "de", "s", 1) for i in range(3000, 3040)]
+    model = op.fit(helpers.docs(spark, rows), sample=50)
+    assert model.langs == ["de", "en"] and [x[0] for x in op.label(model, ["the english text", "ein satz"])] == ["en", "de"]
+    assert op.fit(helpers.docs(spark, rows[:2])).langs == []
+
+
 def test_odd_rows(spark):
     odd = helpers.clashing(helpers.odd(spark))
     out = op.language_id(odd)
