@@ -55,8 +55,8 @@ def ratio_round(num: Column, den: Column, digits: int) -> Column:
     """Half-up rounding of num/den to ``digits`` decimals, num and den integers >= 0.
 
     Whole numbers only: the quotient, then the remainder scaled and rounded, so no float
-    formatting rule can move a tie. Only the remainder (below ``den``) is scaled, which leaves
-    room for operands up to 10^(37 - digits). NULL when den is 0 or NULL.
+    formatting rule can move a tie. The divisor and the quotient must have at most 19 digits (any long has), the
+    dividend at most 38. NULL when den is 0 or NULL.
     """
     scale = 10 ** digits
     n, d = num.cast(WHOLE), den.cast(WHOLE)

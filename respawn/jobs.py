@@ -1,7 +1,7 @@
 """Command-line entry points for the scheduled jobs.
 
     python -m respawn.jobs ingest  --landing DIR --root DIR
-    python -m respawn.jobs silver  --root DIR [--stream]
+    python -m respawn.jobs silver  --root DIR [--stream | --incremental]
     python -m respawn.jobs gold    --root DIR [--as-of YYYY-MM-DD]
     python -m respawn.jobs history --root DIR --start D --end D
     python -m respawn.jobs train   --root DIR --models DIR [--algorithm random_forest|logistic_regression]
@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--stream", action="store_true", help="silver as an incremental stream")
+    ap.add_argument("--incremental", action="store_true", help="silver by batch, rewriting only the dates that new bronze touches")
     ap.add_argument("--algorithm", default="random_forest", choices=["random_forest", "logistic_regression"])
     ap.add_argument("--max-depth", type=int, nargs="+", default=[RF_MAX_DEPTH])
     ap.add_argument("--num-trees", type=int, nargs="+", default=[RF_NUM_TREES])
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> dict:
     if a.job == "ingest":
         out.update(layers.build_bronze(spark, a.landing, a.root, a.max_files))
     elif a.job == "silver":
-        out.update(layers.build_silver(spark, a.root, stream=a.stream))
+        out.update(layers.build_silver(spark, a.root, stream=a.stream, incremental=a.incremental))
     elif a.job == "gold":
         layers.build_gold(spark, a.root, a.as_of)
     elif a.job == "history":

@@ -36,15 +36,21 @@ def build_bronze(spark: SparkSession, landing_dir: str, root: str, max_files_per
                                max_files_per_trigger=max_files_per_trigger)
 
 
-def build_silver(spark: SparkSession, root: str, stream: bool = False) -> dict:
-    """Cleaned events (batch recompute, exact dedup; or ``stream=True``: only new
-    bronze files, watermark-bounded dedup), then the derived silver tables."""
+def build_silver(spark: SparkSession, root: str, stream: bool = False, incremental: bool = False) -> dict:
+    """Cleaned events, then the derived silver tables.
+
+    A batch recompute with exact dedup; ``incremental``: the same result, of which only the dates that new bronze
+    batches touch are rewritten; ``stream``: only new bronze files, watermark-bounded dedup.
+    """
     cleaned_path = _p(root, "silver", "player_events_cleaned")
     out: dict = {}
     if stream:
         from respawn.streaming.silver_stream import build_silver_stream
         out = build_silver_stream(spark, _p(root, "bronze", "raw_events"), cleaned_path,
                                   _p(root, "_checkpoints", "silver"))
+    elif incremental:
+        from respawn.plans.incremental import update_cleaned
+        out = update_cleaned(spark, _p(root, "bronze", "raw_events"), cleaned_path, _p(root, "_checkpoints", "silver_batches"), _p(root, "_staging"))
     else:
         bronze = spark.read.parquet(_p(root, "bronze", "raw_events")).select(*files.RAW_SCHEMA.fieldNames())
         files.write_table(silver.clean_events(bronze), cleaned_path, ["event_date"], whole=True)
@@ -143,9 +149,15 @@ CATALOG = [
 SOURCES = {"bronze": "landing files", "silver": "bronze.raw_events", "gold": "silver.player_events_cleaned"}
 
 
+def is_ours(spark: SparkSession, name: str) -> bool:
+    """Whether a table or view carries this pipeline's property."""
+    return any(r[0] == "pipeline" and r[1] == "respawn" for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect())
+
+
 def register_catalog(spark: SparkSession, root: str) -> list[str]:
     """Name every written layer folder in the session catalog, with its
-    comment and properties, and pick up its partitions. Returns the table names."""
+    comment and properties, and pick up its partitions. Returns the table names.
+    Refuses to replace a table that isn't this pipeline's (property ``pipeline``)."""
     files.create_layer_schemas(spark)
     names = []
     for schema, table, folder, part, comment, props in CATALOG:
@@ -153,7 +165,9 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
         if not path_exists(spark, path):
             continue
         name = f"{schema}.{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if spark.catalog.tableExists(name) and not is_ours(spark, name):
+            raise ValueError(f"refusing to replace {name}: it is not a table of this pipeline")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table of ours: its files stay
         schema_ddl = spark.read.parquet(path).schema.toDDL()
         if part and path_exists(spark, f"{path}/{files.STREAMED}"):
             part = f"batch_id, {part}"

@@ -120,6 +120,12 @@ def mark(spark: SparkSession, path: str) -> None:
     fs.create(where, True).close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    fs, where = _filesystem(spark, path)
+    fs.delete(where, True)
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed (ms), 0 if it isn't there."""
     fs, where = _filesystem(spark, path)
