@@ -53,11 +53,17 @@ _STARTS = np.array([start for start, _ in RANGES])
 _SCRIPT = np.array([SCRIPTS.index(name) for _, name in RANGES])
 #: What isalnum() takes beside letters and decimal digits: number signs and letter numbers.
 _SIGNS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_SIGNS}]+")
+_SIGN, _WORD = re.compile(f"[{_SIGNS}]"), re.compile(r"[^\W\d_]+")
+
+
+def lowered(text: str) -> str:
+    """The lower-case text, a space for each sign that is no letter."""
+    low = text.lower()
+    return _SIGN.sub(" ", low) if _SIGN.search(low) else low
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(lowered(text))
 
 
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +224,7 @@ def _label(model: Model, texts: list[str]) -> list:
             path = labels[lo:hi]
             cuts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist()]
             if len(cuts) > 1:
-                places = [m.start() for m in _WORD.finditer(texts[i].lower())]
+                places = [m.start() for m in _WORD.finditer(lowered(texts[i]))]
                 edges = [0, *(min(places[c], len(texts[i])) for c in cuts[1:]), len(texts[i])]
             else:
                 edges = [0, len(texts[i])]
