@@ -51,19 +51,25 @@ RANGES = [(0x0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armeni
 SCRIPTS = sorted({name for _, name in RANGES})
 _STARTS = np.array([start for start, _ in RANGES])
 _SCRIPT = np.array([SCRIPTS.index(name) for _, name in RANGES])
-#: What isalnum() takes beside letters and decimal digits: number signs and letter numbers.
-_SIGNS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_SIGN, _WORD = re.compile(f"[{_SIGNS}]"), re.compile(r"[^\W\d_]+")
-
-
-def lowered(text: str) -> str:
-    """The lower-case text, a space for each sign that is no letter."""
-    low = text.lower()
-    return _SIGN.sub(" ", low) if _SIGN.search(low) else low
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(lowered(text))
+    """The lower-case words: runs of letters; number signs and letter numbers, which the pattern takes too, part them."""
+    found = _WORD.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [w for _, w in _placed(text)]
+
+
+def _placed(text: str) -> list[tuple[int, str]]:
+    """(start, word) of the words of a text."""
+    out = []
+    for m in _WORD.finditer(text.lower()):
+        if m[0].isalpha():
+            out.append((m.start(), m[0]))
+            continue
+        letters = "".join(c if c.isalpha() else " " for c in m[0])
+        out += [(m.start() + w.start(), w[0]) for w in re.finditer(r"\S+", letters)]
+    return out
 
 
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +230,7 @@ def _label(model: Model, texts: list[str]) -> list:
             path = labels[lo:hi]
             cuts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist()]
             if len(cuts) > 1:
-                places = [m.start() for m in _WORD.finditer(lowered(texts[i]))]
+                places = [start for start, _ in _placed(texts[i])]
                 edges = [0, *(min(places[c], len(texts[i])) for c in cuts[1:]), len(texts[i])]
             else:
                 edges = [0, len(texts[i])]
