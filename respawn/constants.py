@@ -65,3 +65,6 @@ RAW_COLUMNS = [
 ITEM_PRICES_USD = ["4.99", "9.99", "19.99", "29.99"]
 GENERATOR_PLAYERS = 10_000
 GENERATOR_DAYS = 30
+
+# Days that an event can plausibly have happened on; calendars and histories are made of no others (100 years at most).
+PLAUSIBLE_DAYS = ("2000-01-01", "2099-12-31")

@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> dict:
         from respawn.operators import bi, ml
         churn = bi.latest_snapshot(spark.read.parquet(f"{a.root}/gold/churn_features_daily"))
         grid = [{"max_depth": d, "num_trees": n} for d in a.max_depth for n in a.num_trees]
-        out["grid"] = [{k: x[k] for k in ("max_depth", "num_trees", "auc", "accuracy", "f1")} for x in ml.sweep(churn, grid)]
+        out["grid"] = [{k: x[k] for k in ("max_depth", "num_trees", "auc", "accuracy", "f1", "auc_mean", "auc_std")} for x in ml.sweep(churn, grid)]
     elif a.job == "bi":
         layers.bi_views(spark, a.root)
     elif a.job == "train":

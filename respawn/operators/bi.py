@@ -134,6 +134,54 @@ def vw_arpu_summary(arpu: DataFrame) -> DataFrame:
     )
 
 
+def _sql_round6(num: str, den: str) -> str:
+    """SQL of ``ratio_round(num, den, 6)``: whole numbers only."""
+    n, d = f"CAST({num} AS DECIMAL(38,0))", f"NULLIF(CAST({den} AS DECIMAL(19,0)), 0)"
+    rest = f"CAST({n} % {d} AS DECIMAL(19,0))"
+    return f"(CAST({n} div {d} AS DECIMAL(28,0)) * 1000000 + ({rest} * 2000000 + {d}) div ({d} * 2)) / 1000000D"
+
+
+def _sql_div(num: str, den: str) -> str:
+    return f"CASE WHEN {den} <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
+
+
+def _micros(c: str) -> str:
+    return f"sum(CAST(floor({c} * 1000000D + 0.5D) AS BIGINT))"
+
+
+def _cents(c: str) -> str:
+    return f"sum(try_cast({c} AS DECIMAL(18,2)))"
+
+
+#: M1-M3 as SQL for persistent views: name -> (gold table, select list and grouping).
+VIEW_SQL = {
+    "vw_retention_churn": ("player_churn_scores", f"""
+        compute_date, region_primary AS region, platform_primary AS platform, risk_tier, count(*) AS players,
+        {_sql_round6(_micros('churn_probability'), 'count(churn_probability) * 1000000')} AS avg_churn_probability,
+        {_sql_div('sum(days_since_login)', 'count(days_since_login)')} AS avg_days_since_login,
+        {_sql_div(_cents('total_spend_30d'), 'count(total_spend_30d)')} AS avg_spend_30d""",
+                           "compute_date, region_primary, platform_primary, risk_tier"),
+    "vw_player_segments": ("player_segments", f"""
+        compute_date, region_primary AS region, platform_primary AS platform, engagement_segment, revenue_segment, count(*) AS players,
+        {_sql_round6(_micros('avg_session_duration_7d'), 'count(avg_session_duration_7d) * 1000000')} AS avg_session_duration_7d,
+        {_sql_round6(_micros('win_rate_7d'), 'count(win_rate_7d) * 1000000')} AS avg_win_rate_7d""",
+                           "compute_date, region_primary, platform_primary, engagement_segment, revenue_segment"),
+    "vw_arpu_summary": ("arpu_features_daily", f"""
+        compute_date, premium_tier, count(*) AS paying_players,
+        {_sql_round6(_micros('avg_spend_7d'), 'count(*) * 1000000')} AS avg_spend_7d,
+        {_sql_round6(_micros('avg_spend_30d'), 'count(*) * 1000000')} AS avg_spend_30d,
+        CAST({_cents('total_spend_90d')} AS DOUBLE) AS total_spend_90d,
+        {_sql_div('sum(purchase_frequency_30d)', 'count(*)')} AS avg_purchase_frequency_30d""",
+                        "compute_date, premium_tier"),
+}
+
+
+def view_sql(name: str, path: str) -> str:
+    """The query of a dashboard view over the gold table's files; it lists them whenever it runs, so it never goes stale."""
+    _, select, keys = VIEW_SQL[name]
+    return f"SELECT {select} FROM parquet.`{path}` GROUP BY {keys}"
+
+
 # --------------------------------------------------------------------------- M4 / M5
 def bi_measures(retention_view: DataFrame, arpu_view: DataFrame) -> DataFrame:
     """M4: the dashboard measures as one row.

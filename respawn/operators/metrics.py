@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from respawn.constants import PLAUSIBLE_DAYS
 from respawn.functions.exact import MONEY, exact_div, money, ratio_round
 from respawn.functions.quantiles import exact_quantiles
 from respawn.operators.dq import VALID_PRICE
@@ -31,6 +32,30 @@ def daily_active(cleaned: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("dau"), F.sum("events").alias("events")))
 
 
+#: log2 of the registers of a sketch; the relative standard error is 1.04 / sqrt(2 ** LG_K) (0.8 %).
+LG_K = 14
+
+
+def daily_sketches(cleaned: DataFrame) -> DataFrame:
+    """F8: (activity_date, players): a HyperLogLog sketch of each day's players, to be stored and united over any days."""
+    return cleaned.where(F.col("event_date").isNotNull()).groupBy(F.col("event_date").alias("activity_date")).agg(
+        F.hll_sketch_agg("player_id", LG_K).alias("players"))
+
+
+def rolling_from_sketches(sketches: DataFrame, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """N2 from stored sketches alone: (activity_date, active_7d, active_30d, ...) for each day that has a sketch, estimates.
+
+    Each day's sketch goes to the days whose windows hold it (``max(windows)`` at most), where the sketches are united;
+    no event is read. Days are unique in ``sketches``.
+    """
+    most = max(windows)
+    sent = sketches.select("players", F.explode(F.sequence("activity_date", F.date_add("activity_date", most - 1))).alias("day"), F.col("activity_date").alias("own"))
+    known = sketches.select(F.col("activity_date").alias("day"))
+    inside = lambda n: F.when(F.date_diff("day", "own") < n, F.col("players"))
+    return sent.join(known, "day", "left_semi").groupBy(F.col("day").alias("activity_date")).agg(
+        *(F.hll_sketch_estimate(F.hll_union_agg(inside(n))).alias(f"active_{n}d") for n in windows))
+
+
 def rolling_active(cleaned: DataFrame, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
     """DAU, distinct players active in the trailing 7 / 30 days (day d-n+1..d),
     and the mean DAU over the trailing 7 calendar days (missing days count 0).
@@ -39,8 +64,10 @@ def rolling_active(cleaned: DataFrame, windows: tuple[int, ...] = (7, 30)) -> Da
     on the day after its coverage ends (window length, or the player's next
     active day, whichever is first). One aggregate by date turns that into
     per-day deltas; running sums over the calendar (one row per day) give the
-    exact distinct counts.
+    exact distinct counts. Events on implausible days (``PLAUSIBLE_DAYS``) don't count, so a stray date
+    can't stretch the calendar.
     """
+    cleaned = cleaned.where(F.col("event_date").between(*(F.lit(d).cast("date") for d in PLAUSIBLE_DAYS)))
     pairs = activity_pairs(cleaned)
     p = pairs.withColumn("next_day", F.lead("day").over(Window.partitionBy("player_id").orderBy("day")))
     zero = F.lit(0)

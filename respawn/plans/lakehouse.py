@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from respawn.constants import PLAUSIBLE_DAYS
 from respawn.operators import gold, silver
 from respawn.operators.bi import score_with_standin
 from respawn.session import modified, scratch_path
@@ -44,8 +45,10 @@ class Lakehouse:
 
     @cached_property
     def days(self) -> tuple[dt.date, dt.date]:
-        """First and last day of the events (a scan of one column)."""
-        row = self.table("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+        """First and last plausible day of the events (a scan of one column)."""
+        day = F.to_date("ts")
+        known = F.when(day.between(*(F.lit(d).cast("date") for d in PLAUSIBLE_DAYS)), day)
+        row = self.table("events").agg(F.min(known), F.max(known)).first()
         day = dt.date(1970, 1, 1)  # an empty table has no days; any will do
         return row[0] or day, row[1] or day
 

@@ -12,8 +12,7 @@ shared filesystem of the cluster.
                   player_segments} (by compute_date, dynamic overwrite -> history)
     build_scores  gold churn (latest date) + Production model -> gold/player_churn_scores
     build_training  K5 snapshot (label from the week after the features) -> gold/churn_training
-    bi_views      gold/vw_retention_churn, vw_player_segments, vw_arpu_summary: stored results,
-                  as without a metastore no view outlives its session
+    bi_views      gold.vw_retention_churn, vw_player_segments, vw_arpu_summary: SQL views over the gold folders
 """
 
 from __future__ import annotations
@@ -103,20 +102,47 @@ def build_scores(spark: SparkSession, root: str, model_root: str) -> None:
     files.write_table(ml.score(model, bi.latest_snapshot(churn)), _p(root, "gold", "player_churn_scores"), sort_by=["player_id"])
 
 
-#: The dashboard views: name -> (view function, gold table it reads).
-BI_VIEWS = {
-    "vw_retention_churn": (bi.vw_retention_churn, "player_churn_scores"),
-    "vw_player_segments": (bi.vw_player_segments, "player_segments"),
-    "vw_arpu_summary": (bi.vw_arpu_summary, "arpu_features_daily"),
-}
+def bi_views(spark: SparkSession, root: str) -> list[str]:
+    """The dashboard views M1-M3 as SQL views of schema ``gold`` over the gold folders, and by their bare names in this session.
 
+    They live as long as the session's catalog keeps them (a metastore: for any session) and hold no rows: each
+    read sees the gold tables as they are then. Views of tables that aren't there are left out; a name that is
+    taken by something else than this pipeline is refused.
+    """
+    files.create_layer_schemas(spark)
+    names = []
+    for view, (table, _, _) in bi.VIEW_SQL.items():
+        path, name = _p(root, "gold", table), f"gold.{view}"
+        if not path_exists(spark, path):
+            continue
+        if spark.catalog.tableExists(name):
+            if not is_ours(spark, name):
+                raise ValueError(f"refusing to replace {name}: it is not a view of this pipeline")
+            if spark.catalog.getTable(name).tableType != "VIEW":
+                spark.sql(f"DROP TABLE {name}")  # the results that earlier versions stored
+        spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT 'Gold: dashboard view {view}' "
+                  f"TBLPROPERTIES ('pipeline' = 'respawn', 'quality' = 'gold', 'source' = 'gold.{table}') AS {bi.view_sql(view, path)}")
+        files.declare_view(spark.table(name), view)
+        names.append(name)
+    return names
 
-def bi_views(spark: SparkSession, root: str) -> None:
-    """(re)write the dashboard views' results, to be read by any session, and name them as
-    views in this one."""
-    for name, (view, table) in BI_VIEWS.items():
-        files.write_table(view(spark.read.parquet(_p(root, "gold", table))), _p(root, "gold", name), whole=True)
-        files.declare_view(spark.read.parquet(_p(root, "gold", name)), name)
+
+def bucket_by_player(spark: SparkSession, root: str, buckets: int = 64, schema: str = "silver") -> list[str]:
+    """A10: the silver tables as catalog tables bucketed and sorted by player (``<schema>.<table>_by_player``).
+
+    Joins and aggregates by player read them without a shuffle. ``buckets`` is fixed when they are first
+    written; a bucket should hold some 128 MB. A name that something else took is refused.
+    """
+    files.create_layer_schemas(spark)
+    names = []
+    for table in ("player_events_cleaned", "player_sessions", "player_purchase_events"):
+        name = f"{schema}.{table}_by_player"
+        if spark.catalog.tableExists(name) and not is_ours(spark, name):
+            raise ValueError(f"refusing to replace {name}: it is not a table of this pipeline")
+        files.save_bucketed(spark.read.parquet(_p(root, "silver", table)), name, "player_id", buckets)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('pipeline' = 'respawn', 'quality' = 'silver')")
+        names.append(name)
+    return names
 
 
 # Catalog entries for the layer folders: (schema, table, folder, partition column, comment, properties).
@@ -143,7 +169,6 @@ CATALOG = [
      "Gold: churn features with the label of the days after them", {"quality": "gold"}),
     ("gold", "player_churn_scores", "gold/player_churn_scores", None,
      "Gold: churn probability and risk tier of the latest snapshot", {"quality": "gold"}),
-    *(("gold", name, f"gold/{name}", None, f"Gold: dashboard view {name}", {"quality": "gold"}) for name in BI_VIEWS),
 ]
 #: What the next layer's tables are made from, as a table property.
 SOURCES = {"bronze": "landing files", "silver": "bronze.raw_events", "gold": "silver.player_events_cleaned"}
@@ -185,4 +210,4 @@ def register_catalog(spark: SparkSession, root: str) -> list[str]:
         names.append(name)
     if not names:
         raise FileNotFoundError(f"no layer tables under {root}")
-    return names
+    return names + bi_views(spark, root)

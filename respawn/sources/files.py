@@ -278,6 +278,25 @@ def save_table(df: DataFrame, name: str, comment: str | None = None, properties:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """A10: a catalog table of one file a bucket, rows dealt out and sorted by ``key``, so that what groups or joins by it needs no shuffle."""
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: str, ids: tuple[str, ...] = (), row_group: int = 16 << 20) -> None:
+    """A layer for point reads, replaced as a whole.
+
+    Within each partition value the files hold ranges of ``cluster_by`` (a range shuffle, cut by bytes) in small row groups,
+    whose minima and maxima rule most of them out for one value; Parquet Bloom filters do so for the columns ``ids``,
+    whose values lie anywhere.
+    """
+    w = df.repartitionByRange(partition_by, cluster_by).sortWithinPartitions(partition_by, cluster_by).write.mode("overwrite")
+    w = w.option("partitionOverwriteMode", "static").option("parquet.block.size", str(row_group))
+    for c in (cluster_by, *ids):
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.partitionBy(partition_by).parquet(path)
+
+
 def declare_view(df: DataFrame, name: str) -> None:
     """A non-materialised, named view."""
     df.createOrReplaceTempView(name)
