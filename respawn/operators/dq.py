@@ -153,23 +153,28 @@ def observed_counts(observation: Observation, rules: list[Rule], dataset: str) -
 
 
 def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str) -> DataFrame:
-    """One row per rule: dataset, rule, action, total, passed, failed, pass_pct.
+    """One row per rule: dataset, rule, action, total, passed, failed, pass_pct (see :func:`rule_metrics_of`)."""
+    return rule_metrics_of(df, [(dataset, rules, F.lit(True))])
+
+
+def rule_metrics_of(df: DataFrame, parts: list[tuple[str, list[Rule], Column]]) -> DataFrame:
+    """The rules of several datasets that are rows of one table, each told by a condition, in one pass.
 
     One global aggregate over ``df`` (map-side partial counts), then ``stack``.
     ``pass_pct`` is half-up rounded to 2 decimals with integer arithmetic.
     """
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    for i, r in enumerate(rules):
-        aggs.append(F.count_if(~r.passes()).alias(f"_f{i}"))
-    one = df.agg(*aggs)
-    stack_args = ", ".join(f"'{r.name}', '{r.action}', _f{i}" for i, r in enumerate(rules))
-    long = one.selectExpr(
-        "_total", f"stack({len(rules)}, {stack_args}) AS (rule, action, failed)")
+    aggs, rows = [], []
+    for k, (dataset, rules, own) in enumerate(parts):
+        own = F.coalesce(own, F.lit(False))
+        aggs.append(F.count_if(own).alias(f"_t{k}"))
+        for i, r in enumerate(rules):
+            aggs.append(F.count_if(own & ~r.passes()).alias(f"_f{k}_{i}"))
+            rows.append(f"'{dataset}', '{r.name}', '{r.action}', _t{k}, _f{k}_{i}")
+    long = df.agg(*aggs).selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (dataset, rule, action, _total, failed)")
     total = F.col("_total")
     from respawn.functions.exact import ratio_round
     return long.select(
-        F.lit(dataset).alias("dataset"),
-        F.col("rule"), F.col("action"),
+        "dataset", "rule", "action",
         total.cast("long").alias("total"),
         (total - F.col("failed")).cast("long").alias("passed"),
         F.col("failed").cast("long").alias("failed"),

@@ -9,7 +9,7 @@ aggregation, tiny shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from respawn.functions.exact import int_div, money, money_sum, ratio_round, units
@@ -118,6 +118,19 @@ def clean_events(bronze: DataFrame, observation: Observation | str | None = None
     return dq.expect(parse_events(deduped), dq.CLEANED_RULES, observation)
 
 
+def rule_metrics(candidates: DataFrame) -> DataFrame:
+    """B4 for the cleaned events and the sessions and purchases in them, in one pass over the candidates of C1."""
+    values = session_values()
+    wide = candidates.select("*", session_id().alias("session_id"), *(values[c].alias(c) for c in ("duration_min", "kills", "deaths")))
+    clean = F.lit(True)
+    for r in dq.CLEANED_RULES:
+        clean = clean & r.passes() if r.action == dq.DROP else clean
+    kind = F.col("event_type_normalized")
+    return dq.rule_metrics_of(wide, [("player_events_cleaned", dq.CLEANED_RULES, F.lit(True)),
+                                     ("player_sessions", dq.SESSION_RULES, clean & (kind == "session_end")),
+                                     ("player_purchase_events", dq.PURCHASE_RULES, clean & (kind == "purchase"))])
+
+
 # --------------------------------------------------------------------------- C2
 def session_values() -> dict:
     """What a session_end event says of its session (also used where sessions aren't a table)."""
@@ -128,6 +141,10 @@ def session_values() -> dict:
             "matches_won": F.when(kills >= deaths, F.lit(1)).otherwise(F.lit(0))}
 
 
+def session_id() -> Column:
+    return F.sha2(F.concat_ws(":", F.col("player_id"), F.col("event_ts").cast("string"), F.col("event_id")), 256)
+
+
 def session_candidates(cleaned: DataFrame) -> DataFrame:
     """C2 projection before its expectations."""
     values = session_values()
@@ -136,8 +153,7 @@ def session_candidates(cleaned: DataFrame) -> DataFrame:
     return (
         cleaned.where(F.col("event_type_normalized") == "session_end")
         .select(
-            F.sha2(F.concat_ws(":", F.col("player_id"), F.col("event_ts").cast("string"),
-                               F.col("event_id")), 256).alias("session_id"),
+            session_id().alias("session_id"),
             "player_id",
             F.col("event_ts").alias("session_end_ts"),
             F.timestamp_seconds(F.unix_timestamp("event_ts") - dur).alias("session_start_ts"),

@@ -56,13 +56,10 @@ def dq_warn(h: Lakehouse):
 
 @register("dq_metrics")
 def dq_metrics(h: Lakehouse):
-    """Per-rule total/passed/failed/pass_pct for every dataset of the pipeline."""
-    cand = h.cleaned_candidates
+    """Per-rule total/passed/failed/pass_pct for every dataset of the pipeline, one pass a table."""
     parts = [
         dq.rule_metrics(h.raw, dq.RAW_RULES, "raw_events"),
-        dq.rule_metrics(cand, dq.CLEANED_RULES, "player_events_cleaned"),
-        dq.rule_metrics(silver.session_candidates(h.cleaned), dq.SESSION_RULES, "player_sessions"),
-        dq.rule_metrics(silver.purchase_candidates(h.cleaned), dq.PURCHASE_RULES, "player_purchase_events"),
+        silver.rule_metrics(h.cleaned_candidates),
         dq.rule_metrics(gold.churn_candidates(h.cleaned, None, None, h.as_of), dq.CHURN_RULES, "churn_features_daily"),
         dq.rule_metrics(gold.arpu_candidates(None, h.cleaned, h.as_of), dq.ARPU_RULES, "arpu_features_daily"),
     ]
