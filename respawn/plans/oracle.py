@@ -403,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "churn_features_daily": q(f"SELECT {CHURN_COLS} FROM churn"),
         "clean_events": q("SELECT * FROM cleaned"),
+        "stream_merged_events": q("SELECT * FROM cleaned"),
         "player_sessions": q("SELECT * FROM sessions"),
         "purchase_events": q("SELECT * FROM purchases"),
         # B

@@ -537,7 +537,7 @@ def win_rate_by_tier(h: Lakehouse):
 from pyspark.ml.functions import array_to_vector  # noqa: E402
 
 from respawn.constants import RAW_COLUMNS  # noqa: E402
-from respawn.plans import layers  # noqa: E402
+from respawn.plans import incremental, layers  # noqa: E402
 from respawn.sources import files, generate  # noqa: E402
 from respawn.streaming import silver_stream  # noqa: E402
 
@@ -574,6 +574,16 @@ def stream_clean_events(h: Lakehouse):
     return h.spark.read.parquet(f"{root}/events").select(*STREAMED)
 
 
+@register("stream_merged_events")
+def stream_merged_events(h: Lakehouse):
+    """Bronze streamed into the cleaned table by exact merges, all columns compared."""
+    root = h.lake("merged")
+    if not files.path_exists(h.spark, f"{root}/events"):
+        bronze = silver_stream.bronze_file_stream(h.spark, h.lake("bronze", "raw_events"), files.RAW_SCHEMA)
+        incremental.merge_stream(h.spark, bronze, f"{root}/events", f"{root}/checkpoint", f"{root}/staging")
+    return h.spark.read.parquet(f"{root}/events").select(*CLEANED_COLUMNS)
+
+
 @register("ingest_quality")
 def ingest_quality(h: Lakehouse):
     """O1/B4 on streams: rule counts of the ingest, summed over its micro-batches."""

@@ -4,8 +4,9 @@
   with de-duplication by ``event_id`` kept in bounded state by a watermark on
   the *arrival* time (``ingest_ts``). Event times come from a shuffled history
   and can be weeks out of order, so watermarking them would drop valid rows;
-  arrival time is nearly ordered. Redeliveries later than the watermark delay
-  are not recognised as duplicates -- the batch twin (exact) removes them.
+  arrival time is nearly ordered. The layer job keeps ids for 35 days, in RocksDB with changelog
+  checkpoints (state on local disk, its changes in the checkpoint). Redeliveries later than the watermark delay
+  are not recognised as duplicates -- the batch twin and :func:`respawn.plans.incremental.merge_stream` (both exact) remove them.
 * Expectations on a stream are the same ``dq.expect`` call; their counts land
   in each micro-batch's ``observedMetrics``.
 * The de-duplicator never drops a first delivery, even one arriving behind
@@ -77,15 +78,28 @@ def observed(query, name: str = "cleaned_expectations") -> list[dict]:
     return progress_metrics(query, name)
 
 
+#: How long the layer job knows an id, and where: beyond the executors' memory.
+DELAY = "35 days"
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
 def build_silver_stream(spark: SparkSession, bronze_path: str, target_path: str, checkpoint: str,
-                        metrics_path: str | None = None, delay: str = "2 days") -> dict:
+                        metrics_path: str | None = None, delay: str = DELAY) -> dict:
     """O1-O4 for silver: stream new bronze files through C1 into the cleaned
     table (partitioned by batch and event date); each micro-batch's rule counts
     are stored with it (:func:`respawn.sources.files.write_batch`)."""
     schema = spark.read.parquet(bronze_path).schema
-    parsed = parsed_stream(bronze_file_stream(spark, bronze_path, schema), delay)
-    q, batches = run_batches(parsed, target_path, checkpoint, metrics_path or target_path.rstrip("/") + "_quality", "player_events_cleaned",
-                             dq.CLEANED_RULES, ("event_date",))
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():  # a running checkpoint keeps the provider that it began with
+        spark.conf.set(k, v)
+    try:
+        parsed = parsed_stream(bronze_file_stream(spark, bronze_path, schema), delay)
+        q, batches = run_batches(parsed, target_path, checkpoint, metrics_path or target_path.rstrip("/") + "_quality", "player_events_cleaned",
+                                 dq.CLEANED_RULES, ("event_date",))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return {"input_rows": sum(b["rows"] for b in batches), "batches": len(batches),
             "dropped_by_watermark": dropped_by_watermark(q)}
 

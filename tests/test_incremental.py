@@ -94,3 +94,19 @@ def test_old_ids_are_met_by_a_bloom_filter(spark, tmp):
     finally:
         for k in sizes:
             spark.conf.unset(k)
+
+
+def test_streams_over_two_restarts(spark, tmp):
+    """The merged stream equals the batch on all columns; the stateful one drops what comes again 30 days later."""
+    from respawn.streaming import silver_stream
+
+    days = [[event(1, 1), event(2, 2)], [event(3, 3), event(1, 1, "2024-01-31 10:00:00")], [event(2, 9, "2024-01-01 09:00:00"), event(4, 4, "2024-02-20 10:00:00")]]
+    for k, rows in enumerate(days):
+        land(spark, tmp, f"d{k}", rows)
+        bronze = silver_stream.bronze_file_stream(spark, f"{tmp}/lake/bronze/raw_events", files.RAW_SCHEMA)
+        incremental.merge_stream(spark, bronze, f"{tmp}/lake/silver/player_events_cleaned", f"{tmp}/ckpt", f"{tmp}/staging")
+        check(spark, tmp)
+        silver_stream.build_silver_stream(spark, f"{tmp}/lake/bronze/raw_events", f"{tmp}/stateful", f"{tmp}/ckpt2")
+    ids = sorted(r.event_id for r in spark.read.parquet(f"{tmp}/stateful").collect())
+    assert ids == ["e1", "e2", "e3", "e4"]
+    assert any("RocksDB" in open(f).read() for f in __import__("glob").glob(f"{tmp}/ckpt2/offsets/*") if not f.endswith(".crc"))
