@@ -133,12 +133,12 @@ class Model:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from rows with id, text and language; about ``sample`` documents a language at most.
 
-    Documents of a language are taken by their hash: below sample / n of its range, n the language's
-    (approximate) number of distinct documents. Repeated rows count once. The ``LANGUAGES`` languages of most
+    Documents of a language are taken by the hash of their id: below sample / n of its range, n the language's
+    (approximate) number of distinct ids. Rows that repeat an id count once, with the smallest text. The ``LANGUAGES`` languages of most
     documents are learned (ties by name), of those only the ones that have a word; without any, all texts are ``und``.
     """
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = rows.select(F.xxhash64(id_col, text_col).alias("h"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body"))
+    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body"))
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.01).alias("n"))
     cut = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()  # one row a language
     if not cut:
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     at = np.flatnonzero(both)
                     yield pd.DataFrame({"lang": lang, "bucket": at, "n": both[at]})
 
-    drawn = rows.where(place < F.try_element_at(upto, F.col("lang"))).groupBy("lang", "h").agg(F.first("body").alias("body")).select("lang", "body")
+    drawn = rows.where(place < F.try_element_at(upto, F.col("lang"))).groupBy("lang", "h").agg(F.min("body").alias("body")).select("lang", "body")
     found = drawn.mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(found["lang"]))
     both = np.zeros((BUCKETS + len(SCRIPTS), len(langs)))  # BUCKETS + scripts numbers a language
