@@ -75,9 +75,9 @@ def test_components(spark, edges):
 def test_dense_shards_are_cut_into_blocks(spark):
     """Fingerprints that no vantage point parts: all within a few bits of each other."""
     rng = np.random.default_rng(3)
-    fps = np.unique(np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 10, size=(600, 3), dtype=np.uint64), axis=1))
+    fps = np.unique(np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 8, size=(300, 3), dtype=np.uint64), axis=1))
     classes = spark.createDataFrame([(int(x),) for x in fps], "fp long")
-    edges = [(r.a, r.b) for r in op.linked_fingerprints(classes, shard=16).collect()]
+    edges = [(r.a, r.b) for r in op.linked_fingerprints(classes, shard=32).collect()]
     want = [(int(a), int(b)) for i, a in enumerate(fps) for b in fps[:i] if int(a ^ b).bit_count() <= op.RADIUS]
     nodes = [int(x) for x in fps]
     assert helpers.components(nodes, edges) == helpers.components(nodes, want) and set(edges) <= set(want) | {(b, a) for a, b in want}
