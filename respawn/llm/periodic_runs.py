@@ -1,6 +1,6 @@
 """Runs: maximal stretches of words that repeat with a period, found by descending-LCP Kruskal.
 
-The suffixes of a text's words are sorted (prefix doubling over the distinct texts of a block at once;
+The suffixes of a text's words are sorted (prefix doubling over the texts of a block at once;
 positions whose class is a single one are settled and leave). Neighbours in that order are joined by
 edges weighted with their longest common prefix (LCP). Edges are taken by decreasing LCP: a
 union-find over the suffix classes keeps each class's positions in order, and when two classes
@@ -223,7 +223,8 @@ def run_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     text = stretched(F.col(text_col), F.col(id_col))
     rows = periodic_runs(docs.select(id_col, text.alias("__words")), "__words")
-    longest = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    longest = F.get(F.array_sort(ranked), F.lit(0))
     rows = rows.withColumn("longest", longest)
     lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
     length, period = -F.col("longest.shorter"), F.col("longest.period")

@@ -55,8 +55,8 @@ def ordered(convs: DataFrame, texts: bool = False) -> DataFrame:
     belong to no conversation and go. Other columns play no part.
     """
     rows = convs.where(F.col("conv_id").isNotNull()).select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
     segment = F.coalesce(F.shiftright("turn", SEGMENT.bit_length() - 1), F.lit(-(1 << 62)))
     rows = _running(rows, "conv_id", segment, [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")], {"i": F.lit(1).cast("long")})
     digest = F.md5(F.concat_ws(":", F.octet_length("role"), "role", "text"))
@@ -250,7 +250,8 @@ def _totals(nodes: DataFrame, paths: DataFrame, cap: int) -> DataFrame:
             F.count("*").alias("c"), F.sum("n_leaves").alias("l"), F.sum("saved").alias("s"))
         trunk = nodes.join(heavy.select("digest"), "digest").join(carried, "digest", "left")
         more = lambda name, c: (F.col(name) + F.coalesce(c, F.lit(0))).alias(name)
-        nodes = stored(trunk.select("digest", "parent", "conv_id", "depth", "n_convs", more("n_children", "c"), more("n_leaves", "l"), more("saved", "s")), "nodes")
+        nodes = stored(trunk.select("digest", "parent", "conv_id", "depth", "n_convs", more("n_children", "c"), more("n_leaves", "l"),
+                                    more("saved", "s")), "nodes")
         owners = heavy.select(F.col("owner").alias("conv_id")).distinct()
         paths = stored(paths.join(cuts.join(owners, "conv_id").select("conv_id", "cut"), "conv_id").where("d < cut").select(
             "conv_id", "d", (F.col("cut") - 1).alias("len"), "digest"), "paths")
@@ -332,7 +333,8 @@ subtrees AS (
 ends AS (
   SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM prefixes JOIN convs USING (conv_id) WHERE d = len GROUP BY node)
 SELECT x.conv_id::BIGINT AS conv_id, x.d::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, x.n_convs::BIGINT AS n_convs,
-  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  coalesce(ends_sha256, sha256('')) AS ends_sha256
 FROM nodes x LEFT JOIN nodes up ON x.parent = up.node LEFT JOIN kids ON x.node = kids.node JOIN subtrees ON x.node = subtrees.node
 LEFT JOIN ends ON x.node = ends.node
 """
