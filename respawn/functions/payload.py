@@ -37,11 +37,8 @@ def canonical_platform(c: Column | str) -> Column:
     values keep their trimmed text (so the ``known_platform`` rule can flag them).
     """
     c = F.trim(F.col(c) if isinstance(c, str) else c)
-    expr = None
-    for p in PLATFORMS:
-        cond = F.lower(c) == F.lit(p.lower())
-        expr = F.when(cond, F.lit(p)) if expr is None else expr.when(cond, F.lit(p))
-    return expr.otherwise(c)
+    names = F.create_map(*(F.lit(x) for p in PLATFORMS for x in (p.lower(), p)))
+    return F.coalesce(F.element_at(names, F.lower(c)), c)
 
 
 def normalize_event_type(c: Column | str) -> Column:

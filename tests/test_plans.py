@@ -1,7 +1,8 @@
 """Physical-plan properties the design relies on."""
 from conftest import SF_SMALL
-from respawn.operators import gold
+from respawn.operators import gold, silver
 from respawn.plans.lakehouse import Lakehouse
+from respawn.sources.driver import raw_events_from_driver, read_table
 
 
 def _plan(df) -> str:
@@ -110,3 +111,13 @@ def test_date_window_prunes_partitions_and_rules_reach_the_scan(spark):
     plan = queries()["date_window_filter"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "In(event_type_normalized" in plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+
+
+def test_adapter_and_typing_are_compiled(spark):
+    """The JVM never compiles a method of more than 8,000 bytes; the adapter's projection had 14,589."""
+    raw = raw_events_from_driver(read_table(spark, SF_SMALL, "events"))
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for df in (raw, silver.typed_events(silver.bronze_events(raw))):
+        found = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())]
+        assert sizes and max(sizes) <= 8000
