@@ -55,8 +55,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def _pick(values: list[str], idx: Column) -> Column:
-    """values[idx] for a 0-based integer index column."""
-    return F.get(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
+    """values[idx] for a 0-based integer index column; the last value where the index is null."""
+    return F.get(F.array(*[F.lit(v) for v in values]), F.coalesce(idx, F.lit(len(values) - 1)).cast("int"))
 
 
 def _q(c: Column) -> list:
@@ -143,6 +143,7 @@ def _envelope(base: DataFrame) -> DataFrame:
 
     def dirty(values: list[str], idx: Column, spoil) -> Column:
         """A value, spoilt in messy rows (one list of both)."""
+        idx = F.coalesce(idx, F.lit(len(values) - 1))
         return _pick(values + [spoil(v) for v in values], idx + F.when(messy, F.lit(len(values))).otherwise(0))
 
     region = dirty(REGIONS, F.pmod(dim_key, F.lit(4)), str.lower)
