@@ -30,7 +30,7 @@ import html
 import pickle
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,8 @@ from respawn.llm.common import stored
 SHARE = 0.3
 MIN_PAGES = 5
 SALTS = 32
+#: Compression of stored trees: they take most of the disk.
+LEVEL = 6
 
 #: Fixed values of HTML: elements without content, with raw text, and that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -246,8 +248,9 @@ class Tree:
         return scope, most, own
 
     def packed(self) -> tuple[bytes, list[int], list[int], int]:
-        """The tree for a second reading, the distinct hashes that may be templates, each with the hash of what it counts once for
-        (its article or the page), and the page's hash."""
+        """The tree for a second reading, the distinct hashes that may be templates, then others that may equal them, of the former
+        the hash of what each counts once for (its article or the page), and the page's hash. The tree holds places of these hashes, not
+        the hashes once more: pages of a site share them, so a column of them takes less than each page's own."""
         size = len(self.tag)
         holds = [False] * size  # holds an article or main element
         for n in range(size - 1, 0, -1):
@@ -258,20 +261,28 @@ class Tree:
         counted = [not holds[n] and self.tag[n] not in ("#", "html", "body", "article", "main") and not (scope[n] and self.tag[n] in part) for n in range(size)]
         open_ = [c and not m for c, m in zip(counted, most)]
         hashes = np.array(self.hash, dtype=np.uint64).view(np.int64)
-        state = self.tag, self.parent, self.drop, self.content, self.pieces, hashes, counted, open_, scope, own
         pairs = sorted({(int(hashes[n]), int(hashes[scope[n]])) for n in range(size) if open_[n] or counted[n] and self.tag[n] in PROSE})
-        return zlib.compress(pickle.dumps(state, protocol=5), 1), [h for h, _ in pairs], [k for _, k in pairs], int(hashes[0])
+        known = [h for h, _ in pairs]
+        place = {h: i for i, h in enumerate(known)}
+        for n in range(size):
+            if counted[n] and int(hashes[n]) not in place:
+                place[int(hashes[n])] = len(known)
+                known.append(int(hashes[n]))
+        places = [place[int(hashes[n])] if counted[n] else -1 for n in range(size)]
+        state = self.tag, self.parent, self.drop, self.content, self.pieces, places, open_, scope, own
+        return zlib.compress(pickle.dumps(state, protocol=5), LEVEL), known, [k for _, k in pairs], int(hashes[0])
 
 
 def parse(page: str | None) -> tuple[bytes, list[int], list[int], int]:
     return Tree(page or "").packed()
 
 
-def main_text(tree: bytes, templates: set[int]) -> str:
-    """The blocks' texts, one a line, without boilerplate and templates."""
-    tag, parent, drop, content, pieces, hashes, counted, open_, scope, own = pickle.loads(zlib.decompress(tree))
+def main_text(tree: bytes, templates: set[int], hashes: Sequence[int] = ()) -> str:
+    """The blocks' texts, one a line, without boilerplate and templates (found among the page's ``hashes``)."""
+    tag, parent, drop, content, pieces, places, open_, scope, own = pickle.loads(zlib.decompress(tree))
     gone, home = [False] * len(tag), {"article": [False] * len(tag), "main": [False] * len(tag), "content": [False] * len(tag)}
-    known = [c and h in templates for c, h in zip(counted, hashes.tolist())]
+    marked = [h in templates for h in hashes]
+    known = [bool(marked) and p >= 0 and marked[p] for p in places]
     kept = _near_copies(tag, parent, drop, known, scope, own) if True in known else frozenset()
     for n in range(1, len(tag)):  # parents come first
         p = parent[n]
@@ -319,7 +330,8 @@ def site_templates(trees: DataFrame, share: float = SHARE, min_pages: int = MIN_
     """(host, templates): hashes of subtrees that recur on many distinct pages (in articles: in many distinct articles) of the host."""
     trees = trees.where("host IS NOT NULL").select("host", "page", "hashes", "scopes")
     pages = trees.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    seen = trees.select("host", F.explode(F.arrays_zip("hashes", "scopes")).alias("s")).select("host", F.col("s.hashes").alias("hash"), "s.scopes").distinct()
+    counted = F.slice("hashes", F.lit(1), F.size("scopes")).alias("hashes")
+    seen = trees.select("host", counted, "scopes").select("host", F.explode(F.arrays_zip("hashes", "scopes")).alias("s")).select("host", F.col("s.hashes").alias("hash"), "s.scopes").distinct()
     seen = seen.groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = seen.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= F.col("pages") * share)
     return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
@@ -351,14 +363,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             known: dict = {}
             texts, used = [], []
-            for host, tree, hashes, own in zip(batch["host"], batch["tree"], batch["hashes"], batch["templates"]):
+            for host, tree, hashes, n, own in zip(batch["host"], batch["tree"], batch["hashes"], batch["n"], batch["templates"]):
                 if host not in known:
                     known[host] = set(own.tolist()) if own is not None else set()
-                texts.append(main_text(tree, known[host]))
-                used.append(len(known[host].intersection(hashes.tolist())) if known[host] else 0)
+                texts.append(main_text(tree, known[host], hashes.tolist() if known[host] else ()))
+                used.append(len(known[host].intersection(hashes[:n].tolist())) if known[host] else 0)
             yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts], "host": batch["host"], "n_templates": used})
 
     salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = trees.withColumn("salt", F.pmod(F.xxhash64("tree"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
-    out = dealt.select("id", "url", "host", "tree", "hashes", "templates").mapInPandas(read, "id string, url string, text string, n_chars long, host string, n_templates int")
+    out = dealt.select("id", "url", "host", "tree", "hashes", F.size("scopes").alias("n"), "templates").mapInPandas(read, "id string, url string, text string, n_chars long, host string, n_templates int")
     return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

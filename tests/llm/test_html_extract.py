@@ -126,3 +126,13 @@ def test_a_teaser_is_not_the_story():
     assert text_of(f"<main>{story}<article><p>Read this too</p></article></main>") == "The story has many words and goes on\nuntil it ends\nRead this too"
     assert text_of(f"<article><p>Read</p></article><div class=content>{story}</div>") == "The story has many words and goes on\nuntil it ends"
     assert text_of(f"<main><div>Around</div><article>{story}</article></main>") == "The story has many words and goes on\nuntil it ends"
+
+
+def test_trees_hold_no_hashes():
+    """A page's hashes are stored once, beside its tree: a tree of many small elements takes less than eight bytes for each."""
+    names = ["".join(chr(97 + i // 26 ** k % 26) for k in range(3)) for i in range(4000)]
+    page = "<body><main>" + "".join(f"<div><p>{name}</p></div>" for name in names) + "</main></body>"
+    tree, hashes, scopes, _ = op.parse(page)
+    assert len(tree) < 8 * 2 * 4000 and len(set(hashes)) == len(set(hashes[:len(scopes)])) + len(hashes[len(scopes):])
+    same = op.main_text(tree, {1}, hashes)
+    assert same == op.main_text(tree, set()) and same.count("\n") == 3999
