@@ -29,7 +29,7 @@ RADIUS = 3
 MATCH = 2
 WORD, PAIR = 16, 64
 #: Distinct words whose hash a Python worker remembers.
-MEMORY = 1 << 18
+MEMORY = 1 << 16
 
 
 class _Hashes(dict):
