@@ -81,3 +81,20 @@ def test_dense_shards_are_cut_into_blocks(spark):
     want = [(int(a), int(b)) for i, a in enumerate(fps) for b in fps[:i] if int(a ^ b).bit_count() <= op.RADIUS]
     nodes = [int(x) for x in fps]
     assert helpers.components(nodes, edges) == helpers.components(nodes, want) and set(edges) <= set(want) | {(b, a) for a, b in want}
+
+
+def test_models_come_once_for_many_rows(spark):
+    """A tree is sent with the packed rows of a shard, not beside each of its rows; all rows reach their leaves."""
+    from respawn.llm import shards
+
+    sent = spark.sparkContext.accumulator(0)
+
+    def route(model, points):
+        sent.add(len(model))
+        yield 1, np.flatnonzero(points % 2 == 0)
+        yield 2, np.flatnonzero(points % 2 != 0)
+
+    rows = spark.range(4000).selectExpr("'s' AS shard", "id", "id AS point").coalesce(2)
+    out = shards.refine(rows, "point", lambda name, points, n: bytes(1000) if "." not in name else None, route, cap=100, sample=50)
+    assert sorted((r.shard, r.id, r.point) for r in out.collect()) == sorted((f"s.{1 + i % 2}", i, i) for i in range(4000))
+    assert sent.value <= 8 * 1000
